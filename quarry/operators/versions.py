@@ -1,0 +1,598 @@
+"""Versioned tables: snapshots, time travel, schema and partition evolution,
+compaction, snapshot expiry and orphan files -- as DataFrame operations.
+
+Storage, all below one root folder on shared storage:
+
+* ``data/<dir>/``  parquet data files.  Physical columns are stable field ids
+  (``__f1``, ``__f2`` ...) plus ``__valid_from``, the snapshot that added the
+  row, plus the derived partition columns of the spec the dir was written
+  with.  Files are only ever added; a commit never rewrites old files.
+* ``log/``  the commit log, one small row per snapshot: time, operation,
+  schema (ids -> names/types), partition spec, the list of live data dirs,
+  and for deletes the predicate.
+
+A delete or overwrite is recorded as a predicate.  A row's ``valid_to`` is the
+first later delete whose predicate is TRUE for it (NULL keeps the row), which
+is one projection over the data -- no join, no rewrite.  A row is visible in
+snapshot ``v`` when ``valid_from <= v < valid_to``.
+
+The log is metadata (one row per commit) and is read on the driver, like a
+table format reads its manifest list; data never passes through the driver.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DecimalType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    _parse_datatype_string,
+)
+
+VALID_FROM, VALID_TO = "__valid_from", "__valid_to"
+TRANSFORMS = ("identity", "year", "month", "day", "hour", "bucket", "truncate")
+
+LOG_SCHEMA = StructType(
+    [
+        StructField("snapshot_id", LongType(), False),
+        StructField("committed_at", TimestampNTZType(), False),
+        StructField("operation", StringType(), False),
+        StructField("meta", StringType(), False),
+    ]
+)
+
+
+def _phys(fid: int) -> str:
+    return f"__f{fid}"
+
+
+@dataclass
+class Field:
+    id: int
+    name: str
+    type: str
+    required: bool = False
+
+
+@dataclass
+class SpecField:
+    source: str  # field name at the time the spec is set
+    transform: str
+    param: int | None = None
+
+    @property
+    def column(self) -> str:
+        suffix = f"_{self.param}" if self.param is not None else ""
+        return f"__p_{self.transform}{suffix}_{self.source}"
+
+
+@dataclass
+class Snapshot:
+    snapshot_id: int
+    committed_at: dt.datetime
+    operation: str
+    schema: list[Field]
+    spec: list[dict]
+    spec_id: int
+    data_dirs: list[str]
+    predicate: str | None = None
+    predicate_schema: list[Field] | None = None
+    expired_before: int = 0
+    properties: dict = field(default_factory=dict)
+
+    def to_meta(self) -> str:
+        d = {
+            "schema": [f.__dict__ for f in self.schema],
+            "spec": self.spec,
+            "spec_id": self.spec_id,
+            "data_dirs": self.data_dirs,
+            "predicate": self.predicate,
+            "predicate_schema": [f.__dict__ for f in self.predicate_schema] if self.predicate_schema else None,
+            "expired_before": self.expired_before,
+            "properties": self.properties,
+        }
+        return json.dumps(d, sort_keys=True)
+
+    @staticmethod
+    def from_row(row) -> "Snapshot":
+        d = json.loads(row["meta"])
+        return Snapshot(
+            snapshot_id=row["snapshot_id"],
+            committed_at=row["committed_at"],
+            operation=row["operation"],
+            schema=[Field(**f) for f in d["schema"]],
+            spec=d["spec"],
+            spec_id=d["spec_id"],
+            data_dirs=d["data_dirs"],
+            predicate=d["predicate"],
+            predicate_schema=[Field(**f) for f in d["predicate_schema"]] if d["predicate_schema"] else None,
+            expired_before=d["expired_before"],
+            properties=d["properties"],
+        )
+
+
+# ----------------------------------------------------------------- transforms
+
+
+def transform_column(c: Column, transform: str, param: int | None = None, type_name: str = "string") -> Column:
+    """Partition value of ``c`` under a transform.  All but ``bucket`` keep order."""
+    if transform == "identity":
+        return c
+    if transform == "year":
+        return F.year(c) - 1970
+    if transform == "month":
+        return (F.year(c) - 1970) * 12 + F.month(c) - 1
+    if transform == "day":
+        return F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date"))
+    if transform == "hour":
+        return F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour(c.cast("timestamp_ntz"))
+    if transform == "bucket":
+        return F.pmod(F.xxhash64(c), F.lit(int(param)))
+    if transform == "truncate":
+        if type_name == "string":
+            return F.substring(c, 1, int(param))
+        return c - F.pmod(c, F.lit(int(param)))
+    raise ValueError(f"unknown transform {transform!r}; use one of {TRANSFORMS}")
+
+
+def can_widen(old: str, new: str) -> bool:
+    """Upcasts only: int -> bigint, float -> double, decimal(p,s) -> decimal(p2,s), p2 >= p."""
+    if old == new:
+        return True
+    if (old, new) in {("int", "bigint"), ("float", "double")}:
+        return True
+    o, n = _parse_datatype_string(old), _parse_datatype_string(new)
+    if isinstance(o, DecimalType) and isinstance(n, DecimalType):
+        return n.scale == o.scale and n.precision >= o.precision
+    return False
+
+
+# ----------------------------------------------------------------- the table
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self._cache: list[Snapshot] | None = None
+
+    # ------------------------------------------------------------- log
+    @property
+    def log_path(self) -> str:
+        return f"{self.root}/log"
+
+    def snapshots_meta(self) -> list[Snapshot]:
+        if self._cache is None:
+            rows = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
+            self._cache = sorted((Snapshot.from_row(r) for r in rows), key=lambda s: s.snapshot_id)
+        return self._cache
+
+    def current(self) -> Snapshot:
+        return self.snapshots_meta()[-1]
+
+    def snapshot(self, snapshot_id: int) -> Snapshot:
+        cur = self.current()
+        if snapshot_id < cur.expired_before:
+            raise ValueError(f"snapshot {snapshot_id} has expired (kept from {cur.expired_before})")
+        for s in self.snapshots_meta():
+            if s.snapshot_id == snapshot_id:
+                return s
+        raise ValueError(f"no snapshot {snapshot_id}")
+
+    def snapshot_at(self, ts: dt.datetime | str) -> Snapshot:
+        """Latest snapshot committed at or before ``ts`` (inclusive)."""
+        if isinstance(ts, str):
+            ts = dt.datetime.fromisoformat(ts)
+        cands = [s for s in self.snapshots_meta() if s.committed_at <= ts]
+        if not cands:
+            raise ValueError(f"no snapshot at or before {ts}")
+        return self.snapshot(cands[-1].snapshot_id)
+
+    def _commit(self, snap: Snapshot) -> Snapshot:
+        row = [(snap.snapshot_id, snap.committed_at, snap.operation, snap.to_meta())]
+        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        self._cache = None
+        return snap
+
+    def _next(self, operation: str, committed_at, **changes) -> Snapshot:
+        cur = self.current()
+        base = dict(
+            snapshot_id=cur.snapshot_id + 1,
+            committed_at=_ts(committed_at),
+            operation=operation,
+            schema=cur.schema,
+            spec=cur.spec,
+            spec_id=cur.spec_id,
+            data_dirs=list(cur.data_dirs),
+            expired_before=cur.expired_before,
+            properties=cur.properties,
+        )
+        base.update(changes)
+        return Snapshot(**base)
+
+    # ------------------------------------------------------------- create
+    @classmethod
+    def create(
+        cls,
+        spark: SparkSession,
+        root: str,
+        schema: StructType,
+        partition_spec: Sequence[tuple] = (),
+        properties: dict | None = None,
+        committed_at=None,
+    ) -> "VersionedTable":
+        """New table (snapshot 0, empty).  An existing table is loaded instead."""
+        t = cls(spark, root)
+        try:
+            t.snapshots_meta()
+            return t
+        except Exception:  # noqa: BLE001 - no log yet: create
+            t._cache = None
+        fields = [Field(i + 1, f.name, f.dataType.simpleString(), not f.nullable) for i, f in enumerate(schema.fields)]
+        spec = [_spec_entry(p) for p in partition_spec]
+        props = {"format": "parquet", "compression": "zstd"}
+        props.update(properties or {})
+        snap = Snapshot(0, _ts(committed_at), "create", fields, spec, 0, [], properties=props)
+        t._commit(snap)
+        return t
+
+    # ------------------------------------------------------------- writes
+    def _physical(self, df: DataFrame, snap: Snapshot) -> DataFrame:
+        by_name = {c.lower(): c for c in df.columns}
+        cols = []
+        for f in snap.schema:
+            src = by_name.get(f.name.lower())
+            if src is None:
+                if f.required:
+                    raise ValueError(f"required field {f.name!r} missing from the batch")
+                cols.append(F.lit(None).cast(f.type).alias(_phys(f.id)))
+            else:
+                c = F.col(src).cast(f.type)
+                if f.required:
+                    c = F.when(c.isNull(), F.raise_error(F.lit(f"NULL in required field {f.name}"))).otherwise(c)
+                cols.append(c.alias(_phys(f.id)))
+        return df.select(*cols).withColumn(VALID_FROM, F.lit(snap.snapshot_id).cast("bigint"))
+
+    def _spec_columns(self, snap: Snapshot) -> list[tuple[str, Column]]:
+        out = []
+        ids = {f.name: f for f in snap.schema}
+        for p in snap.spec:
+            f = ids[p["source"]]
+            sp = SpecField(p["source"], p["transform"], p.get("param"))
+            expr = transform_column(F.col(_phys(f.id)), sp.transform, sp.param, f.type)
+            out.append((sp.column, expr))
+        return out
+
+    def _data_dir(self, spec_id: int, tag: str = "") -> str:
+        return f"{self.root}/data/spec={spec_id}{tag}"
+
+    def _write(self, df: DataFrame, snap: Snapshot, path: str, mode: str = "append") -> None:
+        out = df
+        for name, expr in self._spec_columns(snap):
+            out = out.withColumn(name, expr)
+        keys = [name for name, _ in self._spec_columns(snap)]
+        if keys:
+            # clustered by partition value; AQE splits a hot value over several tasks
+            out = out.hint("rebalance", *keys)
+        w = out.write.mode(mode).option("compression", snap.properties.get("compression", "zstd"))
+        if keys:
+            w = w.partitionBy(*keys)
+        w.parquet(path)
+
+    def append(self, df: DataFrame, committed_at=None, operation: str = "append") -> Snapshot:
+        snap = self._next(operation, committed_at)
+        path = self._data_dir(snap.spec_id)
+        self._write(self._physical(df, snap), snap, path)
+        if path not in snap.data_dirs:
+            snap.data_dirs = snap.data_dirs + [path]
+        return self._commit(snap)
+
+    def delete_where(self, predicate: str, committed_at=None) -> Snapshot:
+        """Close every open row for which ``predicate`` (SQL over column names) is TRUE."""
+        cur = self.current()
+        snap = self._next("delete", committed_at, predicate=predicate, predicate_schema=cur.schema)
+        return self._commit(snap)
+
+    def overwrite(self, df: DataFrame, committed_at=None) -> Snapshot:
+        """Close every open row and add ``df``, in one snapshot."""
+        cur = self.current()
+        snap = self._next("overwrite", committed_at, predicate="true", predicate_schema=cur.schema)
+        path = self._data_dir(snap.spec_id)
+        self._write(self._physical(df, snap), snap, path)
+        if path not in snap.data_dirs:
+            snap.data_dirs = snap.data_dirs + [path]
+        return self._commit(snap)
+
+    # ------------------------------------------------------------- schema evolution
+    def add_column(self, name: str, type_name: str, committed_at=None) -> Snapshot:
+        cur = self.current()
+        if any(f.name == name for f in cur.schema):
+            raise ValueError(f"column {name!r} exists")
+        new_id = max(f.id for f in cur.schema) + 1
+        return self._commit(self._next("add_column", committed_at, schema=cur.schema + [Field(new_id, name, type_name, False)]))
+
+    def rename_column(self, old: str, new: str, committed_at=None) -> Snapshot:
+        cur = self.current()
+        if any(f.name == new for f in cur.schema):
+            raise ValueError(f"column {new!r} exists")
+        schema = [Field(f.id, new if f.name == old else f.name, f.type, f.required) for f in cur.schema]
+        if schema == cur.schema:
+            raise ValueError(f"no column {old!r}")
+        spec = [dict(p, source=new) if p["source"] == old else p for p in cur.spec]
+        return self._commit(self._next("rename_column", committed_at, schema=schema, spec=spec))
+
+    def widen_type(self, name: str, new_type: str, committed_at=None) -> Snapshot:
+        cur = self.current()
+        schema = []
+        for f in cur.schema:
+            if f.name == name:
+                if not can_widen(f.type, new_type):
+                    raise ValueError(f"cannot change {name} from {f.type} to {new_type}: only widening is allowed")
+                f = Field(f.id, f.name, new_type, f.required)
+            schema.append(f)
+        return self._commit(self._next("widen_type", committed_at, schema=schema))
+
+    def make_optional(self, name: str, committed_at=None) -> Snapshot:
+        cur = self.current()
+        schema = [Field(f.id, f.name, f.type, False if f.name == name else f.required) for f in cur.schema]
+        return self._commit(self._next("make_optional", committed_at, schema=schema))
+
+    def set_partition_spec(self, partition_spec: Sequence[tuple], committed_at=None) -> Snapshot:
+        """New data goes to a new layout; old files stay where they are."""
+        cur = self.current()
+        spec = [_spec_entry(p) for p in partition_spec]
+        return self._commit(self._next("partition_spec", committed_at, spec=spec, spec_id=cur.spec_id + 1))
+
+    # ------------------------------------------------------------- reads
+    def _physical_schema(self, snap: Snapshot) -> StructType:
+        # every field id ever defined, with its latest (widest) type
+        latest: dict[int, str] = {}
+        for s in self.snapshots_meta():
+            for f in s.schema:
+                latest[f.id] = f.type
+        fields = [StructField(_phys(i), _parse_datatype_string(t), True) for i, t in sorted(latest.items())]
+        return StructType(fields + [StructField(VALID_FROM, LongType(), True)])
+
+    def physical(self, prune: Sequence[tuple] = ()) -> DataFrame:
+        """All stored rows (every version), partition-pruned by ``prune``."""
+        cur = self.current()
+        schema = self._physical_schema(cur)
+        parts = []
+        for d in cur.data_dirs:
+            # the explicit schema covers files written before a column was
+            # added (read as NULL) or widened (read as the wider type)
+            df = self.spark.read.schema(schema).parquet(d)
+            spec = self._spec_for_dir(d)
+            for cond in _prune_conditions(spec, prune, self._field_types_by_name(cur)):
+                df = df.where(cond)
+            parts.append(df.select(*schema.fieldNames()))
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    @staticmethod
+    def _spec_id_of(d: str) -> int:
+        return int(d.rsplit("/spec=", 1)[1].split("-")[0])
+
+    def _spec_for_dir(self, d: str) -> list[dict]:
+        spec_id = self._spec_id_of(d)
+        for s in self.snapshots_meta():
+            if s.spec_id == spec_id:
+                return s.spec
+        return []
+
+    def _field_types_by_name(self, snap: Snapshot) -> dict[str, str]:
+        return {f.name: f.type for f in snap.schema}
+
+    def with_valid_to(self, df: DataFrame, upto: int | None = None) -> DataFrame:
+        """Add ``__valid_to``: the first delete/overwrite after the row's
+        snapshot whose predicate is TRUE for the row."""
+        closes = []
+        for s in self.snapshots_meta():
+            if s.predicate is None or (upto is not None and s.snapshot_id > upto):
+                continue
+            names = {f.name: F.col(_phys(f.id)).cast(f.type) for f in s.predicate_schema}
+            scoped = df.withColumns(names) if names else df
+            cond = F.expr(s.predicate)
+            tag = f"__close_{s.snapshot_id}"
+            df = scoped.withColumn(
+                tag,
+                F.when((F.col(VALID_FROM) < s.snapshot_id) & F.coalesce(cond, F.lit(False)), F.lit(s.snapshot_id).cast("bigint")),
+            ).drop(*names.keys())
+            closes.append(tag)
+        valid_to = F.least(*[F.col(c) for c in closes]) if len(closes) > 1 else (F.col(closes[0]) if closes else F.lit(None).cast("bigint"))
+        return df.withColumn(VALID_TO, valid_to).drop(*closes)
+
+    def history(self) -> DataFrame:
+        """Every stored row with ``valid_from`` / ``valid_to`` under the current names."""
+        cur = self.current()
+        df = self.with_valid_to(self.physical())
+        return df.select(
+            *[F.col(_phys(f.id)).cast(f.type).alias(f.name) for f in cur.schema],
+            F.col(VALID_FROM).alias("valid_from"),
+            F.col(VALID_TO).alias("valid_to"),
+        )
+
+    def scan(
+        self,
+        snapshot_id: int | None = None,
+        columns: Sequence[str] | None = None,
+        where: str | Column | None = None,
+        prune: Sequence[tuple] = (),
+        as_of_time=None,
+    ) -> DataFrame:
+        """Rows visible in a snapshot (default: current), under that snapshot's
+        schema.  ``prune`` = [(column, op, value)] adds matching predicates on
+        hidden partition columns; ``where`` is applied exactly."""
+        if as_of_time is not None:
+            snap = self.snapshot_at(as_of_time)
+        else:
+            snap = self.snapshot(snapshot_id) if snapshot_id is not None else self.current()
+        v = snap.snapshot_id
+        df = self.physical(prune).where(F.col(VALID_FROM) <= v)
+        df = self.with_valid_to(df, upto=v)
+        df = df.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > v))
+        out = df.select(*[F.col(_phys(f.id)).cast(f.type).alias(f.name) for f in snap.schema])
+        if where is not None:
+            out = out.where(F.expr(where) if isinstance(where, str) else where)
+        if columns:
+            out = out.select(*columns)
+        return out
+
+    # ------------------------------------------------------------- metadata views
+    def snapshots(self) -> DataFrame:
+        """snapshot_id, committed_at, operation, rows added, removed, total."""
+        meta = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).drop("meta")
+        h = self.with_valid_to(self.physical())
+        added = h.groupBy(F.col(VALID_FROM).alias("snapshot_id")).agg(F.count(F.lit(1)).alias("added"))
+        removed = h.where(F.col(VALID_TO).isNotNull()).groupBy(F.col(VALID_TO).alias("snapshot_id")).agg(
+            F.count(F.lit(1)).alias("removed")
+        )
+        out = meta.join(added, "snapshot_id", "left").join(removed, "snapshot_id", "left").fillna(0, ["added", "removed"])
+        # one row per commit: the running total is over the (small) log
+        w = Window.orderBy("snapshot_id").rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn("total", F.sum(F.col("added") - F.col("removed")).over(w))
+        cur = self.current()
+        return out.where(F.col("snapshot_id") >= cur.expired_before)
+
+    def history_log(self) -> DataFrame:
+        meta = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
+        return meta.select("snapshot_id", "committed_at", "operation").orderBy("committed_at", "snapshot_id")
+
+    def files(self) -> DataFrame:
+        """Live data files: path, bytes, rows."""
+        parts = []
+        for d in self.current().data_dirs:
+            r = self.spark.read.parquet(d).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+            parts.append(r)
+        if not parts:
+            return self.spark.createDataFrame([], "file_path string, bytes bigint, rows bigint")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out.groupBy("file_path").agg(F.first("file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+
+    def schema_rows(self, snapshot_id: int | None = None) -> DataFrame:
+        snap = self.snapshot(snapshot_id) if snapshot_id is not None else self.current()
+        rows = [(f.id, f.name, f.type, f.required) for f in snap.schema]
+        return self.spark.createDataFrame(rows, "field_id int, name string, type string, required boolean")
+
+    def describe(self) -> DataFrame:
+        cur = self.current()
+        spec = ", ".join(f"{p['transform']}({p['source']}{', ' + str(p['param']) if p.get('param') is not None else ''})" for p in cur.spec)
+        schema = ", ".join(f"{f.name}: {f.type}{' not null' if f.required else ''}" for f in cur.schema)
+        row = [(self.root, cur.snapshot_id, schema, spec or "unpartitioned", json.dumps(cur.properties, sort_keys=True), len(cur.data_dirs))]
+        return self.spark.createDataFrame(
+            row, "location string, current_snapshot bigint, schema string, partition_spec string, properties string, data_dirs int"
+        )
+
+    # ------------------------------------------------------------- maintenance
+    def compact(self, target_file_bytes: int = 128 * 1024 * 1024, committed_at=None) -> Snapshot:
+        """Rewrite the live files into about bytes/target files per layout; same rows."""
+        cur = self.current()
+        new_dirs = []
+        for d in cur.data_dirs:
+            raw = self.spark.read.parquet(d)
+            total = raw.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct().agg(F.sum("s")).first()[0] or 0
+            n = max(1, math.ceil(total / target_file_bytes))
+            spec = self._spec_for_dir(d)
+            keys = [SpecField(p["source"], p["transform"], p.get("param")).column for p in spec]
+            # range partitioning on (partition value, version) splits a hot value
+            packed = raw.repartitionByRange(n, *[F.col(k) for k in keys], F.col(VALID_FROM))
+            target = self._data_dir(self._spec_id_of(d), f"-c{cur.snapshot_id + 1}")
+            w = packed.write.mode("error").option("compression", cur.properties.get("compression", "zstd"))
+            if keys:
+                w = w.partitionBy(*keys)
+            w.parquet(target)
+            new_dirs.append(target)
+        return self._commit(self._next("replace", committed_at, data_dirs=new_dirs))
+
+    def expire_snapshots(self, keep_from: int, committed_at=None) -> Snapshot:
+        """Forget snapshots before ``keep_from``: rows no kept snapshot can see
+        (closed at or before ``keep_from``) are dropped from storage."""
+        cur = self.current()
+        keep_from = min(keep_from, cur.snapshot_id)
+        new_dirs = []
+        for d in cur.data_dirs:
+            raw = self.with_valid_to(self.spark.read.parquet(d))
+            alive = raw.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > keep_from)).drop(VALID_TO)
+            spec = self._spec_for_dir(d)
+            keys = [SpecField(p["source"], p["transform"], p.get("param")).column for p in spec]
+            target = self._data_dir(self._spec_id_of(d), f"-c{cur.snapshot_id + 1}")
+            w = alive.write.mode("error").option("compression", cur.properties.get("compression", "zstd"))
+            if keys:
+                w = w.partitionBy(*keys)
+            w.parquet(target)
+            new_dirs.append(target)
+        return self._commit(self._next("expire", committed_at, data_dirs=new_dirs, expired_before=keep_from))
+
+    def orphan_files(self) -> DataFrame:
+        """Files under ``data/`` that no live data dir lists (after compaction,
+        expiry, or failed writes)."""
+        listed = (
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load(f"{self.root}/data")
+            .select(F.col("path").alias("file_path"))
+        )
+        live = self.files().select("file_path")
+        return listed.join(live, "file_path", "left_anti")
+
+
+def _ts(v) -> dt.datetime:
+    if v is None:
+        return dt.datetime.now().replace(microsecond=0)
+    if isinstance(v, str):
+        return dt.datetime.fromisoformat(v)
+    return v
+
+
+def _spec_entry(p) -> dict:
+    if isinstance(p, dict):
+        d = dict(p)
+    else:
+        source, transform, *rest = p
+        d = {"source": source, "transform": transform, "param": rest[0] if rest else None}
+    if d["transform"] not in TRANSFORMS:
+        raise ValueError(f"unknown transform {d['transform']!r}")
+    d.setdefault("param", None)
+    return d
+
+
+_ORDER_KEEPING = {"identity", "year", "month", "day", "hour", "truncate"}
+
+
+def _prune_conditions(spec: list[dict], prune: Sequence[tuple], types: dict[str, str]) -> list[Column]:
+    """Predicates on hidden partition columns implied by ``(column, op, value)``
+    predicates on source columns (monotone transforms keep order; ``bucket``
+    only helps for equality)."""
+    out = []
+    for col_name, op, value in prune:
+        for p in spec:
+            if p["source"] != col_name:
+                continue
+            sp = SpecField(p["source"], p["transform"], p.get("param"))
+            lit = F.lit(value).cast(types.get(col_name, "string"))
+            t = transform_column(lit, sp.transform, sp.param, types.get(col_name, "string"))
+            c = F.col(sp.column)
+            if op == "=":
+                out.append(c == t)
+            elif sp.transform in _ORDER_KEEPING and op in (">", ">="):
+                out.append(c >= t)
+            elif sp.transform in _ORDER_KEEPING and op in ("<", "<="):
+                out.append(c <= t)
+    return out

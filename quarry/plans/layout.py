@@ -1 +1,125 @@
-"""Placeholder."""
+"""Data layout and reuse: repartition, coalesce, partition statistics,
+layout advice, caching, and a shuffle-free bucketed join."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
+from quarry.functions.numeric import money_sum
+from quarry.operators import catalog as cat
+from quarry.operators.layout import layout_advice, rows_per_partition
+from quarry.plans.io import partitioned_orders
+from quarry.plans.registry import query
+from quarry.sources import files
+from quarry.tables import Tables
+
+
+def _t(spark, sf_dir) -> Tables:
+    return Tables(spark, sf_dir)
+
+
+@query("layout_repartition_n", oracle="SELECT * FROM customer")
+def layout_repartition_n(spark, sf_dir):
+    """Full shuffle into n even partitions; every row is kept."""
+    return _t(spark, sf_dir).customer.repartition(16)
+
+
+@query(
+    "layout_repartition_key",
+    oracle="SELECT o_orderpriority, CAST(1 AS BIGINT) AS partitions, COUNT(*) AS rows FROM orders GROUP BY o_orderpriority",
+)
+def layout_repartition_key(spark, sf_dir):
+    """Hash repartition on a key: every key lands in exactly one partition."""
+    o = _t(spark, sf_dir).orders.repartition(8, "o_orderpriority").withColumn("pid", F.spark_partition_id())
+    return o.groupBy("o_orderpriority").agg(
+        F.count_distinct("pid").alias("partitions"), F.count(F.lit(1)).alias("rows")
+    )
+
+
+@query("layout_coalesce", oracle="SELECT * FROM orders")
+def layout_coalesce(spark, sf_dir):
+    """Merge partitions without a shuffle (never raises the count)."""
+    return _t(spark, sf_dir).orders.repartition(8).coalesce(3)
+
+
+@query("layout_partition_sizes")
+def layout_partition_sizes(spark, sf_dir):
+    """Rows in each Spark partition (no Python worker involved)."""
+    return rows_per_partition(_t(spark, sf_dir).lineitem.repartition(8))
+
+
+@query(
+    "layout_partition_stats",
+    oracle="""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, COUNT(*) AS rows,
+       COUNT(DISTINCT month(o_orderdate)) AS months, COUNT(DISTINCT o_custkey) AS customers
+FROM orders GROUP BY 1""",
+)
+def layout_partition_stats(spark, sf_dir):
+    """Rows and distinct values per partition value of a partitioned data set."""
+    df = files.read_partitioned(spark, partitioned_orders(spark, sf_dir))
+    return df.groupBy("o_year").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("o_month").alias("months"),
+        F.count_distinct("o_custkey").alias("customers"),
+    )
+
+
+ADVICE_KEYS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
+ROW_BYTES = 64
+
+
+def _advice_oracle() -> str:
+    parts = []
+    for k in ADVICE_KEYS:
+        parts.append(
+            f"""SELECT '{k}' AS partition_key, COUNT(DISTINCT {k}) AS distinct_values, COUNT(*) AS rows,
+       CAST(COUNT(*) AS DOUBLE) / COUNT(DISTINCT {k}) * {ROW_BYTES} AS bytes_per_value FROM orders"""
+        )
+    body = "\nUNION ALL\n".join(parts)
+    return f"""
+SELECT *, CASE WHEN distinct_values > 10000 THEN 'too many values'
+               WHEN bytes_per_value < 134217728 THEN 'partitions too small'
+               WHEN bytes_per_value > 1073741824 THEN 'partitions too large'
+               ELSE 'good' END AS verdict
+FROM ({body})"""
+
+
+@query("layout_size_advice", oracle=_advice_oracle())
+def layout_size_advice(spark, sf_dir):
+    return layout_advice(_t(spark, sf_dir).orders, ADVICE_KEYS, row_bytes=ROW_BYTES)
+
+
+@query(
+    "reuse_cache",
+    oracle="""
+SELECT 'rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM lineitem WHERE l_returnflag = 'R'
+UNION ALL
+SELECT 'revenue', CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem WHERE l_returnflag = 'R'""",
+)
+def reuse_cache(spark, sf_dir):
+    """A filtered input persisted (memory, spilling to disk) and used twice."""
+    returned = _t(spark, sf_dir).lineitem.where(F.col("l_returnflag") == "R").select("l_extendedprice")
+    returned = returned.persist(StorageLevel.MEMORY_AND_DISK)
+    a = returned.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("rows").alias("metric"), "value")
+    b = returned.agg(money_sum("l_extendedprice").alias("value")).select(F.lit("revenue").alias("metric"), "value")
+    return a.unionByName(b)
+
+
+@query(
+    "join_bucketed",
+    oracle="""
+SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice
+FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey""",
+)
+def join_bucketed(spark, sf_dir):
+    """Both sides bucketed by the customer key into the same number of
+    buckets: the sort-merge join reads them with no Exchange."""
+    t = _t(spark, sf_dir)
+    c = cat.save_bucketed(t.customer.select("c_custkey", "c_name"), "cust_b", 8, "c_custkey", sort_by=["c_custkey"])
+    o = cat.save_bucketed(
+        t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), "ord_b", 8, "o_custkey", sort_by=["o_custkey"]
+    )
+    left, right = spark.table(c), spark.table(o)
+    return left.join(right, left.c_custkey == right.o_custkey).select("c_custkey", "c_name", "o_orderkey", "o_totalprice")

@@ -1 +1,312 @@
-"""Placeholder."""
+"""Versioned-table queries over a history built from ``orders``.
+
+Scenario of the shared table (commit k at 2024-01-01 + k days):
+  0 create (month(o_orderdate) partitions)   1..4 append the orders of 1995..1998
+  5 delete o_orderstatus = 'F'               6..8 append 1999..2001
+Queries that change the schema, layout or files build their own table.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+from quarry.functions.dates import year_range
+from quarry.operators.versions import VersionedTable
+from quarry.plans.registry import query
+from quarry.session import scratch_path
+from quarry.tables import Tables
+
+SALES_SCHEMA = StructType(
+    [
+        StructField("o_orderkey", LongType(), False),
+        StructField("o_custkey", LongType(), True),
+        StructField("o_orderstatus", StringType(), True),
+        StructField("o_totalprice", DoubleType(), False),
+        StructField("o_orderdate", DateType(), False),
+        StructField("o_orderpriority", StringType(), True),
+        StructField("o_quarter", IntegerType(), True),
+    ]
+)
+
+SQL_SALES = """(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+       o_orderpriority, CAST(quarter(o_orderdate) AS INTEGER) AS o_quarter FROM orders) s"""
+
+
+def at(k: int) -> dt.datetime:
+    return dt.datetime(2024, 1, 1) + dt.timedelta(days=k)
+
+
+def sales(spark: SparkSession, sf_dir: str, first_year: int, last_year: int | None = None) -> DataFrame:
+    o = Tables(spark, sf_dir).orders.where(year_range("o_orderdate", first_year, last_year))
+    return o.select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        F.col("o_orderdate").cast("date").alias("o_orderdate"),
+        "o_orderpriority",
+        F.quarter("o_orderdate").alias("o_quarter"),
+    )
+
+
+def new_table(spark, tag: str, spec=(("o_orderdate", "month"),)) -> VersionedTable:
+    return VersionedTable.create(spark, scratch_path(spark, tag), SALES_SCHEMA, spec, committed_at=at(0))
+
+
+_BASE: dict[tuple[str, str], str] = {}
+
+
+def base_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BASE:
+        t = new_table(spark, "sales-history")
+        for k, year in enumerate(range(1995, 1999), start=1):
+            t.append(sales(spark, sf_dir, year), committed_at=at(k))
+        t.delete_where("o_orderstatus = 'F'", committed_at=at(5))
+        for k, year in enumerate(range(1999, 2002), start=6):
+            t.append(sales(spark, sf_dir, year), committed_at=at(k))
+        _BASE[key] = t.root
+    return VersionedTable(spark, _BASE[key])
+
+
+def _sql_years(lo: int, hi: int) -> str:
+    return f"year(o_orderdate) BETWEEN {lo} AND {hi}"
+
+
+SQL_CURRENT = f"SELECT * FROM {SQL_SALES} WHERE ({_sql_years(1995, 1998)} AND o_orderstatus <> 'F') OR {_sql_years(1999, 2001)}"
+
+
+@query("ver_create")
+def ver_create(spark, sf_dir):
+    """A new table: required and optional fields with stable ids."""
+    return base_table(spark, sf_dir).schema_rows(0)
+
+
+@query("ver_describe")
+def ver_describe(spark, sf_dir):
+    return base_table(spark, sf_dir).describe()
+
+
+@query("ver_append", oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1998)}")
+def ver_append(spark, sf_dir):
+    """After four appends (snapshot 4) every appended row is visible."""
+    return base_table(spark, sf_dir).scan(4)
+
+
+@query(
+    "ver_delete_where",
+    oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1998)} AND o_orderstatus <> 'F'",
+)
+def ver_delete_where(spark, sf_dir):
+    return base_table(spark, sf_dir).scan(5)
+
+
+@query("ver_scan", oracle=SQL_CURRENT)
+def ver_scan(spark, sf_dir):
+    return base_table(spark, sf_dir).scan()
+
+
+@query(
+    "ver_scan_columns",
+    oracle=f"SELECT o_orderkey, o_orderdate, o_totalprice FROM ({SQL_CURRENT})",
+)
+def ver_scan_columns(spark, sf_dir):
+    return base_table(spark, sf_dir).scan(columns=["o_orderkey", "o_orderdate", "o_totalprice"])
+
+
+@query(
+    "ver_scan_filter",
+    oracle=f"SELECT * FROM ({SQL_CURRENT}) WHERE o_totalprice > 200000 AND o_orderpriority = '1-URGENT'",
+)
+def ver_scan_filter(spark, sf_dir):
+    return base_table(spark, sf_dir).scan(where="o_totalprice > 200000 AND o_orderpriority = '1-URGENT'")
+
+
+@query("ver_as_of_version", oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}")
+def ver_as_of_version(spark, sf_dir):
+    return base_table(spark, sf_dir).scan(2)
+
+
+@query(
+    "ver_as_of_timestamp",
+    oracle=f"SELECT * FROM {SQL_SALES} WHERE ({_sql_years(1995, 1998)} AND o_orderstatus <> 'F') OR {_sql_years(1999, 1999)}",
+)
+def ver_as_of_timestamp(spark, sf_dir):
+    """Latest snapshot committed at or before the time: snapshot 6."""
+    return base_table(spark, sf_dir).scan(as_of_time=at(6) + dt.timedelta(hours=12))
+
+
+def _snapshots_oracle() -> str:
+    adds = [f"SELECT {k} AS snapshot_id, 'append' AS operation, COUNT(*) AS added, CAST(0 AS BIGINT) AS removed FROM {SQL_SALES} WHERE year(o_orderdate) = {y}"
+            for k, y in list(enumerate(range(1995, 1999), start=1)) + list(enumerate(range(1999, 2002), start=6))]
+    adds.append("SELECT 0, 'create', CAST(0 AS BIGINT), CAST(0 AS BIGINT)")
+    adds.append(f"SELECT 5, 'delete', CAST(0 AS BIGINT), COUNT(*) FROM {SQL_SALES} WHERE {_sql_years(1995, 1998)} AND o_orderstatus = 'F'")
+    body = "\nUNION ALL\n".join(adds)
+    return f"""
+SELECT CAST(snapshot_id AS BIGINT) AS snapshot_id, committed_at, operation, added, removed,
+       CAST(SUM(added - removed) OVER (ORDER BY snapshot_id) AS BIGINT) AS total
+FROM (SELECT u.*, TIMESTAMP '2024-01-01' + INTERVAL (snapshot_id) DAY AS committed_at FROM ({body}) u)"""
+
+
+@query("ver_snapshots", oracle=_snapshots_oracle())
+def ver_snapshots(spark, sf_dir):
+    return base_table(spark, sf_dir).snapshots()
+
+
+@query(
+    "ver_history",
+    oracle="""
+SELECT CAST(k AS BIGINT) AS snapshot_id, TIMESTAMP '2024-01-01' + INTERVAL (k) DAY AS committed_at,
+       CASE WHEN k = 0 THEN 'create' WHEN k = 5 THEN 'delete' ELSE 'append' END AS operation
+FROM range(0, 9) t(k)""",
+)
+def ver_history(spark, sf_dir):
+    return base_table(spark, sf_dir).history_log()
+
+
+@query("ver_files")
+def ver_files(spark, sf_dir):
+    return base_table(spark, sf_dir).files()
+
+
+@query(
+    "ver_overwrite",
+    oracle=f"SELECT * FROM {SQL_SALES} WHERE year(o_orderdate) = 2000",
+)
+def ver_overwrite(spark, sf_dir):
+    t = new_table(spark, "sales-overwrite")
+    t.append(sales(spark, sf_dir, 1995, 1996), committed_at=at(1))
+    t.overwrite(sales(spark, sf_dir, 2000), committed_at=at(2))
+    return t.scan()
+
+
+@query(
+    "ver_add_column",
+    oracle=f"""
+SELECT *, CASE WHEN year(o_orderdate) = 1996
+               THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.01 AS DOUBLE) END AS o_discount
+FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}""",
+)
+def ver_add_column(spark, sf_dir):
+    """Rows written before the column existed read it as NULL."""
+    t = new_table(spark, "sales-add-col")
+    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
+    t.add_column("o_discount", "double", committed_at=at(2))
+    batch = sales(spark, sf_dir, 1996).withColumn(
+        "o_discount", (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(0.01).cast("decimal(2,2)")).cast("double")
+    )
+    t.append(batch, committed_at=at(3))
+    return t.scan()
+
+
+@query(
+    "ver_rename_column",
+    oracle=f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority AS priority, o_quarter,
+       CASE WHEN year(o_orderdate) = 1996 THEN o_orderstatus END AS o_orderpriority
+FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}""",
+)
+def ver_rename_column(spark, sf_dir):
+    """Rename keeps old files readable under the new name; re-adding the old
+    name makes a new column (stable field ids, not names)."""
+    t = new_table(spark, "sales-rename")
+    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
+    t.rename_column("o_orderpriority", "priority", committed_at=at(2))
+    t.add_column("o_orderpriority", "string", committed_at=at(3))
+    batch = sales(spark, sf_dir, 1996).withColumnRenamed("o_orderpriority", "priority").withColumn(
+        "o_orderpriority", F.col("o_orderstatus")
+    )
+    t.append(batch, committed_at=at(4))
+    return t.scan()
+
+
+@query(
+    "ver_widen_type",
+    oracle=f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(o_quarter AS BIGINT) AS o_quarter
+FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}""",
+)
+def ver_widen_type(spark, sf_dir):
+    """int -> bigint: files written as int are read as bigint."""
+    t = new_table(spark, "sales-widen")
+    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
+    t.widen_type("o_quarter", "bigint", committed_at=at(2))
+    t.append(sales(spark, sf_dir, 1996), committed_at=at(3))
+    return t.scan()
+
+
+@query("ver_make_optional")
+def ver_make_optional(spark, sf_dir):
+    t = new_table(spark, "sales-optional")
+    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
+    t.make_optional("o_totalprice", committed_at=at(2))
+    return t.schema_rows()
+
+
+@query(
+    "ver_hidden_partition",
+    oracle=f"""
+SELECT * FROM ({SQL_CURRENT}) WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1996-06-01'""",
+)
+def ver_hidden_partition(spark, sf_dir):
+    """Readers filter on the date; the matching month-partition predicate is
+    added for them so only three month folders are listed."""
+    lo, hi = "1996-03-01", "1996-06-01"
+    return base_table(spark, sf_dir).scan(
+        where=(F.col("o_orderdate") >= F.lit(lo).cast("date")) & (F.col("o_orderdate") < F.lit(hi).cast("date")),
+        prune=[("o_orderdate", ">=", lo), ("o_orderdate", "<", hi)],
+    )
+
+
+@query("ver_partition_evolution", oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1999)}")
+def ver_partition_evolution(spark, sf_dir):
+    """Month partitions until 1997, then (status, year); one scan reads both layouts."""
+    t = new_table(spark, "sales-spec")
+    for k, year in enumerate(range(1995, 1998), start=1):
+        t.append(sales(spark, sf_dir, year), committed_at=at(k))
+    t.set_partition_spec([("o_orderstatus", "identity"), ("o_orderdate", "year")], committed_at=at(4))
+    t.append(sales(spark, sf_dir, 1998, 1999), committed_at=at(5))
+    return t.scan()
+
+
+def _many_small_files(spark, sf_dir, tag) -> VersionedTable:
+    t = new_table(spark, tag)
+    for k, year in enumerate(range(1995, 2002), start=1):
+        t.append(sales(spark, sf_dir, year), committed_at=at(k))
+    return t
+
+
+@query("ver_compact", oracle=f"SELECT * FROM {SQL_SALES}")
+def ver_compact(spark, sf_dir):
+    """Bin-pack the live files to the target size; the rows are unchanged."""
+    t = _many_small_files(spark, sf_dir, "sales-compact")
+    t.compact(target_file_bytes=64 * 1024 * 1024, committed_at=at(8))
+    return t.scan()
+
+
+@query(
+    "ver_expire",
+    oracle=f"SELECT * FROM {SQL_SALES} WHERE ({_sql_years(1995, 1998)} AND o_orderstatus <> 'F') OR {_sql_years(1999, 1999)}",
+)
+def ver_expire(spark, sf_dir):
+    """Expire snapshots before 5: rows deleted at 5 are dropped from storage,
+    later snapshots read the same as before."""
+    t = new_table(spark, "sales-expire")
+    for k, year in enumerate(range(1995, 1999), start=1):
+        t.append(sales(spark, sf_dir, year), committed_at=at(k))
+    t.delete_where("o_orderstatus = 'F'", committed_at=at(5))
+    t.append(sales(spark, sf_dir, 1999), committed_at=at(6))
+    t.expire_snapshots(5, committed_at=at(7))
+    return t.scan(6)
+
+
+@query("ver_orphans")
+def ver_orphans(spark, sf_dir):
+    """Files no snapshot lists: those replaced by compaction."""
+    t = _many_small_files(spark, sf_dir, "sales-orphans")
+    t.compact(committed_at=at(8))
+    return t.orphan_files()
