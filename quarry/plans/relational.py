@@ -655,7 +655,8 @@ def action_take(spark, sf_dir):
 # 2.6 window functions (hot-group safe forms from quarry.operators.ordered)
 # --------------------------------------------------------------------------
 
-_BAL_DESC = [F.col("c_acctbal").desc_nulls_last()]
+def _bal_desc():
+    return [F.col("c_acctbal").desc_nulls_last()]
 
 
 @query(
@@ -691,7 +692,7 @@ FROM customer""",
 )
 def win_row_number(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_mktsegment", "c_acctbal")
-    return ordered.with_positions(c, _BAL_DESC, ["c_custkey"], ["c_mktsegment"], name="row_number")
+    return ordered.with_positions(c, _bal_desc(), ["c_custkey"], ["c_mktsegment"], name="row_number")
 
 
 @query(

@@ -17,7 +17,8 @@ def _t(spark, sf_dir) -> Tables:
     return Tables(spark, sf_dir)
 
 
-_SEG_OR_NULL = F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))
+def _seg_or_null():
+    return F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))
 
 # ---------------------------------------------------------------- strings
 
@@ -50,7 +51,7 @@ SELECT c_custkey, c_name || ' - ' || nullif(c_mktsegment, 'BUILDING') AS name_se
 def str_concat(spark, sf_dir):
     # CONCAT is NULL as soon as one input is NULL.
     c = _t(spark, sf_dir).customer
-    return c.select("c_custkey", F.concat("c_name", F.lit(" - "), _SEG_OR_NULL).alias("name_segment"))
+    return c.select("c_custkey", F.concat("c_name", F.lit(" - "), _seg_or_null()).alias("name_segment"))
 
 
 @query(
@@ -65,7 +66,7 @@ def str_concat_ws(spark, sf_dir):
     c = _t(spark, sf_dir).customer
     return c.select(
         "c_custkey",
-        F.concat_ws(" | ", F.col("c_name"), _SEG_OR_NULL, money("c_acctbal").cast("string")).alias("joined"),
+        F.concat_ws(" | ", F.col("c_name"), _seg_or_null(), money("c_acctbal").cast("string")).alias("joined"),
     )
 
 

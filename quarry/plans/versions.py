@@ -274,9 +274,14 @@ def ver_partition_evolution(spark, sf_dir):
 
 
 def _many_small_files(spark, sf_dir, tag) -> VersionedTable:
+    """Six appends (two year ranges x three statuses): every month folder
+    holds several small files."""
     t = new_table(spark, tag)
-    for k, year in enumerate(range(1995, 2002), start=1):
-        t.append(sales(spark, sf_dir, year), committed_at=at(k))
+    k = 0
+    for first, last in ((1995, 1998), (1999, 2001)):
+        for status in ("F", "O", "P"):
+            k += 1
+            t.append(sales(spark, sf_dir, first, last).where(F.col("o_orderstatus") == status), committed_at=at(k))
     return t
 
 
