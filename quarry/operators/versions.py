@@ -24,12 +24,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+
+from quarry.operators import layout
 from pyspark.sql.types import (
     DecimalType,
     LongType,
@@ -274,8 +276,13 @@ class VersionedTable:
             out.append((sp.column, expr))
         return out
 
-    def _data_dir(self, spec_id: int, tag: str = "") -> str:
-        return f"{self.root}/data/spec={spec_id}{tag}"
+    def _spec_dir(self, spec_id: int) -> str:
+        return f"{self.root}/data/spec={spec_id}"
+
+    def _commit_dir(self, snap: Snapshot, tag: str = "") -> str:
+        """A fresh folder per commit: files of a write that never reached the
+        log are in a folder no snapshot lists (orphans), never read."""
+        return f"{self._spec_dir(snap.spec_id)}/__c={snap.snapshot_id}{tag}_{uuid.uuid4().hex[:8]}"
 
     def _write(self, df: DataFrame, snap: Snapshot, path: str, mode: str = "append") -> None:
         out = df
@@ -292,10 +299,9 @@ class VersionedTable:
 
     def append(self, df: DataFrame, committed_at=None, operation: str = "append") -> Snapshot:
         snap = self._next(operation, committed_at)
-        path = self._data_dir(snap.spec_id)
+        path = self._commit_dir(snap)
         self._write(self._physical(df, snap), snap, path)
-        if path not in snap.data_dirs:
-            snap.data_dirs = snap.data_dirs + [path]
+        snap.data_dirs = snap.data_dirs + [path]
         return self._commit(snap)
 
     def delete_where(self, predicate: str, committed_at=None) -> Snapshot:
@@ -308,10 +314,9 @@ class VersionedTable:
         """Close every open row and add ``df``, in one snapshot."""
         cur = self.current()
         snap = self._next("overwrite", committed_at, predicate="true", predicate_schema=cur.schema)
-        path = self._data_dir(snap.spec_id)
+        path = self._commit_dir(snap)
         self._write(self._physical(df, snap), snap, path)
-        if path not in snap.data_dirs:
-            snap.data_dirs = snap.data_dirs + [path]
+        snap.data_dirs = snap.data_dirs + [path]
         return self._commit(snap)
 
     # ------------------------------------------------------------- schema evolution
@@ -364,17 +369,34 @@ class VersionedTable:
         fields = [StructField(_phys(i), _parse_datatype_string(t), True) for i, t in sorted(latest.items())]
         return StructType(fields + [StructField(VALID_FROM, LongType(), True)])
 
+    def _dirs_by_spec(self, snap: Snapshot) -> dict[int, list[str]]:
+        groups: dict[int, list[str]] = {}
+        for d in snap.data_dirs:
+            groups.setdefault(self._spec_id_of(d), []).append(d)
+        return groups
+
+    def _read_spec(self, spec_id: int, dirs: list[str], with_partitions: bool = False) -> DataFrame:
+        """One scan over the listed commit folders of one layout.
+
+        The explicit schema covers files written before a column was added
+        (read as NULL) or widened (read as the wider type); the derived
+        partition columns come from the folder names.
+        """
+        schema = self._physical_schema(self.current())
+        df = self.spark.read.schema(schema).option("basePath", self._spec_dir(spec_id)).parquet(*dirs)
+        keep = list(schema.fieldNames())
+        if with_partitions:
+            keep += [c for c in df.columns if c.startswith("__p_")]
+        return df.select(*keep)
+
     def physical(self, prune: Sequence[tuple] = ()) -> DataFrame:
         """All stored rows (every version), partition-pruned by ``prune``."""
         cur = self.current()
         schema = self._physical_schema(cur)
         parts = []
-        for d in cur.data_dirs:
-            # the explicit schema covers files written before a column was
-            # added (read as NULL) or widened (read as the wider type)
-            df = self.spark.read.schema(schema).parquet(d)
-            spec = self._spec_for_dir(d)
-            for cond in _prune_conditions(spec, prune, self._field_types_by_name(cur)):
+        for spec_id, dirs in sorted(self._dirs_by_spec(cur).items()):
+            df = self._read_spec(spec_id, dirs, with_partitions=True)
+            for cond in _prune_conditions(self._spec_for_dir(dirs[0]), prune, self._field_types_by_name(cur)):
                 df = df.where(cond)
             parts.append(df.select(*schema.fieldNames()))
         if not parts:
@@ -386,7 +408,7 @@ class VersionedTable:
 
     @staticmethod
     def _spec_id_of(d: str) -> int:
-        return int(d.rsplit("/spec=", 1)[1].split("-")[0])
+        return int(d.rsplit("/spec=", 1)[1].split("/")[0])
 
     def _spec_for_dir(self, d: str) -> list[dict]:
         spec_id = self._spec_id_of(d)
@@ -476,8 +498,10 @@ class VersionedTable:
     def files(self) -> DataFrame:
         """Live data files: path, bytes, rows."""
         parts = []
-        for d in self.current().data_dirs:
-            r = self.spark.read.parquet(d).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+        for spec_id, dirs in sorted(self._dirs_by_spec(self.current()).items()):
+            r = self._read_spec(spec_id, dirs).select(
+                F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
+            )
             parts.append(r)
         if not parts:
             return self.spark.createDataFrame([], "file_path string, bytes bigint, rows bigint")
@@ -504,41 +528,43 @@ class VersionedTable:
     def compact(self, target_file_bytes: int = 128 * 1024 * 1024, committed_at=None) -> Snapshot:
         """Rewrite the live files into about bytes/target files per layout; same rows."""
         cur = self.current()
+        snap = self._next("replace", committed_at)
         new_dirs = []
-        for d in cur.data_dirs:
-            raw = self.spark.read.parquet(d)
-            total = raw.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct().agg(F.sum("s")).first()[0] or 0
-            n = max(1, math.ceil(total / target_file_bytes))
-            spec = self._spec_for_dir(d)
-            keys = [SpecField(p["source"], p["transform"], p.get("param")).column for p in spec]
+        for spec_id, dirs in sorted(self._dirs_by_spec(cur).items()):
+            raw = self._read_spec(spec_id, dirs, with_partitions=True)
+            sizes = raw.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
+            total = sizes.distinct().agg(F.sum("s")).first()[0] or 0  # one number back
+            n = layout.files_for_bytes(total, target_file_bytes)
+            keys = [SpecField(p["source"], p["transform"], p.get("param")).column for p in self._spec_for_dir(dirs[0])]
             # range partitioning on (partition value, version) splits a hot value
             packed = raw.repartitionByRange(n, *[F.col(k) for k in keys], F.col(VALID_FROM))
-            target = self._data_dir(self._spec_id_of(d), f"-c{cur.snapshot_id + 1}")
-            w = packed.write.mode("error").option("compression", cur.properties.get("compression", "zstd"))
-            if keys:
-                w = w.partitionBy(*keys)
-            w.parquet(target)
+            target = self._rewrite(packed, snap, spec_id, keys, "compact")
             new_dirs.append(target)
-        return self._commit(self._next("replace", committed_at, data_dirs=new_dirs))
+        snap.data_dirs = new_dirs
+        return self._commit(snap)
+
+    def _rewrite(self, df: DataFrame, snap: Snapshot, spec_id: int, keys: list[str], tag: str) -> str:
+        target = f"{self._spec_dir(spec_id)}/__c={snap.snapshot_id}_{tag}_{uuid.uuid4().hex[:8]}"
+        w = df.write.mode("error").option("compression", snap.properties.get("compression", "zstd"))
+        if keys:
+            w = w.partitionBy(*keys)
+        w.parquet(target)
+        return target
 
     def expire_snapshots(self, keep_from: int, committed_at=None) -> Snapshot:
         """Forget snapshots before ``keep_from``: rows no kept snapshot can see
         (closed at or before ``keep_from``) are dropped from storage."""
         cur = self.current()
         keep_from = min(keep_from, cur.snapshot_id)
+        snap = self._next("expire", committed_at, expired_before=keep_from)
         new_dirs = []
-        for d in cur.data_dirs:
-            raw = self.with_valid_to(self.spark.read.parquet(d))
+        for spec_id, dirs in sorted(self._dirs_by_spec(cur).items()):
+            raw = self.with_valid_to(self._read_spec(spec_id, dirs, with_partitions=True))
             alive = raw.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > keep_from)).drop(VALID_TO)
-            spec = self._spec_for_dir(d)
-            keys = [SpecField(p["source"], p["transform"], p.get("param")).column for p in spec]
-            target = self._data_dir(self._spec_id_of(d), f"-c{cur.snapshot_id + 1}")
-            w = alive.write.mode("error").option("compression", cur.properties.get("compression", "zstd"))
-            if keys:
-                w = w.partitionBy(*keys)
-            w.parquet(target)
-            new_dirs.append(target)
-        return self._commit(self._next("expire", committed_at, data_dirs=new_dirs, expired_before=keep_from))
+            keys = [SpecField(p["source"], p["transform"], p.get("param")).column for p in self._spec_for_dir(dirs[0])]
+            new_dirs.append(self._rewrite(alive, snap, spec_id, keys, "expire"))
+        snap.data_dirs = new_dirs
+        return self._commit(snap)
 
     def orphan_files(self) -> DataFrame:
         """Files under ``data/`` that no live data dir lists (after compaction,

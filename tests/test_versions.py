@@ -115,3 +115,17 @@ def test_partition_evolution_and_pruning(spark, sf_dir):
     assert t.scan().count() == sales(spark, sf_dir, 1995, 1996).count()
     got = t.scan(where="o_orderpriority = '1-URGENT'", prune=[("o_orderpriority", "=", "1-URGENT")])
     assert _rows(got) == _rows(sales(spark, sf_dir, 1995, 1996).where("o_orderpriority = '1-URGENT'"))
+
+
+def test_unlogged_write_is_invisible_and_orphaned(spark, sf_dir):
+    """Files of a commit that never reached the log (driver lost between the
+    data write and the log append) are not read, and show up as orphans."""
+    t = new_table(spark, "t-unlogged")
+    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
+    before = _rows(t.scan())
+    snap = t._next("append", at(2))
+    t._write(t._physical(sales(spark, sf_dir, 1996), snap), snap, t._commit_dir(snap))  # no _commit
+    assert _rows(t.scan()) == before
+    t.append(sales(spark, sf_dir, 1997), committed_at=at(2))
+    assert t.scan().count() == len(before) + sales(spark, sf_dir, 1997).count()
+    assert t.orphan_files().count() > 0
