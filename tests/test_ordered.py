@@ -62,3 +62,16 @@ def test_null_group_and_values(spark):
     got = ordered.with_positions(df, [F.col("v").asc_nulls_first()], ["id"], ["grp"], name="rn")
     w = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_first(), "id")
     _same(got, df.withColumn("rn", F.row_number().over(w)), ["id", "rn"])
+
+
+def test_exact_quantiles_with_repeated_values(spark):
+    import math
+
+    from quarry.operators.profile import exact_quantiles
+
+    # one value holds a third of the rows
+    df = spark.range(3001).select(F.when(F.col("id") % 3 == 0, F.lit(50.0)).otherwise((F.col("id") * 7919 % 1000).cast("double")).alias("x"))
+    vals = sorted(r.x for r in df.collect())
+    probs = [0.01, 0.25, 0.5, 0.75, 0.999]
+    got = exact_quantiles(df, "x", probs)
+    assert got == {p: vals[max(1, math.ceil(p * len(vals))) - 1] for p in probs}
