@@ -100,3 +100,34 @@ def outer_join_split(
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
+
+
+def attach_aggregate(
+    rows: DataFrame,
+    per_group: DataFrame,
+    keys: Sequence[str],
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join a per-group aggregate back onto the rows of its groups.
+
+    The aggregate is materialized once (``checkpoint`` into the shared
+    folder), counted, and broadcast when it is within ``max_rows`` -- then the
+    rows are never shuffled by a possibly low-cardinality, hot group key.
+    Beyond the bound it is a shuffle join whose hot partitions AQE splits.
+    """
+    fixed = per_group.checkpoint(eager=True)
+    side = broadcast_if_small(fixed, max_rows)
+    for k in keys:
+        side = side.withColumnRenamed(k, f"__g_{k}")
+    cond = None
+    for k in keys:  # NULL group keys match, as in the grouping
+        c = rows[k].eqNullSafe(side[f"__g_{k}"])
+        cond = c if cond is None else cond & c
+    return rows.join(side, cond, "inner").drop(*[f"__g_{k}" for k in keys])
+
+
+def left_join_unique(left: DataFrame, right_unique: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """LEFT join to a side that has at most one row per key (e.g. distinct
+    keys): no key is hot on the non-preserved side, and AQE may split hot
+    partitions of the preserved left side, so the plain outer join is safe."""
+    return left.join(right_unique, left[left_key] == right_unique[right_key], "left")

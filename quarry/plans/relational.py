@@ -44,9 +44,9 @@ def segment_activity(customer: DataFrame, orders: DataFrame, year: int = 1996) -
         money_avg("c_acctbal").alias("avg_segment"), F.count(F.lit(1)).alias("n_segment")
     )
     active = orders_in_year(orders, year).select("o_custkey").distinct()
-    # seg has one row per segment: AQE turns this into a broadcast at run time.
-    with_seg = customer.join(seg, "c_mktsegment", "inner")
-    flagged = joins.outer_join_split(with_seg, active, "c_custkey", "o_custkey", keep_left=True)
+    # one row per segment: materialized, size-checked, broadcast
+    with_seg = joins.attach_aggregate(customer, seg, ["c_mktsegment"])
+    flagged = joins.left_join_unique(with_seg, active, "c_custkey", "o_custkey")
     return flagged.select(
         "c_custkey",
         "c_name",
@@ -182,7 +182,7 @@ WHERE a.o_custkey IS NOT NULL""",
 def filter_not_null(spark, sf_dir):
     t = _t(spark, sf_dir)
     active = orders_in_year(t.orders, 1996).select("o_custkey").distinct()
-    joined = joins.outer_join_split(t.customer, active, "c_custkey", "o_custkey", keep_left=True)
+    joined = joins.left_join_unique(t.customer, active, "c_custkey", "o_custkey")
     return joined.where(F.col("o_custkey").isNotNull()).select("c_custkey", "c_name", F.col("o_custkey").alias("matched"))
 
 
@@ -753,7 +753,7 @@ def win_partition_aggregate(spark, sf_dir):
     stats = c.groupBy("c_mktsegment").agg(
         money_sum("c_acctbal").alias("segment_total"), money_avg("c_acctbal").alias("segment_avg")
     )
-    out = ordered.join_null_safe(c, stats, ["c_mktsegment"])
+    out = joins.attach_aggregate(c, stats, ["c_mktsegment"])
     return out.withColumn("deviation", F.col("c_acctbal") - F.col("segment_avg"))
 
 
@@ -770,7 +770,7 @@ def win_first_value(spark, sf_dir):
     top = c.groupBy("c_mktsegment").agg(
         F.min_by("c_name", F.struct((-F.col("c_acctbal")).alias("b"), F.col("c_custkey").alias("k"))).alias("top_name")
     )
-    return ordered.join_null_safe(c.select("c_custkey", "c_mktsegment"), top, ["c_mktsegment"])
+    return joins.attach_aggregate(c.select("c_custkey", "c_mktsegment"), top, ["c_mktsegment"])
 
 
 @query(

@@ -57,3 +57,10 @@ def test_join_small_checks_size(spark):
     assert out.count() == 1000
     with pytest.raises(ValueError):
         joins.join_small(big, small, "k", how="full")
+
+
+def test_attach_aggregate_keeps_null_group(spark):
+    rows = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.0), (3, None, 4.0)], "id long, g string, v double")
+    per = rows.groupBy("g").agg(F.sum("v").alias("s"))
+    got = {r.id: r.s for r in joins.attach_aggregate(rows, per, ["g"]).collect()}
+    assert got == {1: 1.0, 2: 6.0, 3: 6.0}
