@@ -3,14 +3,23 @@
 ``Window.partitionBy(g)`` sends every row of a group to one task, and a
 window with no partition sends the whole table there.  Here the rows are
 range-partitioned on (group, order, tie-break) instead, so a hot group is
-spread over many partitions.  Each partition numbers its rows locally; a small
-table of per-(partition, group) counts and sums -- one row per partition a
-group touches -- turns local numbers into group-wide positions and running
-totals.
+spread over many partitions, and each partition numbers its rows locally.
+
+In a range-partitioned, sorted table every group is one contiguous run, so
+only the *first* group of a partition can have rows in earlier partitions.
+Positions and running totals are therefore computed in two parts:
+
+* a window over (partition, group) gives the position and running total
+  inside the partition -- every window partition is at most one range
+  partition, whatever the size of the group;
+* a per-partition table (one row per non-empty partition, so its size is
+  bounded by the partition count and it can be broadcast) holds, for the
+  partition's first group, the rows and totals that precede it in earlier
+  partitions.
 
 The numbered rows are checkpointed into the shared checkpoint folder, so the
-counts and the rows they are joined back to come from the same materialized
-data even if a task or executor is re-run.
+per-partition table and the rows it is joined to come from the same
+materialized data even if a task or executor is re-run.
 """
 
 from __future__ import annotations
@@ -54,11 +63,45 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _join_stats(tagged: DataFrame, stats: DataFrame, group: Sequence[str]) -> DataFrame:
-    if not group:
-        # One row per partition: the bound is the partition count.
-        return tagged.join(F.broadcast(stats), [_PID], "inner")
-    return join_null_safe(tagged, stats, [_PID, *group])
+def _carried(tagged: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Per non-empty partition: its first group and what precedes that group.
+
+    Returns (pid, __fg_i..., __off, __soff_<s>...) where ``__off`` is the number
+    of rows of the first group in earlier partitions and ``__soff_<s>`` their
+    sum of ``s``.  Only ``runs`` (one row per (partition, group), aggregated
+    map-side) grows with the number of groups; every later table has one row
+    per non-empty partition.
+    """
+    runs = tagged.groupBy(_PID, *group).agg(
+        F.min(_LOCAL).alias("__lo"),
+        F.max(_LOCAL).alias("__hi"),
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(s).alias(f"__t_{s}") for s in sums],
+    )
+    # One aggregate over ``runs`` (a second use would make Spark compute it twice).
+    ends = runs.groupBy(_PID).agg(
+        *[F.min_by(g, "__lo").alias(f"__fg{i}") for i, g in enumerate(group)],
+        *[F.max_by(g, "__hi").alias(f"__lg{i}") for i, g in enumerate(group)],
+        F.max_by("__n", "__hi").alias("__ln"),
+        *[F.max_by(f"__t_{s}", "__hi").alias(f"__lt_{s}") for s in sums],
+    )
+    lg = [f"__lg{i}" for i in range(len(group))]
+    # Rows of a group in earlier partitions are the last runs of the chain of
+    # partitions just before, all of which end in that group.
+    chain = Window.partitionBy(*lg).orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
+    ends = ends.select(
+        "*", F.sum("__ln").over(chain).alias("__cn"), *[F.sum(f"__lt_{s}").over(chain).alias(f"__ct_{s}") for s in sums]
+    )
+    prev = Window.orderBy(_PID)  # one row per non-empty partition
+    cont = F.lag(_PID).over(prev).isNotNull()
+    for i in range(len(group)):
+        cont = cont & F.lag(f"__lg{i}").over(prev).eqNullSafe(F.col(f"__fg{i}"))
+    return ends.select(
+        _PID,
+        *[f"__fg{i}" for i in range(len(group))],
+        F.when(cont, F.lag("__cn").over(prev)).otherwise(F.lit(0).cast("bigint")).alias("__off"),
+        *[F.when(cont, F.lag(f"__ct_{s}").over(prev)).alias(f"__soff_{s}") for s in sums],
+    )
 
 
 def with_positions(
@@ -80,32 +123,35 @@ def with_positions(
     for out, value in running.items():
         base = base.withColumn(f"__v_{out}", value)
     tagged = _numbered(base, group, order, tiebreak, partitions)
-
-    aggs = [F.min(_LOCAL).alias("__first"), F.count(F.lit(1)).alias("__n")]
-    aggs += [F.sum(f"__v_{out}").alias(f"__s_{out}") for out in running]
-    stats = tagged.groupBy(_PID, *group).agg(*aggs)
-    before = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    for out in running:
-        stats = stats.withColumn(f"__soff_{out}", F.sum(f"__s_{out}").over(before))
-    stats = stats.drop("__n", *[f"__s_{out}" for out in running])
-
-    out_df = _join_stats(tagged, stats, group).withColumn(
-        name, (F.col(_LOCAL) - F.col("__first") + F.col("__off") + 1).cast("bigint")
-    )
-    if running:
-        local = Window.partitionBy(_PID, *group).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)
-        for out in running:
-            local_sum = F.sum(f"__v_{out}").over(local)
-            out_df = out_df.withColumn(out, F.coalesce(F.col(f"__soff_{out}"), F.lit(0).cast(local_sum_type(out_df, out))) + local_sum)
-    helper = [c for c in out_df.columns if c.startswith("__") and c != name and c not in df.columns]
+    sums = [f"__v_{out}" for out in running]
+
+    inside = Window.partitionBy(_PID, *group).orderBy(_LOCAL)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.withColumn("__lpos", F.row_number().over(inside))
+    for s in sums:
+        local = local.withColumn(f"__ls_{s}", F.sum(s).over(upto))
+
+    # One row per non-empty partition: bounded by the partition count.
+    carried = F.broadcast(_carried(tagged, group, sums))
+    joined = local.join(carried, [_PID], "inner")
+    first = F.lit(True)
+    for i, g in enumerate(group):
+        first = first & F.col(g).eqNullSafe(F.col(f"__fg{i}"))
+
+    out_df = joined.withColumn(name, (F.col("__lpos") + F.when(first, F.col("__off")).otherwise(0)).cast("bigint"))
+    for out, s in zip(running, sums):
+        here, before = F.col(f"__ls_{s}"), F.when(first, F.col(f"__soff_{s}"))
+        typ = local.schema[f"__ls_{s}"].dataType
+        # SUM ignores NULLs and is NULL only while every value so far is NULL.
+        total = F.when(here.isNull() & before.isNull(), F.lit(None)).otherwise(
+            F.coalesce(here, F.lit(0).cast(typ)) + F.coalesce(before, F.lit(0).cast(typ))
+        )
+        out_df = out_df.withColumn(out, total.cast(typ))
+    keep = {name, *running, *df.columns}
+    helper = [c for c in out_df.columns if c.startswith("__") and c not in keep]
     return out_df.drop(*helper)
 
 
-def local_sum_type(df: DataFrame, out: str) -> str:
-    return df.schema[f"__v_{out}"].dataType.simpleString()
-
-
 def group_sizes(df: DataFrame, group: Sequence[str], name: str = "__size") -> DataFrame:
     return df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
 
@@ -154,24 +200,24 @@ def with_lead_lag(
 
 
 def with_rank(
-    df: DataFrame, value: str, descending: bool, tiebreak: Sequence[str], group: Sequence[str] = (),
+    df: DataFrame, value: str, descending: bool, group: Sequence[str] = (),
     rank_name: str | None = "rank", dense_name: str | None = "dense_rank",
 ) -> DataFrame:
     """RANK and DENSE_RANK by one value within ``group``.
 
-    RANK is the row number of the first row of the tie run; DENSE_RANK is the
-    row number of the value among the distinct (group, value) pairs.  Both are
-    computed on aggregated (group, value) rows and joined back.
+    Rows are first counted per (group, value).  On those rows, DENSE_RANK is the
+    row number and RANK is the running count of rows minus the value's own
+    count, plus one.  The result is joined back on (group, value): the
+    aggregated side has one row per key, so a hot value is a skewed probe side,
+    which adaptive execution can split.
     """
     group = list(group)
     col = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    out = df
+    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__cnt"))
+    ranked = with_positions(counts, [col], [], group, name="__dense", running={"__run": F.col("__cnt")})
+    picked = [F.col(c) for c in [*group, value]]
     if rank_name:
-        pos = with_positions(df, [col], tiebreak, group, name="__pos")
-        first = pos.groupBy(*group, value).agg(F.min("__pos").alias(rank_name))
-        out = join_null_safe(pos, first, [*group, value]).drop("__pos")
+        picked.append((F.col("__run") - F.col("__cnt") + 1).cast("bigint").alias(rank_name))
     if dense_name:
-        distinct_vals = df.select(*group, value).distinct()
-        dense = with_positions(distinct_vals, [col], [], group, name=dense_name)
-        out = join_null_safe(out, dense, [*group, value])
-    return out
+        picked.append(F.col("__dense").alias(dense_name))
+    return join_null_safe(df, ranked.select(*picked), [*group, value])

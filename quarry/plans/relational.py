@@ -667,7 +667,7 @@ FROM customer""",
 )
 def win_rank(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    return ordered.with_rank(c, "c_acctbal", True, ["c_custkey"], ["c_mktsegment"], rank_name="rank", dense_name=None)
+    return ordered.with_rank(c, "c_acctbal", True, ["c_mktsegment"], rank_name="rank", dense_name=None)
 
 
 @query(
@@ -679,7 +679,7 @@ FROM customer""",
 )
 def win_dense_rank(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    return ordered.with_rank(c, "c_acctbal", True, ["c_custkey"], ["c_mktsegment"], rank_name=None, dense_name="dense_rank")
+    return ordered.with_rank(c, "c_acctbal", True, ["c_mktsegment"], rank_name=None, dense_name="dense_rank")
 
 
 @query(
@@ -794,7 +794,7 @@ FROM customer GROUP BY c_mktsegment""",
 def win_rank_over_aggregate(spark, sf_dir):
     c = _t(spark, sf_dir).customer
     avg = c.groupBy("c_mktsegment").agg(money_avg("c_acctbal").alias("avg_balance"))
-    return ordered.with_rank(avg, "avg_balance", True, ["c_mktsegment"], rank_name="rank", dense_name=None)
+    return ordered.with_rank(avg, "avg_balance", True, rank_name="rank", dense_name=None)
 
 
 # --------------------------------------------------------------------------

@@ -41,7 +41,7 @@ def test_row_number_and_running_sum(skewed, group):
 
 @pytest.mark.parametrize("group", [[], ["grp"]])
 def test_rank_dense_rank(skewed, group):
-    got = ordered.with_rank(skewed, "v", True, ["id"], group)
+    got = ordered.with_rank(skewed, "v", True, group)
     w = Window.partitionBy(*group).orderBy(F.col("v").desc())
     want = skewed.withColumn("rank", F.rank().over(w)).withColumn("dense_rank", F.dense_rank().over(w))
     _same(got, want, ["id", "rank", "dense_rank"])
@@ -75,3 +75,19 @@ def test_exact_quantiles_with_repeated_values(spark):
     probs = [0.01, 0.25, 0.5, 0.75, 0.999]
     got = exact_quantiles(df, "x", probs)
     assert got == {p: vals[max(1, math.ceil(p * len(vals))) - 1] for p in probs}
+
+
+@pytest.mark.parametrize("group", [[], ["grp"]])
+def test_running_sum_with_nulls_across_partitions(spark, group):
+    # The hot group starts with a long run of NULL values, so partitions whose
+    # rows are all NULL sit between partitions that carry a total.
+    df = spark.range(2000).select(
+        "id",
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("grp"),
+        F.when(F.col("id") < 900, F.lit(None)).otherwise((F.col("id") % 13).cast("decimal(18,2)")).alias("v"),
+    )
+    got = ordered.with_positions(df, [F.col("id").asc()], [], group, name="rn", running={"run": F.col("v")}, partitions=16)
+    w = Window.partitionBy(*group).orderBy("id")
+    want = df.withColumn("rn", F.row_number().over(w)).withColumn("run", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    _same(got, want, ["id", "rn", "run"])
+    assert got.schema["run"].dataType == want.schema["run"].dataType
