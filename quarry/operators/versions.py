@@ -532,8 +532,7 @@ class VersionedTable:
         new_dirs = []
         for spec_id, dirs in sorted(self._dirs_by_spec(cur).items()):
             raw = self._read_spec(spec_id, dirs, with_partitions=True)
-            sizes = raw.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-            total = sizes.distinct().agg(F.sum("s")).first()[0] or 0  # one number back
+            total = self._listing(dirs).agg(F.sum("bytes")).first()[0] or 0  # one number back
             n = layout.files_for_bytes(total, target_file_bytes)
             keys = [SpecField(p["source"], p["transform"], p.get("param")).column for p in self._spec_for_dir(dirs[0])]
             # range partitioning on (partition value, version) splits a hot value
@@ -569,15 +568,20 @@ class VersionedTable:
     def orphan_files(self) -> DataFrame:
         """Files under ``data/`` that no live data dir lists (after compaction,
         expiry, or failed writes)."""
-        listed = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(f"{self.root}/data")
-            .select(F.col("path").alias("file_path"))
-        )
-        live = self.files().select("file_path")
+        listed = self._listing([f"{self.root}/data"], data_only=False).select("file_path")
+        live = self._listing(self.current().data_dirs).select("file_path")
         return listed.join(live, "file_path", "left_anti")
 
+    def _listing(self, paths: Sequence[str], data_only: bool = True) -> DataFrame:
+        """(file_path, bytes) of the files below ``paths``: a file listing,
+        one row per file; no file content is read."""
+        if not paths:
+            return self.spark.createDataFrame([], "file_path string, bytes bigint")
+        r = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if data_only:
+            r = r.option("pathGlobFilter", "*.parquet")
+        return r.load(list(paths)).select(F.col("path").alias("file_path"), F.col("length").alias("bytes"))
+
 
 def _ts(v) -> dt.datetime:
     if v is None:
