@@ -24,9 +24,9 @@ materialized data even if a task or executor is re-run.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_root
@@ -63,14 +63,21 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _carried(tagged: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Per non-empty partition: its first group and what precedes that group.
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """NULL-safe equality of two column lists (TRUE for empty lists)."""
+    cond = F.lit(True)
+    for a, b in zip(left, right):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
 
-    Returns (pid, __fg_i..., __off, __soff_<s>...) where ``__off`` is the number
-    of rows of the first group in earlier partitions and ``__soff_<s>`` their
-    sum of ``s``.  Only ``runs`` (one row per (partition, group), aggregated
-    map-side) grows with the number of groups; every later table has one row
-    per non-empty partition.
+
+def _ends(tagged: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """One row per non-empty partition: its first and last group (``__fg_i``,
+    ``__lg_i``), the rows of its first and last run (``__nf``, ``__nl``), its
+    row count ``__np`` and the sums of its last run (``__lt_<s>``).
+
+    Only ``runs`` (one row per (partition, group), aggregated map-side) grows
+    with the number of groups.
     """
     runs = tagged.groupBy(_PID, *group).agg(
         F.min(_LOCAL).alias("__lo"),
@@ -78,101 +85,162 @@ def _carried(tagged: DataFrame, group: Sequence[str], sums: Sequence[str]) -> Da
         F.count(F.lit(1)).alias("__n"),
         *[F.sum(s).alias(f"__t_{s}") for s in sums],
     )
-    # One aggregate over ``runs`` (a second use would make Spark compute it twice).
-    ends = runs.groupBy(_PID).agg(
+    return runs.groupBy(_PID).agg(
         *[F.min_by(g, "__lo").alias(f"__fg{i}") for i, g in enumerate(group)],
         *[F.max_by(g, "__hi").alias(f"__lg{i}") for i, g in enumerate(group)],
-        F.max_by("__n", "__hi").alias("__ln"),
+        F.min_by("__n", "__lo").alias("__nf"),
+        F.max_by("__n", "__hi").alias("__nl"),
+        F.sum("__n").alias("__np"),
         *[F.max_by(f"__t_{s}", "__hi").alias(f"__lt_{s}") for s in sums],
     )
-    lg = [f"__lg{i}" for i in range(len(group))]
-    # Rows of a group in earlier partitions are the last runs of the chain of
-    # partitions just before, all of which end in that group.
+
+
+def _carried(ends: DataFrame, n_group: int, sums: Sequence[str]) -> DataFrame:
+    """Add to ``ends`` what precedes each partition's first group in earlier
+    partitions: ``__off`` rows and ``__soff_<s>`` sums.
+
+    Those rows are the last runs of the chain of partitions just before, all
+    of which end in that group.
+    """
+    fg = [f"__fg{i}" for i in range(n_group)]
+    lg = [f"__lg{i}" for i in range(n_group)]
     chain = Window.partitionBy(*lg).orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    ends = ends.select(
-        "*", F.sum("__ln").over(chain).alias("__cn"), *[F.sum(f"__lt_{s}").over(chain).alias(f"__ct_{s}") for s in sums]
+    acc = ends.select(
+        "*", F.sum("__nl").over(chain).alias("__cn"), *[F.sum(f"__lt_{s}").over(chain).alias(f"__ct_{s}") for s in sums]
     )
     prev = Window.orderBy(_PID)  # one row per non-empty partition
     cont = F.lag(_PID).over(prev).isNotNull()
-    for i in range(len(group)):
-        cont = cont & F.lag(f"__lg{i}").over(prev).eqNullSafe(F.col(f"__fg{i}"))
-    return ends.select(
-        _PID,
-        *[f"__fg{i}" for i in range(len(group))],
+    for a, b in zip(lg, fg):
+        cont = cont & F.lag(a).over(prev).eqNullSafe(F.col(b))
+    return acc.select(
+        _PID, *fg, *lg, "__nf", "__nl", "__np",
         F.when(cont, F.lag("__cn").over(prev)).otherwise(F.lit(0).cast("bigint")).alias("__off"),
         *[F.when(cont, F.lag(f"__ct_{s}").over(prev)).alias(f"__soff_{s}") for s in sums],
     )
 
 
-def with_positions(
+def _positioned(
     df: DataFrame,
     order: Sequence[Column],
     tiebreak: Sequence[str],
-    group: Sequence[str] = (),
-    name: str = "pos",
-    running: dict[str, Column] | None = None,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add ``name`` = ROW_NUMBER() within ``group`` in ``order`` (ties broken by
-    ``tiebreak``, which must make the order total), and for each
-    ``running[out] = value`` a running SUM(value) over ROWS UNBOUNDED PRECEDING.
+    group: Sequence[str],
+    running: dict[str, Column],
+    partitions: int | None,
+    local: Callable[[WindowSpec], dict[str, Column]] | None = None,
+    run_size: bool = False,
+    fixed_ends: bool = False,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Number the rows; returns (rows, carried, tagged).
+
+    ``rows`` has ``__pos`` (ROW_NUMBER in the group), ``__lpos`` (position in
+    the partition's run of the group), ``__first``/``__last`` (the run is the
+    partition's first/last), ``__nrun`` (run length, if ``run_size``), the
+    running sums and the ``local`` window columns.  ``carried`` has one row per
+    non-empty partition; it is fixed by a checkpoint when ``fixed_ends`` (for
+    callers that use it more than once).
     """
     group = list(group)
-    running = running or {}
     base = df
     for out, value in running.items():
         base = base.withColumn(f"__v_{out}", value)
     tagged = _numbered(base, group, order, tiebreak, partitions)
     sums = [f"__v_{out}" for out in running]
+    ends = _ends(tagged, group, sums)
+    if fixed_ends:
+        ends = ends.checkpoint(eager=True)
+    carried = _carried(ends, len(group), sums)
 
     inside = Window.partitionBy(_PID, *group).orderBy(_LOCAL)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    local = tagged.withColumn("__lpos", F.row_number().over(inside))
+    rows = tagged.withColumn("__lpos", F.row_number().over(inside))
+    if run_size:
+        rows = rows.withColumn("__nrun", F.count(F.lit(1)).over(inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     for s in sums:
-        local = local.withColumn(f"__ls_{s}", F.sum(s).over(upto))
+        rows = rows.withColumn(f"__ls_{s}", F.sum(s).over(upto))
+    for name, c in (local(inside) if local else {}).items():
+        rows = rows.withColumn(name, c)
 
     # One row per non-empty partition: bounded by the partition count.
-    carried = F.broadcast(_carried(tagged, group, sums))
-    joined = local.join(carried, [_PID], "inner")
-    first = F.lit(True)
-    for i, g in enumerate(group):
-        first = first & F.col(g).eqNullSafe(F.col(f"__fg{i}"))
-
-    out_df = joined.withColumn(name, (F.col("__lpos") + F.when(first, F.col("__off")).otherwise(0)).cast("bigint"))
+    rows = rows.join(F.broadcast(carried), [_PID], "inner")
+    rows = rows.withColumns({
+        "__first": _same(group, [f"__fg{i}" for i in range(len(group))]),
+        "__last": _same(group, [f"__lg{i}" for i in range(len(group))]),
+    })
+    rows = rows.withColumn("__pos", (F.col("__lpos") + F.when(F.col("__first"), F.col("__off")).otherwise(0)).cast("bigint"))
     for out, s in zip(running, sums):
-        here, before = F.col(f"__ls_{s}"), F.when(first, F.col(f"__soff_{s}"))
-        typ = local.schema[f"__ls_{s}"].dataType
+        here, before = F.col(f"__ls_{s}"), F.when(F.col("__first"), F.col(f"__soff_{s}"))
+        typ = rows.schema[f"__ls_{s}"].dataType
         # SUM ignores NULLs and is NULL only while every value so far is NULL.
         total = F.when(here.isNull() & before.isNull(), F.lit(None)).otherwise(
             F.coalesce(here, F.lit(0).cast(typ)) + F.coalesce(before, F.lit(0).cast(typ))
         )
-        out_df = out_df.withColumn(out, total.cast(typ))
-    keep = {name, *running, *df.columns}
-    helper = [c for c in out_df.columns if c.startswith("__") and c not in keep]
-    return out_df.drop(*helper)
+        rows = rows.withColumn(out, total.cast(typ))
+    return rows, carried, tagged
+
+
+def _finish(rows: DataFrame, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    keep_set = {*keep, *df.columns}
+    return rows.drop(*[c for c in rows.columns if c.startswith("__") and c not in keep_set])
 
 
-def group_sizes(df: DataFrame, group: Sequence[str], name: str = "__size") -> DataFrame:
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
+def with_positions(
+    df: DataFrame,
+    order: Sequence[Column],
+    tiebreak: Sequence[str],
+    group: Sequence[str] = (),
+    name: str = "pos",
+    running: dict[str, Column] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``name`` = ROW_NUMBER() within ``group`` in ``order`` (ties broken by
+    ``tiebreak``, which must make the order total), and for each
+    ``running[out] = value`` a running SUM(value) over ROWS UNBOUNDED PRECEDING.
+    """
+    running = running or {}
+    rows, _, _ = _positioned(df, order, tiebreak, group, running, partitions)
+    return _finish(rows.withColumnRenamed("__pos", name) if name != "__pos" else rows, df, [name, *running])
 
 
 def with_ntile(
-    df: DataFrame, buckets: int, order: Sequence[Column], tiebreak: Sequence[str], group: Sequence[str] = (), name: str = "ntile"
+    df: DataFrame, buckets: int, order: Sequence[Column], tiebreak: Sequence[str], group: Sequence[str] = (), name: str = "ntile",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """NTILE(buckets): the first (size mod buckets) tiles get one extra row."""
+    """NTILE(buckets): the first (size mod buckets) tiles get one extra row.
+
+    A group that is neither the first nor the last run of its partition lies
+    wholly in that partition, so its size is the run length.  Sizes of the
+    other groups come from the per-partition table: at most two rows per
+    partition.
+    """
     group = list(group)
-    pos = with_positions(df, order, tiebreak, group, name="__pos")
+    rows, carried, _ = _positioned(df, order, tiebreak, group, {}, partitions, run_size=True, fixed_ends=True)
     if group:
-        sized = join_null_safe(pos, group_sizes(df, group), group)
+        fg = [f"__fg{i}" for i in range(len(group))]
+        lg = [f"__lg{i}" for i in range(len(group))]
+        sk = [f"__s{i}" for i in range(len(group))]
+        contrib = carried.select(*[F.col(a).alias(b) for a, b in zip(lg, sk)], F.col("__nl").alias("__sn")).unionByName(
+            carried.where(~_same(fg, lg)).select(*[F.col(a).alias(b) for a, b in zip(fg, sk)], F.col("__nf").alias("__sn"))
+        )
+        sizes = contrib.groupBy(*sk).agg(F.sum("__sn").alias("__gsize"))
+        cond = None
+        for g, k in zip(group, sk):
+            c = rows[g].eqNullSafe(sizes[k])
+            cond = c if cond is None else cond & c
+        rows = rows.join(F.broadcast(sizes), cond, "left")
+        size = F.when(F.col("__first") | F.col("__last"), F.col("__gsize")).otherwise(F.col("__nrun"))
     else:
-        # One scalar (the row count) comes back to the driver.
-        sized = pos.withColumn("__size", F.lit(df.count()))
+        # One scalar (the row count, from the per-partition table) comes back to the driver.
+        size = F.lit(carried.agg(F.sum("__np")).first()[0])
     p = F.col("__pos")
-    q = F.floor(F.col("__size") / buckets)
-    r = F.col("__size") % buckets
+    q = F.floor(size / buckets)
+    r = size % buckets
     big = r * (q + 1)
     tile = F.when(p <= big, F.floor((p - 1) / (q + 1)) + 1).otherwise(r + F.floor((p - big - 1) / q) + 1)
-    return sized.withColumn(name, tile.cast("bigint")).drop("__pos", "__size")
+    return _finish(rows.withColumn(name, tile.cast("bigint")), df, [name])
+
+
+# Edge tables up to this many rows are broadcast.
+EDGE_BROADCAST_ROWS = 1_000_000
 
 
 def with_lead_lag(
@@ -184,19 +252,52 @@ def with_lead_lag(
     offset: int = 1,
     lead_name: str = "lead",
     lag_name: str = "lag",
+    partitions: int | None = None,
 ) -> DataFrame:
     """LEAD/LAG(value, offset): the value ``offset`` rows after/before, NULL past the ends.
 
-    Rows are numbered, then matched to their neighbours by an equi-join on
-    (group, position +- offset); positions are unique, so no join key is hot.
+    Inside a partition's run LEAD/LAG is a plain window function.  A neighbour
+    in another partition is among the first ``offset`` rows of that
+    partition's first run, or the last ``offset`` rows of its last run; those
+    edge rows (at most 2 * offset per partition) are looked up by (group,
+    position).
     """
     group = list(group)
-    pos = with_positions(df, order, tiebreak, group, name="__pos")
-    keys = pos.select(*group, "__pos", F.col(value).alias("__val"))
-    nxt = keys.select(*group, (F.col("__pos") - offset).alias("__pos"), F.col("__val").alias(lead_name))
-    prv = keys.select(*group, (F.col("__pos") + offset).alias("__pos"), F.col("__val").alias(lag_name))
-    on = [*group, "__pos"]
-    return join_null_safe(join_null_safe(pos, nxt, on, "left"), prv, on, "left").drop("__pos")
+    k = offset
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, carried, tagged = _positioned(
+        df, order, tiebreak, group, {}, n,
+        local=lambda w: {"__llead": F.lead(value, k).over(w), "__llag": F.lag(value, k).over(w)},
+        run_size=True, fixed_ends=True,
+    )
+    fg = [f"__fg{i}" for i in range(len(group))]
+    lg = [f"__lg{i}" for i in range(len(group))]
+    at_edge = tagged.join(F.broadcast(carried), [_PID], "inner")
+    in_first, in_last = _same(group, fg), _same(group, lg)
+    local = F.col(_LOCAL)
+    edge_pos = F.when(in_first, local + 1 + F.col("__off")).otherwise(local - (F.col("__np") - F.col("__nl")) + 1)
+    ek = [f"__e{i}" for i in range(len(group))]
+    edges = at_edge.where((in_first & (local < k)) | (in_last & (local >= F.col("__np") - k))).select(
+        *[F.col(g).alias(e) for g, e in zip(group, ek)], edge_pos.cast("bigint").alias("__epos"), F.col(value).alias("__ev")
+    )
+    # Fixed once (both neighbour joins read it); at most 2 * offset rows per partition.
+    edges = edges.checkpoint(eager=True)
+    if 2 * k * n <= EDGE_BROADCAST_ROWS:
+        edges = F.broadcast(edges)
+
+    def neighbour(frame: DataFrame, shift: int, out: str) -> DataFrame:
+        e = edges.select(*ek, (F.col("__epos") - shift).alias(f"__ep_{out}"), F.col("__ev").alias(out))
+        cond = frame["__pos"] == e[f"__ep_{out}"]
+        for g, c in zip(group, ek):
+            cond = cond & frame[g].eqNullSafe(e[c])
+        return frame.join(e, cond, "left").drop(*ek, f"__ep_{out}")
+
+    rows = neighbour(neighbour(rows, k, "__elead"), -k, "__elag")
+    rows = rows.withColumns({
+        lead_name: F.when(F.col("__lpos") + k <= F.col("__nrun"), F.col("__llead")).otherwise(F.col("__elead")),
+        lag_name: F.when(F.col("__lpos") - k >= 1, F.col("__llag")).otherwise(F.col("__elag")),
+    })
+    return _finish(rows, df, [lead_name, lag_name])
 
 
 def with_rank(

@@ -91,3 +91,24 @@ def test_running_sum_with_nulls_across_partitions(spark, group):
     want = df.withColumn("rn", F.row_number().over(w)).withColumn("run", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     _same(got, want, ["id", "rn", "run"])
     assert got.schema["run"].dataType == want.schema["run"].dataType
+
+
+@pytest.mark.parametrize("group", [[], ["grp"]])
+def test_tiny_partitions_nulls(spark, group):
+    # 64 range partitions over 300 rows: some hold fewer rows than the offset,
+    # so neighbours and group sizes span several partitions; NULL groups and values.
+    df = spark.range(300).select(
+        "id",
+        F.when(F.col("id") % 10 == 0, F.lit(None)).when(F.col("id") % 2 == 0, F.lit("hot"))
+        .otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("grp"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 11).cast("double")).alias("v"),
+    )
+    w = Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first(), "id")
+    order = [F.col("v").asc_nulls_first()]
+    ll = ordered.with_lead_lag(df, "v", order, ["id"], group, offset=3, partitions=64)
+    _same(ll, df.withColumn("lead", F.lead("v", 3).over(w)).withColumn("lag", F.lag("v", 3).over(w)), ["id", "lead", "lag"])
+    nt = ordered.with_ntile(df, 4, order, ["id"], group, name="t", partitions=64)
+    _same(nt, df.withColumn("t", F.ntile(4).over(w)), ["id", "t"])
+    rk = ordered.with_rank(df, "v", False, group)
+    wr = Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first())
+    _same(rk, df.withColumn("rank", F.rank().over(wr)).withColumn("dense_rank", F.dense_rank().over(wr)), ["id", "rank", "dense_rank"])
