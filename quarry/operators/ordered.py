@@ -201,6 +201,19 @@ def with_positions(
     return _finish(rows.withColumnRenamed("__pos", name) if name != "__pos" else rows, df, [name, *running])
 
 
+def with_positions_and_count(
+    df: DataFrame, order: Sequence[Column], tiebreak: Sequence[str], name: str = "pos", partitions: int | None = None
+) -> tuple[DataFrame, int]:
+    """Global ROW_NUMBER (as ``with_positions`` with no group) and the row count.
+
+    The count is summed over the per-partition table (one row per non-empty
+    partition), so it costs no extra pass over the data.
+    """
+    rows, carried, _ = _positioned(df, order, tiebreak, [], {}, partitions, fixed_ends=True)
+    n = carried.agg(F.sum("__np")).first()[0] or 0  # one number back
+    return _finish(rows.withColumnRenamed("__pos", name), df, [name]), int(n)
+
+
 def with_ntile(
     df: DataFrame, buckets: int, order: Sequence[Column], tiebreak: Sequence[str], group: Sequence[str] = (), name: str = "ntile",
     partitions: int | None = None,

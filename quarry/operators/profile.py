@@ -23,11 +23,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> dict[flo
     vals = df.select(F.col(col).alias("__x")).where(F.col("__x").isNotNull())
     # a unique tie-break lets the range partitioning split a heavily repeated value
     vals = vals.withColumn("__tb", F.monotonically_increasing_id())
-    n = vals.count()
+    pos, n = ordered.with_positions_and_count(vals, [F.col("__x").asc()], ["__tb"], name="__pos")
     if n == 0:
         return {p: None for p in probs}
     targets = {p: max(1, math.ceil(p * n)) for p in probs}
-    pos = ordered.with_positions(vals, [F.col("__x").asc()], ["__tb"], name="__pos")
     picked = {r["__pos"]: r["__x"] for r in pos.where(F.col("__pos").isin(sorted(set(targets.values())))).collect()}
     return {p: picked[k] for p, k in targets.items()}
 
@@ -38,25 +37,27 @@ def _label(p: float) -> str:
 
 def summary_exact(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row per column: count, mean, stddev (rounded to 6 places), min,
-    the exact quantiles, max."""
-    out = None
-    for c in cols:
-        stats = df.agg(
-            F.count(c).alias("count"),
-            F.round(F.avg(c), 6).alias("mean"),
-            F.round(F.stddev_samp(c), 6).alias("stddev"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        )
+    the exact quantiles, max.
+
+    The moments of every column come from one aggregate pass, reshaped to a
+    row per column with ``stack``; each column's quantiles are one numbering
+    pipeline.
+    """
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [
+            F.count(c).alias(f"n{i}"),
+            F.round(F.avg(c), 6).cast("double").alias(f"m{i}"),
+            F.round(F.stddev_samp(c), 6).cast("double").alias(f"s{i}"),
+            F.min(c).cast("double").alias(f"lo{i}"),
+            F.max(c).cast("double").alias(f"hi{i}"),
+        ]
+    stats = df.agg(*aggs)
+    fields = []
+    for i, c in enumerate(cols):
         qs = exact_quantiles(df, c, probs)
-        row = stats.select(
-            F.lit(c).alias("column_name"),
-            "count",
-            "mean",
-            "stddev",
-            "min",
-            *[F.lit(qs[p]).cast("double").alias(_label(p)) for p in probs],
-            "max",
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+        fields += [F.lit(c), F.col(f"n{i}"), F.col(f"m{i}"), F.col(f"s{i}"), F.col(f"lo{i}")]
+        fields += [F.lit(qs[p]).cast("double") for p in probs]
+        fields.append(F.col(f"hi{i}"))
+    names = ["column_name", "count", "mean", "stddev", "min", *[_label(p) for p in probs], "max"]
+    return stats.select(F.stack(F.lit(len(cols)), *fields)).toDF(*names)

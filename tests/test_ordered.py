@@ -112,3 +112,26 @@ def test_tiny_partitions_nulls(spark, group):
     rk = ordered.with_rank(df, "v", False, group)
     wr = Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first())
     _same(rk, df.withColumn("rank", F.rank().over(wr)).withColumn("dense_rank", F.dense_rank().over(wr)), ["id", "rank", "dense_rank"])
+
+
+def test_summary_exact_several_columns(spark):
+    import math
+    import statistics
+
+    from quarry.operators.profile import summary_exact
+
+    df = spark.range(1001).select(
+        (F.col("id") % 17).cast("int").alias("a"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") * 0.5).alias("b"),
+    )
+    got = {r.column_name: r for r in summary_exact(df, ["a", "b"]).collect()}
+    rows = df.collect()
+    for c in ("a", "b"):
+        vals = sorted(float(r[c]) for r in rows if r[c] is not None)
+        g = got[c]
+        assert g["count"] == len(vals)
+        assert g["min"] == vals[0] and g["max"] == vals[-1]
+        assert abs(g["mean"] - round(statistics.fmean(vals), 6)) < 1e-9
+        assert abs(g["stddev"] - round(statistics.stdev(vals), 6)) < 1e-9
+        for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+            assert g[name] == vals[max(1, math.ceil(p * len(vals))) - 1]
