@@ -29,7 +29,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_root
+from quarry.operators import catalog
 
 _PID, _LOCAL = "__pid", "__local"
 
@@ -39,8 +39,15 @@ def _sort_keys(group: Sequence[str], order: Sequence[Column], tiebreak: Sequence
 
 
 def _numbered(df: DataFrame, group, order, tiebreak, partitions: int | None) -> DataFrame:
+    """Range-partition, sort, and number the rows of each partition.
+
+    The result is written once as a table bucketed (and sorted) by partition
+    id in the shared scratch database.  That cuts the lineage -- every later
+    step reads the same numbering, even after a lost executor -- and a scan
+    of it is hash-partitioned by partition id, so the per-(partition, group)
+    window and aggregates need no further shuffle.
+    """
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_keys(group, order, tiebreak)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -48,7 +55,8 @@ def _numbered(df: DataFrame, group, order, tiebreak, partitions: int | None) ->
     tagged = ranged.withColumn(_PID, pid).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
     )
-    return tagged.checkpoint(eager=True)
+    name = catalog.save_bucketed(tagged, "numbered", n, _PID, sort_by=[_PID, *group, _LOCAL])
+    return spark.table(name)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
