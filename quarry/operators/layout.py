@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 MIN_PARTITION_BYTES = 128 * 1024 * 1024  # advice: 128 MB .. 1 GB per partition value
 MAX_PARTITION_BYTES = 1024 * 1024 * 1024
 MAX_VALUES = 10_000  # more partition values than this is a high-cardinality key
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024  # input split size of the study material
 
 
 def rows_per_partition(df: DataFrame) -> DataFrame:
@@ -48,3 +49,17 @@ def layout_advice(
 def files_for_bytes(total_bytes: int, target_file_bytes: int) -> int:
     """Number of output files so that each is about ``target_file_bytes``."""
     return max(1, math.ceil(total_bytes / max(1, target_file_bytes)))
+
+
+def stored_bytes(spark, path: str) -> int:
+    """Bytes of the files below ``path``: a file listing (no content read),
+    summed on the executors; one number comes back."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return int(listing.agg(F.sum("length")).first()[0] or 0)
+
+
+def partition_count(requested: int, total_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """``requested`` partitions, raised so that none holds more than about
+    ``target_bytes`` of stored data: a fixed count from an example stays a
+    floor, and at scale the count follows the input size."""
+    return max(requested, files_for_bytes(total_bytes, target_bytes))

@@ -16,7 +16,8 @@ from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import files
 from quarry.sources.synthetic import synthetic_staff
-from quarry.tables import Tables
+from quarry.operators.layout import TARGET_PARTITION_BYTES
+from quarry.tables import Tables, partitions_for
 
 
 def _t(spark, sf_dir) -> Tables:
@@ -393,9 +394,13 @@ SELECT 'repartition_4_coalesce_2', CAST(2 AS BIGINT), COUNT(*) FROM orders""",
 )
 def sink_file_count(spark, sf_dir):
     """A fixed number of output files: repartition(n) spreads rows evenly over
-    n tasks; coalesce(m) then merges them without another shuffle."""
+    n tasks; coalesce(m) then merges them without another shuffle.  The
+    example's counts (4, then 2) are floors that grow with the input size,
+    so no file or task holds an unbounded share at scale."""
     o = _t(spark, sf_dir).orders
-    layouts = {"repartition_4": o.repartition(4), "repartition_4_coalesce_2": o.repartition(4).coalesce(2)}
+    n = partitions_for(spark, sf_dir, "orders", 4)
+    m = partitions_for(spark, sf_dir, "orders", 2, 2 * TARGET_PARTITION_BYTES)
+    layouts = {"repartition_4": o.repartition(n), "repartition_4_coalesce_2": o.repartition(n).coalesce(m)}
     parts = []
     for name, df in layouts.items():
         back = files.with_file_info(_round_trip(spark, df, f"files-{name}"))

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import money_sum
 from quarry.operators import catalog as cat
-from quarry.operators.layout import layout_advice, rows_per_partition
+from quarry.operators.layout import TARGET_PARTITION_BYTES, layout_advice, rows_per_partition
 from quarry.plans.io import partitioned_orders
 from quarry.plans.registry import query
 from quarry.sources import files
-from quarry.tables import Tables
+from quarry.tables import Tables, partitions_for
 
 
 def _t(spark, sf_dir) -> Tables:
@@ -22,7 +22,7 @@ def _t(spark, sf_dir) -> Tables:
 @query("layout_repartition_n", oracle="SELECT * FROM customer")
 def layout_repartition_n(spark, sf_dir):
     """Full shuffle into n even partitions; every row is kept."""
-    return _t(spark, sf_dir).customer.repartition(16)
+    return _t(spark, sf_dir).customer.repartition(partitions_for(spark, sf_dir, "customer", 16))
 
 
 @query(
@@ -31,7 +31,8 @@ def layout_repartition_n(spark, sf_dir):
 )
 def layout_repartition_key(spark, sf_dir):
     """Hash repartition on a key: every key lands in exactly one partition."""
-    o = _t(spark, sf_dir).orders.repartition(8, "o_orderpriority").withColumn("pid", F.spark_partition_id())
+    n = partitions_for(spark, sf_dir, "orders", 8)
+    o = _t(spark, sf_dir).orders.repartition(n, "o_orderpriority").withColumn("pid", F.spark_partition_id())
     return o.groupBy("o_orderpriority").agg(
         F.count_distinct("pid").alias("partitions"), F.count(F.lit(1)).alias("rows")
     )
@@ -39,14 +40,17 @@ def layout_repartition_key(spark, sf_dir):
 
 @query("layout_coalesce", oracle="SELECT * FROM orders")
 def layout_coalesce(spark, sf_dir):
-    """Merge partitions without a shuffle (never raises the count)."""
-    return _t(spark, sf_dir).orders.repartition(8).coalesce(3)
+    """Merge partitions without a shuffle (never raises the count): about
+    four 128 MB partitions into one at scale, 8 into 3 on small inputs."""
+    n = partitions_for(spark, sf_dir, "orders", 8)
+    m = partitions_for(spark, sf_dir, "orders", 3, 4 * TARGET_PARTITION_BYTES)
+    return _t(spark, sf_dir).orders.repartition(n).coalesce(m)
 
 
 @query("layout_partition_sizes")
 def layout_partition_sizes(spark, sf_dir):
     """Rows in each Spark partition (no Python worker involved)."""
-    return rows_per_partition(_t(spark, sf_dir).lineitem.repartition(8))
+    return rows_per_partition(_t(spark, sf_dir).lineitem.repartition(partitions_for(spark, sf_dir, "lineitem", 8)))
 
 
 @query(

@@ -131,3 +131,15 @@ def test_ansi_bad_cast_raises_and_try_cast_does_not(spark):
     with pytest.raises(Exception):
         df.select(F.col("s").cast("int")).collect()
     assert df.select(F.expr("try_cast(s AS INT)")).first()[0] is None
+
+
+def test_partition_count_grows_with_size(spark, sf_dir):
+    import os
+
+    from quarry.operators.layout import TARGET_PARTITION_BYTES, partition_count, stored_bytes
+    from quarry.tables import table_path
+
+    assert partition_count(4, 10_000) == 4  # small input: the example's count
+    assert partition_count(4, 100 * 2**40) == 100 * 2**40 // TARGET_PARTITION_BYTES  # 100 TB: 128 MB each
+    path = table_path(sf_dir, "orders")
+    assert stored_bytes(spark, path) == os.path.getsize(path)
