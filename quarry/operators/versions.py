@@ -480,11 +480,15 @@ class VersionedTable:
         """snapshot_id, committed_at, operation, rows added, removed, total."""
         meta = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).drop("meta")
         h = self.with_valid_to(self.physical())
-        added = h.groupBy(F.col(VALID_FROM).alias("snapshot_id")).agg(F.count(F.lit(1)).alias("added"))
-        removed = h.where(F.col(VALID_TO).isNotNull()).groupBy(F.col(VALID_TO).alias("snapshot_id")).agg(
-            F.count(F.lit(1)).alias("removed")
+        # One pass: each row is added at valid_from and removed at valid_to (if closed).
+        event = F.explode(F.array(
+            F.struct(F.col(VALID_FROM).alias("s"), F.lit(1).alias("a"), F.lit(0).alias("r")),
+            F.struct(F.col(VALID_TO).alias("s"), F.lit(0).alias("a"), F.lit(1).alias("r")),
+        )).alias("e")
+        counts = h.select(event).where(F.col("e.s").isNotNull()).groupBy(F.col("e.s").alias("snapshot_id")).agg(
+            F.sum("e.a").cast("bigint").alias("added"), F.sum("e.r").cast("bigint").alias("removed")
         )
-        out = meta.join(added, "snapshot_id", "left").join(removed, "snapshot_id", "left").fillna(0, ["added", "removed"])
+        out = meta.join(counts, "snapshot_id", "left").fillna(0, ["added", "removed"])
         # one row per commit: the running total is over the (small) log
         w = Window.orderBy("snapshot_id").rowsBetween(Window.unboundedPreceding, 0)
         out = out.withColumn("total", F.sum(F.col("added") - F.col("removed")).over(w))
