@@ -135,3 +135,16 @@ def test_summary_exact_several_columns(spark):
         assert abs(g["stddev"] - round(statistics.stdev(vals), 6)) < 1e-9
         for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
             assert g[name] == vals[max(1, math.ceil(p * len(vals))) - 1]
+
+
+def test_more_partitions_than_bucket_limit(spark):
+    # 32 range partitions written into at most 5 buckets: still exact.
+    df = spark.range(500).select("id", (F.col("id") % 3).alias("grp"), (F.col("id") % 13).alias("v"))
+    old = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "5")
+    try:
+        got = ordered.with_lead_lag(df, "v", [F.col("v").asc()], ["id"], ["grp"], partitions=32)
+        w = Window.partitionBy("grp").orderBy("v", "id")
+        _same(got, df.withColumn("lead", F.lead("v").over(w)).withColumn("lag", F.lag("v").over(w)), ["id", "lead", "lag"])
+    finally:
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", old)
