@@ -37,6 +37,15 @@ def work_database(spark: SparkSession) -> str:
     return _WORK_DB[app]
 
 
+def drop_work_database(spark: SparkSession) -> None:
+    """Drop this application's scratch database with its managed tables (and
+    their files), e.g. once a job's results are written.  The next use
+    creates a fresh one."""
+    name = _WORK_DB.pop(spark.sparkContext.applicationId, None)
+    if name:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def qualified(spark: SparkSession, name: str, database: str | None = None) -> str:
     return f"{database or work_database(spark)}.{unique(name)}"
 
@@ -69,13 +78,20 @@ def save_bucketed(
     key: str | Sequence[str],
     sort_by: Sequence[str] = (),
     database: str | None = None,
+    managed: bool = False,
 ) -> str:
     """Bucketed (and sorted) table: a later join or aggregate on ``key``
-    between tables with the same bucket count needs no shuffle."""
+    between tables with the same bucket count needs no shuffle.
+
+    ``managed`` tables live in the database's folder (shared storage for the
+    work database), so dropping the table or database removes their files.
+    """
     spark = df.sparkSession
     full = qualified(spark, name, database)
     keys = [key] if isinstance(key, str) else list(key)
-    w = df.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, full.replace(".", "-")))
+    w = df.write.mode("overwrite").format("parquet")
+    if not managed:
+        w = w.option("path", scratch_path(spark, full.replace(".", "-")))
     w = w.bucketBy(buckets, *keys)
     if sort_by:
         w = w.sortBy(*sort_by)

@@ -57,7 +57,8 @@ def _numbered(df: DataFrame, group, order, tiebreak, partitions: int | None) ->
     )
     # Several range partitions share a bucket when n exceeds the session's bucket limit.
     buckets = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
-    name = catalog.save_bucketed(tagged, "numbered", buckets, _PID, sort_by=[_PID, *group, _LOCAL])
+    # Managed: ``catalog.drop_work_database`` removes the files once results are written.
+    name = catalog.save_bucketed(tagged, "numbered", buckets, _PID, sort_by=[_PID, *group, _LOCAL], managed=True)
     return spark.table(name)
 
 

@@ -148,3 +148,19 @@ def test_more_partitions_than_bucket_limit(spark):
         _same(got, df.withColumn("lead", F.lead("v").over(w)).withColumn("lag", F.lag("v").over(w)), ["id", "lead", "lag"])
     finally:
         spark.conf.set("spark.sql.sources.bucketing.maxBuckets", old)
+
+
+def test_numbered_rows_are_released_with_the_work_database(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from quarry.operators import catalog
+
+    df = spark.range(100).select("id", (F.col("id") % 3).alias("grp"))
+    tagged = ordered._numbered(df, ["grp"], [F.col("id").asc()], [], 4)
+    folder = urlparse(tagged.inputFiles()[0]).path.rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    catalog.drop_work_database(spark)
+    assert not os.path.exists(folder)
+    # a fresh work database is created on the next use
+    assert ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], name="rn").count() == 100
