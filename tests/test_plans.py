@@ -72,3 +72,13 @@ def test_hidden_partition_predicate_added(spark, sf_dir, q):
 def test_aggregate_has_partial_step(spark, sf_dir, q):
     p = plan_text(q["agg_group_basic"](spark, sf_dir))
     assert "partial_sum" in p and "partial_count" in p
+
+
+def test_ordered_window_reads_bucketed_rows_without_exchange(spark, sf_dir, q):
+    # After the range shuffle (a job of its own), the numbered rows are a table
+    # bucketed by partition id: the (partition, group) window and the
+    # per-partition aggregates read it with no exchange on the partition id.
+    p = plan_text(q["win_running_sum"](spark, sf_dir))
+    assert "Bucketed: true" in p
+    assert "hashpartitioning(__pid" not in p
+    assert "ReadSchema: struct<o_custkey:bigint,__v_running_customer" in p  # the aggregate side reads few columns
