@@ -17,9 +17,12 @@ Positions and running totals are therefore computed in two parts:
   partition's first group, the rows and totals that precede it in earlier
   partitions.
 
-The numbered rows are checkpointed into the shared checkpoint folder, so the
-per-partition table and the rows it is joined to come from the same
-materialized data even if a task or executor is re-run.
+The numbered rows are written once, as a table bucketed by partition id in the
+shared scratch database (see ``_numbered``).  The per-partition table and the
+rows it is joined to come from the same materialized data even if a task or
+executor is re-run, and the bucketed scan feeds the (partition, group) window
+with no further shuffle.  NTILE takes group sizes and LEAD/LAG cross-partition
+neighbours from tables of the same bound.
 """
 
 from __future__ import annotations
