@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quarry.operators import catalog
+from quarry.session import checkpoint_root
 
 _PID, _LOCAL = "__pid", "__local"
 
@@ -51,6 +52,7 @@ def _numbered(df: DataFrame, group, order, tiebreak, partitions: int | None) ->
     window and aggregates need no further shuffle.
     """
     spark = df.sparkSession
+    checkpoint_root(spark)  # later checkpoints of the small tables go to the shared folder
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_keys(group, order, tiebreak)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
