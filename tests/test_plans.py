@@ -82,3 +82,17 @@ def test_ordered_window_reads_bucketed_rows_without_exchange(spark, sf_dir, q):
     assert "Bucketed: true" in p
     assert "hashpartitioning(__pid" not in p
     assert "ReadSchema: struct<o_custkey:bigint,__v_running_customer" in p  # the aggregate side reads few columns
+
+
+def test_correlated_subquery_is_aggregate_and_join(spark, sf_dir, q):
+    p = plan_text(q["subq_correlated"](spark, sf_dir))
+    assert "HashAggregate" in p and "LeftSemi" in p
+    # The SQL text form is decorrelated by Catalyst the same way: no per-row subquery.
+    from quarry.tables import load
+
+    load(spark, sf_dir, "customer").createOrReplaceTempView("customer_corr")
+    sql = plan_text(spark.sql(
+        "SELECT c1.c_custkey FROM customer_corr c1 WHERE c1.c_acctbal = "
+        "(SELECT MAX(c2.c_acctbal) FROM customer_corr c2 WHERE c2.c_nationkey = c1.c_nationkey)"
+    ))
+    assert "HashAggregate" in sql and "Join" in sql and "Subquery" not in sql
