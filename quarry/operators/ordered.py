@@ -116,18 +116,26 @@ def _carried(ends: DataFrame, n_group: int, sums: Sequence[str]) -> DataFrame:
     partitions: ``__off`` rows and ``__soff_<s>`` sums.
 
     Those rows are the last runs of the chain of partitions just before, all
-    of which end in that group.
+    of which end in that group.  Partitions that end in the same group are
+    consecutive, so a chain is an island in partition order; every window
+    here runs over the one-row-per-partition table in a single partition.
     """
     fg = [f"__fg{i}" for i in range(n_group)]
     lg = [f"__lg{i}" for i in range(n_group)]
-    chain = Window.partitionBy(*lg).orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    acc = ends.select(
-        "*", F.sum("__nl").over(chain).alias("__cn"), *[F.sum(f"__lt_{s}").over(chain).alias(f"__ct_{s}") for s in sums]
-    )
     prev = Window.orderBy(_PID)  # one row per non-empty partition
+    same_last = F.lit(True)
     cont = F.lag(_PID).over(prev).isNotNull()
     for a, b in zip(lg, fg):
+        same_last = same_last & F.lag(a).over(prev).eqNullSafe(F.col(a))
         cont = cont & F.lag(a).over(prev).eqNullSafe(F.col(b))
+    starts = F.lag(_PID).over(prev).isNull() | ~same_last
+    islands = ends.withColumn(
+        "__chain", F.sum(F.when(starts, 1).otherwise(0)).over(prev.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    chain = Window.partitionBy("__chain").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
+    acc = islands.select(
+        "*", F.sum("__nl").over(chain).alias("__cn"), *[F.sum(f"__lt_{s}").over(chain).alias(f"__ct_{s}") for s in sums]
+    )
     return acc.select(
         _PID, *fg, *lg, "__nf", "__nl", "__np",
         F.when(cont, F.lag("__cn").over(prev)).otherwise(F.lit(0).cast("bigint")).alias("__off"),
