@@ -164,3 +164,10 @@ def test_numbered_rows_are_released_with_the_work_database(spark):
     assert not os.path.exists(folder)
     # a fresh work database is created on the next use
     assert ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], name="rn").count() == 100
+
+
+def test_ntile_with_groups_smaller_than_bucket_count(spark):
+    df = spark.range(40).select("id", F.when(F.col("id") < 3, F.lit("tiny")).otherwise(F.lit("big")).alias("grp"))
+    got = ordered.with_ntile(df, 7, [F.col("id").asc()], [], ["grp"], name="t", partitions=6)
+    w = Window.partitionBy("grp").orderBy("id")
+    _same(got, df.withColumn("t", F.ntile(7).over(w)), ["id", "t"])
