@@ -26,7 +26,11 @@ def run_incremental(
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Process every file in ``landing`` not seen by an earlier run; append
-    the rows to ``sink``.  Returns the number of input rows of this run."""
+    the rows to ``sink``.  Returns the number of input rows of this run,
+    summed over the query's progress reports.  Spark keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` of them (100 by default),
+    so raise that setting when a run spans more micro-batches (a small
+    ``max_files_per_trigger`` over a large backlog)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
