@@ -31,6 +31,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from quarry.operators import catalog
 from quarry.session import checkpoint_root
@@ -60,11 +61,16 @@ def _numbered(df: DataFrame, group, order, tiebreak, partitions: int | None) ->
     tagged = ranged.withColumn(_PID, pid).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
     )
+    # Parquet has no void type; such a column is NULL in every row and is re-added on read.
+    void = [f.name for f in tagged.schema.fields if isinstance(f.dataType, NullType)]
     # Several range partitions share a bucket when n exceeds the session's bucket limit.
     buckets = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
     # Managed: ``catalog.drop_work_database`` removes the files once results are written.
-    name = catalog.save_bucketed(tagged, "numbered", buckets, _PID, sort_by=[_PID, *group, _LOCAL], managed=True)
-    return spark.table(name)
+    name = catalog.save_bucketed(
+        tagged.drop(*void), "numbered", buckets, _PID, sort_by=[_PID, *group, _LOCAL], managed=True
+    )
+    stored = spark.table(name)
+    return stored.select(*[F.lit(None).alias(c) if c in void else F.col(c) for c in tagged.columns]) if void else stored
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

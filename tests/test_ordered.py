@@ -171,3 +171,11 @@ def test_ntile_with_groups_smaller_than_bucket_count(spark):
     got = ordered.with_ntile(df, 7, [F.col("id").asc()], [], ["grp"], name="t", partitions=6)
     w = Window.partitionBy("grp").orderBy("id")
     _same(got, df.withColumn("t", F.ntile(7).over(w)), ["id", "t"])
+
+
+def test_void_column_passes_through(spark):
+    df = spark.range(50).select("id", (F.col("id") % 4).alias("grp"), F.lit(None).alias("nothing"))
+    got = ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], name="rn", partitions=4)
+    assert got.schema["nothing"].dataType == df.schema["nothing"].dataType
+    w = Window.partitionBy("grp").orderBy("id")
+    _same(got, df.withColumn("rn", F.row_number().over(w)), ["id", "rn", "nothing"])
