@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe
+from quarry.llm import bpe, decontaminate, secrets
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -19,6 +19,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -26,3 +31,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
