@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, secrets
+from quarry.llm import bpe, decontaminate, near_dedup, quality_mil, secrets
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -36,3 +36,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+@query
+def op7_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
