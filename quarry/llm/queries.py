@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, near_dedup, quality_mcd, quality_mil, secrets
+from quarry.llm import bpe, decontaminate, near_dedup, quality_mcd, quality_mil, secrets, toxicity
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -51,3 +51,8 @@ def op7_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
