@@ -1,7 +1,7 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and their PREFIXES (invented and inflected words share those); the
-vocabulary is the TERMS terms whose association with the label is strongest
+Terms are words and their PREFIXES (invented and inflected words share those), each also
+as "occurs LEVELS times or more"; the vocabulary is the TERMS terms whose association with the label is strongest
 (log-likelihood ratio) among at most EXAMPLES labelled documents of each class.
 Inverse document frequencies count all documents.  The examples' vectors form an
 inverted index whose postings are cut into blocks of BLOCK examples; for every term
@@ -21,6 +21,8 @@ of label 1 (0.5 without any labels).
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,8 +35,9 @@ from quarry.llm.quality_mil import training_rows
 EXAMPLES = 4000
 TERMS = 4096
 PREFIXES = (4, 5, 6)
+LEVELS = (2, 3, 5)
 LEAST_DOCS = 3
-LEAST_RATIO = 20.0  # log-likelihood ratio of a term that counts as associated
+LEAST_RATIO = 30.0  # log-likelihood ratio of a term that counts as associated
 NEIGHBOURS = 15
 BLOCK = 128
 PRIOR_WEIGHT = 0.05
@@ -46,28 +49,43 @@ def term_names(word: bytes) -> list[bytes]:
     return [word] + [word[:n] + b"*" for n in PREFIXES if len(word) > n]
 
 
+def level_names(name: bytes, count: int) -> list[bytes]:
+    """The term, and it with the number of each of LEVELS that its count reaches."""
+    return [name] + [b"%s#%d" % (name, n) for n in LEVELS if count >= n]
+
+
 class Terms(dict):
-    """word -> numbers of its vocabulary terms; forgets all when it has CACHED words."""
+    """word -> numbers of those of its terms that the vocabulary holds at any level; forgets all when it has CACHED words."""
 
     def __init__(self, vocabulary: dict[bytes, int]):
         super().__init__()
-        self.vocabulary = vocabulary
+        plain = dict.fromkeys(t.split(b"#")[0] for t in vocabulary)
+        self.number = {t: k for k, t in enumerate(plain)}
+        # a row for each term: its places in the vocabulary from one occurrence on, from LEVELS on, or -1
+        self.places = np.array([[vocabulary.get(x, -1) for x in level_names(t, max(LEVELS))] for t in plain], np.int64)
+        self.places = self.places.reshape(-1, 1 + len(LEVELS))
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= CACHED:
             self.clear()
-        found = tuple(self.vocabulary[t] for t in term_names(word) if t in self.vocabulary)
+        found = tuple(self.number[t] for t in term_names(word) if t in self.number)
         if len(word) < 64:
             self[word] = found
         return found
 
     def count(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """The text's vocabulary terms and how often each occurs."""
+        """The vocabulary terms of a text, ascending, and how often each occurs (a level's term: once)."""
         hits: list[int] = []
         for chunk in byte_chunks(text.translate(WORD_BYTES)):
             for found in filter(None, map(self.__getitem__, chunk.split())):
                 hits += found
-        return np.unique(np.array(hits, np.int64), return_counts=True)
+        own, n = np.unique(np.array(hits, np.int64), return_counts=True)
+        reached = n[:, None] >= np.array([1, *LEVELS])
+        terms = self.places[own]
+        often = np.where(np.arange(1 + len(LEVELS)) == 0, n[:, None], 1)
+        there = reached & (terms >= 0)
+        order = np.argsort(terms[there])
+        return terms[there][order], often[there][order]
 
 
 class Index:
@@ -190,9 +208,13 @@ def _associated(rows: DataFrame, totals: np.ndarray) -> dict[bytes, int]:
 
         for b in slices(batches):
             for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = set((text or b"").translate(WORD_BYTES).split())
-                for t in {t for w in words for t in term_names(w)}:
-                    held.setdefault(t, [0, 0])[y] += 1
+                found: Counter[bytes] = Counter()
+                for w, n in Counter((text or b"").translate(WORD_BYTES).split()).items():
+                    for t in term_names(w):
+                        found[t] += n
+                for t, n in found.items():
+                    for x in level_names(t, n):
+                        held.setdefault(x, [0, 0])[y] += 1
             if len(held) > 200_000:
                 yield counted()
                 held = {}
