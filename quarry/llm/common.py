@@ -35,13 +35,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
-def map_texts(docs: DataFrame, make: Callable, schema: str, columns: list[str | Column], binary: bool = False) -> DataFrame:
+def map_texts(
+    docs: DataFrame, make: Callable, schema: str, columns: list[str | Column], binary: bool = False, many: bool = False
+) -> DataFrame:
     """One output row for each input row.
 
     ``columns`` are passed through (as the first output columns); ``make()``
     runs once in a task and returns a function from a text (``str``, or
     ``bytes`` if ``binary``; null comes as empty) to the tuple of the further
-    columns of ``schema``.  Extra input columns are not read.
+    columns of ``schema``; with ``many``, from a list of texts to a list of tuples.
+    Extra input columns are not read.
     """
     small_batches(docs.sparkSession)
     text = F.col("text").cast("binary") if binary else F.col("text").cast("string")
@@ -52,7 +55,8 @@ def map_texts(docs: DataFrame, make: Callable, schema: str, columns: list[str |
         work = make()
         for piece in slices(batches):
             n = piece.num_columns - 1
-            rows = [work(t if t is not None else empty) for t in piece.column(n).to_pylist()]
+            texts = [t if t is not None else empty for t in piece.column(n).to_pylist()]
+            rows = work(texts) if many else [work(t) for t in texts]
             cols = [piece.column(i) for i in range(n)]
             cols += [pa.array(c, type=out_types[k]) for k, c in enumerate(zip(*rows, strict=True))]
             yield pa.RecordBatch.from_arrays(cols, names=names)

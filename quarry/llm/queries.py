@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, near_dedup, quality_mcd, quality_mil, secrets, toxicity
+from quarry.llm import bpe, decontaminate, language_id, near_dedup, quality_mcd, quality_mil, secrets, toxicity
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -56,3 +56,10 @@ def op2_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return language_id.identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
