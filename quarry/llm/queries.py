@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, language_id, near_dedup, quality_mcd, quality_mil, secrets, toxicity
+from quarry.llm import bpe, decontaminate, language_id, near_dedup, pii, quality_mcd, quality_mil, secrets, toxicity
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -63,3 +63,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return language_id.identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_digest(table(spark, sf_dir, "documents"))
