@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, language_id, near_dedup, pii, quality_mcd, quality_mil, secrets, toxicity
+from quarry.llm import bpe, decontaminate, language_id, near_dedup, pii, quality_mcd, quality_mil, secrets, suffix_dedup, toxicity
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -68,3 +68,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(table(spark, sf_dir, "documents"))
