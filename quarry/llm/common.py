@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,10 +77,33 @@ def learn_fold(id_column: str, modulus: int, held: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus == held, F.lit(False))
 
 
-def kept_table(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back: cuts the lineage, survives lost executors."""
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables that ``kept_table`` writes inside are deleted at the end (but those for the caller)."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _SCOPES.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
+
+
+def kept_table(df: DataFrame, tag: str, for_caller: bool = False) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder and read it back: cuts the lineage, survives lost executors.
+
+    Inside ``temporary_tables`` the table goes with it; with ``for_caller`` it
+    belongs to the scope around that, if there is one.
+    """
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
+    scopes = _SCOPES[:-1] if for_caller else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

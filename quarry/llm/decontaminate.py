@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from quarry.llm.common import byte_chunks, kept_table, slices, small_batches
+from quarry.llm.common import byte_chunks, kept_table, slices, small_batches, temporary_tables
 
 WINDOW = 13
 SEGMENT_WORDS = 2_000_000
@@ -393,7 +393,6 @@ def match_documents(docs: DataFrame, bench: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The verdict on each row of ``docs``: hit words, items whose windows occur, and whether 5 % of the words are hit."""
-    found = match_documents(docs, bench)
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType
     out = StructType(
@@ -420,7 +419,8 @@ def contamination(docs: DataFrame, bench: DataFrame) -> DataFrame:
             cols = [pa.array(hit, long), pa.array(n, long), pa.array(digest, pa.string()), pa.array(close, long)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=out.fieldNames())
 
-    rows = found.mapInArrow(run, out)
+    with temporary_tables(docs.sparkSession):
+        rows = kept_table(match_documents(docs, bench).mapInArrow(run, out), "contamination", for_caller=True)
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 

@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import kept_table, learn_fold, map_texts, slices, small_batches
+from quarry.llm.common import kept_table, learn_fold, map_texts, slices, small_batches, temporary_tables
 
 MARK = "▁"
 LONGEST = 16  # characters of a piece
@@ -333,4 +333,6 @@ def score_languages(docs: DataFrame, models: Models | None, columns: list) -> Da
 
 def identify(docs: DataFrame, path: str) -> DataFrame:
     fold = learn_fold("doc_id", 4, 2)
-    return score_languages(docs, fit_languages(docs, path, fold), ["doc_id", fold.alias("held_out")])
+    with temporary_tables(docs.sparkSession):
+        models = fit_languages(docs, path, fold)
+    return score_languages(docs, models, ["doc_id", fold.alias("held_out")])

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import byte_chunks, kept_table, map_texts, small_batches
+from quarry.llm.common import byte_chunks, kept_table, map_texts, small_batches, temporary_tables
 from quarry.llm.components import components
 
 SHINGLE = 5
@@ -321,23 +321,26 @@ def links(docs: DataFrame, sets: DataFrame, size: int = SHINGLE, percent: int =
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
-    every = kept_table(sketches(docs, size), "sketches")
-    own = every.where("n_shingles > 0 and doc_id is not null")
-    classes = own.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))
-    named = kept_table(own.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]), "classes")
-    firsts = classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2")
-    sets = kept_table(
-        every.join(firsts, ["doc_id", "fp1", "fp2"], "left_semi").dropDuplicates(["doc_id", "fp1", "fp2"]), "sets"
-    )
-    edges = links(docs.select("doc_id", "text"), sets, size, percent)
-    # rows that share a doc_id are one node, so their classes are linked as well
-    twice = named.where("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-    joined = components(edges.unionByName(twice.where("low < high").select(F.col("low").alias("a"), F.col("high").alias("b"))))
-    found = named.join(joined, F.col("rep") == F.col("node"), "left")
-    found = found.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    alone = every.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    both = found.unionByName(alone)
-    return both.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    with temporary_tables(docs.sparkSession):
+        every = kept_table(sketches(docs, size), "sketches")
+        own = every.where("n_shingles > 0 and doc_id is not null")
+        classes = own.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))
+        named = kept_table(own.select("doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]), "classes")
+        firsts = classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2")
+        sets = kept_table(
+            every.join(firsts, ["doc_id", "fp1", "fp2"], "left_semi").dropDuplicates(["doc_id", "fp1", "fp2"]), "sets"
+        )
+        edges = links(docs.select("doc_id", "text"), sets, size, percent)
+        # rows that share a doc_id are one node, so their classes are linked as well
+        ends = named.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+        twice = named.join(ends, "doc_id").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+        joined = components(edges.unionByName(twice))
+        found = named.join(joined, F.col("rep") == F.col("node"), "left")
+        found = found.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+        alone = every.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        both = found.unionByName(alone)
+        out = both.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        return kept_table(out, "near-duplicates", for_caller=True)
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -345,9 +348,10 @@ def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PE
 
     Of rows that share a kept doc_id one stays; rows without a doc_id all stay.
     """
-    kept = near_duplicates(docs.select("doc_id", "text"), size, percent).where("kept and doc_id is not null")
-    kept = kept.groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count(F.lit(1)).alias("__rows"))
-    kept = kept_table(kept, "kept")
+    with temporary_tables(docs.sparkSession):
+        kept = near_duplicates(docs.select("doc_id", "text"), size, percent).where("kept and doc_id is not null")
+        kept = kept.groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count(F.lit(1)).alias("__rows"))
+        kept = kept_table(kept, "kept", for_caller=True)
     once = docs.join(kept.where("__rows = 1"), F.col("doc_id") == F.col("__kept_id"), "left_semi")
     again = docs.join(kept.where("__rows > 1"), F.col("doc_id") == F.col("__kept_id"), "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(again).unionByName(docs.where("doc_id is null"))

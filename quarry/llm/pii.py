@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import kept_table, map_texts, slices, small_batches
+from quarry.llm.common import kept_table, map_texts, slices, small_batches, temporary_tables
 
 KINDS = ("email", "ip", "card", "phone", "term")
 NEAR = 8
@@ -261,7 +261,6 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
 def private_digest(docs: DataFrame) -> DataFrame:
     """Counts, digest of the base spans and all spans of every whole text."""
-    rows = find_private(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = [f"n_{k}" for k in KINDS[:-1]]
 
@@ -282,4 +281,6 @@ def private_digest(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n_term, long)], names=["doc_id", *names, "base_sha256", "spans", "n_term"])
 
     out = f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names) + ", base_sha256 string, spans string, n_term bigint"
-    return rows.select("doc_id", "spans").mapInArrow(run, out)
+    with temporary_tables(docs.sparkSession):
+        rows = find_private(docs).select("doc_id", "spans")
+        return kept_table(rows.mapInArrow(run, out), "private", for_caller=True)

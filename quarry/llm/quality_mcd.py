@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, kept_table, map_texts, small_batches
+from quarry.llm.common import SPACE, kept_table, map_texts, small_batches, temporary_tables
 from quarry.llm.near_dedup import _HASHES, _odd, mix
 
 STATISTICS = ("word length", "symbol rate", "repeated lines", "repeated words", "capitals", "words")
@@ -328,7 +328,9 @@ def judge(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = kept_table(rows.withColumn("base_failed", failed), "statistics")
     good = rows.where("not base_failed")
-    models = covariance_models(good.select(F.explode(F.array("g", "g_lang")).alias("g"), "x"))
+    with temporary_tables(docs.sparkSession):
+        models = covariance_models(good.select(F.explode(F.array("g", "g_lang")).alias("g"), "x"))
+        models = kept_table(models, "mcd-models", for_caller=True)
     own = models.select("g", F.col("model").alias("own"))
     wide = models.select(F.col("g").alias("g_lang"), F.col("model").alias("wide"))
     both = rows.join(own, "g", "left").join(wide, "g_lang", "left")

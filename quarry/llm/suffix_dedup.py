@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import kept_table, slices, small_batches
+from quarry.llm.common import kept_table, slices, small_batches, temporary_tables
 from quarry.llm.induced import sorted_suffixes
 
 LENGTH = 50
@@ -395,7 +395,6 @@ def _apply(docs: DataFrame, finish, columns: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    rows = removed_runs(docs).select("doc_id", "n_bytes", "digest", "text", "starts", "stops")
     extra = to_arrow_schema(_parse_datatype_string(columns))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -407,7 +406,9 @@ def _apply(docs: DataFrame, finish, columns: str) -> DataFrame:
             cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), extra.types, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", *extra.names])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, {columns}")
+    with temporary_tables(docs.sparkSession):
+        rows = removed_runs(docs).select("doc_id", "n_bytes", "digest", "text", "starts", "stops")
+        return kept_table(rows.mapInArrow(run, f"doc_id {kind}, {columns}"), "repeats", for_caller=True)
 
 
 def _left(text: bytes, gone: list[tuple[int, int]]) -> bytes:
