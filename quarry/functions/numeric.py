@@ -28,6 +28,3 @@ def money_avg(c: str | Column) -> Column:
     x = money(c)
     return F.sum(x).cast("double") / F.count(x).cast("double")
 
-
-def as_bigint(c: Column) -> Column:
-    return c.cast("bigint")

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import scratch_path
+from quarry.sources.files import clustered
 
 _WORK_DB: dict[str, str] = {}
 
@@ -59,9 +60,14 @@ def save_table(
     compression: str | None = None,
     database: str | None = None,
 ) -> str:
-    """``saveAsTable`` with a location in shared storage; returns the full name."""
+    """``saveAsTable`` with a location in shared storage; returns the full name.
+
+    A partitioned table's rows are clustered first, so that each partition value
+    is written by one task (more if it is large) and not by all."""
     spark = df.sparkSession
     full = qualified(spark, name, database)
+    if partition_by:
+        df = clustered(df, partition_by)
     w = df.write.mode(mode).format(fmt).option("path", scratch_path(spark, full.replace(".", "-")))
     if compression:
         w = w.option("compression", compression)
@@ -79,17 +85,20 @@ def save_bucketed(
     sort_by: Sequence[str] = (),
     database: str | None = None,
     managed: bool = False,
+    dealt: bool = False,
 ) -> str:
     """Bucketed (and sorted) table: a later join or aggregate on ``key``
-    between tables with the same bucket count needs no shuffle.
+    between tables with the same bucket count needs no shuffle.  Rows are dealt
+    by bucket first, so that one task writes a bucket and not all of them do.
 
     ``managed`` tables live in the database's folder (shared storage for the
     work database), so dropping the table or database removes their files.
+    ``dealt``: the rows of a bucket are in one partition already.
     """
     spark = df.sparkSession
     full = qualified(spark, name, database)
     keys = [key] if isinstance(key, str) else list(key)
-    w = df.write.mode("overwrite").format("parquet")
+    w = (df if dealt else df.repartition(buckets, *keys)).write.mode("overwrite").format("parquet")
     if not managed:
         w = w.option("path", scratch_path(spark, full.replace(".", "-")))
     w = w.bucketBy(buckets, *keys)
@@ -144,9 +153,23 @@ def create_table_as(spark: SparkSession, full_name: str, df: DataFrame, fmt: str
 
 
 def insert_select(spark: SparkSession, full_name: str, df: DataFrame) -> None:
-    """INSERT INTO ... SELECT, matching columns by name (not position)."""
+    """INSERT INTO ... SELECT, matching columns by name (not position); rows of a
+    partitioned table are clustered by its partition columns first."""
     target = spark.table(full_name).columns
-    df.select(*target).write.insertInto(full_name)
+    parts = [c.name for c in spark.catalog.listColumns(full_name) if c.isPartition]
+    rows = df.select(*target)
+    (clustered(rows, parts) if parts else rows).write.insertInto(full_name)
+
+
+def use_database(spark: SparkSession, name: str) -> str:
+    """USE: names without a database mean this one from now on; returns the one before."""
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"USE {name}")
+    return before
+
+
+def list_databases(spark: SparkSession, like: str = "*") -> DataFrame:
+    return spark.sql(f"SHOW DATABASES LIKE '{like}'")
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:

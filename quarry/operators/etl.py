@@ -3,20 +3,26 @@ and drift against a previous schema."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 Mapping = Sequence[tuple[str, str, str, str]]  # (source, source type, target, target type)
 
 
 def apply_mapping(df: DataFrame, mapping: Mapping) -> DataFrame:
-    """Rename and cast per the mapping; columns not listed are dropped."""
-    cols = []
-    for src, _src_type, dst, dst_type in mapping:
-        cols.append(F.col(src).cast(dst_type).alias(dst))
-    return df.select(*cols)
+    """Rename and cast per the mapping; columns not listed are dropped.
+
+    A source column of another type than the mapping declares is an error."""
+    found = dict(df.dtypes)
+    wrong = {src: (found.get(src), kind) for src, kind, _, _ in mapping if found.get(src) != kind}
+    if wrong:
+        raise ValueError("source types differ from the mapping (found, declared): " + str(wrong))
+    return df.select(*[F.col(src).cast(dst_type).alias(dst) for src, _, dst, dst_type in mapping])
 
 
 def null_counts(df: DataFrame) -> dict[str, int]:
@@ -80,7 +86,28 @@ def previous_schema(spark: SparkSession, fields: Sequence[tuple[str, str]]) -> D
     return spark.createDataFrame(list(fields), "field string, type string")
 
 
-def read_data_files(spark: SparkSession, path: str, fmt: str = "parquet", include: str = "*.parquet") -> DataFrame:
+def read_data_files(
+    spark: SparkSession, path: str, fmt: str = "parquet", include: str = "*.parquet", merge_schema: bool = False
+) -> DataFrame:
     """Read only data files: ``pathGlobFilter`` keeps names matching
     ``include``, so ``*.tmp`` leftovers and ``_SUCCESS`` markers are skipped."""
-    return spark.read.format(fmt).option("pathGlobFilter", include).load(path)
+    reader = spark.read.format(fmt).option("pathGlobFilter", include)
+    return reader.option("mergeSchema", str(merge_schema).lower()).load(path)
+
+
+def discover_files(
+    spark: SparkSession, path: str, previous: Sequence[tuple[str, str]], fmt: str = "parquet", include: str = "*.parquet"
+) -> DataFrame:
+    """Schema discovery over files, compared with the last known schema.
+
+    Files that don't match ``include`` are skipped; the others' schemas are merged.
+    Returns (field, inferred_type, previous_type, change, values): the values are
+    counted in the files; a field that is gone is logged and stays as ``removed``.
+    """
+    rows = read_data_files(spark, path, fmt, include, merge_schema=True)
+    pairs = ", ".join(f"'{c}', '{t}', n_{i}" for i, (c, t) in enumerate(rows.dtypes))
+    counts = rows.agg(*[F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(rows.columns)])
+    found = counts.selectExpr(f"stack({len(rows.columns)}, {pairs}) AS (field, inferred_type, values)")
+    for name in sorted({f for f, _ in previous} - set(rows.columns)):
+        log.warning("field %s of the previous schema is gone from %s", name, path)
+    return schema_drift(found, previous_schema(spark, previous))

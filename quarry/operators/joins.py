@@ -1,11 +1,13 @@
 """Join helpers that stay safe when one key holds a large share of the rows.
 
-* Broadcast only a side whose row count is checked first; beyond the bound
-  the plain join is used and AQE decides at run time (its own size check),
-  with skew-join splitting of hot partitions.
+* A side is broadcast only after its bytes have been measured; otherwise joins
+  carry no hint and adaptive execution decides by the bytes it sees, splitting
+  hot partitions.
 * Aggregate the many side per key before it meets the other side, so a hot
   key is collapsed by the map-side partial aggregate instead of landing whole
   in one join task.
+* Outer joins, whose non-preserved side adaptive execution can't split, take a
+  number of salts for it.
 """
 
 from __future__ import annotations
@@ -15,35 +17,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of this many rows is cheap to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 100_000
+#: A side of this many bytes (as JSON text) may be sent to every executor.
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as JSON text: one aggregate pass, one number back."""
+    return int(df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row-count check; otherwise leave it to AQE."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``big`` to a dimension ``small``; broadcast when the check allows.
-
-    Only join types where the broadcast side is the right (build) side are
-    accepted, so the hint is always usable.
-    """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
-        raise ValueError(f"broadcast of the right side does not fit a {how!r} join")
-    return big.join(broadcast_if_small(small, max_rows), on, how)
+def broadcast_checked(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint behind a measurement of the bytes; otherwise adaptive execution decides."""
+    return F.broadcast(df) if text_bytes(df) <= max_bytes else df
 
 
 def exists_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, negate: bool = False) -> DataFrame:
@@ -74,53 +59,61 @@ def aggregate_then_join(
     return left.join(per_key, left[left_key] == per_key["__k"], how).drop("__k")
 
 
-def outer_join_split(
+def outer_join(
     left: DataFrame,
     right: DataFrame,
-    left_key: str,
-    right_key: str,
-    keep_left: bool = True,
-    keep_right: bool = False,
+    on: str | Sequence[str],
+    how: str,
+    salts: int = 1,
+    salt_by: Sequence[str] | None = None,
+    suffix: str = "_right",
 ) -> DataFrame:
-    """LEFT / RIGHT / FULL outer equi-join written as inner + anti joins.
-
-    An outer join can only split hot partitions on its preserved side; this
-    form lets the inner part be split on both sides (AQE skew join), while the
-    anti parts only ship distinct keys.  Rows of the missing side are NULL.
+    """LEFT / RIGHT / FULL join USING the columns ``on``.
+
+    The key columns come once (from the side that has the row), then the other
+    columns of the left and of the right side; a right column whose name the
+    left side has as well gets ``suffix``.  NULL keys match nothing.
+
+    With one salt this is the plain join, which reads each side once; adaptive
+    execution splits hot partitions of the preserved side only.  With more, the
+    other side's rows are dealt over ``salts`` by a hash of ``salt_by`` (all its
+    columns unless given; they must identify rows the same way on every read), and
+    a preserved row goes to each salt that its key has there, or to none.  So a
+    hot key is spread on both sides, every copy finds a match, and rows without
+    a match come once.  The salted side is then read twice.
     """
-    both = left.join(right, left[left_key] == right[right_key], "inner")
-    parts = [both]
-    if keep_left:
-        only_left = exists_join(left, right, left_key, right_key, negate=True)
-        parts.append(only_left)
-    if keep_right:
-        only_right = exists_join(right, left, right_key, left_key, negate=True)
-        parts.append(only_right)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
-
-
-def attach_aggregate(
-    rows: DataFrame,
-    per_group: DataFrame,
-    keys: Sequence[str],
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+    if how not in ("left", "right", "full"):
+        raise ValueError(f"not an outer join: {how!r}")
+    keys = [on] if isinstance(on, str) else list(on)
+    taken = {*left.columns}
+    names = {c: c + suffix if c in taken and c not in keys else c for c in right.columns}
+    if clash := [n for c, n in names.items() if n != c and (n in taken or n in right.columns)]:
+        raise ValueError(f"columns {clash} exist already; choose another suffix")
+    order = [*keys, *[c for c in left.columns if c not in keys], *[names[c] for c in right.columns if c not in keys]]
+    right = right.withColumnsRenamed(names)
+    if salts <= 1:
+        return left.join(right, keys, how).select(order)
+    kept, other = (right, left) if how == "right" else (left, right)
+    by = list(salt_by) if salt_by else other.columns
+    by = [names.get(c, c) if how != "right" else c for c in by]
+    dealt = other.withColumn("__salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
+    present = dealt.groupBy(*keys).agg(F.collect_set("__salt").alias("__salts"))  # one row a key, at most ``salts`` values
+    copies = kept.join(present, keys, "left").withColumn("__salt", F.explode_outer("__salts")).drop("__salts")
+    return copies.join(dealt, [*keys, "__salt"], "full" if how == "full" else "left").select(order)
+
+
+def attach_aggregate(rows: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join a per-group aggregate back onto the rows of its groups.
 
-    The aggregate is materialized once (``checkpoint`` into the shared
-    folder), counted, and broadcast when it is within ``max_rows`` -- then the
-    rows are never shuffled by a possibly low-cardinality, hot group key.
-    Beyond the bound it is a shuffle join whose hot partitions AQE splits.
+    NULL group keys match, as in the grouping.  The aggregate has one row a
+    group, so a hot group is a hot partition of the rows only, which adaptive
+    execution splits (or avoids, if the aggregate's bytes allow a broadcast).
     """
-    fixed = per_group.checkpoint(eager=True)
-    side = broadcast_if_small(fixed, max_rows)
+    side = per_group
     for k in keys:
         side = side.withColumnRenamed(k, f"__g_{k}")
     cond = None
-    for k in keys:  # NULL group keys match, as in the grouping
+    for k in keys:
         c = rows[k].eqNullSafe(side[f"__g_{k}"])
         cond = c if cond is None else cond & c
     return rows.join(side, cond, "inner").drop(*[f"__g_{k}" for k in keys])

@@ -1,17 +1,15 @@
-"""Layout operators: partition statistics, layout advice and compaction sizing."""
+"""Layout operators: partition statistics and layout advice."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_PARTITION_BYTES = 128 * 1024 * 1024  # advice: 128 MB .. 1 GB per partition value
 MAX_PARTITION_BYTES = 1024 * 1024 * 1024
 MAX_VALUES = 10_000  # more partition values than this is a high-cardinality key
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024  # input split size of the study material
 
 
 def rows_per_partition(df: DataFrame) -> DataFrame:
@@ -19,24 +17,40 @@ def rows_per_partition(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+#: Bytes that a value of each type takes; text takes its own length.
+WIDTHS = {"tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4, "boolean": 1}
+WIDTH = 8
+
+
+def value_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: the width of its types, and the length of its texts."""
+    total = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(name), F.lit(0))
+        else:
+            total = total + F.lit(WIDTHS.get(kind, WIDTH))
+    return total
+
+
 def layout_advice(
     df: DataFrame,
     keys: Sequence[str],
-    row_bytes: float,
     min_bytes: int = MIN_PARTITION_BYTES,
     max_bytes: int = MAX_PARTITION_BYTES,
     max_values: int = MAX_VALUES,
 ) -> DataFrame:
-    """For each candidate partition key: distinct values, rows, estimated
-    bytes per value (rows / values * row_bytes) and a verdict.
+    """For each candidate partition key: distinct values, rows, measured bytes
+    per value (``value_bytes`` of all rows / values) and a verdict.
 
     All candidates are counted in one aggregate pass over ``df``.
     """
-    aggs = [F.count(F.lit(1)).alias("rows")] + [F.count_distinct(k).alias(f"d_{i}") for i, k in enumerate(keys)]
+    aggs = [F.count(F.lit(1)).alias("rows"), F.sum(value_bytes(df)).alias("bytes")]
+    aggs += [F.count_distinct(k).alias(f"d_{i}") for i, k in enumerate(keys)]
     stats = df.agg(*aggs)
     stack = ", ".join(f"'{k}', d_{i}" for i, k in enumerate(keys))
-    long = stats.selectExpr(f"stack({len(keys)}, {stack}) AS (partition_key, distinct_values)", "rows")
-    long = long.withColumn("bytes_per_value", F.col("rows").cast("double") / F.col("distinct_values") * row_bytes)
+    long = stats.selectExpr(f"stack({len(keys)}, {stack}) AS (partition_key, distinct_values)", "rows", "bytes")
+    long = long.withColumn("bytes_per_value", F.col("bytes").cast("double") / F.col("distinct_values"))
     verdict = (
         F.when(F.col("distinct_values") > max_values, "too many values")
         .when(F.col("bytes_per_value") < min_bytes, "partitions too small")
@@ -44,22 +58,3 @@ def layout_advice(
         .otherwise("good")
     )
     return long.select("partition_key", "distinct_values", "rows", "bytes_per_value", verdict.alias("verdict"))
-
-
-def files_for_bytes(total_bytes: int, target_file_bytes: int) -> int:
-    """Number of output files so that each is about ``target_file_bytes``."""
-    return max(1, math.ceil(total_bytes / max(1, target_file_bytes)))
-
-
-def stored_bytes(spark, path: str) -> int:
-    """Bytes of the files below ``path``: a file listing (no content read),
-    summed on the executors; one number comes back."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return int(listing.agg(F.sum("length")).first()[0] or 0)
-
-
-def partition_count(requested: int, total_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """``requested`` partitions, raised so that none holds more than about
-    ``target_bytes`` of stored data: a fixed count from an example stays a
-    floor, and at scale the count follows the input size."""
-    return max(requested, files_for_bytes(total_bytes, target_bytes))

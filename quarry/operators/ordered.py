@@ -12,62 +12,95 @@ Positions and running totals are therefore computed in two parts:
 * a window over (partition, group) gives the position and running total
   inside the partition -- every window partition is at most one range
   partition, whatever the size of the group;
-* a per-partition table (one row per non-empty partition, so its size is
-  bounded by the partition count and it can be broadcast) holds, for the
+* a per-partition table (one row per non-empty partition) holds, for the
   partition's first group, the rows and totals that precede it in earlier
   partitions.
 
-The numbered rows are written once, as a table bucketed by partition id in the
+A set of rows with equal group and order values (a tie) is a contiguous run of
+the same table, so RANK is the position in the group less the position in the
+tie, and DENSE_RANK a running count of the rows that begin a tie: one numbering
+serves them all, with any number of sort columns.
+
+The numbered rows are written once, as a table bucketed by partition in the
 shared scratch database (see ``_numbered``).  The per-partition table and the
 rows it is joined to come from the same materialized data even if a task or
 executor is re-run, and the bucketed scan feeds the (partition, group) window
-with no further shuffle.  NTILE takes group sizes and LEAD/LAG cross-partition
-neighbours from tables of the same bound.
+with no further shuffle.  Each bucket holds exactly one range partition.
+
+``partitions``, the number of range partitions, is an argument of every
+operator: explicit counts are not adapted, so it decides how much a task
+holds.  The small tables carry no broadcast hints; adaptive execution decides
+by their bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
 
 from quarry.operators import catalog
 from quarry.session import checkpoint_root
 
-_PID, _LOCAL = "__pid", "__local"
+# __pid: number of the range partition, in order.  __key: the integer whose bucket it has to itself.
+_PID, _KEY, _LOCAL = "__pid", "__key", "__local"
 
 
 def _sort_keys(group: Sequence[str], order: Sequence[Column], tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(g).asc_nulls_first() for g in group] + list(order) + [F.col(t).asc_nulls_first() for t in tiebreak]
 
 
-def _numbered(df: DataFrame, group, order, tiebreak, partitions: int | None) -> DataFrame:
+_BUCKET_KEYS: dict[tuple[str, int], list[int]] = {}
+
+
+def bucket_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each bucket 0 .. n-1 of a table bucketed by a bigint, the smallest integer that falls into it.
+
+    Bucketing hashes its column, so numbering partitions 0 .. n-1 would leave
+    over a third of the buckets empty and put several partitions into others.
+    ``n`` is at most the session's bucket limit, which bounds the list.
+    """
+    key = (spark.sparkContext.applicationId, n)
+    if key not in _BUCKET_KEYS:
+        tried, found = 4 * n + 64, {}
+        while len(found) < n:
+            tried *= 2
+            hits = spark.range(tried).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("b")).groupBy("b").agg(F.min("id").alias("id"))
+            found = {r["b"]: r["id"] for r in hits.collect()}
+        _BUCKET_KEYS[key] = [found[b] for b in range(n)]
+    return _BUCKET_KEYS[key]
+
+
+def _numbered(df: DataFrame, group, order, tiebreak, partitions: int) -> DataFrame:
     """Range-partition, sort, and number the rows of each partition.
 
-    The result is written once as a table bucketed (and sorted) by partition
-    id in the shared scratch database.  That cuts the lineage -- every later
-    step reads the same numbering, even after a lost executor -- and a scan
-    of it is hash-partitioned by partition id, so the per-(partition, group)
-    window and aggregates need no further shuffle.
+    The result is written once as a table in the shared scratch database,
+    bucketed (and sorted) so that each bucket is one range partition.  That cuts
+    the lineage -- every later step reads the same numbering, even after a lost
+    executor -- and a scan of it is hash-partitioned by the partition's key, so the
+    per-(partition, group) window and aggregates need no further shuffle.
+    ``catalog.drop_work_database`` removes the table once results are written.
     """
     spark = df.sparkSession
     checkpoint_root(spark)  # later checkpoints of the small tables go to the shared folder
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    if not 1 <= partitions <= limit:
+        raise ValueError(f"partitions must be 1 to {limit} (spark.sql.sources.bucketing.maxBuckets), not {partitions}")
     keys = _sort_keys(group, order, tiebreak)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
     pid = F.spark_partition_id()
     tagged = ranged.withColumn(_PID, pid).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
     )
+    names = spark.createDataFrame(list(enumerate(bucket_keys(spark, partitions))), f"{_PID} int, {_KEY} bigint")
+    # one small row for each partition, at most the bucket limit
+    tagged = tagged.join(F.broadcast(names), _PID)
     # Parquet has no void type; such a column is NULL in every row and is re-added on read.
     void = [f.name for f in tagged.schema.fields if isinstance(f.dataType, NullType)]
-    # Several range partitions share a bucket when n exceeds the session's bucket limit.
-    buckets = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
-    # Managed: ``catalog.drop_work_database`` removes the files once results are written.
     name = catalog.save_bucketed(
-        tagged.drop(*void), "numbered", buckets, _PID, sort_by=[_PID, *group, _LOCAL], managed=True
+        tagged.drop(*void), "numbered", partitions, _KEY, sort_by=[_KEY, *group, _LOCAL], managed=True, dealt=True
     )
     stored = spark.table(name)
     return stored.select(*[F.lit(None).alias(c) if c in void else F.col(c) for c in tagged.columns]) if void else stored
@@ -101,13 +134,15 @@ def _ends(tagged: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataF
     Only ``runs`` (one row per (partition, group), aggregated map-side) grows
     with the number of groups.
     """
-    runs = tagged.groupBy(_PID, *group).agg(
+    runs = tagged.groupBy(_KEY, *group).agg(
+        F.min(_PID).alias(_PID),
         F.min(_LOCAL).alias("__lo"),
         F.max(_LOCAL).alias("__hi"),
         F.count(F.lit(1)).alias("__n"),
         *[F.sum(s).alias(f"__t_{s}") for s in sums],
     )
-    return runs.groupBy(_PID).agg(
+    return runs.groupBy(_KEY).agg(
+        F.min(_PID).alias(_PID),
         *[F.min_by(g, "__lo").alias(f"__fg{i}") for i, g in enumerate(group)],
         *[F.max_by(g, "__hi").alias(f"__lg{i}") for i, g in enumerate(group)],
         F.min_by("__n", "__lo").alias("__nf"),
@@ -143,44 +178,36 @@ def _carried(ends: DataFrame, n_group: int, sums: Sequence[str]) -> DataFrame:
         "*", F.sum("__nl").over(chain).alias("__cn"), *[F.sum(f"__lt_{s}").over(chain).alias(f"__ct_{s}") for s in sums]
     )
     return acc.select(
-        _PID, *fg, *lg, "__nf", "__nl", "__np",
+        _KEY, *fg, *lg, "__nf", "__nl", "__np",
         F.when(cont, F.lag("__cn").over(prev)).otherwise(F.lit(0).cast("bigint")).alias("__off"),
         *[F.when(cont, F.lag(f"__ct_{s}").over(prev)).alias(f"__soff_{s}") for s in sums],
     )
 
 
-def _positioned(
-    df: DataFrame,
-    order: Sequence[Column],
-    tiebreak: Sequence[str],
+def _placed(
+    tagged: DataFrame,
     group: Sequence[str],
-    running: dict[str, Column],
-    partitions: int | None,
+    sums: Sequence[str] = (),
     local: Callable[[WindowSpec], dict[str, Column]] | None = None,
     run_size: bool = False,
     fixed_ends: bool = False,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Number the rows; returns (rows, carried, tagged).
-
-    ``rows`` has ``__pos`` (ROW_NUMBER in the group), ``__lpos`` (position in
-    the partition's run of the group), ``__first``/``__last`` (the run is the
-    partition's first/last), ``__nrun`` (run length, if ``run_size``), the
-    running sums and the ``local`` window columns.  ``carried`` has one row per
-    non-empty partition; it is fixed by a checkpoint when ``fixed_ends`` (for
-    callers that use it more than once).
+) -> tuple[DataFrame, DataFrame]:
+    """Positions in ``group`` of the numbered rows; returns (rows, carried).
+
+    ``group`` must be a prefix of what the rows were sorted by.  ``rows`` has
+    ``__pos`` (ROW_NUMBER in the group), ``__lpos`` (position in the
+    partition's run of the group), ``__first``/``__last`` (the run is the
+    partition's first/last), ``__nrun`` (run length, if ``run_size``), for
+    each of ``sums`` its running sum ``__run_<s>``, and the ``local`` window
+    columns.  ``carried`` has one row per non-empty partition; it is fixed by a
+    checkpoint when ``fixed_ends`` (for callers that use it more than once).
     """
-    group = list(group)
-    base = df
-    for out, value in running.items():
-        base = base.withColumn(f"__v_{out}", value)
-    tagged = _numbered(base, group, order, tiebreak, partitions)
-    sums = [f"__v_{out}" for out in running]
     ends = _ends(tagged, group, sums)
     if fixed_ends:
         ends = ends.checkpoint(eager=True)
     carried = _carried(ends, len(group), sums)
 
-    inside = Window.partitionBy(_PID, *group).orderBy(_LOCAL)
+    inside = Window.partitionBy(_KEY, *group).orderBy(_LOCAL)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     rows = tagged.withColumn("__lpos", F.row_number().over(inside))
     if run_size:
@@ -190,22 +217,21 @@ def _positioned(
     for name, c in (local(inside) if local else {}).items():
         rows = rows.withColumn(name, c)
 
-    # One row per non-empty partition: bounded by the partition count.
-    rows = rows.join(F.broadcast(carried), [_PID], "inner")
+    rows = rows.join(carried, [_KEY], "inner")
     rows = rows.withColumns({
         "__first": _same(group, [f"__fg{i}" for i in range(len(group))]),
         "__last": _same(group, [f"__lg{i}" for i in range(len(group))]),
     })
     rows = rows.withColumn("__pos", (F.col("__lpos") + F.when(F.col("__first"), F.col("__off")).otherwise(0)).cast("bigint"))
-    for out, s in zip(running, sums):
+    for s in sums:
         here, before = F.col(f"__ls_{s}"), F.when(F.col("__first"), F.col(f"__soff_{s}"))
         typ = rows.schema[f"__ls_{s}"].dataType
         # SUM ignores NULLs and is NULL only while every value so far is NULL.
         total = F.when(here.isNull() & before.isNull(), F.lit(None)).otherwise(
             F.coalesce(here, F.lit(0).cast(typ)) + F.coalesce(before, F.lit(0).cast(typ))
         )
-        rows = rows.withColumn(out, total.cast(typ))
-    return rows, carried, tagged
+        rows = rows.withColumn(f"__run_{s}", total.cast(typ))
+    return rows, carried
 
 
 def _finish(rows: DataFrame, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -220,33 +246,37 @@ def with_positions(
     group: Sequence[str] = (),
     name: str = "pos",
     running: dict[str, Column] | None = None,
-    partitions: int | None = None,
+    *,
+    partitions: int,
 ) -> DataFrame:
     """Add ``name`` = ROW_NUMBER() within ``group`` in ``order`` (ties broken by
     ``tiebreak``, which must make the order total), and for each
     ``running[out] = value`` a running SUM(value) over ROWS UNBOUNDED PRECEDING.
     """
     running = running or {}
-    rows, _, _ = _positioned(df, order, tiebreak, group, running, partitions)
-    return _finish(rows.withColumnRenamed("__pos", name) if name != "__pos" else rows, df, [name, *running])
+    values = {f"__v_{out}": value for out, value in running.items()}
+    tagged = _numbered(df.withColumns(values) if values else df, group, order, tiebreak, partitions)
+    rows, _ = _placed(tagged, group, list(values))
+    rows = rows.withColumns({name: F.col("__pos"), **{out: F.col(f"__run___v_{out}") for out in running}})
+    return _finish(rows, df, [name, *running])
 
 
 def with_positions_and_count(
-    df: DataFrame, order: Sequence[Column], tiebreak: Sequence[str], name: str = "pos", partitions: int | None = None
+    df: DataFrame, order: Sequence[Column], tiebreak: Sequence[str], name: str = "pos", *, partitions: int
 ) -> tuple[DataFrame, int]:
     """Global ROW_NUMBER (as ``with_positions`` with no group) and the row count.
 
     The count is summed over the per-partition table (one row per non-empty
     partition), so it costs no extra pass over the data.
     """
-    rows, carried, _ = _positioned(df, order, tiebreak, [], {}, partitions, fixed_ends=True)
+    rows, carried = _placed(_numbered(df, [], order, tiebreak, partitions), [], fixed_ends=True)
     n = carried.agg(F.sum("__np")).first()[0] or 0  # one number back
-    return _finish(rows.withColumnRenamed("__pos", name), df, [name]), int(n)
+    return _finish(rows.withColumn(name, F.col("__pos")), df, [name]), int(n)
 
 
 def with_ntile(
     df: DataFrame, buckets: int, order: Sequence[Column], tiebreak: Sequence[str], group: Sequence[str] = (), name: str = "ntile",
-    partitions: int | None = None,
+    *, partitions: int,
 ) -> DataFrame:
     """NTILE(buckets): the first (size mod buckets) tiles get one extra row.
 
@@ -256,7 +286,8 @@ def with_ntile(
     partition.
     """
     group = list(group)
-    rows, carried, _ = _positioned(df, order, tiebreak, group, {}, partitions, run_size=True, fixed_ends=True)
+    tagged = _numbered(df, group, order, tiebreak, partitions)
+    rows, carried = _placed(tagged, group, run_size=True, fixed_ends=True)
     if group:
         fg = [f"__fg{i}" for i in range(len(group))]
         lg = [f"__lg{i}" for i in range(len(group))]
@@ -269,7 +300,7 @@ def with_ntile(
         for g, k in zip(group, sk):
             c = rows[g].eqNullSafe(sizes[k])
             cond = c if cond is None else cond & c
-        rows = rows.join(F.broadcast(sizes), cond, "left")
+        rows = rows.join(sizes, cond, "left")
         size = F.when(F.col("__first") | F.col("__last"), F.col("__gsize")).otherwise(F.col("__nrun"))
     else:
         # One scalar (the row count, from the per-partition table) comes back to the driver.
@@ -282,12 +313,6 @@ def with_ntile(
     return _finish(rows.withColumn(name, tile.cast("bigint")), df, [name])
 
 
-# Edge tables up to this many rows are broadcast: one neighbour over 1,000,000
-# range partitions (128 MB each, about 120 TB) gives 2,000,000 rows of (group,
-# position, value).  Beyond it the lookup is a shuffle join.
-EDGE_BROADCAST_ROWS = 4_000_000
-
-
 def with_lead_lag(
     df: DataFrame,
     value: str,
@@ -297,7 +322,8 @@ def with_lead_lag(
     offset: int = 1,
     lead_name: str = "lead",
     lag_name: str = "lag",
-    partitions: int | None = None,
+    *,
+    partitions: int,
 ) -> DataFrame:
     """LEAD/LAG(value, offset): the value ``offset`` rows after/before, NULL past the ends.
 
@@ -309,15 +335,14 @@ def with_lead_lag(
     """
     group = list(group)
     k = offset
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows, carried, tagged = _positioned(
-        df, order, tiebreak, group, {}, n,
-        local=lambda w: {"__llead": F.lead(value, k).over(w), "__llag": F.lag(value, k).over(w)},
+    tagged = _numbered(df, group, order, tiebreak, partitions)
+    rows, carried = _placed(
+        tagged, group, local=lambda w: {"__llead": F.lead(value, k).over(w), "__llag": F.lag(value, k).over(w)},
         run_size=True, fixed_ends=True,
     )
     fg = [f"__fg{i}" for i in range(len(group))]
     lg = [f"__lg{i}" for i in range(len(group))]
-    at_edge = tagged.join(F.broadcast(carried), [_PID], "inner")
+    at_edge = tagged.join(carried, [_KEY], "inner")
     in_first, in_last = _same(group, fg), _same(group, lg)
     local = F.col(_LOCAL)
     edge_pos = F.when(in_first, local + 1 + F.col("__off")).otherwise(local - (F.col("__np") - F.col("__nl")) + 1)
@@ -327,8 +352,6 @@ def with_lead_lag(
     )
     # Fixed once (both neighbour joins read it); at most 2 * offset rows per partition.
     edges = edges.checkpoint(eager=True)
-    if 2 * k * n <= EDGE_BROADCAST_ROWS:
-        edges = F.broadcast(edges)
 
     def neighbour(frame: DataFrame, shift: int, out: str) -> DataFrame:
         e = edges.select(*ek, (F.col("__epos") - shift).alias(f"__ep_{out}"), F.col("__ev").alias(out))
@@ -346,24 +369,33 @@ def with_lead_lag(
 
 
 def with_rank(
-    df: DataFrame, value: str, descending: bool, group: Sequence[str] = (),
-    rank_name: str | None = "rank", dense_name: str | None = "dense_rank",
+    df: DataFrame,
+    order: Sequence[tuple[str, bool]],
+    group: Sequence[str] = (),
+    rank_name: str | None = "rank",
+    dense_name: str | None = "dense_rank",
+    *,
+    partitions: int,
 ) -> DataFrame:
-    """RANK and DENSE_RANK by one value within ``group``.
+    """RANK and DENSE_RANK within ``group`` by any number of sort columns.
 
-    Rows are first counted per (group, value).  On those rows, DENSE_RANK is the
-    row number and RANK is the running count of rows minus the value's own
-    count, plus one.  The result is joined back on (group, value): the
-    aggregated side has one row per key, so a hot value is a skewed probe side,
-    which adaptive execution can split.
+    ``order`` lists (column, descending); NULLs come first ascending and last
+    descending.  Rows of one group with equal sort values are a run of the
+    numbered table (a row number breaks the tie, so a large one is spread as
+    well): RANK is the position in the group less the position in that run, plus
+    one, and DENSE_RANK counts the rows that begin a run.
     """
-    group = list(group)
-    col = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__cnt"))
-    ranked = with_positions(counts, [col], [], group, name="__dense", running={"__run": F.col("__cnt")})
-    picked = [F.col(c) for c in [*group, value]]
+    group, by = list(group), [c for c, _ in order]
+    columns = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_first() for c, down in order]
+    spread = df.withColumn("__tb", F.monotonically_increasing_id())
+    tagged = _numbered(spread, group, columns, ["__tb"], partitions)
+    ties, _ = _placed(tagged, [*group, *by])
+    ties = ties.select(*tagged.columns, F.col("__pos").alias("__in_tie"))
+    ties = ties.withColumn("__begins", F.when(F.col("__in_tie") == 1, 1).otherwise(0).cast("bigint"))
+    rows, _ = _placed(ties, group, ["__begins"] if dense_name else [])
+    added = {}
     if rank_name:
-        picked.append((F.col("__run") - F.col("__cnt") + 1).cast("bigint").alias(rank_name))
+        added[rank_name] = F.col("__pos") - F.col("__in_tie") + 1
     if dense_name:
-        picked.append(F.col("__dense").alias(dense_name))
-    return join_null_safe(df, ranked.select(*picked), [*group, value])
+        added[dense_name] = F.col("__run___begins").cast("bigint")
+    return _finish(rows.withColumns(added), df, list(added))

@@ -14,16 +14,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from quarry.operators import ordered
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> dict[float, object]:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], partitions: int) -> dict[float, object]:
     """Discrete quantiles of ``col`` (NULLs skipped): value at position ceil(p * n)."""
     vals = df.select(F.col(col).alias("__x")).where(F.col("__x").isNotNull())
     # a unique tie-break lets the range partitioning split a heavily repeated value
     vals = vals.withColumn("__tb", F.monotonically_increasing_id())
-    pos, n = ordered.with_positions_and_count(vals, [F.col("__x").asc()], ["__tb"], name="__pos")
+    pos, n = ordered.with_positions_and_count(vals, [F.col("__x").asc()], ["__tb"], name="__pos", partitions=partitions)
     if n == 0:
         return {p: None for p in probs}
     targets = {p: max(1, math.ceil(p * n)) for p in probs}
@@ -35,29 +36,36 @@ def _label(p: float) -> str:
     return f"p{round(p * 100):d}"
 
 
-def summary_exact(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """One row per column: count, mean, stddev (rounded to 6 places), min,
-    the exact quantiles, max.
+def summary_exact(df: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75), *, partitions: int) -> DataFrame:
+    """One row per column: count, mean, stddev (rounded to 6 places), min, the
+    exact quantiles and max of numeric columns; count, min_text and max_text
+    of text columns.  Columns of other types are left out.
 
     The moments of every column come from one aggregate pass, reshaped to a
-    row per column with ``stack``; each column's quantiles are one numbering
-    pipeline.
+    row per column with ``stack``; each numeric column's quantiles are one
+    numbering pipeline.
     """
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    cols = [f.name for f in df.schema.fields if f.name in numeric or isinstance(f.dataType, StringType)]
+    none = F.lit(None)
     aggs = []
     for i, c in enumerate(cols):
+        n = c in numeric
         aggs += [
             F.count(c).alias(f"n{i}"),
-            F.round(F.avg(c), 6).cast("double").alias(f"m{i}"),
-            F.round(F.stddev_samp(c), 6).cast("double").alias(f"s{i}"),
-            F.min(c).cast("double").alias(f"lo{i}"),
-            F.max(c).cast("double").alias(f"hi{i}"),
+            (F.round(F.avg(c), 6) if n else none).cast("double").alias(f"m{i}"),
+            (F.round(F.stddev_samp(c), 6) if n else none).cast("double").alias(f"s{i}"),
+            (F.min(c) if n else none).cast("double").alias(f"lo{i}"),
+            (F.max(c) if n else none).cast("double").alias(f"hi{i}"),
+            (none if n else F.min(c)).cast("string").alias(f"lt{i}"),
+            (none if n else F.max(c)).cast("string").alias(f"ht{i}"),
         ]
     stats = df.agg(*aggs)
     fields = []
     for i, c in enumerate(cols):
-        qs = exact_quantiles(df, c, probs)
+        qs = exact_quantiles(df, c, probs, partitions) if c in numeric else dict.fromkeys(probs)
         fields += [F.lit(c), F.col(f"n{i}"), F.col(f"m{i}"), F.col(f"s{i}"), F.col(f"lo{i}")]
         fields += [F.lit(qs[p]).cast("double") for p in probs]
-        fields.append(F.col(f"hi{i}"))
-    names = ["column_name", "count", "mean", "stddev", "min", *[_label(p) for p in probs], "max"]
+        fields += [F.col(f"hi{i}"), F.col(f"lt{i}"), F.col(f"ht{i}")]
+    names = ["column_name", "count", "mean", "stddev", "min", *[_label(p) for p in probs], "max", "min_text", "max_text"]
     return stats.select(F.stack(F.lit(len(cols)), *fields)).toDF(*names)

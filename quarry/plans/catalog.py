@@ -42,21 +42,30 @@ def scan_catalog_table(spark, sf_dir):
     return spark.sql(f"SELECT * FROM {name} WHERE o_year = 1996 AND o_month = 1")
 
 
-@query("ddl_database")
+@query(
+    "ddl_database",
+    oracle="""
+SELECT 'customer' AS table_name, TRUE AS listed, COUNT(*) AS rows FROM customer
+UNION ALL SELECT 'orders', TRUE, COUNT(*) FROM orders""",
+)
 def ddl_database(spark, sf_dir):
-    """CREATE DATABASE, save two tables in it, list its tables with row counts."""
+    """CREATE DATABASE, SHOW DATABASES, USE it, save two tables, list them (SHOW TABLES) with their rows."""
     t = _t(spark, sf_dir)
     db = cat.unique("quarry_db")
     cat.create_database(spark, db, scratch_path(spark, db))
-    names = [cat.save_table(t.customer, "customer", database=db), cat.save_table(t.orders, "orders", database=db)]
-    listed = cat.list_tables(spark, db).select("namespace", "tableName")
-    counts = None
-    for full in names:
-        c = spark.table(full).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(full.split(".")[1]).alias("tableName"), "rows"
-        )
-        counts = c if counts is None else counts.unionByName(c)
-    return listed.join(counts, "tableName")
+    if cat.list_databases(spark, db).count() != 1:
+        raise ValueError(f"{db} is not listed")
+    saved = {"customer": cat.save_table(t.customer, "customer", database=db), "orders": cat.save_table(t.orders, "orders", database=db)}
+    before = cat.use_database(spark, db)
+    try:
+        shown = {r["tableName"] for r in cat.list_tables(spark, spark.catalog.currentDatabase()).collect()}
+    finally:
+        cat.use_database(spark, before)
+    parts = []
+    for name, full in saved.items():
+        listed = F.lit(full.split(".")[1] in shown).alias("listed")
+        parts.append(spark.table(full).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), listed, "rows"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("ddl_create_table", oracle="SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
@@ -140,12 +149,12 @@ def dml_insert_select(spark, sf_dir):
 @query(
     "dml_insert_values",
     oracle="""
-SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
 UNION ALL SELECT * FROM (VALUES (CAST(-1 AS BIGINT), 'N', 10.5), (CAST(-2 AS BIGINT), 'N', 20.25)) v(o_orderkey, o_orderstatus, o_totalprice)""",
 )
 def dml_insert_values(spark, sf_dir):
     """INSERT INTO ... VALUES appends literal rows to a table built from orders."""
-    o = _t(spark, sf_dir).orders.where(F.col("o_orderpriority") == "1-URGENT")
-    name = cat.save_table(o.select("o_orderkey", "o_orderstatus", "o_totalprice"), "urgent_orders")
+    o = _t(spark, sf_dir).orders
+    name = cat.save_table(o.select("o_orderkey", "o_orderstatus", "o_totalprice"), "order_totals")
     spark.sql(f"INSERT INTO {name} VALUES (-1, 'N', 10.5), (-2, 'N', 20.25)")
     return spark.table(name)

@@ -49,22 +49,24 @@ def etl_drop_null_fields(spark, sf_dir):
     return etl.drop_null_fields(o)
 
 
-def etl_job(spark, orders, target: str):
-    """Read -> keep positive totals -> total, year, month -> mapping -> drop
-    all-NULL fields -> partitioned snappy parquet."""
+def etl_job(spark, lines, target: str):
+    """Read -> keep positive prices -> total (price x quantity), year, month ->
+    mapping -> drop all-NULL fields -> partitioned snappy parquet."""
+    price, quantity = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_quantity").cast("decimal(12,2)")
     staged = (
-        orders.where(F.col("o_totalprice") > 0)
-        .withColumn("year", F.year("o_orderdate"))
-        .withColumn("month", F.month("o_orderdate"))
-        .withColumn("discount", F.when(F.col("o_totalprice") < 0, F.lit(0.0)))
+        lines.where(F.col("l_extendedprice") > 0)
+        .withColumn("total", (price * quantity).cast("decimal(30,4)"))
+        .withColumn("year", F.year("l_shipdate"))
+        .withColumn("month", F.month("l_shipdate"))
+        .withColumn("refund", F.when(F.col("l_extendedprice") < 0, F.lit(0.0)))
     )
     mapped = etl.apply_mapping(
         staged,
         [
-            ("o_orderkey", "bigint", "order_id", "bigint"),
-            ("o_custkey", "bigint", "customer_id", "bigint"),
-            ("o_totalprice", "double", "total", "decimal(18,2)"),
-            ("discount", "double", "discount", "double"),
+            ("l_orderkey", "bigint", "order_id", "bigint"),
+            ("l_linenumber", dict(staged.dtypes)["l_linenumber"], "line", "bigint"),
+            ("total", "decimal(30,4)", "total", "double"),
+            ("refund", "double", "refund", "double"),
             ("year", "int", "year", "int"),
             ("month", "int", "month", "int"),
         ],
@@ -77,12 +79,13 @@ def etl_job(spark, orders, target: str):
 @query(
     "etl_job",
     oracle="""
-SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
-       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
-FROM orders WHERE o_totalprice > 0""",
+SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS DECIMAL(12,2)) AS DOUBLE) AS total,
+       CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
+FROM lineitem WHERE l_extendedprice > 0""",
 )
 def etl_job_query(spark, sf_dir):
-    return etl_job(spark, _t(spark, sf_dir).orders, scratch_path(spark, "etl-job"))
+    return etl_job(spark, _t(spark, sf_dir).lineitem, scratch_path(spark, "etl-job"))
 
 
 PREVIOUS_EVENT_SCHEMA = [("k", "string"), ("session", "string")]
@@ -116,6 +119,28 @@ def etl_schema_discovery(spark, sf_dir):
     return etl.schema_drift(found, etl.previous_schema(spark, PREVIOUS_EVENT_SCHEMA))
 
 
+PREVIOUS_CUSTOMER_SCHEMA = [("c_custkey", "int"), ("c_name", "string"), ("c_phone", "string")]
+
+
+@query(
+    "etl_schema_discovery_files",
+    oracle="""
+SELECT 'c_custkey' AS field, 'bigint' AS inferred_type, 'int' AS previous_type, 'changed' AS change, COUNT(c_custkey) AS values FROM customer
+UNION ALL SELECT 'c_name', 'string', 'string', 'unchanged', COUNT(c_name) FROM customer
+UNION ALL SELECT 'c_acctbal', 'double', NULL, 'added', COUNT(c_acctbal) FROM customer WHERE c_acctbal <= 0
+UNION ALL SELECT 'c_phone', NULL, 'string', 'removed', NULL""",
+)
+def etl_schema_discovery_files(spark, sf_dir):
+    """Files of two shapes and leftovers of another kind in one folder: the leftovers
+    are skipped, the shapes merged and compared with the last known schema."""
+    c = _t(spark, sf_dir).customer
+    path = scratch_path(spark, "landing")
+    files.write(c.where("c_acctbal > 0").select("c_custkey", "c_name"), path)
+    files.write(c.where("NOT c_acctbal > 0").select("c_custkey", "c_name", "c_acctbal"), path, mode="append")
+    files.write(c.select("c_name"), path, "text", mode="append")  # *.txt, not data
+    return etl.discover_files(spark, path, PREVIOUS_CUSTOMER_SCHEMA)
+
+
 @query("etl_incremental", oracle="SELECT * FROM events")
 def etl_incremental(spark, sf_dir):
     """Two runs of a bookmarked load: events of days 1-15 land, run; days

@@ -11,13 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from quarry.operators import joins
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import files
 from quarry.sources.synthetic import synthetic_staff
-from quarry.operators.layout import TARGET_PARTITION_BYTES
-from quarry.tables import Tables, partitions_for
+from quarry.tables import Tables
 
 
 def _t(spark, sf_dir) -> Tables:
@@ -79,7 +77,7 @@ def src_inline_rows(spark, sf_dir):
     """Rows from Python tuples with names only: ints are inferred as bigint."""
     seg = spark.createDataFrame(SEGMENT_ROWS, ["segment_id", "segment", "label"])
     c = _t(spark, sf_dir).customer
-    out = joins.join_small(c, seg, F.col("c_mktsegment") == F.col("segment"))
+    out = c.join(seg, F.col("c_mktsegment") == F.col("segment"))
     return out.select("c_custkey", "segment_id", "label")
 
 
@@ -102,7 +100,7 @@ def src_explicit_schema(spark, sf_dir):
     """Same rows with a StructType: ``segment_id`` is a non-null int."""
     seg = spark.createDataFrame(SEGMENT_ROWS, SEGMENT_SCHEMA)
     c = _t(spark, sf_dir).customer
-    out = joins.join_small(c, seg, F.col("c_mktsegment") == F.col("segment"))
+    out = c.join(seg, F.col("c_mktsegment") == F.col("segment"))
     return out.select("c_custkey", "segment_id", "label")
 
 
@@ -367,70 +365,78 @@ def sink_partitioned_codec(spark, sf_dir):
     return files.read_partitioned(spark, path)
 
 
+def folder_report(spark, df, keys: list[str]):
+    """Rows of each folder of a clustered write, and whether its files are few: a
+    folder has one file unless it is larger than the advisory size, and then none
+    of its files is a small fragment."""
+    stats = files.with_file_info(df).groupBy(*keys, "file_path").agg(
+        F.first("file_size").alias("bytes"), F.count(F.lit(1)).alias("n")
+    )
+    folders = stats.groupBy(*keys).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    # files are smaller than the shuffled bytes that the advisory size counts
+    least = files.advisory_bytes(spark) / 64
+    fits = (F.col("files") == 1) | (F.col("bytes") / F.col("files") >= least)
+    return folders.select(*keys, "rows", fits.alias("few_files"))
+
+
 @query(
     "sink_clustered_partitions",
-    oracle=f"""
-SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year,
-       CAST(month(o_orderdate) AS INTEGER) AS o_month, CAST(1 AS BIGINT) AS files_in_folder
-FROM orders WHERE o_totalprice > 0""",
+    oracle="""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, CAST(month(o_orderdate) AS INTEGER) AS o_month,
+       COUNT(*) AS rows, TRUE AS few_files
+FROM orders WHERE o_totalprice > 0 GROUP BY 1, 2""",
 )
 def sink_clustered_partitions(spark, sf_dir):
-    """Keep positive totals, add year and month, cluster by them, write one
-    file per folder; read back with the file count of each folder."""
+    """Keep positive totals, add year and month, cluster by them, write; read back
+    the rows of each folder and whether its files are few."""
     o = orders_with_year_month(_t(spark, sf_dir).orders.where(F.col("o_totalprice") > 0))
     o = o.select("o_orderkey", "o_custkey", "o_totalprice", "o_year", "o_month")
     path = files.write_clustered(o, scratch_path(spark, "clustered"), ["o_year", "o_month"], compression="snappy")
-    back = files.with_file_info(files.read_partitioned(spark, path))
-    per_folder = back.groupBy("o_year", "o_month").agg(F.count_distinct("file_path").alias("files_in_folder"))
-    return back.drop("file_path", "file_size").join(per_folder, ["o_year", "o_month"])
+    return folder_report(spark, files.read_partitioned(spark, path), ["o_year", "o_month"])
 
 
 @query(
     "sink_file_count",
     oracle="""
-SELECT 'repartition_4' AS layout, CAST(4 AS BIGINT) AS files, COUNT(*) AS rows FROM orders
+SELECT 'repartition' AS layout, TRUE AS as_requested, COUNT(*) AS rows FROM orders
 UNION ALL
-SELECT 'repartition_4_coalesce_2', CAST(2 AS BIGINT), COUNT(*) FROM orders""",
+SELECT 'repartition_coalesce', TRUE, COUNT(*) FROM orders""",
 )
 def sink_file_count(spark, sf_dir):
-    """A fixed number of output files: repartition(n) spreads rows evenly over
-    n tasks; coalesce(m) then merges them without another shuffle.  The
-    example's counts (4, then 2) are floors that grow with the input size,
-    so no file or task holds an unbounded share at scale."""
+    """A requested number of output files: repartition(n) spreads rows evenly over
+    n tasks; coalesce(m) then merges them without another shuffle.  The counts
+    are the session's shuffle partitions and half of them (an empty partition
+    writes no file, so there may be fewer)."""
     o = _t(spark, sf_dir).orders
-    n = partitions_for(spark, sf_dir, "orders", 4)
-    m = partitions_for(spark, sf_dir, "orders", 2, 2 * TARGET_PARTITION_BYTES)
-    layouts = {"repartition_4": o.repartition(n), "repartition_4_coalesce_2": o.repartition(n).coalesce(m)}
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layouts = {"repartition": (o.repartition(n), n), "repartition_coalesce": (o.repartition(n).coalesce(max(1, n // 2)), max(1, n // 2))}
     parts = []
-    for name, df in layouts.items():
+    for name, (df, requested) in layouts.items():
         back = files.with_file_info(_round_trip(spark, df, f"files-{name}"))
-        parts.append(back.agg(F.count_distinct("file_path").alias("files"), F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("layout"), "files", "rows"))
+        counted = back.agg(F.count_distinct("file_path").alias("files"), F.count(F.lit(1)).alias("rows"))
+        parts.append(counted.select(F.lit(name).alias("layout"), (F.col("files") <= requested).alias("as_requested"), "rows"))
     return parts[0].unionByName(parts[1])
 
 
 @query(
     "sink_one_file_per_partition",
-    oracle="SELECT o_orderpriority, CAST(1 AS BIGINT) AS files, COUNT(*) AS rows FROM orders GROUP BY o_orderpriority",
+    oracle="SELECT o_orderpriority, COUNT(*) AS rows, TRUE AS few_files FROM orders GROUP BY o_orderpriority",
 )
 def sink_one_file_per_partition(spark, sf_dir):
     """One file per partition value, written in parallel (one task per value,
     more only for a value above the advisory size)."""
     o = _t(spark, sf_dir).orders
     path = files.write_clustered(o, scratch_path(spark, "one-file"), ["o_orderpriority"])
-    back = files.with_file_info(files.read_partitioned(spark, path))
-    return back.groupBy("o_orderpriority").agg(
-        F.count_distinct("file_path").alias("files"), F.count(F.lit(1)).alias("rows")
-    )
+    return folder_report(spark, files.read_partitioned(spark, path), ["o_orderpriority"])
 
 
-MAX_RECORDS = 1000
+MAX_RECORDS = 100_000
 
 
-@query("sink_max_records", oracle="SELECT CAST(0 AS BIGINT) AS files_over_cap, COUNT(*) AS rows FROM orders")
+@query("sink_max_records", oracle="SELECT CAST(0 AS BIGINT) AS files_over_cap, COUNT(*) AS rows FROM lineitem")
 def sink_max_records(spark, sf_dir):
     """maxRecordsPerFile caps rows per file; report files above the cap (0)."""
-    back = files.file_stats(_round_trip(spark, _t(spark, sf_dir).orders, "max-records", max_records_per_file=MAX_RECORDS))
+    back = files.file_stats(_round_trip(spark, _t(spark, sf_dir).lineitem, "max-records", max_records_per_file=MAX_RECORDS))
     return back.agg(
         F.count(F.when(F.col("rows") > MAX_RECORDS, 1)).alias("files_over_cap"), F.sum("rows").alias("rows")
     )
@@ -473,7 +479,8 @@ def sink_bucketed(spark, sf_dir):
     """Bucketed and sorted table (bucketing needs a catalog table)."""
     from quarry.operators.catalog import save_bucketed
 
-    name = save_bucketed(_t(spark, sf_dir).orders, "orders_b", 8, "o_custkey", sort_by=["o_orderdate"])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = save_bucketed(_t(spark, sf_dir).orders, "orders_b", n, "o_custkey", sort_by=["o_orderdate"])
     return spark.table(name)
 
 
@@ -486,21 +493,28 @@ def sink_table(spark, sf_dir):
     return spark.table(name)
 
 
-@query("sink_default_codec", oracle="SELECT 'zstd' AS codec, COUNT(*) AS rows FROM orders")
+@query(
+    "sink_default_codec",
+    oracle="""
+SELECT 'parquet' AS format, 'zstd' AS codec, COUNT(*) AS rows FROM orders
+UNION ALL SELECT 'orc', 'zstd', COUNT(*) FROM orders""",
+)
 def sink_default_codec(spark, sf_dir):
-    """The session-wide parquet codec, set for one write and restored after."""
-    key = "spark.sql.parquet.compression.codec"
-    before = spark.conf.get(key)
-    path = scratch_path(spark, "default-codec")
-    try:
-        spark.conf.set(key, "zstd")
-        files.write(_t(spark, sf_dir).orders, path)
-    finally:
-        spark.conf.set(key, before)
-    back = files.read(spark, path).withColumn(
-        "codec", F.regexp_extract(F.col("_metadata.file_name"), r"\.([a-z0-9]+)\.parquet$", 1)
-    )
-    return back.groupBy("codec").agg(F.count(F.lit(1)).alias("rows"))
+    """The session-wide parquet and ORC codecs, set for one write and restored after."""
+    parts = []
+    for fmt in ("parquet", "orc"):
+        key = f"spark.sql.{fmt}.compression.codec"
+        before = spark.conf.get(key)
+        path = scratch_path(spark, f"default-codec-{fmt}")
+        try:
+            spark.conf.set(key, "zstd")
+            files.write(_t(spark, sf_dir).orders, path, fmt)
+        finally:
+            spark.conf.set(key, before)
+        codec = F.regexp_extract(F.col("_metadata.file_name"), rf"\.([a-z0-9]+)\.{fmt}$", 1)
+        back = files.read(spark, path, fmt).withColumn("codec", codec)
+        parts.append(back.groupBy(F.lit(fmt).alias("format"), "codec").agg(F.count(F.lit(1)).alias("rows")))
+    return parts[0].unionByName(parts[1])
 
 
 REPORT_LAYOUTS = [
@@ -517,16 +531,18 @@ REPORT_LAYOUTS = [
 ]
 
 
-@query("report_format_size")
-def report_format_size(spark, sf_dir):
-    """Write the same rows in several formats and codecs; report files, bytes
-    and rows of each (row counts must all be equal)."""
-    o = _t(spark, sf_dir).orders
+def _report_oracle() -> str:
+    parts = [f"SELECT '{f}' AS format, '{c}' AS codec, COUNT(*) AS rows, TRUE AS stored FROM orders" for f, c in REPORT_LAYOUTS]
+    return "\nUNION ALL\n".join(parts)
+
+
+def format_sizes(spark, df) -> DataFrame:
+    """Write the same rows in several formats and codecs: files, bytes and rows of each."""
     parts = []
     for fmt, codec in REPORT_LAYOUTS:
         opts = {"header": "true"} if fmt == "csv" else {}
-        path = files.write(o, scratch_path(spark, f"report-{fmt}-{codec}"), fmt, compression=codec, options=opts)
-        back = files.read(spark, path, fmt, schema=o.schema if fmt in ("csv", "json") else None, options=opts)
+        path = files.write(df, scratch_path(spark, f"report-{fmt}-{codec}"), fmt, compression=codec, options=opts)
+        back = files.read(spark, path, fmt, schema=df.schema if fmt in ("csv", "json") else None, options=opts)
         stats = files.file_stats(back).agg(
             F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")
         )
@@ -535,3 +551,11 @@ def report_format_size(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query("report_format_size", oracle=_report_oracle())
+def report_format_size(spark, sf_dir):
+    """Rows of each format and codec, and whether it stored any bytes (sizes depend on
+    the library versions, so ``format_sizes`` has them and the query does not)."""
+    sizes = format_sizes(spark, _t(spark, sf_dir).orders)
+    return sizes.select("format", "codec", "rows", (F.col("bytes") > 0).alias("stored"))

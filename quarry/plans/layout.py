@@ -8,21 +8,27 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import money_sum
 from quarry.operators import catalog as cat
-from quarry.operators.layout import TARGET_PARTITION_BYTES, layout_advice, rows_per_partition
+from quarry.operators.layout import layout_advice, rows_per_partition
 from quarry.plans.io import partitioned_orders
 from quarry.plans.registry import query
+from quarry.session import checkpoint_root
 from quarry.sources import files
-from quarry.tables import Tables, partitions_for
+from quarry.tables import Tables
 
 
 def _t(spark, sf_dir) -> Tables:
     return Tables(spark, sf_dir)
 
 
+def shuffle_partitions(spark) -> int:
+    """The partition count that the queries ask for: a setting of the session."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("layout_repartition_n", oracle="SELECT * FROM customer")
 def layout_repartition_n(spark, sf_dir):
     """Full shuffle into n even partitions; every row is kept."""
-    return _t(spark, sf_dir).customer.repartition(partitions_for(spark, sf_dir, "customer", 16))
+    return _t(spark, sf_dir).customer.repartition(shuffle_partitions(spark))
 
 
 @query(
@@ -30,27 +36,28 @@ def layout_repartition_n(spark, sf_dir):
     oracle="SELECT o_orderpriority, CAST(1 AS BIGINT) AS partitions, COUNT(*) AS rows FROM orders GROUP BY o_orderpriority",
 )
 def layout_repartition_key(spark, sf_dir):
-    """Hash repartition on a key: every key lands in exactly one partition."""
-    n = partitions_for(spark, sf_dir, "orders", 8)
-    o = _t(spark, sf_dir).orders.repartition(n, "o_orderpriority").withColumn("pid", F.spark_partition_id())
-    return o.groupBy("o_orderpriority").agg(
+    """Hash repartition on a key: every key lands in exactly one partition (that
+    is what it is for; the library's own writes use REBALANCE, which splits a hot key)."""
+    o = _t(spark, sf_dir).orders.repartition(shuffle_partitions(spark), "o_orderpriority")
+    return o.withColumn("pid", F.spark_partition_id()).groupBy("o_orderpriority").agg(
         F.count_distinct("pid").alias("partitions"), F.count(F.lit(1)).alias("rows")
     )
 
 
 @query("layout_coalesce", oracle="SELECT * FROM orders")
 def layout_coalesce(spark, sf_dir):
-    """Merge partitions without a shuffle (never raises the count): about
-    four 128 MB partitions into one at scale, 8 into 3 on small inputs."""
-    n = partitions_for(spark, sf_dir, "orders", 8)
-    m = partitions_for(spark, sf_dir, "orders", 3, 4 * TARGET_PARTITION_BYTES)
-    return _t(spark, sf_dir).orders.repartition(n).coalesce(m)
+    """Merge partitions without a shuffle (never raises the count): two into one."""
+    n = shuffle_partitions(spark)
+    return _t(spark, sf_dir).orders.repartition(n).coalesce(max(1, n // 2))
 
 
-@query("layout_partition_sizes")
+@query("layout_partition_sizes", oracle="SELECT COUNT(*) AS rows, TRUE AS as_requested FROM lineitem")
 def layout_partition_sizes(spark, sf_dir):
-    """Rows in each Spark partition (no Python worker involved)."""
-    return rows_per_partition(_t(spark, sf_dir).lineitem.repartition(partitions_for(spark, sf_dir, "lineitem", 8)))
+    """Rows over all Spark partitions, and whether there are no more of these than
+    requested (no Python worker involved)."""
+    n = shuffle_partitions(spark)
+    sizes = rows_per_partition(_t(spark, sf_dir).lineitem.repartition(n))
+    return sizes.agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) <= n).alias("as_requested"))
 
 
 @query(
@@ -71,15 +78,16 @@ def layout_partition_stats(spark, sf_dir):
 
 
 ADVICE_KEYS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
-ROW_BYTES = 64
 
 
 def _advice_oracle() -> str:
+    # two keys, a price and a date of 8 bytes, and the texts
+    bytes_ = "SUM(32 + octet_length(encode(o_orderstatus)) + octet_length(encode(o_orderpriority)))"
     parts = []
     for k in ADVICE_KEYS:
         parts.append(
             f"""SELECT '{k}' AS partition_key, COUNT(DISTINCT {k}) AS distinct_values, COUNT(*) AS rows,
-       CAST(COUNT(*) AS DOUBLE) / COUNT(DISTINCT {k}) * {ROW_BYTES} AS bytes_per_value FROM orders"""
+       CAST({bytes_} AS DOUBLE) / COUNT(DISTINCT {k}) AS bytes_per_value FROM orders"""
         )
     body = "\nUNION ALL\n".join(parts)
     return f"""
@@ -92,23 +100,27 @@ FROM ({body})"""
 
 @query("layout_size_advice", oracle=_advice_oracle())
 def layout_size_advice(spark, sf_dir):
-    return layout_advice(_t(spark, sf_dir).orders, ADVICE_KEYS, row_bytes=ROW_BYTES)
+    return layout_advice(_t(spark, sf_dir).orders, ADVICE_KEYS)
 
 
 @query(
     "reuse_cache",
     oracle="""
-SELECT 'rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM lineitem WHERE l_returnflag = 'R'
+SELECT 'rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM lineitem
 UNION ALL
-SELECT 'revenue', CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem WHERE l_returnflag = 'R'""",
+SELECT 'revenue', CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem""",
 )
 def reuse_cache(spark, sf_dir):
-    """A filtered input persisted (memory, spilling to disk) and used twice."""
-    returned = _t(spark, sf_dir).lineitem.where(F.col("l_returnflag") == "R").select("l_extendedprice")
-    returned = returned.persist(StorageLevel.MEMORY_AND_DISK)
-    a = returned.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("rows").alias("metric"), "value")
-    b = returned.agg(money_sum("l_extendedprice").alias("value")).select(F.lit("revenue").alias("metric"), "value")
-    return a.unionByName(b)
+    """An input persisted (memory, spilling to disk), used twice and released: the
+    two results (one row each) are fixed by a checkpoint before the blocks go."""
+    checkpoint_root(spark)
+    prices = _t(spark, sf_dir).lineitem.select("l_extendedprice").persist(StorageLevel.MEMORY_AND_DISK)
+    a = prices.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("rows").alias("metric"), "value")
+    b = prices.agg(money_sum("l_extendedprice").alias("value")).select(F.lit("revenue").alias("metric"), "value")
+    try:
+        return a.unionByName(b).checkpoint(eager=True)
+    finally:
+        prices.unpersist()
 
 
 @query(
@@ -120,10 +132,10 @@ FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey""",
 def join_bucketed(spark, sf_dir):
     """Both sides bucketed by the customer key into the same number of
     buckets: the sort-merge join reads them with no Exchange."""
-    t = _t(spark, sf_dir)
-    c = cat.save_bucketed(t.customer.select("c_custkey", "c_name"), "cust_b", 8, "c_custkey", sort_by=["c_custkey"])
+    t, n = _t(spark, sf_dir), shuffle_partitions(spark)
+    c = cat.save_bucketed(t.customer.select("c_custkey", "c_name"), "cust_b", n, "c_custkey", sort_by=["c_custkey"])
     o = cat.save_bucketed(
-        t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), "ord_b", 8, "o_custkey", sort_by=["o_custkey"]
+        t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), "ord_b", n, "o_custkey", sort_by=["o_custkey"]
     )
     left, right = spark.table(c), spark.table(o)
     return left.join(right, left.c_custkey == right.o_custkey).select("c_custkey", "c_name", "o_orderkey", "o_totalprice")

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.dates import AS_OF
 from quarry.functions.numeric import MONEY, money, money_avg, money_sum
 from quarry.operators import joins, ordered
 from quarry.operators.profile import summary_exact
 from quarry.plans.registry import query
 from quarry.tables import Tables
 
-AS_OF = "2002-01-01"  # fixed "today" so date arithmetic is repeatable
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
@@ -44,7 +44,6 @@ def segment_activity(customer: DataFrame, orders: DataFrame, year: int = 1996) -
         money_avg("c_acctbal").alias("avg_segment"), F.count(F.lit(1)).alias("n_segment")
     )
     active = orders_in_year(orders, year).select("o_custkey").distinct()
-    # one row per segment: materialized, size-checked, broadcast
     with_seg = joins.attach_aggregate(customer, seg, ["c_mktsegment"])
     flagged = joins.left_join_unique(with_seg, active, "c_custkey", "o_custkey")
     return flagged.select(
@@ -280,53 +279,58 @@ JOIN region r ON n.n_regionkey = r.r_regionkey""",
 def join_inner(spark, sf_dir):
     t = _t(spark, sf_dir)
     geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    out = joins.join_small(t.customer, geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    out = t.customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     return out.select("c_custkey", "c_name", "c_acctbal", "n_name", "r_name")
 
 
+# Events are the many side: one user may hold a large share of them.
+SALTS = 8
+
+
+def _user_events(t: Tables) -> DataFrame:
+    return t.events.select(F.col("user_id").alias("custkey"), "event_id", "value")
+
+
+def _customers(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("custkey"), "c_name")
+
+
 @query(
     "join_left",
-    oracle=f"""
-SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice
-FROM customer c LEFT JOIN (SELECT * FROM orders WHERE {SQL_ORDERS_1996}) o ON c.c_custkey = o.o_custkey""",
+    oracle="""
+SELECT custkey, c.c_name, e.event_id, e.value
+FROM (SELECT c_custkey AS custkey, c_name FROM customer) c
+LEFT JOIN (SELECT user_id AS custkey, event_id, value FROM events) e USING (custkey)""",
 )
 def join_left(spark, sf_dir):
+    """All customers with their events; most have none."""
     t = _t(spark, sf_dir)
-    o96 = orders_in_year(t.orders, 1996)
-    out = joins.outer_join_split(t.customer, o96, "c_custkey", "o_custkey", keep_left=True)
-    return out.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
+    return joins.outer_join(_customers(t), _user_events(t), "custkey", "left", SALTS, ["event_id"])
 
 
 @query(
     "join_right",
-    oracle=f"""
-SELECT custkey, o.o_orderkey, c.c_name
-FROM (SELECT o_custkey AS custkey, o_orderkey FROM orders WHERE {SQL_ORDERS_1996}) o
+    oracle="""
+SELECT custkey, e.event_id, e.value, c.c_name
+FROM (SELECT user_id AS custkey, event_id, value FROM events) e
 RIGHT JOIN (SELECT c_custkey AS custkey, c_name FROM customer) c USING (custkey)""",
 )
 def join_right(spark, sf_dir):
-    # USING column: on a right join its value comes from the right side.
+    """USING column: on a right join its value comes from the right side."""
     t = _t(spark, sf_dir)
-    o96 = orders_in_year(t.orders, 1996).select(F.col("o_custkey").alias("custkey"), "o_orderkey")
-    cust = t.customer.select(F.col("c_custkey").alias("custkey"), "c_name")
-    o = o96.withColumnRenamed("custkey", "o_key")
-    out = joins.outer_join_split(cust, o, "custkey", "o_key", keep_left=True)
-    return out.select("custkey", "o_orderkey", "c_name")
+    return joins.outer_join(_user_events(t), _customers(t), "custkey", "right", SALTS, ["event_id"])
 
 
 @query(
     "join_full",
-    oracle=f"""
-SELECT custkey, c.c_name, o.o_orderkey
-FROM (SELECT c_custkey AS custkey, c_name FROM customer WHERE c_acctbal > 5000) c
-FULL JOIN (SELECT o_custkey AS custkey, o_orderkey FROM orders WHERE {SQL_ORDERS_1996}) o USING (custkey)""",
+    oracle="""
+SELECT doc_id, d.lang, d.source, l.quality, l.toxic
+FROM (SELECT doc_id, lang, source FROM documents) d FULL JOIN labels l USING (doc_id)""",
 )
 def join_full(spark, sf_dir):
+    """Documents and labels: documents without a label come with NULLs, and the reverse."""
     t = _t(spark, sf_dir)
-    cust = t.customer.where(F.col("c_acctbal") > 5000).select(F.col("c_custkey").alias("c_key"), "c_name")
-    o96 = orders_in_year(t.orders, 1996).select(F.col("o_custkey").alias("o_key"), "o_orderkey")
-    out = joins.outer_join_split(cust, o96, "c_key", "o_key", keep_left=True, keep_right=True)
-    return out.select(F.coalesce("c_key", "o_key").alias("custkey"), "c_name", "o_orderkey")
+    return joins.outer_join(t.documents.select("doc_id", "lang", "source"), t.labels, "doc_id", "full")
 
 
 @query(
@@ -337,38 +341,38 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
 )
 def join_broadcast(spark, sf_dir):
     t = _t(spark, sf_dir)
-    out = joins.join_small(t.customer, t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return out.select("c_custkey", "c_name", "n_name")
+    nation = joins.broadcast_checked(t.nation.select("n_nationkey", "n_name"))
+    return t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
 
 
 @query(
     "join_on_condition",
-    oracle=f"""
+    oracle="""
 SELECT c.*, o.o_orderkey, o.o_totalprice
-FROM customer c LEFT JOIN (SELECT * FROM orders WHERE {SQL_ORDERS_1996}) o ON c.c_custkey = o.o_custkey""",
+FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey""",
 )
 def join_on_condition(spark, sf_dir):
+    """ON with two names: the same join after the key is renamed."""
     t = _t(spark, sf_dir)
-    o96 = orders_in_year(t.orders, 1996).select("o_custkey", "o_orderkey", "o_totalprice")
-    out = joins.outer_join_split(t.customer, o96, "c_custkey", "o_custkey", keep_left=True)
-    return out.drop("o_custkey")
+    o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    out = joins.outer_join(t.customer, o, "c_custkey", "left", SALTS, ["o_orderkey"])
+    return out.select(*t.customer.columns, "o_orderkey", "o_totalprice")
 
 
 @query(
     "join_left_aggregate",
-    oracle=f"""
+    oracle="""
 SELECT c.c_custkey, c.c_name,
        CAST(COALESCE(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_sales,
        COUNT(o.o_orderkey) AS n_sales
-FROM customer c LEFT JOIN (SELECT * FROM orders WHERE {SQL_ORDERS_1996}) o ON c.c_custkey = o.o_custkey
+FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 GROUP BY c.c_custkey, c.c_name""",
 )
 def join_left_aggregate(spark, sf_dir):
     t = _t(spark, sf_dir)
-    o96 = orders_in_year(t.orders, 1996)
     per_customer = joins.aggregate_then_join(
         t.customer,
-        o96,
+        t.orders,
         "c_custkey",
         "o_custkey",
         [F.sum(money("o_totalprice")).alias("__total"), F.count("o_orderkey").alias("__n")],
@@ -399,25 +403,24 @@ def join_inner_aggregate(spark, sf_dir):
 
 @query(
     "join_semi_exists",
-    oracle=f"""
+    oracle="""
 SELECT c.c_custkey, c.c_name, c.c_mktsegment FROM customer c
-WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND {SQL_ORDERS_1996})""",
+WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""",
 )
 def join_semi_exists(spark, sf_dir):
     t = _t(spark, sf_dir)
-    out = joins.exists_join(t.customer, orders_in_year(t.orders, 1996), "c_custkey", "o_custkey")
-    return out.select("c_custkey", "c_name", "c_mktsegment")
+    return joins.exists_join(t.customer, t.events, "c_custkey", "user_id").select("c_custkey", "c_name", "c_mktsegment")
 
 
 @query(
     "join_anti_not_exists",
-    oracle=f"""
+    oracle="""
 SELECT c.c_custkey, c.c_name, c.c_mktsegment FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND {SQL_ORDERS_1996})""",
+WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""",
 )
 def join_anti_not_exists(spark, sf_dir):
     t = _t(spark, sf_dir)
-    out = joins.exists_join(t.customer, orders_in_year(t.orders, 1996), "c_custkey", "o_custkey", negate=True)
+    out = joins.exists_join(t.customer, t.events, "c_custkey", "user_id", negate=True)
     return out.select("c_custkey", "c_name", "c_mktsegment")
 
 
@@ -450,15 +453,18 @@ def agg_group_basic(spark, sf_dir):
 @query(
     "agg_having_stddev",
     oracle=f"""
-SELECT c_nationkey, COUNT(*) AS n, {_SQL_MONEY_AVG.format(c='c_acctbal')} AS average,
+SELECT c_nationkey, COUNT(*) AS n, {_SQL_MONEY_SUM.format(c='c_acctbal')} AS total,
+       {_SQL_MONEY_AVG.format(c='c_acctbal')} AS average, MIN(c_acctbal) AS lowest, MAX(c_acctbal) AS highest,
        ROUND(STDDEV_SAMP(c_acctbal), 2) AS stddev
-FROM customer WHERE c_acctbal > 9000 GROUP BY c_nationkey HAVING COUNT(*) > 1""",
+FROM customer GROUP BY c_nationkey HAVING COUNT(*) > 1""",
 )
 def agg_having_stddev(spark, sf_dir):
-    c = _t(spark, sf_dir).customer.where(F.col("c_acctbal") > 9000)
-    out = c.groupBy("c_nationkey").agg(
+    out = _t(spark, sf_dir).customer.groupBy("c_nationkey").agg(
         F.count(F.lit(1)).alias("n"),
+        money_sum("c_acctbal").alias("total"),
         money_avg("c_acctbal").alias("average"),
+        F.min("c_acctbal").alias("lowest"),
+        F.max("c_acctbal").alias("highest"),
         F.round(F.stddev_samp("c_acctbal"), 2).alias("stddev"),
     )
     return out.where(F.col("n") > 1).orderBy(F.desc("average"))
@@ -554,7 +560,6 @@ WITH m AS (
   SELECT p.p_type, CAST(month(l.l_shipdate) AS BIGINT) AS ship_month,
          SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS revenue
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE l.l_shipdate >= TIMESTAMP '1998-01-01' AND l.l_shipdate < TIMESTAMP '1999-01-01'
   GROUP BY 1, 2)
 SELECT p_type, ship_month, CAST(revenue AS DOUBLE) AS revenue,
        CAST(SUM(revenue) OVER (PARTITION BY p_type ORDER BY ship_month) AS DOUBLE) AS cumulative
@@ -569,10 +574,7 @@ def agg_month_cumulative(spark, sf_dir):
     partitioned by type is bounded per task and needs no hot-group handling.
     """
     t = _t(spark, sf_dir)
-    lo = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    hi = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
-    li = t.lineitem.where((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi))
-    per_part = li.groupBy("l_partkey", F.month("l_shipdate").cast("bigint").alias("ship_month")).agg(
+    per_part = t.lineitem.groupBy("l_partkey", F.month("l_shipdate").cast("bigint").alias("ship_month")).agg(
         F.sum(money("l_extendedprice")).alias("revenue")
     )
     typed = per_part.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
@@ -629,18 +631,24 @@ def profile_describe(spark, sf_dir):
     return describe_typed(_t(spark, sf_dir).customer, "c_acctbal", "c_nationkey")
 
 
-@query(
-    "profile_summary",
-    oracle="""
-SELECT 'c_acctbal' AS column_name, COUNT(c_acctbal) AS count, ROUND(AVG(c_acctbal), 6) AS mean,
-       ROUND(STDDEV_SAMP(c_acctbal), 6) AS stddev, MIN(c_acctbal) AS min,
-       quantile_disc(c_acctbal, 0.25) AS p25, quantile_disc(c_acctbal, 0.5) AS p50,
-       quantile_disc(c_acctbal, 0.75) AS p75, MAX(c_acctbal) AS max FROM customer""",
-)
+def _summary_oracle() -> str:
+    numeric = """SELECT '{c}' AS column_name, COUNT({c}) AS count, ROUND(AVG({c}), 6) AS mean,
+       ROUND(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min,
+       CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS p25, CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS p50,
+       CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS p75, CAST(MAX({c}) AS DOUBLE) AS max,
+       NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM customer"""
+    none = ", ".join(f"NULL::DOUBLE AS {c}" for c in ("mean", "stddev", "min", "p25", "p50", "p75", "max"))
+    text = "SELECT '{c}' AS column_name, COUNT({c}) AS count, " + none + ", MIN({c}) AS min_text, MAX({c}) AS max_text FROM customer"
+    parts = [numeric.format(c=c) for c in ("c_custkey", "c_nationkey", "c_acctbal")]
+    parts += [text.format(c=c) for c in ("c_name", "c_mktsegment")]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("profile_summary", oracle=_summary_oracle())
 def profile_summary(spark, sf_dir):
-    """summary(): describe() plus the 25/50/75 % quantiles -- exact here,
-    computed on range-partitioned, numbered values (no one-task sort)."""
-    return summary_exact(_t(spark, sf_dir).customer, ["c_acctbal"])
+    """summary() of all columns: describe() plus the 25/50/75 % quantiles -- exact
+    here, computed on range-partitioned, numbered values (no one-task sort)."""
+    return summary_exact(_t(spark, sf_dir).customer, partitions=range_partitions(spark))
 
 
 @query("action_count", oracle="SELECT COUNT(*) AS n FROM lineitem")
@@ -658,6 +666,11 @@ def action_take(spark, sf_dir):
 # 2.6 window functions (hot-group safe forms from quarry.operators.ordered)
 # --------------------------------------------------------------------------
 
+def range_partitions(spark) -> int:
+    """The queries number their rows in as many range partitions as the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _bal_desc():
     return [F.col("c_acctbal").desc_nulls_last()]
 
@@ -671,7 +684,9 @@ FROM customer""",
 )
 def win_rank(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    return ordered.with_rank(c, "c_acctbal", True, ["c_mktsegment"], rank_name="rank", dense_name=None)
+    return ordered.with_rank(
+        c, [("c_acctbal", True)], ["c_mktsegment"], dense_name=None, partitions=range_partitions(spark)
+    )
 
 
 @query(
@@ -683,7 +698,9 @@ FROM customer""",
 )
 def win_dense_rank(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    return ordered.with_rank(c, "c_acctbal", True, ["c_mktsegment"], rank_name=None, dense_name="dense_rank")
+    return ordered.with_rank(
+        c, [("c_acctbal", True)], ["c_mktsegment"], rank_name=None, partitions=range_partitions(spark)
+    )
 
 
 @query(
@@ -695,7 +712,7 @@ FROM customer""",
 )
 def win_row_number(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_mktsegment", "c_acctbal")
-    return ordered.with_positions(c, _bal_desc(), ["c_custkey"], ["c_mktsegment"], name="row_number")
+    return ordered.with_positions(c, _bal_desc(), ["c_custkey"], ["c_mktsegment"], name="row_number", partitions=range_partitions(spark))
 
 
 @query(
@@ -710,7 +727,8 @@ def win_lead_lag(spark, sf_dir):
     # A global order: numbered across range partitions, neighbours by equi-join.
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_acctbal")
     return ordered.with_lead_lag(
-        c, "c_acctbal", [F.col("c_acctbal").asc()], ["c_custkey"], lead_name="next_balance", lag_name="previous_balance"
+        c, "c_acctbal", [F.col("c_acctbal").asc()], ["c_custkey"], lead_name="next_balance", lag_name="previous_balance",
+        partitions=range_partitions(spark),
     )
 
 
@@ -727,9 +745,11 @@ FROM orders""",
 def win_running_sum(spark, sf_dir):
     o = _t(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     by_date = [F.col("o_orderdate").asc()]
-    glob = ordered.with_positions(o, by_date, ["o_orderkey"], name="__g", running={"running_total": money("o_totalprice")})
+    n = range_partitions(spark)
+    amount = money("o_totalprice")
+    glob = ordered.with_positions(o, by_date, ["o_orderkey"], name="__g", running={"running_total": amount}, partitions=n)
     per = ordered.with_positions(
-        glob, by_date, ["o_orderkey"], ["o_custkey"], name="__c", running={"running_customer": money("o_totalprice")}
+        glob, by_date, ["o_orderkey"], ["o_custkey"], name="__c", running={"running_customer": amount}, partitions=n
     )
     return per.select(
         "o_orderkey",
@@ -761,6 +781,13 @@ def win_partition_aggregate(spark, sf_dir):
     return out.withColumn("deviation", F.col("c_acctbal") - F.col("segment_avg"))
 
 
+def first_by_group(df: DataFrame, group: str, value: str, order: str, key: str, name: str) -> DataFrame:
+    """(group, ``name``): the ``value`` of the row that is first by ``order`` descending (NULLs last), then ``key``."""
+    rank = F.struct(F.col(order).isNull().alias("n"), (-F.col(order)).alias("b"), F.col(key).alias("k"))
+    # packed, so that a NULL value of the first row is not passed over
+    return df.groupBy(group).agg(F.min_by(F.struct(value), rank).alias("__f")).select(group, F.col("__f")[value].alias(name))
+
+
 @query(
     "win_first_value",
     oracle="""
@@ -769,11 +796,11 @@ SELECT c_custkey, c_mktsegment,
 FROM customer""",
 )
 def win_first_value(spark, sf_dir):
-    """FIRST_VALUE over a whole group = min_by aggregate joined back."""
+    """FIRST_VALUE over a whole group = min_by aggregate joined back.
+
+    ORDER BY ... DESC puts NULLs last, a struct compares them first: a flag in front makes up for it."""
     c = _t(spark, sf_dir).customer
-    top = c.groupBy("c_mktsegment").agg(
-        F.min_by("c_name", F.struct((-F.col("c_acctbal")).alias("b"), F.col("c_custkey").alias("k"))).alias("top_name")
-    )
+    top = first_by_group(c, "c_mktsegment", "c_name", "c_acctbal", "c_custkey", "top_name")
     return joins.attach_aggregate(c.select("c_custkey", "c_mktsegment"), top, ["c_mktsegment"])
 
 
@@ -785,7 +812,7 @@ FROM customer""",
 )
 def win_ntile(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_acctbal")
-    return ordered.with_ntile(c, 4, [F.col("c_acctbal").asc()], ["c_custkey"], name="quartile")
+    return ordered.with_ntile(c, 4, [F.col("c_acctbal").asc()], ["c_custkey"], name="quartile", partitions=range_partitions(spark))
 
 
 @query(
@@ -798,7 +825,7 @@ FROM customer GROUP BY c_mktsegment""",
 def win_rank_over_aggregate(spark, sf_dir):
     c = _t(spark, sf_dir).customer
     avg = c.groupBy("c_mktsegment").agg(money_avg("c_acctbal").alias("avg_balance"))
-    return ordered.with_rank(avg, "avg_balance", True, rank_name="rank", dense_name=None)
+    return ordered.with_rank(avg, [("avg_balance", True)], dense_name=None, partitions=range_partitions(spark))
 
 
 # --------------------------------------------------------------------------
@@ -814,10 +841,11 @@ SELECT c_custkey, c_mktsegment, c_acctbal,
 FROM customer""",
 )
 def sort_asc_desc(spark, sf_dir):
-    """Sort on two keys of mixed direction; ``pos`` records the sorted order."""
+    """Sort on two keys of mixed direction: one range shuffle, sorted within its
+    partitions; ``pos`` is each row's place in the whole order."""
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_mktsegment", "c_acctbal")
     order = [F.col("c_mktsegment").asc_nulls_first(), F.col("c_acctbal").desc_nulls_last()]
-    return ordered.with_positions(c, order, ["c_custkey"], name="pos").orderBy("pos")
+    return ordered.with_positions(c, order, ["c_custkey"], name="pos", partitions=range_partitions(spark))
 
 
 @query("limit_rows", oracle="SELECT * FROM customer ORDER BY c_custkey LIMIT 100")
@@ -928,11 +956,11 @@ def set_except(spark, sf_dir):
 
 @query(
     "view_temp",
-    oracle="SELECT c_mktsegment, COUNT(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment",
+    oracle="SELECT c_mktsegment, COUNT(*) AS n FROM customer GROUP BY c_mktsegment",
 )
 def view_temp(spark, sf_dir):
     _t(spark, sf_dir).customer.createOrReplaceTempView("q_customer")
-    return spark.sql("SELECT c_mktsegment, COUNT(*) AS n FROM q_customer WHERE c_acctbal > 0 GROUP BY c_mktsegment")
+    return spark.sql("SELECT c_mktsegment, COUNT(*) AS n FROM q_customer GROUP BY c_mktsegment")
 
 
 @query("view_global", oracle="SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_orderstatus")
@@ -945,12 +973,14 @@ def view_global(spark, sf_dir):
 
 @query(
     "subq_scalar",
-    oracle="SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > (SELECT AVG(c_acctbal) FROM customer)",
+    oracle=f"""
+SELECT c_custkey, c_name, c_acctbal FROM customer
+WHERE c_acctbal > (SELECT {_SQL_MONEY_AVG.format(c='c_acctbal')} FROM customer)""",
 )
 def subq_scalar(spark, sf_dir):
     """Uncorrelated scalar subquery: evaluated once, then a plain filter."""
     c = _t(spark, sf_dir).customer
-    avg = c.select(F.avg("c_acctbal"))
+    avg = c.select(money_avg("c_acctbal"))
     return c.where(F.col("c_acctbal") > avg.scalar()).select("c_custkey", "c_name", "c_acctbal")
 
 

@@ -1,37 +1,23 @@
-"""Versioned-table queries over a history built from ``orders``.
+"""Versioned-data queries over a history of all ``orders``.
 
-Scenario of the shared table (commit k at 2024-01-01 + k days):
-  0 create (month(o_orderdate) partitions)   1..4 append the orders of 1995..1998
-  5 delete o_orderstatus = 'F'               6..8 append 1999..2001
-Queries that change the schema, layout or files build their own table.
+Snapshots (number k at 2024-01-01 + k days):
+  0 create   1..4 append the orders up to 1995, of 1996, 1997, 1998
+  5 delete o_orderstatus = 'F'   6..8 append 1999, 2000, and all later orders
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from quarry.functions.dates import year_range
-from quarry.operators.versions import VersionedTable
+from quarry.operators import history as hist
 from quarry.plans.registry import query
 from quarry.session import scratch_path
+from quarry.sources import files
 from quarry.tables import Tables
 
-SALES_SCHEMA = StructType(
-    [
-        StructField("o_orderkey", LongType(), False),
-        StructField("o_custkey", LongType(), True),
-        StructField("o_orderstatus", StringType(), True),
-        StructField("o_totalprice", DoubleType(), False),
-        StructField("o_orderdate", DateType(), False),
-        StructField("o_orderpriority", StringType(), True),
-        StructField("o_quarter", IntegerType(), True),
-    ]
-)
-
 SQL_SALES = """(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
        o_orderpriority, CAST(quarter(o_orderdate) AS INTEGER) AS o_quarter FROM orders) s"""
 
@@ -40,9 +26,8 @@ def at(k: int) -> dt.datetime:
     return dt.datetime(2024, 1, 1) + dt.timedelta(days=k)
 
 
-def sales(spark: SparkSession, sf_dir: str, first_year: int, last_year: int | None = None) -> DataFrame:
-    o = Tables(spark, sf_dir).orders.where(year_range("o_orderdate", first_year, last_year))
-    return o.select(
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Tables(spark, sf_dir).orders.select(
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
@@ -53,69 +38,48 @@ def sales(spark: SparkSession, sf_dir: str, first_year: int, last_year: int | No
     )
 
 
-def new_table(spark, tag: str, spec=(("o_orderdate", "month"),)) -> VersionedTable:
-    return VersionedTable.create(spark, scratch_path(spark, tag), SALES_SCHEMA, spec, committed_at=at(0))
-
-
-_BASE: dict[tuple[str, str], str] = {}
+def batch_of(first: int, last: int) -> Column:
+    """Number of the batch: one for each year, the first and the last open-ended."""
+    year = F.coalesce(F.year("o_orderdate"), F.lit(last))
+    return F.greatest(F.least(year, F.lit(last)), F.lit(first)) - first
 
 
-def base_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BASE:
-        t = new_table(spark, "sales-history")
-        for k, year in enumerate(range(1995, 1999), start=1):
-            t.append(sales(spark, sf_dir, year), committed_at=at(k))
-        t.delete_where("o_orderstatus = 'F'", committed_at=at(5))
-        for k, year in enumerate(range(1999, 2002), start=6):
-            t.append(sales(spark, sf_dir, year), committed_at=at(k))
-        _BASE[key] = t.root
-    return VersionedTable(spark, _BASE[key])
+def new_history(spark, sf_dir) -> hist.History:
+    return hist.create(spark, sales(spark, sf_dir).schema, at(0))
 
 
-def _sql_years(lo: int, hi: int) -> str:
-    return f"year(o_orderdate) BETWEEN {lo} AND {hi}"
+def base_history(spark: SparkSession, sf_dir: str) -> hist.History:
+    """The history of the module's docstring: two passes over orders, in plain DataFrames."""
+    rows = sales(spark, sf_dir)
+    early = F.coalesce(F.year("o_orderdate") <= 1998, F.lit(False))
+    h = hist.append_batches(new_history(spark, sf_dir), rows.where(early), batch_of(1995, 1998), [at(k) for k in range(1, 5)])
+    h = hist.delete_where(h, F.col("o_orderstatus") == "F", at(5))
+    return hist.append_batches(h, rows.where(~early), batch_of(1999, 2001), [at(k) for k in range(6, 9)])
 
 
-SQL_CURRENT = f"SELECT * FROM {SQL_SALES} WHERE ({_sql_years(1995, 1998)} AND o_orderstatus <> 'F') OR {_sql_years(1999, 2001)}"
+SQL_EARLY = "year(o_orderdate) <= 1998"
+SQL_CURRENT = f"SELECT * FROM {SQL_SALES} WHERE NOT ({SQL_EARLY} AND o_orderstatus = 'F')"
 
 
-@query("ver_create")
-def ver_create(spark, sf_dir):
-    """A new table: required and optional fields with stable ids."""
-    return base_table(spark, sf_dir).schema_rows(0)
-
-
-@query("ver_describe")
-def ver_describe(spark, sf_dir):
-    return base_table(spark, sf_dir).describe()
-
-
-@query("ver_append", oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1998)}")
+@query("ver_append", oracle=f"SELECT * FROM {SQL_SALES} WHERE {SQL_EARLY}")
 def ver_append(spark, sf_dir):
     """After four appends (snapshot 4) every appended row is visible."""
-    return base_table(spark, sf_dir).scan(4)
+    return hist.as_of(base_history(spark, sf_dir), 4)
 
 
-@query(
-    "ver_delete_where",
-    oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1998)} AND o_orderstatus <> 'F'",
-)
+@query("ver_delete_where", oracle=f"SELECT * FROM {SQL_SALES} WHERE {SQL_EARLY} AND o_orderstatus <> 'F'")
 def ver_delete_where(spark, sf_dir):
-    return base_table(spark, sf_dir).scan(5)
+    return hist.as_of(base_history(spark, sf_dir), 5)
 
 
 @query("ver_scan", oracle=SQL_CURRENT)
 def ver_scan(spark, sf_dir):
-    return base_table(spark, sf_dir).scan()
+    return hist.as_of(base_history(spark, sf_dir))
 
 
-@query(
-    "ver_scan_columns",
-    oracle=f"SELECT o_orderkey, o_orderdate, o_totalprice FROM ({SQL_CURRENT})",
-)
+@query("ver_scan_columns", oracle=f"SELECT o_orderkey, o_orderdate, o_totalprice FROM ({SQL_CURRENT})")
 def ver_scan_columns(spark, sf_dir):
-    return base_table(spark, sf_dir).scan(columns=["o_orderkey", "o_orderdate", "o_totalprice"])
+    return hist.as_of(base_history(spark, sf_dir)).select("o_orderkey", "o_orderdate", "o_totalprice")
 
 
 @query(
@@ -123,28 +87,33 @@ def ver_scan_columns(spark, sf_dir):
     oracle=f"SELECT * FROM ({SQL_CURRENT}) WHERE o_totalprice > 200000 AND o_orderpriority = '1-URGENT'",
 )
 def ver_scan_filter(spark, sf_dir):
-    return base_table(spark, sf_dir).scan(where="o_totalprice > 200000 AND o_orderpriority = '1-URGENT'")
+    return hist.as_of(base_history(spark, sf_dir)).where("o_totalprice > 200000 AND o_orderpriority = '1-URGENT'")
 
 
-@query("ver_as_of_version", oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}")
+@query("ver_as_of_version", oracle=f"SELECT * FROM {SQL_SALES} WHERE year(o_orderdate) <= 1996")
 def ver_as_of_version(spark, sf_dir):
-    return base_table(spark, sf_dir).scan(2)
+    return hist.as_of(base_history(spark, sf_dir), 2)
 
 
 @query(
     "ver_as_of_timestamp",
-    oracle=f"SELECT * FROM {SQL_SALES} WHERE ({_sql_years(1995, 1998)} AND o_orderstatus <> 'F') OR {_sql_years(1999, 1999)}",
+    oracle=f"SELECT * FROM ({SQL_CURRENT}) WHERE year(o_orderdate) <= 1999",
 )
 def ver_as_of_timestamp(spark, sf_dir):
     """Latest snapshot committed at or before the time: snapshot 6."""
-    return base_table(spark, sf_dir).scan(as_of_time=at(6) + dt.timedelta(hours=12))
+    return hist.as_of_time(base_history(spark, sf_dir), at(6) + dt.timedelta(hours=12))
 
 
 def _snapshots_oracle() -> str:
-    adds = [f"SELECT {k} AS snapshot_id, 'append' AS operation, COUNT(*) AS added, CAST(0 AS BIGINT) AS removed FROM {SQL_SALES} WHERE year(o_orderdate) = {y}"
-            for k, y in list(enumerate(range(1995, 1999), start=1)) + list(enumerate(range(1999, 2002), start=6))]
+    conditions = {1: "year(o_orderdate) <= 1995", 2: "year(o_orderdate) = 1996", 3: "year(o_orderdate) = 1997",
+                  4: "year(o_orderdate) = 1998", 6: "year(o_orderdate) = 1999", 7: "year(o_orderdate) = 2000",
+                  8: "year(o_orderdate) >= 2001"}
+    adds = [
+        f"SELECT {k} AS snapshot_id, 'append' AS operation, COUNT(*) AS added, CAST(0 AS BIGINT) AS removed FROM {SQL_SALES} WHERE {c}"
+        for k, c in conditions.items()
+    ]
     adds.append("SELECT 0, 'create', CAST(0 AS BIGINT), CAST(0 AS BIGINT)")
-    adds.append(f"SELECT 5, 'delete', CAST(0 AS BIGINT), COUNT(*) FROM {SQL_SALES} WHERE {_sql_years(1995, 1998)} AND o_orderstatus = 'F'")
+    adds.append(f"SELECT 5, 'delete', CAST(0 AS BIGINT), COUNT(*) FROM {SQL_SALES} WHERE {SQL_EARLY} AND o_orderstatus = 'F'")
     body = "\nUNION ALL\n".join(adds)
     return f"""
 SELECT CAST(snapshot_id AS BIGINT) AS snapshot_id, committed_at, operation, added, removed,
@@ -154,164 +123,110 @@ FROM (SELECT u.*, TIMESTAMP '2024-01-01' + INTERVAL (snapshot_id) DAY AS committ
 
 @query("ver_snapshots", oracle=_snapshots_oracle())
 def ver_snapshots(spark, sf_dir):
-    return base_table(spark, sf_dir).snapshots()
-
-
-@query(
-    "ver_history",
-    oracle="""
-SELECT CAST(k AS BIGINT) AS snapshot_id, TIMESTAMP '2024-01-01' + INTERVAL (k) DAY AS committed_at,
-       CASE WHEN k = 0 THEN 'create' WHEN k = 5 THEN 'delete' ELSE 'append' END AS operation
-FROM range(0, 9) t(k)""",
-)
-def ver_history(spark, sf_dir):
-    return base_table(spark, sf_dir).history_log()
-
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return hist.snapshot_summary(base_history(spark, sf_dir), n)
 
-@query("ver_files")
-def ver_files(spark, sf_dir):
-    return base_table(spark, sf_dir).files()
 
-
-@query(
-    "ver_overwrite",
-    oracle=f"SELECT * FROM {SQL_SALES} WHERE year(o_orderdate) = 2000",
-)
+@query("ver_overwrite", oracle=f"SELECT * FROM {SQL_SALES} WHERE o_orderstatus <> 'F'")
 def ver_overwrite(spark, sf_dir):
-    t = new_table(spark, "sales-overwrite")
-    t.append(sales(spark, sf_dir, 1995, 1996), committed_at=at(1))
-    t.overwrite(sales(spark, sf_dir, 2000), committed_at=at(2))
-    return t.scan()
+    rows = sales(spark, sf_dir)
+    h = hist.append(new_history(spark, sf_dir), rows.where("o_orderstatus = 'F'"), at(1))
+    return hist.as_of(hist.overwrite(h, rows.where("o_orderstatus <> 'F'"), at(2)))
 
 
 @query(
     "ver_add_column",
     oracle=f"""
-SELECT *, CASE WHEN year(o_orderdate) = 1996
+SELECT *, CASE WHEN year(o_orderdate) > 1998
                THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.01 AS DOUBLE) END AS o_discount
-FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}""",
+FROM {SQL_SALES}""",
 )
 def ver_add_column(spark, sf_dir):
-    """Rows written before the column existed read it as NULL."""
-    t = new_table(spark, "sales-add-col")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    t.add_column("o_discount", "double", committed_at=at(2))
-    batch = sales(spark, sf_dir, 1996).withColumn(
-        "o_discount", (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(0.01).cast("decimal(2,2)")).cast("double")
-    )
-    t.append(batch, committed_at=at(3))
-    return t.scan()
+    """Rows added before the column existed read it as NULL."""
+    rows, early = sales(spark, sf_dir), F.year("o_orderdate") <= 1998
+    h = hist.append(new_history(spark, sf_dir), rows.where(early), at(1))
+    h = hist.add_column(h, "o_discount", "double", at(2))
+    discount = (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(0.01).cast("decimal(2,2)")).cast("double")
+    return hist.as_of(hist.append(h, rows.where(~early).withColumn("o_discount", discount), at(3)))
 
 
 @query(
     "ver_rename_column",
     oracle=f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority AS priority, o_quarter,
-       CASE WHEN year(o_orderdate) = 1996 THEN o_orderstatus END AS o_orderpriority
-FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}""",
+       CASE WHEN year(o_orderdate) > 1998 THEN o_orderstatus END AS o_orderpriority
+FROM {SQL_SALES}""",
 )
 def ver_rename_column(spark, sf_dir):
-    """Rename keeps old files readable under the new name; re-adding the old
-    name makes a new column (stable field ids, not names)."""
-    t = new_table(spark, "sales-rename")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    t.rename_column("o_orderpriority", "priority", committed_at=at(2))
-    t.add_column("o_orderpriority", "string", committed_at=at(3))
-    batch = sales(spark, sf_dir, 1996).withColumnRenamed("o_orderpriority", "priority").withColumn(
-        "o_orderpriority", F.col("o_orderstatus")
-    )
-    t.append(batch, committed_at=at(4))
-    return t.scan()
+    """Old rows are read under the new name; a column added under the old name is another one."""
+    rows, early = sales(spark, sf_dir), F.year("o_orderdate") <= 1998
+    h = hist.append(new_history(spark, sf_dir), rows.where(early), at(1))
+    h = hist.rename_column(h, "o_orderpriority", "priority", at(2))
+    h = hist.add_column(h, "o_orderpriority", "string", at(3))
+    late = rows.where(~early).withColumnRenamed("o_orderpriority", "priority").withColumn("o_orderpriority", F.col("o_orderstatus"))
+    return hist.as_of(hist.append(h, late, at(4)))
 
 
 @query(
     "ver_widen_type",
     oracle=f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(o_quarter AS BIGINT) AS o_quarter
-FROM {SQL_SALES} WHERE {_sql_years(1995, 1996)}""",
+FROM {SQL_SALES}""",
 )
 def ver_widen_type(spark, sf_dir):
-    """int -> bigint: files written as int are read as bigint."""
-    t = new_table(spark, "sales-widen")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    t.widen_type("o_quarter", "bigint", committed_at=at(2))
-    t.append(sales(spark, sf_dir, 1996), committed_at=at(3))
-    return t.scan()
+    """int -> bigint: rows added as int are read as bigint."""
+    rows, early = sales(spark, sf_dir), F.year("o_orderdate") <= 1998
+    h = hist.append(new_history(spark, sf_dir), rows.where(early), at(1))
+    h = hist.widen_type(h, "o_quarter", "bigint", at(2))
+    return hist.as_of(hist.append(h, rows.where(~early), at(3)))
+
+
+@query("ver_expire", oracle=f"SELECT * FROM ({SQL_CURRENT}) WHERE year(o_orderdate) <= 1999")
+def ver_expire(spark, sf_dir):
+    """Without the rows that snapshots before 5 alone could see, later snapshots read the same."""
+    return hist.as_of(hist.expire(base_history(spark, sf_dir), 5), 6)
+
+
+MONTH = "o_month_start"
 
 
-@query("ver_make_optional")
-def ver_make_optional(spark, sf_dir):
-    t = new_table(spark, "sales-optional")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    t.make_optional("o_totalprice", committed_at=at(2))
-    return t.schema_rows()
+def month_layout(spark, sf_dir) -> str:
+    """Orders stored by the month of their date, a derived column that readers needn't know."""
+    rows = sales(spark, sf_dir).withColumn(MONTH, F.trunc("o_orderdate", "month"))
+    return files.write_clustered(rows, scratch_path(spark, "by-month"), [MONTH])
+
+
+def read_by_date(spark, path: str, low: str, high: str) -> DataFrame:
+    """Rows with low <= o_orderdate < high: the condition on the date gives the one on its month."""
+    low_date, high_date = F.lit(low).cast("date"), F.lit(high).cast("date")
+    rows = files.read_partitioned(spark, path)
+    months = (F.col(MONTH) >= F.trunc(low_date, "month")) & (F.col(MONTH) < high_date)
+    return rows.where(months & (F.col("o_orderdate") >= low_date) & (F.col("o_orderdate") < high_date)).drop(MONTH)
 
 
 @query(
     "ver_hidden_partition",
-    oracle=f"""
-SELECT * FROM ({SQL_CURRENT}) WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1996-06-01'""",
+    oracle=f"SELECT * FROM {SQL_SALES} WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1996-06-01'",
 )
 def ver_hidden_partition(spark, sf_dir):
-    """Readers filter on the date; the matching month-partition predicate is
-    added for them so only three month folders are listed."""
-    lo, hi = "1996-03-01", "1996-06-01"
-    return base_table(spark, sf_dir).scan(
-        where=(F.col("o_orderdate") >= F.lit(lo).cast("date")) & (F.col("o_orderdate") < F.lit(hi).cast("date")),
-        prune=[("o_orderdate", ">=", lo), ("o_orderdate", "<", hi)],
-    )
+    """Readers filter on the date; only three month folders are read."""
+    return read_by_date(spark, month_layout(spark, sf_dir), "1996-03-01", "1996-06-01")
 
 
-@query("ver_partition_evolution", oracle=f"SELECT * FROM {SQL_SALES} WHERE {_sql_years(1995, 1999)}")
+@query("ver_partition_evolution", oracle=f"SELECT * FROM {SQL_SALES}")
 def ver_partition_evolution(spark, sf_dir):
-    """Month partitions until 1997, then (status, year); one scan reads both layouts."""
-    t = new_table(spark, "sales-spec")
-    for k, year in enumerate(range(1995, 1998), start=1):
-        t.append(sales(spark, sf_dir, year), committed_at=at(k))
-    t.set_partition_spec([("o_orderstatus", "identity"), ("o_orderdate", "year")], committed_at=at(4))
-    t.append(sales(spark, sf_dir, 1998, 1999), committed_at=at(5))
-    return t.scan()
-
-
-def _many_small_files(spark, sf_dir, tag) -> VersionedTable:
-    """Six appends (two year ranges x three statuses): every month folder
-    holds several small files."""
-    t = new_table(spark, tag)
-    k = 0
-    for first, last in ((1995, 1998), (1999, 2001)):
-        for status in ("F", "O", "P"):
-            k += 1
-            t.append(sales(spark, sf_dir, first, last).where(F.col("o_orderstatus") == status), committed_at=at(k))
-    return t
+    """Early orders by month, later ones by status; one scan reads both layouts."""
+    rows, early = sales(spark, sf_dir), F.coalesce(F.year("o_orderdate") <= 1998, F.lit(False))
+    old = rows.where(early).withColumn(MONTH, F.trunc("o_orderdate", "month"))
+    a = files.write_clustered(old, scratch_path(spark, "spec-month"), [MONTH])
+    b = files.write_clustered(rows.where(~early), scratch_path(spark, "spec-status"), ["o_orderstatus"])
+    return files.read_partitioned(spark, a).drop(MONTH).unionByName(files.read_partitioned(spark, b))
 
 
 @query("ver_compact", oracle=f"SELECT * FROM {SQL_SALES}")
 def ver_compact(spark, sf_dir):
-    """Bin-pack the live files to the target size; the rows are unchanged."""
-    t = _many_small_files(spark, sf_dir, "sales-compact")
-    t.compact(target_file_bytes=64 * 1024 * 1024, committed_at=at(8))
-    return t.scan()
-
-
-@query(
-    "ver_expire",
-    oracle=f"SELECT * FROM {SQL_SALES} WHERE ({_sql_years(1995, 1998)} AND o_orderstatus <> 'F') OR {_sql_years(1999, 1999)}",
-)
-def ver_expire(spark, sf_dir):
-    """Expire snapshots before 5: rows deleted at 5 are dropped from storage,
-    later snapshots read the same as before."""
-    t = new_table(spark, "sales-expire")
-    for k, year in enumerate(range(1995, 1999), start=1):
-        t.append(sales(spark, sf_dir, year), committed_at=at(k))
-    t.delete_where("o_orderstatus = 'F'", committed_at=at(5))
-    t.append(sales(spark, sf_dir, 1999), committed_at=at(6))
-    t.expire_snapshots(5, committed_at=at(7))
-    return t.scan(6)
-
-
-@query("ver_orphans")
-def ver_orphans(spark, sf_dir):
-    """Files no snapshot lists: those replaced by compaction."""
-    t = _many_small_files(spark, sf_dir, "sales-orphans")
-    t.compact(committed_at=at(8))
-    return t.orphan_files()
+    """Small files (one append for each status and year) rewritten into fewer, of the advisory size."""
+    small = scratch_path(spark, "many-small")
+    files.write(sales(spark, sf_dir).withColumn("y", F.year("o_orderdate")), small, partition_by=["o_orderstatus", "y"])
+    packed = files.compact(spark, small, scratch_path(spark, "compacted"))
+    return files.read(spark, packed).drop("y")

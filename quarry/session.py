@@ -7,6 +7,7 @@ setting is absent -- local runs and tests -- do we pick a folder ourselves.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,7 +48,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Read from the session; set our own only where it is unset (tests, local runs).
+    Read from the session; set our own only where it is unset and the master
+    is local (tests).  On a cluster a folder of one machine would not do, so
+    there an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not re.match(r"local(\[[^]]*\])?$", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the whole cluster shares")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

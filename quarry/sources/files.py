@@ -119,10 +119,23 @@ def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+def advisory_bytes(spark: SparkSession) -> int:
+    """The session's advisory partition size in bytes."""
+    text = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m").lower().removesuffix("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
+
+
 def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str], **kw) -> str:
     return write(clustered(df, partition_by), path, partition_by=partition_by, **kw)
 
 
+def compact(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> str:
+    """Rewrite many small files into few: adaptive execution packs the rows into
+    partitions of the advisory size (REBALANCE without keys deals them evenly)."""
+    return write(read(spark, source, fmt).hint("rebalance"), target, fmt)
+
+
 def with_file_info(df: DataFrame) -> DataFrame:
     """Columns ``file_path`` and ``file_size`` of the file each row came from."""
     return df.withColumn("file_path", F.col("_metadata.file_path")).withColumn(

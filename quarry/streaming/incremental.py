@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -26,11 +27,10 @@ def run_incremental(
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Process every file in ``landing`` not seen by an earlier run; append
-    the rows to ``sink``.  Returns the number of input rows of this run,
-    summed over the query's progress reports.  Spark keeps the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` of them (100 by default),
-    so raise that setting when a run spans more micro-batches (a small
-    ``max_files_per_trigger`` over a large backlog)."""
+    the rows to ``sink``.  Returns the number of rows that this run committed
+    to the sink, whatever the number of micro-batches: the sink's rows after it
+    less those before (counts come from the files' footers)."""
+    before = _committed(spark, sink)
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -49,4 +49,14 @@ def run_incremental(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _committed(spark, sink) - before
+
+
+def _committed(spark: SparkSession, sink: str) -> int:
+    """Rows that finished runs have committed to the sink; 0 before the first."""
+    try:
+        return spark.read.parquet(sink).count()
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return 0
+        raise

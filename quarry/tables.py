@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.operators.layout import TARGET_PARTITION_BYTES, partition_count, stored_bytes
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -22,13 +20,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def partitions_for(
-    spark: SparkSession, sf_dir: str, name: str, requested: int, target_bytes: int = TARGET_PARTITION_BYTES
-) -> int:
-    """An example's partition count as a floor, raised with the table's stored size."""
-    return partition_count(requested, stored_bytes(spark, table_path(sf_dir, name)), target_bytes)
-
-
 class Tables:
     """Attribute access to the input tables: ``t.orders``."""
 
@@ -40,8 +31,3 @@ class Tables:
         if name in TABLES:
             return load(self.spark, self.sf_dir, name)
         raise AttributeError(name)
-
-    def register_views(self) -> None:
-        """Temp views named after the tables, for SQL text queries."""
-        for name in TABLES:
-            load(self.spark, self.sf_dir, name).createOrReplaceTempView(name)

@@ -46,3 +46,38 @@ def test_glob_filter_skips_temp_files(spark, sf_dir):
     path = files.write(Tables(spark, sf_dir).region, scratch_path(spark, "t-glob"))
     spark.createDataFrame([("junk",)], "x string").write.mode("append").text(path)  # text files, not *.parquet
     assert etl.read_data_files(spark, path).count() == 5
+
+
+def test_mapping_checks_the_declared_types(spark, sf_dir):
+    import pytest
+
+    o = Tables(spark, sf_dir).orders
+    with pytest.raises(ValueError, match="source types"):
+        etl.apply_mapping(o, [("o_orderkey", "string", "id", "bigint")])
+    with pytest.raises(ValueError, match="source types"):
+        etl.apply_mapping(o, [("no_such", "string", "id", "bigint")])
+
+
+def test_incremental_counts_beyond_the_progress_reports(spark):
+    """More micro-batches than the progress reports that Spark keeps."""
+    root = scratch_path(spark, "t-many-batches")
+    files.write(spark.range(60).repartition(6), f"{root}/in")
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        schema = spark.range(0).schema
+        n = run_incremental(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", schema, max_files_per_trigger=1)
+    finally:
+        spark.conf.set(key, before)
+    assert n == 60
+
+
+def test_discovery_over_files_logs_removals(spark, sf_dir, caplog):
+    path = scratch_path(spark, "t-discover")
+    files.write(spark.range(3), path)
+    spark.createDataFrame([("junk",)], "x string").write.mode("append").text(path)
+    with caplog.at_level("WARNING"):
+        got = {r.field: r.change for r in etl.discover_files(spark, path, [("id", "bigint"), ("gone", "string")]).collect()}
+    assert got == {"id": "unchanged", "gone": "removed"}
+    assert "gone" in caplog.text

@@ -6,9 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from quarry.operators import history as hist
 from quarry.operators import joins, ordered
-from quarry.operators.versions import VersionedTable
-from quarry.session import scratch_path
 from tests import fixtures as fx
 
 
@@ -74,7 +73,7 @@ def test_g4_correlated_max(staff):
 
 def test_g5_running_total(sales):
     out = ordered.with_positions(
-        sales, [F.col("data_venda").asc()], ["venda_id"], name="pos", running={"running": F.col("valor")}
+        sales, [F.col("data_venda").asc()], ["venda_id"], name="pos", running={"running": F.col("valor")}, partitions=3
     ).orderBy("pos")
     assert [r.running for r in out.collect()] == [10000.0, 18000.0, 33000.0, 42500.0, 54500.0]
 
@@ -89,7 +88,7 @@ def test_g6_g7_g8_set_operations(staff):
 
 
 def test_g9_ntile(staff):
-    out = ordered.with_ntile(staff, 4, [F.col("salario").asc()], ["id"], name="q")
+    out = ordered.with_ntile(staff, 4, [F.col("salario").asc()], ["id"], name="q", partitions=3)
     got = {r.nome: r.q for r in out.collect()}
     assert got == {"Pedro": 1, "João": 1, "Ana": 2, "Julia": 2, "Maria": 3, "Carlos": 4}
 
@@ -112,21 +111,17 @@ def products_table(spark):
             StructField("regiao", StringType(), True),
         ]
     )
-    t = VersionedTable.create(
-        spark, scratch_path(spark, "golden-products"), schema, [("data_venda", "month"), ("regiao", "identity")],
-        committed_at=dt.datetime(2024, 1, 1),
-    )
-    t.append(spark.createDataFrame(fx.PRODUCTS_FIRST, schema), committed_at=dt.datetime(2024, 1, 2))
-    t.append(spark.createDataFrame(fx.PRODUCTS_SECOND, schema), committed_at=dt.datetime(2024, 1, 3))
-    return t
+    h = hist.create(spark, schema, dt.datetime(2024, 1, 1))
+    h = hist.append(h, spark.createDataFrame(fx.PRODUCTS_FIRST, schema), dt.datetime(2024, 1, 2))
+    return hist.append(h, spark.createDataFrame(fx.PRODUCTS_SECOND, schema), dt.datetime(2024, 1, 3))
 
 
 def test_g11_time_travel(products_table):
-    assert products_table.scan(1).count() == 5
-    assert products_table.scan().count() == 7
-    assert products_table.scan(0).count() == 0
+    assert hist.as_of(products_table, 1).count() == 5
+    assert hist.as_of(products_table).count() == 7
+    assert hist.as_of(products_table, 0).count() == 0
 
 
 def test_g12_row_filter(products_table):
-    rows = products_table.scan(1, where="quantidade > 20 AND regiao = 'Sul'").collect()
+    rows = hist.as_of(products_table, 1).where("quantidade > 20 AND regiao = 'Sul'").collect()
     assert [(r.produto, r.quantidade) for r in rows] == [("Teclado", 30)]

@@ -37,13 +37,21 @@ def test_orc_codec_round_trip(spark, orders, codec):
     assert files.read(spark, path, "orc").count() == orders.count()
 
 
-def test_file_counts(spark, sf_dir, q):
-    got = {r.layout: (r.files, r.rows) for r in q["sink_file_count"](spark, sf_dir).collect()}
-    assert got["repartition_4"][0] == 4 and got["repartition_4_coalesce_2"][0] == 2
+def test_file_counts(spark, orders, q, sf_dir):
+    assert all(r.as_requested and r.rows == orders.count() for r in q["sink_file_count"](spark, sf_dir).collect())
+    many = files.write(orders.repartition(6), scratch_path(spark, "t-6"))
+    few = files.write(orders.repartition(6).coalesce(2), scratch_path(spark, "t-2"))
+    assert (len(files.read(spark, many).inputFiles()), len(files.read(spark, few).inputFiles())) == (6, 2)
 
 
-def test_one_file_per_partition_value(spark, sf_dir, q):
-    assert {r.files for r in q["sink_one_file_per_partition"](spark, sf_dir).collect()} == {1}
+def test_folder_report_tells_fragments(spark, orders):
+    from quarry.plans.io import folder_report
+
+    keys = ["o_orderpriority"]
+    clustered = files.write_clustered(orders.repartition(5), scratch_path(spark, "t-clustered"), keys)
+    loose = files.write(orders.repartition(5), scratch_path(spark, "t-loose"), partition_by=keys)
+    assert all(r.few_files for r in folder_report(spark, files.read_partitioned(spark, clustered), keys).collect())
+    assert not any(r.few_files for r in folder_report(spark, files.read_partitioned(spark, loose), keys).collect())
 
 
 def test_max_records_per_file(spark, orders):
@@ -96,7 +104,7 @@ def test_bucketing_needs_a_table(spark, orders):
 def test_default_codec_restored(spark, sf_dir, q):
     key = "spark.sql.parquet.compression.codec"
     before = spark.conf.get(key)
-    assert q["sink_default_codec"](spark, sf_dir).first().codec == "zstd"
+    assert {(r.format, r.codec) for r in q["sink_default_codec"](spark, sf_dir).collect()} == {("parquet", "zstd"), ("orc", "zstd")}
     assert spark.conf.get(key) == before
 
 
@@ -108,14 +116,26 @@ def test_glob_without_base_path_loses_partition_columns(spark, sf_dir):
     assert "o_year" in files.read_partitioned(spark, f"{root}/o_year=1996/o_month=*", base_path=root).columns
 
 
-def test_report_row_counts_equal(spark, sf_dir, q):
-    rows = q["report_format_size"](spark, sf_dir).collect()
+def test_report_row_counts_equal(spark, sf_dir):
+    from quarry.plans.io import format_sizes
+    from quarry.tables import load
+
+    rows = format_sizes(spark, load(spark, sf_dir, "region")).collect()
     assert len({r.rows for r in rows}) == 1 and all(r.bytes > 0 for r in rows)
 
 
 def test_avro_is_gated(spark):
     # the avro module is external; the library reports it instead of failing later
-    assert files.format_available(spark, "avro") in (True, False)
+    assert files.format_available(spark, "parquet") and not files.format_available(spark, "no-such-format")
+    assert files.format_available(spark, "avro") == _loads(spark, "avro")
+
+
+def _loads(spark, fmt):
+    try:
+        spark.range(1).write.format(fmt).save(scratch_path(spark, f"t-{fmt}"))
+    except AnalysisException:
+        return False
+    return True
 
 
 def test_synthetic_rows_repeatable(spark):
@@ -133,13 +153,48 @@ def test_ansi_bad_cast_raises_and_try_cast_does_not(spark):
     assert df.select(F.expr("try_cast(s AS INT)")).first()[0] is None
 
 
-def test_partition_count_grows_with_size(spark, sf_dir):
-    import os
 
-    from quarry.operators.layout import TARGET_PARTITION_BYTES, partition_count, stored_bytes
-    from quarry.tables import table_path
+def test_partitioned_table_writes_are_clustered(spark, sf_dir):
+    from quarry.operators import catalog
+    from quarry.tables import load
+
+    o = load(spark, sf_dir, "orders").repartition(6)
+    name = catalog.save_table(o, "t_clustered", partition_by=["o_orderpriority"])
+    n = o.select("o_orderpriority").distinct().count()
+    assert len(spark.table(name).inputFiles()) == n
+    again = catalog.qualified(spark, "t_clustered_insert")
+    catalog.create_table(spark, again, "o_orderkey BIGINT, o_orderpriority STRING", ["o_orderpriority"])
+    catalog.insert_select(spark, again, o)
+    assert len(spark.table(again).inputFiles()) == n
+
+
+def test_bucketed_write_has_one_file_for_each_bucket(spark, sf_dir):
+    from quarry.operators import catalog
+    from quarry.tables import load
+
+    name = catalog.save_bucketed(load(spark, sf_dir, "orders").repartition(5), "t_buckets", 4, "o_custkey")
+    assert len(spark.table(name).inputFiles()) == 4
+
+
+def test_measured_row_bytes(spark):
+    from quarry.operators.layout import value_bytes
+
+    df = spark.createDataFrame([(1, "abc", 2), (2, None, 3)], "a long, s string, i int")
+    assert [r[0] for r in df.select(value_bytes(df)).collect()] == [15, 12]
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from quarry.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=conf))
+
 
-    assert partition_count(4, 10_000) == 4  # small input: the example's count
-    assert partition_count(4, 100 * 2**40) == 100 * 2**40 // TARGET_PARTITION_BYTES  # 100 TB: 128 MB each
-    path = table_path(sf_dir, "orders")
-    assert stored_bytes(spark, path) == os.path.getsize(path)
+def test_cache_is_released(spark, sf_dir, q):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert q["reuse_cache"](spark, sf_dir).count() == 2
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

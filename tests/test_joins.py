@@ -25,12 +25,39 @@ def _rows(df, cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("keep_left,keep_right,how", [(True, False, "left"), (False, True, "right"), (True, True, "full")])
-def test_outer_join_split_equals_outer_join(sides, keep_left, keep_right, how):
-    left, right = sides
-    got = joins.outer_join_split(left, right, "lk", "rk", keep_left=keep_left, keep_right=keep_right)
-    want = left.join(right, left.lk == right.rk, how)
-    assert _rows(got, ["lid", "rid"]) == _rows(want, ["lid", "rid"])
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+@pytest.mark.parametrize("salts", [1, 5])
+@pytest.mark.parametrize("swapped", [False, True])  # the hot key on either side
+def test_outer_join_using(sides, how, salts, swapped):
+    left, right = (s.withColumnRenamed(k, "k") for s, k in zip(sides, ("lk", "rk")))
+    if swapped:
+        left, right = right, left
+    got = joins.outer_join(left, right, "k", how, salts)
+    want = left.join(right, "k", how)
+    assert got.columns[0] == "k" and sorted(got.columns) == sorted(want.columns)
+    assert _rows(got, ["k", "lid", "rid"]) == _rows(want, ["k", "lid", "rid"])
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_outer_join_of_sides_that_share_column_names(spark, salts):
+    left = spark.createDataFrame([(1, 1, "a"), (1, 1, "a"), (2, None, "b"), (3, 3, None)], "k long, j long, v string")
+    right = spark.createDataFrame([(1, 1, "x"), (2, None, "y"), (4, 4, "z"), (None, 1, "n")], "k long, j long, v string")
+    want = {"left": 4, "right": 5, "full": 7}
+    for how, n in want.items():
+        got = joins.outer_join(left, right, ["k", "j"], how, salts)
+        assert got.columns == ["k", "j", "v", "v_right"] and got.count() == n
+    assert sorted(r.v_right for r in joins.outer_join(left, right, ["k", "j"], "left", salts).where("k = 1").collect()) == ["x", "x"]
+    with pytest.raises(ValueError, match="suffix"):
+        joins.outer_join(left.withColumn("v_right", left.v), right, ["k", "j"], how, salts)
+    with pytest.raises(ValueError, match="outer"):
+        joins.outer_join(left, right, "k", "inner")
+
+
+def test_outer_join_of_empty_sides(spark):
+    some, none = spark.range(3), spark.range(0)
+    assert joins.outer_join(some, none, "id", "left", 4, ["id"]).count() == 3
+    assert joins.outer_join(none, some, "id", "left", 4, ["id"]).count() == 0
+    assert joins.outer_join(none, some, "id", "full", 4, ["id"]).count() == 3
 
 
 @pytest.mark.parametrize("negate", [False, True])
@@ -49,14 +76,11 @@ def test_aggregate_then_join(sides):
     assert g == {r.lid: r.n for r in want.collect()}
 
 
-def test_join_small_checks_size(spark):
-    big = spark.range(1000).withColumn("k", F.col("id") % 10)
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert joins.is_small(small, 10) and not joins.is_small(small, 9)
-    out = joins.join_small(big, small, "k", max_rows=9)  # above the bound: plain join
-    assert out.count() == 1000
-    with pytest.raises(ValueError):
-        joins.join_small(big, small, "k", how="full")
+def test_broadcast_is_checked_by_bytes(spark):
+    small = spark.createDataFrame([(1, "x" * 1000)], "id long, t string")
+    assert joins.text_bytes(small) > 1000 and joins.text_bytes(small.limit(0)) == 0
+    hint = lambda df: "Broadcast" in df._jdf.queryExecution().logical().toString() or "broadcast" in df._jdf.queryExecution().logical().toString()
+    assert hint(joins.broadcast_checked(small)) and not hint(joins.broadcast_checked(small, max_bytes=100))
 
 
 def test_attach_aggregate_keeps_null_group(spark):

@@ -41,7 +41,7 @@ def test_row_number_and_running_sum(skewed, group):
 
 @pytest.mark.parametrize("group", [[], ["grp"]])
 def test_rank_dense_rank(skewed, group):
-    got = ordered.with_rank(skewed, "v", True, group)
+    got = ordered.with_rank(skewed, [("v", True)], group, partitions=8)
     w = Window.partitionBy(*group).orderBy(F.col("v").desc())
     want = skewed.withColumn("rank", F.rank().over(w)).withColumn("dense_rank", F.dense_rank().over(w))
     _same(got, want, ["id", "rank", "dense_rank"])
@@ -50,16 +50,16 @@ def test_rank_dense_rank(skewed, group):
 @pytest.mark.parametrize("group", [[], ["grp"]])
 def test_ntile_lead_lag(skewed, group):
     w = Window.partitionBy(*group).orderBy("v", "id")
-    nt = ordered.with_ntile(skewed, 7, [F.col("v").asc()], ["id"], group, name="t")
+    nt = ordered.with_ntile(skewed, 7, [F.col("v").asc()], ["id"], group, name="t", partitions=8)
     _same(nt, skewed.withColumn("t", F.ntile(7).over(w)), ["id", "t"])
-    ll = ordered.with_lead_lag(skewed, "v", [F.col("v").asc()], ["id"], group, offset=2)
+    ll = ordered.with_lead_lag(skewed, "v", [F.col("v").asc()], ["id"], group, offset=2, partitions=8)
     want = skewed.withColumn("lead", F.lead("v", 2).over(w)).withColumn("lag", F.lag("v", 2).over(w))
     _same(ll, want, ["id", "lead", "lag"])
 
 
 def test_null_group_and_values(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, None, None), (3, "a", 2.0), (4, "a", None)], "id long, grp string, v double")
-    got = ordered.with_positions(df, [F.col("v").asc_nulls_first()], ["id"], ["grp"], name="rn")
+    got = ordered.with_positions(df, [F.col("v").asc_nulls_first()], ["id"], ["grp"], name="rn", partitions=3)
     w = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_first(), "id")
     _same(got, df.withColumn("rn", F.row_number().over(w)), ["id", "rn"])
 
@@ -73,7 +73,7 @@ def test_exact_quantiles_with_repeated_values(spark):
     df = spark.range(3001).select(F.when(F.col("id") % 3 == 0, F.lit(50.0)).otherwise((F.col("id") * 7919 % 1000).cast("double")).alias("x"))
     vals = sorted(r.x for r in df.collect())
     probs = [0.01, 0.25, 0.5, 0.75, 0.999]
-    got = exact_quantiles(df, "x", probs)
+    got = exact_quantiles(df, "x", probs, 8)
     assert got == {p: vals[max(1, math.ceil(p * len(vals))) - 1] for p in probs}
 
 
@@ -109,7 +109,7 @@ def test_tiny_partitions_nulls(spark, group):
     _same(ll, df.withColumn("lead", F.lead("v", 3).over(w)).withColumn("lag", F.lag("v", 3).over(w)), ["id", "lead", "lag"])
     nt = ordered.with_ntile(df, 4, order, ["id"], group, name="t", partitions=64)
     _same(nt, df.withColumn("t", F.ntile(4).over(w)), ["id", "t"])
-    rk = ordered.with_rank(df, "v", False, group)
+    rk = ordered.with_rank(df, [("v", False)], group, partitions=64)
     wr = Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first())
     _same(rk, df.withColumn("rank", F.rank().over(wr)).withColumn("dense_rank", F.dense_rank().over(wr)), ["id", "rank", "dense_rank"])
 
@@ -124,7 +124,7 @@ def test_summary_exact_several_columns(spark):
         (F.col("id") % 17).cast("int").alias("a"),
         F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") * 0.5).alias("b"),
     )
-    got = {r.column_name: r for r in summary_exact(df, ["a", "b"]).collect()}
+    got = {r.column_name: r for r in summary_exact(df, partitions=4).collect()}
     rows = df.collect()
     for c in ("a", "b"):
         vals = sorted(float(r[c]) for r in rows if r[c] is not None)
@@ -137,19 +137,66 @@ def test_summary_exact_several_columns(spark):
             assert g[name] == vals[max(1, math.ceil(p * len(vals))) - 1]
 
 
-def test_more_partitions_than_bucket_limit(spark):
-    # 32 range partitions written into at most 5 buckets: still exact.
-    df = spark.range(500).select("id", (F.col("id") % 3).alias("grp"), (F.col("id") % 13).alias("v"))
+def test_more_partitions_than_the_bucket_limit_is_an_error(spark):
+    df = spark.range(500).select("id", (F.col("id") % 3).alias("grp"))
     old = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
     spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "5")
     try:
-        got = ordered.with_lead_lag(df, "v", [F.col("v").asc()], ["id"], ["grp"], partitions=32)
-        w = Window.partitionBy("grp").orderBy("v", "id")
-        _same(got, df.withColumn("lead", F.lead("v").over(w)).withColumn("lag", F.lag("v").over(w)), ["id", "lead", "lag"])
+        with pytest.raises(ValueError, match="maxBuckets"):
+            ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], partitions=32)
     finally:
         spark.conf.set("spark.sql.sources.bucketing.maxBuckets", old)
 
 
+@pytest.mark.parametrize("n", [1, 7, 64])
+def test_no_task_holds_more_than_one_range_partition(spark, n):
+    df = spark.range(2000).select("id", (F.col("id") % 3).alias("grp"))
+    tagged = ordered._numbered(df, ["grp"], [F.col("id").asc()], [], n)
+    assert len(set(ordered.bucket_keys(spark, n))) == n
+    # a task reads a bucket: all files of one bucket number
+    bucket = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})\.", 1)
+    per_bucket = tagged.select(ordered._PID, bucket.alias("b")).distinct().groupBy("b").count()
+    counts = [r["count"] for r in per_bucket.collect()]
+    assert set(counts) == {1} and len(counts) == n
+
+
+@pytest.mark.parametrize("group", [[], ["grp"]])
+@pytest.mark.parametrize("n", [1, 5, 40])
+def test_rank_by_several_columns(spark, group, n):
+    """Mixed directions, NULLs, ties that span partitions."""
+    df = spark.range(600).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.lit("b")).alias("grp"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.when(F.col("id") < 400, F.lit(1)).otherwise(F.col("id") % 3)).alias("a"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") % 2).cast("double")).alias("b"),
+    )
+    got = ordered.with_rank(df, [("a", True), ("b", False)], group, partitions=n)
+    w = Window.partitionBy(*group).orderBy(F.col("a").desc_nulls_last(), F.col("b").asc_nulls_first())
+    want = df.withColumn("rank", F.rank().over(w)).withColumn("dense_rank", F.dense_rank().over(w))
+    _same(got, want, ["id", "rank", "dense_rank"])
+
+
+def test_first_value_puts_null_last(spark):
+    from quarry.plans.relational import first_by_group
+
+    df = spark.createDataFrame(
+        [("g", "a", None, 1), ("g", "b", 2.0, 3), ("g", "c", 2.0, 2), ("h", "d", None, 5), ("h", "e", None, 4), (None, None, 1.0, 6), (None, "z", 0.5, 7)],
+        "grp string, name string, bal double, k long",
+    )
+    got = {r.grp: r.top for r in first_by_group(df, "grp", "name", "bal", "k", "top").collect()}
+    w = Window.partitionBy("grp").orderBy(F.col("bal").desc_nulls_last(), "k")
+    want = {r.grp: r.top for r in df.withColumn("top", F.first_value("name").over(w)).collect()}
+    assert got == want == {"g": "c", "h": "e", None: None}
+
+
+def test_latest_per_key_with_nulls_and_ties(spark):
+    from quarry.plans.relational import latest_per_key
+
+    df = spark.createDataFrame([(1, None, 5), (1, 3, 1), (1, 3, 2), (None, 1, 1), (None, None, 9), (2, None, None)], "k long, t long, i long")
+    got = sorted((tuple(r) for r in latest_per_key(df, ["k"], ["t", "i"]).collect()), key=repr)
+    assert got == sorted([(1, 3, 2), (None, 1, 1), (2, None, None)], key=repr)
+
+
 def test_numbered_rows_are_released_with_the_work_database(spark):
     import os
     from urllib.parse import urlparse
@@ -163,7 +210,7 @@ def test_numbered_rows_are_released_with_the_work_database(spark):
     catalog.drop_work_database(spark)
     assert not os.path.exists(folder)
     # a fresh work database is created on the next use
-    assert ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], name="rn").count() == 100
+    assert ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], name="rn", partitions=4).count() == 100
 
 
 def test_ntile_with_groups_smaller_than_bucket_count(spark):

@@ -39,6 +39,6 @@ def test_ordered_operators_match_window(spark, rows, partitions, offset, buckets
     nt = ordered.with_ntile(df, buckets, order, ["id"], ["grp"], name="t", partitions=partitions)
     assert _rows(nt, ["id", "t"]) == _rows(want, ["id", "t"])
     wr = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_first())
-    rk = ordered.with_rank(df, "v", False, ["grp"])
+    rk = ordered.with_rank(df, [("v", False)], ["grp"], partitions=partitions)
     want_rk = df.withColumn("rank", F.rank().over(wr)).withColumn("dense_rank", F.dense_rank().over(wr))
     assert _rows(rk, ["id", "rank", "dense_rank"]) == _rows(want_rk, ["id", "rank", "dense_rank"])

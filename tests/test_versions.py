@@ -1,131 +1,124 @@
-"""Versioned tables: replay property, delete semantics, time travel edges,
-schema changes, maintenance."""
+"""Versioned data: replay property, delete semantics, time travel edges, schema changes, expiry."""
 
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from quarry.operators.versions import VersionedTable, can_widen
-from quarry.plans.versions import SALES_SCHEMA, at, base_table, new_table, sales
+from quarry.operators import history as hist
+from quarry.plans.versions import at, base_history, new_history, sales
+from tests.plan_text import plan_text
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_as_of_equals_replay(spark, sf_dir):
-    t = base_table(spark, sf_dir)
-    # replay of operations 1..v on plain DataFrames
-    state = None
-    for v in range(0, 9):
-        if 1 <= v <= 4:
-            batch = sales(spark, sf_dir, 1994 + v)
-            state = batch if state is None else state.unionByName(batch)
-        elif v == 5:
-            state = state.where(~F.coalesce(F.col("o_orderstatus") == "F", F.lit(False)))
-        elif v >= 6:
-            state = state.unionByName(sales(spark, sf_dir, 1993 + v))
-        if v in (0, 3, 5, 8):
-            got = t.scan(v)
-            assert (got.count() == 0) if state is None else _rows(got) == _rows(state)
-
-
-def test_delete_with_null_predicate_keeps_row(spark):
-    t = new_table(spark, "t-null-delete")
-    rows = spark.createDataFrame(
-        [(1, 1, None, 1.0, dt.date(2024, 1, 1), "x", 1), (2, 1, "F", 2.0, dt.date(2024, 1, 2), "x", 1)], SALES_SCHEMA
-    )
-    t.append(rows, committed_at=at(1))
-    t.delete_where("o_orderstatus = 'F'", committed_at=at(2))
-    assert [r.o_orderkey for r in t.scan().collect()] == [1]
-
-
-def test_timestamp_on_commit_boundary_is_inclusive(spark, sf_dir):
-    t = base_table(spark, sf_dir)
-    assert t.snapshot_at(at(3)).snapshot_id == 3
-    assert t.snapshot_at(at(3) - dt.timedelta(microseconds=1)).snapshot_id == 2
-    with pytest.raises(ValueError):
-        t.snapshot_at(at(0) - dt.timedelta(days=1))
+    h, rows, year = base_history(spark, sf_dir), sales(spark, sf_dir), F.year("o_orderdate")
+    early = rows.where(year <= 1998)
+    want = {
+        0: rows.limit(0),
+        1: rows.where(year <= 1995),
+        3: rows.where(year <= 1997),
+        4: early,
+        5: early.where("o_orderstatus <> 'F'"),
+        7: early.where("o_orderstatus <> 'F'").unionByName(rows.where((year > 1998) & (year <= 2000))),
+        8: early.where("o_orderstatus <> 'F'").unionByName(rows.where(year > 1998)),
+    }
+    for version, state in want.items():
+        assert _rows(hist.as_of(h, version)) == _rows(state), version
+    assert _rows(hist.as_of(h)) == _rows(want[8])
+
+
+@pytest.fixture
+def small(spark):
+    h = hist.create(spark, StructType.fromDDL("id long, status string, v int"), at(0))
+    batch = spark.createDataFrame([(1, None, 1), (2, "F", 2), (3, "O", None)], "id long, status string, v int")
+    return hist.append(h, batch, at(1))
+
+
+def test_null_predicate_keeps_the_row(small):
+    after = hist.delete_where(small, F.col("status") == "F", at(2))
+    assert [r.id for r in hist.as_of(after).orderBy("id").collect()] == [1, 3]
+    assert hist.as_of(after, 1).count() == 3
+
+
+def test_time_on_a_commit_is_inclusive(small):
+    assert hist.as_of_time(small, at(1)).count() == 3
+    assert hist.as_of_time(small, at(1) - dt.timedelta(microseconds=1)).count() == 0
+    assert hist.as_of_time(small, at(0) - dt.timedelta(days=1)).count() == 0
 
 
 def test_snapshot_totals(spark, sf_dir):
-    t = base_table(spark, sf_dir)
-    snaps = {r.snapshot_id: r.total for r in t.snapshots().collect()}
-    for v in (2, 5, 8):
-        assert snaps[v] == t.scan(v).count()
+    h = base_history(spark, sf_dir)
+    for r in hist.snapshot_summary(h, 4).collect():
+        assert r.total == hist.as_of(h, r.snapshot_id).count()
 
 
-def test_widening_only(spark):
-    assert can_widen("int", "bigint") and can_widen("float", "double") and can_widen("decimal(10,2)", "decimal(12,2)")
-    assert not can_widen("bigint", "int") and not can_widen("double", "float") and not can_widen("string", "int")
-    t = new_table(spark, "t-narrow")
+def test_overwrite_ends_all_rows(spark, small):
+    batch = spark.createDataFrame([(9, "N")], "id long, status string")
+    after = hist.overwrite(small, batch, at(2))
+    assert [tuple(r) for r in hist.as_of(after).collect()] == [(9, "N", None)]
+    assert hist.as_of(after, 1).count() == 3
+    assert [r.operation for r in after.snapshots.orderBy("snapshot_id").collect()] == ["create", "append", "overwrite"]
+
+
+def test_unknown_column_is_refused(spark, small):
+    with pytest.raises(ValueError, match="not in the history"):
+        hist.append(small, spark.createDataFrame([(1, 2)], "id long, other long"), at(2))
+    with pytest.raises(ValueError, match="exists"):
+        hist.add_column(small, "v", "int", at(2))
+    with pytest.raises(ValueError, match="rename"):
+        hist.rename_column(small, "v", "status", at(2))
+
+
+def test_widening_only(small):
+    assert hist.can_widen("int", "bigint") and hist.can_widen("float", "double")
+    assert hist.can_widen("decimal(10,2)", "decimal(12,2)") and hist.can_widen("decimal(10,2)", "decimal(12,4)")
+    for old, new in (("bigint", "int"), ("double", "float"), ("string", "int"), ("bigint", "double"), ("decimal(10,2)", "decimal(10,4)")):
+        assert not hist.can_widen(old, new)
     with pytest.raises(ValueError, match="only widening"):
-        t.widen_type("o_orderkey", "int")
-
-
-def test_required_field_missing_raises(spark, sf_dir):
-    t = new_table(spark, "t-required")
-    with pytest.raises(ValueError, match="required"):
-        t.append(sales(spark, sf_dir, 1995).drop("o_totalprice"))
-
-
-def test_create_loads_existing(spark):
-    t = new_table(spark, "t-existing")
-    again = VersionedTable.create(spark, t.root, SALES_SCHEMA)
-    assert again.current().snapshot_id == 0
-
-
-def test_compaction_reduces_files(spark, sf_dir):
-    t = new_table(spark, "t-compact")
-    for k, status in enumerate(("F", "O", "P"), start=1):
-        t.append(sales(spark, sf_dir, 1995, 1996).where(F.col("o_orderstatus") == status), committed_at=at(k))
-    before_files, before = t.files().count(), _rows(t.scan())
-    t.compact(committed_at=at(4))
-    assert t.files().count() < before_files and _rows(t.scan()) == before
-    assert _rows(t.scan(1)) == _rows(sales(spark, sf_dir, 1995, 1996).where("o_orderstatus = 'F'"))
-
-
-def test_expired_snapshot_is_gone(spark, sf_dir):
-    t = new_table(spark, "t-expire")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    t.delete_where("o_orderstatus = 'F'", committed_at=at(2))
-    t.append(sales(spark, sf_dir, 1996), committed_at=at(3))
-    later = _rows(t.scan(3))
-    t.expire_snapshots(3, committed_at=at(4))
-    assert _rows(t.scan(3)) == later
-    with pytest.raises(ValueError, match="expired"):
-        t.scan(1)
-
-
-def test_orphan_file_found(spark, sf_dir):
-    t = new_table(spark, "t-orphan")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    planted = f"{t.root}/data/planted"
-    spark.range(3).write.parquet(planted)
-    orphans = [r.file_path for r in t.orphan_files().collect()]
-    assert orphans and all("/data/planted/" in p for p in orphans)
-
-
-def test_partition_evolution_and_pruning(spark, sf_dir):
-    t = new_table(spark, "t-spec")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    t.set_partition_spec([("o_orderpriority", "identity"), ("o_custkey", "bucket", 4)], committed_at=at(2))
-    t.append(sales(spark, sf_dir, 1996), committed_at=at(3))
-    assert t.scan().count() == sales(spark, sf_dir, 1995, 1996).count()
-    got = t.scan(where="o_orderpriority = '1-URGENT'", prune=[("o_orderpriority", "=", "1-URGENT")])
-    assert _rows(got) == _rows(sales(spark, sf_dir, 1995, 1996).where("o_orderpriority = '1-URGENT'"))
-
-
-def test_unlogged_write_is_invisible_and_orphaned(spark, sf_dir):
-    """Files of a commit that never reached the log (driver lost between the
-    data write and the log append) are not read, and show up as orphans."""
-    t = new_table(spark, "t-unlogged")
-    t.append(sales(spark, sf_dir, 1995), committed_at=at(1))
-    before = _rows(t.scan())
-    snap = t._next("append", at(2))
-    t._write(t._physical(sales(spark, sf_dir, 1996), snap), snap, t._commit_dir(snap))  # no _commit
-    assert _rows(t.scan()) == before
-    t.append(sales(spark, sf_dir, 1997), committed_at=at(2))
-    assert t.scan().count() == len(before) + sales(spark, sf_dir, 1997).count()
-    assert t.orphan_files().count() > 0
+        hist.widen_type(small, "id", "int", at(2))
+
+
+def test_two_appends_of_one_state_are_two_histories(spark, small):
+    """Histories are values: a second append of the same state does not change the first."""
+    one = hist.append(small, spark.createDataFrame([(4, "x", 1)], "id long, status string, v int"), at(2))
+    two = hist.append(small, spark.createDataFrame([(5, "y", 1)], "id long, status string, v int"), at(2))
+    assert {r.id for r in hist.as_of(one).collect()} == {1, 2, 3, 4}
+    assert {r.id for r in hist.as_of(two).collect()} == {1, 2, 3, 5}
+
+
+def test_expired_rows_are_gone_and_later_states_stay(spark, sf_dir):
+    h = base_history(spark, sf_dir)
+    kept = hist.expire(h, 5)
+    assert _rows(hist.as_of(kept, 6)) == _rows(hist.as_of(h, 6))
+    assert kept.rows.count() < h.rows.count()
+    assert min(r.snapshot_id for r in kept.snapshots.collect()) == 5
+
+
+def test_rows_of_all_years_and_null_dates_are_kept(spark, sf_dir):
+    from quarry.plans.versions import batch_of
+
+    odd = sales(spark, sf_dir).limit(1).withColumn("o_orderdate", F.lit(None).cast("date"))
+    old = sales(spark, sf_dir).limit(1).withColumn("o_orderdate", F.lit("1901-05-05").cast("date"))
+    h = hist.append_batches(new_history(spark, sf_dir), odd.unionByName(old), batch_of(1995, 1998), [at(1), at(2), at(3), at(4)])
+    assert hist.as_of(h, 1).count() == 1 and hist.as_of(h).count() == 2
+
+
+def test_date_condition_prunes_the_hidden_month(spark, sf_dir):
+    from quarry.plans.registry import queries
+
+    assert "PartitionFilters: [isnotnull(o_month_start" in plan_text(queries()["ver_hidden_partition"](spark, sf_dir))
+
+
+def test_compaction_writes_fewer_files(spark, sf_dir):
+    from quarry.session import scratch_path
+    from quarry.sources import files
+
+    small = files.write(sales(spark, sf_dir).repartition(6), scratch_path(spark, "t-small"))
+    packed = files.compact(spark, small, scratch_path(spark, "t-packed"))
+    assert len(files.read(spark, packed).inputFiles()) < len(files.read(spark, small).inputFiles())
+    assert _rows(files.read(spark, packed)) == _rows(files.read(spark, small))
