@@ -43,14 +43,14 @@ LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1  # places of an anchor within a window
 BATCH_ANCHORS = 500_000
-SHARD_BYTES = 2_000_000  # shards are cut between anchors; one anchor's classes stay together
+SHARD_BYTES = 500_000  # shards are cut between anchors; one anchor's classes stay together
 
 _U = np.uint64
 
 
 def _gram_hashes(x: np.ndarray) -> np.ndarray:
     """A hash of the GRAM bytes at each place (two words of eight)."""
-    word = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(x, 8)).view(_U)[:, 0]
+    word = np.ndarray((len(x) - 7,), "<u8", x, 0, (1,)).copy()  # eight bytes from each place on
     n = len(x) - GRAM + 1
     h = word[:n] * _U(0x9E3779B97F4A7C15)
     h ^= h >> _U(29)
@@ -83,16 +83,27 @@ def anchors(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return places, h[places], least
 
 
-def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, last window) of each run of windows with the same leftmost anchor."""
+def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place of the anchor, first window, last window) of each run of windows with the same leftmost anchor."""
     places, hashes, least = anchors(x)
-    own = np.searchsorted(places, np.arange(len(least)))
-    open_ = np.flatnonzero(hashes[own] != least)
-    while len(open_):
-        own[open_] += 1
-        open_ = open_[hashes[own[open_]] != least[open_]]
-    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-    return hashes[own[first]], first, np.r_[first[1:] - 1, len(least) - 1]
+    # windows of one least hash; its places follow each other as the window passes them
+    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
+    last = np.r_[first[1:] - 1, len(least) - 1]
+    value = least[first]
+    done = []
+    own = np.searchsorted(places, first)
+    while len(first):
+        wrong = np.flatnonzero(hashes[own] != value)
+        while len(wrong):
+            own[wrong] += 1
+            wrong = wrong[hashes[own[wrong]] != value[wrong]]
+        end = np.minimum(last, places[own])
+        done.append((value, places[own], first, end))
+        more = end < last
+        first, last, value, own = end[more] + 1, last[more], value[more], own[more] + 1
+    cols = [np.concatenate(c) for c in zip(*done, strict=True)]
+    order = np.argsort(cols[2], kind="stable")
+    return tuple(c[order] for c in cols)
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -179,7 +190,7 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
 
 _CUT = (
     "id bigint, n_bytes bigint, digest string, text binary, "
-    "anchor array<bigint>, class array<bigint>, first array<int>, size array<int>"
+    "anchor array<bigint>, class array<bigint>, at array<int>, first array<int>, size array<int>"
 )
 
 
@@ -192,24 +203,26 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in slices(batches, 64):
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for text, keys in zip(b.column(2).to_pylist(), b.column(3), strict=True):
                 text = text or b""
-                row = [len(text), hashlib.sha256(text).hexdigest(), None, [], [], [], []]
+                row = [len(text), hashlib.sha256(text).hexdigest(), None, [], [], [], [], []]
                 if keys.is_valid and len(text) >= LENGTH:
-                    h, first, last = runs(np.frombuffer(text, np.uint8))
+                    h, place, first, last = runs(np.frombuffer(text, np.uint8))
                     full = (h % _U(parts)).astype(np.int64) << 32 | (h >> _U(32)).astype(np.int64)
                     some = np.flatnonzero(np.isin(full, keys.values.to_numpy()))
                     if len(some):
                         size = last[some] - first[some] + LENGTH
                         spans = zip(first[some].tolist(), size.tolist(), strict=True)
                         cls = np.array([xxhash.xxh3_64_intdigest(text[a : a + n]) for a, n in spans], _U)
-                        row[1:] = [None, text, _signed(h[some]), _signed(cls), first[some].astype(np.int32), size.astype(np.int32)]
+                        at = place[some] - first[some]
+                        ints = [c.astype(np.int32) for c in (at, first[some], size)]
+                        row[1:] = [None, text, _signed(h[some]), _signed(cls), *ints]
                 for c, v in zip(out, row, strict=True):
                     c.append(v)
-            kinds = [pa.int64(), pa.string(), pa.binary(), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 2]
+            kinds = [pa.int64(), pa.string(), pa.binary(), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 3]
             cols = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-            names = ["doc_id", "id", "n_bytes", "digest", "text", "anchor", "class", "first", "size"]
+            names = ["doc_id", "id", "n_bytes", "digest", "text", "anchor", "class", "at", "first", "size"]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=names)
 
     cut = both.mapInArrow(run, f"doc_id {id_type}, {_CUT}")
@@ -217,7 +230,7 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def _classes(cut: DataFrame) -> DataFrame:
-    """(anchor, class, id, many, bytes): every class once for each task, with its smallest document and whether it has more."""
+    """(anchor, class, id, many, at, bytes): every class once for each task, with its smallest document and whether it has more."""
 
     def run(batches):
         held: dict[tuple[int, int], list] = {}
@@ -225,18 +238,17 @@ def _classes(cut: DataFrame) -> DataFrame:
 
         def sent():
             cols = list(zip(*[(*k, *v) for k, v in held.items()], strict=True))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["anchor", "class", "id", "many", "bytes"]
-            )
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary())
+            names = ["anchor", "class", "id", "many", "at", "bytes"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
         for b in slices(batches, 64):
             for i, text, *lists in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                for h, c, a, size in zip(*lists, strict=True):
+                for h, c, at, a, size in zip(*lists, strict=True):
                     was = held.get((h, c))
                     if was is None:
-                        held[h, c] = [i, False, text[a : a + size]]
-                        n += size + 150
+                        held[h, c] = [i, False, at, text[a : a + size]]
+                        n += size + 400  # what the objects take
                     elif was[0] != i:
                         was[0], was[1] = min(was[0], i), True
             if n >= 40_000_000:
@@ -245,8 +257,23 @@ def _classes(cut: DataFrame) -> DataFrame:
         if held:
             yield sent()
 
-    rows = cut.where(F.size("anchor") > 0).select("id", "text", "anchor", "class", "first", "size")
-    return rows.mapInArrow(run, "anchor bigint, class bigint, id bigint, many boolean, bytes binary")
+    rows = cut.where(F.size("anchor") > 0).select("id", "text", "anchor", "class", "at", "first", "size")
+    return rows.mapInArrow(run, "anchor bigint, class bigint, id bigint, many boolean, at int, bytes binary")
+
+
+def comparable(own: dict[int, list]) -> set[int]:
+    """The classes of an anchor that may share a window with another one.
+
+    A window has SPAN - 1 bytes besides its anchor, so half of these at least stand
+    together before or behind it: classes that share a window share them.
+    """
+    half = (SPAN - 1) // 2
+    sides: dict[tuple[bool, bytes], list[int]] = {}
+    for c, (_, _, at, data) in own.items():
+        for key in ((True, data[at - half : at] if at >= half else b""), (False, data[at + GRAM : at + GRAM + half])):
+            if len(key[1]) == half:
+                sides.setdefault(key, []).append(c)
+    return {c for some in sides.values() if len(some) > 1 for c in some}
 
 
 def repeated_windows(classes: list[bytes], owner: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -304,17 +331,17 @@ def _match_classes(classes: DataFrame) -> DataFrame:
 
     def run(batches):
         def groups():
-            """(anchor, {class: [least, many, bytes]}) in turn: rows come sorted by anchor."""
+            """(anchor, {class: [least, many, at, bytes]}) in turn: rows come sorted by anchor."""
             at, own = None, {}
             for b in batches:
-                for h, c, i, many, data in zip(*[x.to_pylist() for x in b.columns], strict=True):
+                for h, c, i, many, place, data in zip(*[x.to_pylist() for x in b.columns], strict=True):
                     if h != at:
                         if own:
                             yield at, own
                         at, own = h, {}
                     was = own.get(c)
                     if was is None:
-                        own[c] = [i, many, data]
+                        own[c] = [i, many, place, data]
                     else:
                         was[1] |= many or was[0] != i
                         was[0] = min(was[0], i)
@@ -324,12 +351,12 @@ def _match_classes(classes: DataFrame) -> DataFrame:
         waiting, n, done = [], 0, []
 
         def flushed():
-            rows = [(h, c, *v) for h, own in waiting for c, v in own.items()]
-            for (h, c, least, many, _), found in zip(rows, repeated_windows([r[4] for r in rows], np.array([r[2] for r in rows])), strict=True):
-                if len(found):
-                    first = np.flatnonzero(np.r_[True, np.diff(found) > 1])
-                    stops = found[np.r_[first[1:] - 1, len(found) - 1]] + LENGTH
-                    done.append((h, c, least, found[first].astype(np.int32), stops.astype(np.int32)))
+            found = repeated_windows([v[3] for _, _, v in waiting], np.array([v[0] for _, _, v in waiting]))
+            for (h, c, (least, many, _, _)), windows in zip(waiting, found, strict=True):
+                if len(windows):
+                    first = np.flatnonzero(np.r_[True, np.diff(windows) > 1])
+                    stops = windows[np.r_[first[1:] - 1, len(windows) - 1]] + LENGTH
+                    done.append((h, c, least, windows[first].astype(np.int32), stops.astype(np.int32)))
                 elif many:
                     done.append((h, c, least, [], []))
 
@@ -339,13 +366,13 @@ def _match_classes(classes: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
         for h, own in groups():
-            if len(own) == 1:
-                [(c, (least, many, _))] = own.items()
-                if many:
-                    done.append((h, c, least, [], []))
-            else:
-                waiting.append((h, own))
-                n += sum(len(v[2]) + 1 for v in own.values())
+            alike = comparable(own) if len(own) > 1 else ()
+            for c, v in own.items():
+                if c in alike:
+                    waiting.append((h, c, v))
+                    n += len(v[3]) + 1
+                elif v[1]:
+                    done.append((h, c, v[0], [], []))
             if n >= SHARD_BYTES:
                 flushed()
                 waiting, n = [], 0
