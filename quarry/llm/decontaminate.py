@@ -10,8 +10,9 @@
    PART_WORDS words, against every segment.  A window starts from the postings of
    its rarest term in the segment; the lists of its other terms, from rarer to more
    frequent, are shifted by their offsets and intersected with it.  What is left
-   are exact phrases.  For proximity, the three rarest terms of a part must lie
-   within NEAR_WORDS words of each other.
+   are exact phrases.  For proximity, the three rarest terms of a part (by their
+   postings in the whole index, of those that have any) must lie within NEAR_WORDS
+   words of the first of them.
 3. The hits of all blocks are united for each document.
 
 Words are runs of digits, ASCII letters (lower-cased) and non-ASCII characters.  A
@@ -224,7 +225,13 @@ class Block:
             heads.append((item, np.unique(own)))
         self.windows = np.concatenate(windows).astype(np.int32)
         self.items = np.concatenate(items).astype(np.int32)
-        self.heads = heads
+        self.heads = heads  # (item, distinct terms) of each part; see ``keep_rarest``
+
+    def keep_rarest(self, often: np.ndarray) -> None:
+        """Reduce the heads to their three rarest terms of those that occur."""
+        for k, (item, terms) in enumerate(self.heads):
+            there = terms[often[terms] > 0]
+            self.heads[k] = item, there[np.argsort(often[there], kind="stable")[:3]]
 
 
 def _expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,12 +279,11 @@ def phrases(block: Block, place: np.ndarray, cuts: np.ndarray, slots: np.ndarray
 def near(block: Block, place: np.ndarray, cuts: np.ndarray, slots: np.ndarray, firsts: np.ndarray) -> set[tuple[int, int]]:
     """(document, item) where the three rarest terms of a part of the item lie within NEAR_WORDS words."""
     out = set()
-    size = np.diff(cuts)
     for item, terms in block.heads:
         known = place[terms]
         if len(known) < 3 or (known < 0).any():
             continue
-        a, b, c = (slots[cuts[k] : cuts[k + 1]].astype(np.int64) for k in known[np.argsort(size[known], kind="stable")[:3]])
+        a, b, c = (slots[cuts[k] : cuts[k + 1]].astype(np.int64) for k in known)
         doc = np.searchsorted(firsts, a, "right") - 1
         low = np.maximum(a - NEAR_WORDS, firsts[doc])
         high = np.minimum(a + NEAR_WORDS, np.r_[firsts[1:], np.iinfo(np.int64).max][doc] - 1)
@@ -288,6 +294,16 @@ def near(block: Block, place: np.ndarray, cuts: np.ndarray, slots: np.ndarray, f
     return out
 
 
+def frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
+    """Postings of each of a block's terms in the whole index; at most as many rows reach the driver."""
+    wanted = index.sparkSession.createDataFrame(pa.table({"term": pa.array(terms, pa.int64())}))
+    counts = index.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum(F.size("slots")).alias("n"))
+    got = counts.join(wanted, "term", "left_semi").toArrow()
+    out = np.zeros(len(terms), np.int64)
+    out[np.searchsorted(terms, got.column("term").to_numpy())] = got.column("n").to_numpy()
+    return out
+
+
 def match_block(index: DataFrame, block: Block, names: pa.Array, item_type) -> DataFrame:
     """(segment, ordinal, starts, stops, items, near) of the documents with a hit: merged runs of hit words, item ids.
 
@@ -372,7 +388,9 @@ def match_documents(docs: DataFrame, bench: DataFrame) -> DataFrame:
             (numbers[x], np.array(t.as_py(), np.int64), p)
             for x, t, p in zip(ids, rows.column("terms"), rows.column("part").to_pylist(), strict=True)
         ]
-        hits = match_block(index, Block(parts), pa.array(list(numbers), rows.schema.field("item_id").type), item_type)
+        block = Block(parts)
+        block.keep_rarest(frequencies(index, block.terms))
+        hits = match_block(index, block, pa.array(list(numbers), rows.schema.field("item_id").type), item_type)
         found = hits if found is None else found.unionByName(hits)
     places = index.where(F.col("term").isNull()).select(
         "segment", F.posexplode(F.arrays_zip("doc_ids", "sizes")).alias("ordinal", "doc")

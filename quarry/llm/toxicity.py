@@ -40,6 +40,7 @@ LEAST_DOCS = 3
 LEAST_RATIO = 30.0  # log-likelihood ratio of a term that counts as associated
 NEIGHBOURS = 15
 BLOCK = 128
+FIRST_BLOCKS = 4  # visited first; then four times as many in each further step
 PRIOR_WEIGHT = 0.05
 CACHED = 300_000
 
@@ -121,19 +122,25 @@ class Index:
         if not len(terms):
             return found, cosines
         bound = weights @ self.best[terms]
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or len(found) == k and bound[block] < cosines[-1] - 1e-12:
-                break
-            cell = terms * self.blocks + block
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        step = FIRST_BLOCKS
+        while len(order):
+            # the blocks whose bound may still reach the k-th best, some at a time
+            some, order = order[:step], order[step:]
+            cell = (terms[:, None] * self.blocks + some).ravel()
             low, n = self.first[cell], self.first[cell + 1] - self.first[cell]
             at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
-            dots = np.bincount(self.example[at] - block * BLOCK, self.weight[at] * np.repeat(weights, n), BLOCK)
-            if without // BLOCK == block:
-                dots[without % BLOCK] = 0
-            some = np.flatnonzero(dots > 0)
-            found, cosines = np.r_[found, some + block * BLOCK], np.round(np.r_[cosines, dots[some]], 12)
+            dots = np.bincount(self.example[at], self.weight[at] * np.repeat(np.repeat(weights, len(some)), n), len(self.labels))
+            if without >= 0:
+                dots[without] = 0
+            there = np.flatnonzero(dots > 0)
+            found, cosines = np.r_[found, there], np.round(np.r_[cosines, dots[there]], 12)
             best = np.lexsort((found, -cosines))[:k]
             found, cosines = found[best], cosines[best]
+            if len(found) == k:
+                order = order[bound[order] >= cosines[-1] - 1e-11]
+            step *= 4
         return found, cosines
 
 
