@@ -157,17 +157,23 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets masked in ``text`` (null stays null), ``n_chars``, if there, counted anew; other columns pass."""
-    others = [c for c in docs.columns if c != "text"]
+    passed = [F.col(f"`{c}`").alias(f"__in_{k}") for k, c in enumerate(docs.columns) if c != "text"]
+    passed.append(F.col("text").isNull().alias("__null"))
 
     def make():
         return lambda text: (redact_text(text),)
 
-    was = docs.select("*", F.col("text").isNull().alias("__null"))
-    out = map_texts(was, make, "__clean string", [*others, "__null"])
-    out = out.withColumn("text", F.when(~F.col("__null"), F.col("__clean")))
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    out = map_texts(docs, make, "__clean string", passed)
+    clean = F.when(~F.col("__null"), F.col("__clean"))
+    back = []
+    for k, c in enumerate(docs.columns):
+        if c == "text":
+            back.append(clean.alias(c))
+        elif c == "n_chars":
+            back.append(F.char_length(clean).cast(docs.schema[c].dataType).alias(c))
+        else:
+            back.append(F.col(f"__in_{k}").alias(c))
+    return out.select(back)
 
 
 def span_text(spans) -> str:

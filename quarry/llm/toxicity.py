@@ -235,8 +235,8 @@ def _associated(rows: DataFrame, totals: np.ndarray) -> dict[bytes, int]:
     for y, c in enumerate(("n0", "n1")):
         expected = (F.col("n0") + F.col("n1")) * n[y] / sum(n)
         other = F.lit(n[y]) - expected
-        part = part + F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / expected)).otherwise(0.0)
-        part = part + F.when(F.col(c) < n[y], (n[y] - F.col(c)) * F.log((n[y] - F.col(c)) / other)).otherwise(0.0)
+        part = part + F.when(F.col(c) > 0, F.col(c) * F.log(F.try_divide(F.col(c), expected))).otherwise(0.0)
+        part = part + F.when(F.col(c) < n[y], (n[y] - F.col(c)) * F.log(F.try_divide(n[y] - F.col(c), other))).otherwise(0.0)
     best = counts.withColumn("ratio", F.round(2 * part, 6)).where(F.col("ratio") >= LEAST_RATIO)
     best = best.orderBy(F.desc("ratio"), "term").limit(TERMS)
     return {bytes(r["term"]): k for k, r in enumerate(best.select("term").collect())}
