@@ -16,6 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from quarry.operators import catalog  # noqa: E402
 from quarry.plans import registry  # noqa: E402
 from quarry.session import build_session  # noqa: E402
 
@@ -64,6 +65,7 @@ def main() -> None:
         fn = qs[name]
         run_once(spark, fn, sf_dir)  # warm-up (also builds write-once inputs)
         timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 3)
+        catalog.drop_work_database(spark)  # the query's numbered tables, now that its results are out
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
