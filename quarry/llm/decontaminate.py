@@ -6,8 +6,8 @@
    documents' places.  Terms that no benchmark item holds can't match and are not
    stored; a bitmap of fixed size (BITMAP_BITS) tells them apart, so what is
    broadcast does not grow with the benchmark.  Terms are 64-bit hashes.
-2. Match.  The benchmark's windows go, in blocks of at most BLOCK_PARTS parts of
-   PART_WORDS words, against every segment.  A window starts from the postings of
+2. Match.  The benchmark's windows go, in parts of PART_WORDS words and blocks
+   of about BLOCK_WORDS words (parts are dealt by hash), against every segment.  A window starts from the postings of
    its rarest term in the segment; the lists of its other terms, from rarer to more
    frequent, are shifted by their offsets and intersected with it.  What is left
    are exact phrases.  For proximity, the three rarest terms of a part (by their
@@ -42,7 +42,7 @@ WINDOW = 13
 SEGMENT_WORDS = 2_000_000
 BITMAP_BITS = 23
 PART_WORDS = 4096
-BLOCK_PARTS = 2000
+BLOCK_WORDS = 400_000  # windows of a block: 13 numbers of 4 bytes each
 NEAR_WORDS = 26
 CANDIDATES = 1_000_000  # phrase candidates that are intersected at a time
 CACHED = 300_000
@@ -374,7 +374,8 @@ def match_documents(docs: DataFrame, bench: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bench = kept_table(benchmark_parts(bench), "benchmark-parts")
     index = build_index(docs, term_bitmap(bench))
-    n_blocks = -(-bench.count() // BLOCK_PARTS)
+    words = bench.agg(F.sum(F.size("terms"))).first()[0] or 0
+    n_blocks = -(-words // BLOCK_WORDS)
     numbered = bench.withColumn("block", F.pmod(F.xxhash64("item_id", "part"), F.lit(max(1, n_blocks))))
     item_type = bench.schema["item_id"].dataType
     found = None

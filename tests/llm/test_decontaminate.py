@@ -69,7 +69,7 @@ def test_planted_cases(spark):
 @pytest.mark.parametrize("words", [1, 50, 1000])
 def test_segments_blocks_and_parts_of_any_size(spark, monkeypatch, words):
     monkeypatch.setattr(D, "SEGMENT_WORDS", words)
-    monkeypatch.setattr(D, "BLOCK_PARTS", 3)
+    monkeypatch.setattr(D, "BLOCK_WORDS", 60)
     monkeypatch.setattr(D, "PART_WORDS", 20)
     texts = planted(spark)
     index = D.benchmark_parts(bench_of(spark, BENCH))
