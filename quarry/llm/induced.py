@@ -193,15 +193,6 @@ def _induce(text, small, runs, seeds, seed_common, depth, folder, limit, emit):
             follow = common[0]
 
 
-def _words_at(text: np.ndarray, position: np.ndarray, skip: int) -> np.ndarray:
-    """Four characters from each position + skip as one integer, ordered as they are."""
-    out = np.zeros(len(position), np.uint64)
-    for k in range(skip, skip + 4):
-        at = np.minimum(position + k, len(text) - 1)
-        out = out << np.uint64(16) | text[at].astype(np.uint64)
-    return out
-
-
 def _common(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Common prefix of each of the ordered positions with the one before, at most ``depth``."""
     out = np.zeros(len(order), np.uint8)

@@ -190,7 +190,7 @@ class Roots:
         self.up[max(x, y)] = min(x, y)
 
 
-def _in_blocks(rows: DataFrame, key: list[str], blocks) -> DataFrame:
+def _in_blocks(rows: DataFrame, blocks) -> DataFrame:
     """``rows`` once for each pair of blocks of their group: columns low, high (the pair) and block (the row's own).
 
     ``blocks``: the group's number of blocks.  A row of block k meets all
@@ -295,7 +295,7 @@ def _clusters(sets: DataFrame) -> DataFrame:
     named = named.select("band", "value", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     split = named.groupBy("band", "value").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
     rest = named.join(split.select("band", "value"), ["band", "value"], "left_semi").join(sets.select("doc_id", "bands"), "doc_id")
-    rest = _in_blocks(rest, ["band", "value"], F.ceil(F.col("n") / BAND_BLOCK))
+    rest = _in_blocks(rest, F.ceil(F.col("n") / BAND_BLOCK))
     key = ["band", "value", "low", "high"]
     more = _by_group(rest.select(*key, "doc_id", "bands"), key, _link_sketches, edges.schema)
     more = kept_table(more, "agreeing")
@@ -313,7 +313,7 @@ def links(docs: DataFrame, sets: DataFrame, size: int = SHINGLE, percent: int =
     member = found.join(weight.select("component", blocks.alias("blocks")), "component")
     text = docs.select("doc_id", F.col("text").cast("binary").alias("text")).where("doc_id is not null")
     rows = member.join(text, F.col("node") == F.col("doc_id"))
-    rows = _in_blocks(rows, ["component"], F.col("blocks"))
+    rows = _in_blocks(rows, F.col("blocks"))
     key = ["component", "low", "high"]
     kind = docs.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).schema
     return _by_group(rows.select(*key, "doc_id", "text"), key, _link_sets(size, percent), kind)
