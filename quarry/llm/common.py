@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -107,6 +108,16 @@ def kept_table(df: DataFrame, tag: str, for_caller: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the files of shuffles that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which may be long after a
+    large step's result has been written.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: ASCII white space as the contracts list it: space and 0x09 to 0x0D (what bytes.split() splits on).
 SPACE = b" \t\n\x0b\x0c\r"
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import kept_table, slices, small_batches, temporary_tables
+from quarry.llm.common import kept_table, release_shuffles, slices, small_batches, temporary_tables
 from quarry.llm.induced import sorted_suffixes
 
 LENGTH = 50
@@ -331,20 +331,15 @@ def _match_classes(classes: DataFrame) -> DataFrame:
 
     def run(batches):
         def groups():
-            """(anchor, {class: [least, many, at, bytes]}) in turn: rows come sorted by anchor."""
+            """(anchor, {class: [least, many, at, bytes]}) in turn: rows come sorted by anchor, each class once."""
             at, own = None, {}
             for b in batches:
-                for h, c, i, many, place, data in zip(*[x.to_pylist() for x in b.columns], strict=True):
+                for h, c, *rest in zip(*[x.to_pylist() for x in b.columns], strict=True):
                     if h != at:
                         if own:
                             yield at, own
                         at, own = h, {}
-                    was = own.get(c)
-                    if was is None:
-                        own[c] = [i, many, place, data]
-                    else:
-                        was[1] |= many or was[0] != i
-                        was[0] = min(was[0], i)
+                    own[c] = rest
             if own:
                 yield at, own
 
@@ -383,15 +378,23 @@ def _match_classes(classes: DataFrame) -> DataFrame:
             flushed()
         yield sent()
 
-    rows = classes.repartition("anchor").sortWithinPartitions("anchor")
-    return rows.mapInArrow(run, "anchor bigint, class bigint, least bigint, starts array<int>, stops array<int>")
+    # dealt by anchor, so the classes' rows are together as well: no further exchange
+    once = classes.repartition("anchor").groupBy("anchor", "class").agg(
+        F.min("id").alias("id"),
+        (F.bool_or("many") | (F.min("id") < F.max("id"))).alias("many"),
+        F.first("at").alias("at"),
+        F.first("bytes").alias("bytes"),
+    )
+    return once.sortWithinPartitions("anchor").mapInArrow(run, "anchor bigint, class bigint, least bigint, starts array<int>, stops array<int>")
 
 
 def removed_runs(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, digest or text, and starts and stops of byte runs (not united yet)."""
     cut = _cut_documents(docs, _shared_anchors(docs))
     small_batches(docs.sparkSession)
+    release_shuffles(docs.sparkSession)
     matched = kept_table(_match_classes(_classes(cut)), "matched-classes")
+    release_shuffles(docs.sparkSession)
     placed = cut.where(F.size("anchor") > 0).select("row", "id", F.explode(F.arrays_zip("anchor", "class", "first", "size")).alias("r"))
     placed = placed.select("row", "id", "r.anchor", "r.class", "r.first", "r.size")
     both = placed.join(matched, ["anchor", "class"]).where("least < id or (least = id and size(starts) > 0)")
