@@ -3,7 +3,7 @@
 Automatic broadcast is switched off (static and adaptive thresholds) so the
 plans show the strategy a large input gets: at 100 TB no fact-side table or
 aggregate over it fits a broadcast threshold.  Broadcasts that remain come
-from ``join_small``'s row-count check on fixed dimensions, or from tables
+from ``broadcast_checked``'s measurement of bytes, or from tables
 whose size is bounded by the partition count.
 
 usage: python scripts/plans.py [sf_dir] > PLANS.md
