@@ -2,16 +2,21 @@
 
 Patterns find the protected entities (``KINDS`` but the last); an entity is a kind
 and a normalised value.  The corpus then tells how strongly a term reveals an
-entity: from the numbers of documents with the entity, with the term, and with the
-term within NEAR words of the entity, the disclosure is their pointwise mutual
-information over the entity's information content (1: the term gives the entity
-away).  In documents that hold the entity, every occurrence of a term near it whose
+entity: from the numbers of documents with the entity, with the term, and with
+both, the disclosure is their pointwise mutual information over the entity's
+information content (1: the term gives the entity away).  The entity's share among
+the term's documents is smoothed by SUPPORT documents of the corpus's own rate, so
+little evidence lowers the estimate but every pair has one, also those of one
+document.  In documents that hold the entity, every occurrence of a term whose
 disclosure reaches GENERALISE is a ``term`` span: generalised to ``[TERM]``, or
-removed from REMOVE on.  Pairs seen in fewer than SUPPORT documents are no
-evidence, so a document's own rare words don't count.
+removed from REMOVE on.
 
-Document frequencies cover all documents; the candidate terms reach the tasks as a
-bitmap of fixed size (BITMAP_BITS), whatever their number.
+Entities of the same documents have the same disclosures; they are one class (told
+by two 64-bit hashes of its documents), so a document full of entities does not pair
+each with each term.  Pairs that the term's frequency alone keeps below GENERALISE
+are not counted.  Document frequencies cover all documents; the candidate terms reach
+the tasks as a bitmap of fixed size (BITMAP_BITS), whatever their number.  Terms are
+64-bit hashes.
 
 Results: null and empty texts have no spans; rows are judged each by itself, also
 if ids repeat or are missing; spans of several kinds at one start all stay, in the
@@ -32,7 +37,6 @@ from pyspark.sql import functions as F
 from quarry.llm.common import kept_table, map_texts, slices, small_batches, temporary_tables
 
 KINDS = ("email", "ip", "card", "phone", "term")
-NEAR = 8
 SUPPORT = 3
 GENERALISE, REMOVE = 0.6, 0.9
 LEAST_LETTERS = 3
@@ -101,56 +105,52 @@ def _hash(text: str) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))).astype(np.int64))
 
 
-def near_terms(text: str, spans) -> list[dict]:
-    """For each entity and term within NEAR words of it: all places of the term in the text."""
+def own_terms(text: str, spans) -> tuple[list[int], dict[str, list[list[int]]]]:
+    """The entities of a text, and the places of its terms outside them; nothing if it has no entity."""
     if not spans:
-        return []
+        return [], {}
     taken = sorted((a, b) for a, _, b, _ in spans)
-    words, k = [], 0
+    places: dict[str, list[list[int]]] = {}
+    k = 0
     for m in _TERM.finditer(text):
         while k < len(taken) and taken[k][1] <= m.start():
             k += 1
-        if k == len(taken) or m.end() <= taken[k][0]:
-            words.append((m.start(), m.end(), m[0].lower()))
-    starts = np.array([w[0] for w in words], np.int64)
-    pairs: dict[tuple[int, str], None] = {}
-    for a, kind, _, value in spans:
-        entity = _hash(f"{kind}:{value}")
-        at = int(np.searchsorted(starts, a))
-        for w in words[max(0, at - NEAR) : at + NEAR]:
-            if len(w[2]) >= LEAST_LETTERS:
-                pairs[entity, w[2]] = None
-    wanted = {t for _, t in pairs}
-    places: dict[str, list[list[int]]] = {}
-    for a, b, t in words:
-        if t in wanted:
-            places.setdefault(t, []).append([a, b])
-    return [{"entity": e, "term": t, "places": places[t]} for e, t in pairs]
+        if (k == len(taken) or m.end() <= taken[k][0]) and m.end() - m.start() >= LEAST_LETTERS:
+            places.setdefault(m[0].lower(), []).append([m.start(), m.end()])
+    return list(dict.fromkeys(_hash(f"{kind}:{value}") for _, kind, _, value in spans)), places
+
+
+def near_terms(text: str, spans) -> list[dict]:
+    """Every pair of an entity and a term of the text, with the term's places."""
+    entities, places = own_terms(text, spans)
+    return [{"entity": e, "term": t, "places": p} for e in entities for t, p in places.items()]
 
 
 def detect(docs: DataFrame, columns: list) -> DataFrame:
-    """``columns``, base (array of start, kind, end) and near (see ``near_terms``), with a row number; written."""
+    """``columns``, base (array of start, kind, end), entities and terms (see ``own_terms``), with a row number; written."""
 
     def make():
         def work(text):
             spans = base_spans(text)
-            return [{"start": a, "kind": k, "end": b} for a, k, b, _ in spans], near_terms(text, spans)
+            entities, places = own_terms(text, spans)
+            terms = [{"term": _hash(t), "places": p} for t, p in places.items()]
+            return [{"start": a, "kind": k, "end": b} for a, k, b, _ in spans], entities, terms
 
         return work
 
     schema = (
-        "base array<struct<start:int,kind:int,end:int>>, "
-        "near array<struct<entity:bigint,term:string,places:array<array<int>>>>"
+        "base array<struct<start:int,kind:int,end:int>>, entities array<bigint>, "
+        "terms array<struct<term:bigint,places:array<array<int>>>>"
     )
     return kept_table(map_texts(docs, make, schema, columns).withColumn("__row", F.monotonically_increasing_id()), "pii")
 
 
 def _term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term_hash, n_t): documents that hold each of ``terms`` (and of some others whose hash shares a bit)."""
+    """(term, n_t): documents that hold each of ``terms`` (and of some others whose hash shares a bit)."""
     spark = docs.sparkSession
     small_batches(spark)
     mask = (1 << BITMAP_BITS) - 1
-    low = terms.select(F.col("term_hash").bitwiseAND(mask).cast("int").alias("low")).distinct()
+    low = terms.select(F.col("term").bitwiseAND(mask).cast("int").alias("low")).distinct()
     bits = np.zeros(1 << BITMAP_BITS, bool)
     bits[low.toArrow().column(0).to_numpy()] = True  # at most 2**BITMAP_BITS numbers
     packed = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
@@ -162,7 +162,7 @@ def _term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         def counted():
             cols = [pa.array(held.keys(), pa.int64()), pa.array(held.values(), pa.int64())]
-            return pa.RecordBatch.from_arrays(cols, names=["term_hash", "n_t"])
+            return pa.RecordBatch.from_arrays(cols, names=["term", "n_t"])
 
         for b in slices(batches):
             for text in b.column(0).to_pylist():
@@ -182,29 +182,40 @@ def _term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
         if held:
             yield counted()
 
-    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term_hash bigint, n_t bigint")
-    return parts.groupBy("term_hash").agg(F.sum("n_t").alias("n_t"))
+    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term bigint, n_t bigint")
+    return parts.groupBy("term").agg(F.sum("n_t").alias("n_t"))
 
 
-def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of every pair that reaches GENERALISE."""
-    near = found.select("__row", F.explode("near").alias("x")).select("__row", "x.entity", "x.term")
-    together = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    holders = near.groupBy("entity", "__row").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.sum("one").alias("n_e"))
+def entity_classes(found: DataFrame) -> DataFrame:
+    """(__row, class, n_e): the classes of entities of each row; a class's entities are in the same n_e rows."""
+    held = found.select("__row", F.explode("entities").alias("entity"))
+    hashes = [F.bit_xor(F.xxhash64("__row", F.lit(k))).alias(f"h{k}") for k in range(2)]
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), *hashes)
+    named = entities.select("entity", "n_e", F.xxhash64("n_e", "h0", "h1").alias("class"))
+    return held.join(named, "entity").select("__row", "class", "n_e").distinct()
 
-    def run(batches):
-        for b in batches:
-            hashed = pa.array([_hash(t) for t in b.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns, hashed], names=["entity", "term", "n_te", "term_hash"])
 
-    together = kept_table(together.mapInArrow(run, "entity bigint, term string, n_te bigint, term_hash bigint"), "pii-pairs")
+def disclosure_of(n: int, n_te, n_t, n_e):
+    """Smoothed PMI over the entity's information; an entity of all documents holds none that a term could reveal."""
+    rate = n_e / F.lit(float(max(n, 1)))
+    information = -F.log2(rate)
+    share = (n_te + SUPPORT * rate) / (n_t + SUPPORT)
+    return F.when(information > 0, F.least(F.lit(1.0), F.log2(share / rate) / information)).otherwise(0.0)
+
+
+def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(__row, term, disclosure) of the terms of each row that reach GENERALISE for one of its entities."""
     n = found.count()
-    joined = together.join(holders, "entity").join(_term_frequencies(docs, together), "term_hash")
-    information = F.log2(F.lit(float(max(n, 1))) / F.col("n_e"))
-    shared = F.log2(F.col("n_te") * float(n) / (F.col("n_t") * F.col("n_e")))
-    # an entity of all documents holds no information that a term could reveal
-    disclosure = F.when(information > 0, F.least(F.lit(1.0), shared / information)).otherwise(0.0)
-    return joined.select("entity", "term", F.round(disclosure, 6).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
+    terms = found.select("__row", F.explode("terms.term").alias("term"))
+    frequent = _term_frequencies(docs, terms)
+    n_te, n_t, n_e = F.col("n_te"), F.col("n_t"), F.col("n_e")
+    most = disclosure_of(n, F.least(n_t, n_e), n_t, n_e)
+    pairs = terms.join(frequent, "term").join(entity_classes(found), "__row").where(most >= GENERALISE - 1e-6)
+    pairs = kept_table(pairs.select("__row", "class", "term", "n_e", "n_t"), "pii-pairs")
+    together = pairs.groupBy("class", "term").agg(F.count(F.lit(1)).alias("n_te"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
+    value = F.round(disclosure_of(n, n_te, n_t, n_e), 6).alias("disclosure")
+    strong = together.select("class", "term", value).where(F.col("disclosure") >= GENERALISE)
+    return pairs.join(strong, ["class", "term"]).groupBy("__row", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
 def find_private(docs: DataFrame, columns: list | None = None) -> DataFrame:
@@ -213,18 +224,17 @@ def find_private(docs: DataFrame, columns: list | None = None) -> DataFrame:
     found = detect(docs, columns)
     names = found.columns[: len(columns)]
     strong = kept_table(disclosures(docs, found), "pii-terms")
-    near = found.select("__row", F.explode("near").alias("x")).select("__row", "x.entity", "x.term", "x.places")
-    terms = near.join(strong, ["entity", "term"]).select("__row", F.explode("places").alias("p"), "disclosure")
-    terms = terms.groupBy("__row", "p").agg(F.max("disclosure").alias("disclosure"))
-    own = F.struct(
+    own = found.select("__row", F.explode("terms").alias("x")).select("__row", "x.term", "x.places")
+    places = own.join(strong, ["__row", "term"]).select("__row", F.explode("places").alias("p"), "disclosure")
+    span = F.struct(
         F.col("p")[0].alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("p")[1].alias("end"), "disclosure"
     )
-    terms = terms.groupBy("__row").agg(F.collect_list(own).alias("terms"))
+    spans = places.groupBy("__row").agg(F.collect_list(span).alias("term_spans"))
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(1.0).alias("disclosure")))
-    with_terms = found.where(F.size("near") > 0).join(terms, "__row", "left")
-    spans = F.array_sort(F.when(F.col("terms").isNull(), base).otherwise(F.concat(base, "terms")))
-    return with_terms.select(*names, spans.alias("spans")).unionByName(
-        found.where(F.size("near") == 0).select(*names, base.alias("spans"))
+    with_terms = found.where(F.size("terms") > 0).select("__row", *names, base.alias("base")).join(spans, "__row", "left")
+    every = F.array_sort(F.when(F.col("term_spans").isNull(), F.col("base")).otherwise(F.concat("base", "term_spans")))
+    return with_terms.select(*names, every.alias("spans")).unionByName(
+        found.where(F.size("terms") == 0).select(*names, base.alias("spans"))
     )
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+from collections import Counter
 
 import pytest
 
@@ -128,3 +129,45 @@ def test_odd_rows(spark):
     assert pii.sanitise(docs).count() == docs.count()
     every = pii.find_private(documents(spark, ["same a@b.cc word"] * 5)).collect()  # in all documents: no information
     assert all(len(r.spans) == 1 for r in every)
+
+
+def smoothed(texts):
+    """{(text number, term): disclosure} of all pairs that reach GENERALISE, by loops over the documents."""
+    own = [(pii.base_spans(t or ""), t or "") for t in texts]
+    own = [{(x["entity"], x["term"]) for x in pii.near_terms(t, s)} for s, t in own]
+    both, holders, docs = Counter(), Counter(), Counter()
+    for pairs, text in zip(own, texts, strict=True):
+        both.update(pairs)
+        holders.update({e for e, _ in pairs})
+        docs.update({m.lower() for m in re.findall(r"[^\W\d_]+", text or "")})
+    out, n = {}, len(texts)
+    for k, pairs in enumerate(own):
+        for e, t in pairs:
+            rate = holders[e] / n
+            share = (both[e, t] + pii.SUPPORT * rate) / (docs[t] + pii.SUPPORT)
+            value = min(1.0, math.log2(share / rate) / -math.log2(rate)) if rate < 1 else 0.0
+            if round(value, 6) >= pii.GENERALISE:
+                out[k, t] = max(out.get((k, t), 0), round(value, 6))
+    return out
+
+
+def test_term_spans_on_the_table(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()]
+    texts, at = dict(rows), {i: k for k, (i, _) in enumerate(rows)}
+    want = smoothed([t for _, t in rows])
+    marked = set()
+    for r in queries.QUERIES["op8_pii_sanitisation"](spark, sf_dir).collect():
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term")]
+        marked |= {(at[r.doc_id], texts[r.doc_id][int(a) : int(b)].lower()) for _, a, b in spans}
+    assert marked == want.keys() and len(marked) > 100
+
+
+def test_terms_of_one_document_and_far_from_the_entity(spark):
+    texts = [f"{prose(k, 30)} office" for k in range(60)]
+    texts += [f"platypus {prose(90, 40)} joe@example.com sue@example.com {prose(91, 40)} wombat office"]
+    texts += [f"quokka {prose(92 + k, 20)} ann@example.com" for k in range(2)]
+    got = {r.doc_id: r.spans for r in pii.find_private(documents(spark, texts, 0)).collect()}
+    terms = {(k, texts[k][s.start : s.end].lower(), s.disclosure) for k, x in got.items() for s in x if pii.KINDS[s.kind] == "term"}
+    assert terms == {(k, t, v) for (k, t), v in smoothed(texts).items()}
+    assert {(k, t) for k, t, _ in terms} >= {(60, "platypus"), (60, "wombat"), (61, "quokka"), (62, "quokka")}
+    assert not any(t == "office" for _, t, _ in terms)
