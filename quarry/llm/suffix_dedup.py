@@ -10,11 +10,16 @@ all windows of a text fall into runs of one anchor each (about 18 windows).
    of each document.
 2. Documents with shared anchors are cut into the runs of these; the bytes of a run
    are its class.  Each task sends every class once, with its smallest document.
+   Anchors whose classes have more than about HOT_BYTES bytes (as one document of
+   HOT_SAMPLE tells, which decides about the way alone, not about results) would be
+   groups without a bound; their runs are cut into single windows, each of which
+   is an anchor and a class of its own (two 64-bit hashes), so no shard holds them.
 3. Shards of classes by anchor: equal classes give their smallest document.  Where an
    anchor has several classes, their bytes are concatenated and their suffixes sorted
-   (``induced``, disk-backed queues that carry the common prefixes); suffixes with
-   LENGTH common bytes are one window, whose smallest document decides which windows
-   of a class repeat.
+   (``induced``, queues that carry the common prefixes); a shard of SHARD_BYTES, or one
+   anchor's HOT_BYTES, is sorted in memory, and only queues beyond
+   ``induced.MEMORY_TUPLES`` go to files.  Suffixes with LENGTH common bytes are one
+   window, whose smallest document decides which windows of a class repeat.
 4. Runs of a class whose smallest document is smaller go whole; in the smallest document
    itself, the windows found in step 3 go.  The bytes of the windows are united and
    removed, and what is left is hashed.
@@ -44,6 +49,9 @@ GRAM = 16
 SPAN = LENGTH - GRAM + 1  # places of an anchor within a window
 BATCH_ANCHORS = 500_000
 SHARD_BYTES = 500_000  # shards are cut between anchors; one anchor's classes stay together
+HOT_BYTES = 2_000_000  # bytes of an anchor's classes from which on its windows are dealt one by one
+HOT_SAMPLE = 16
+HOT_BITS = 23
 
 _U = np.uint64
 
@@ -188,6 +196,33 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
     return met.groupBy("id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
 
 
+def _hot_anchors(docs: DataFrame) -> np.ndarray:
+    """One bit for each value of a hot anchor's low HOT_BITS bits; an anchor that shares its bit may be cut as well."""
+    picked = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
+    picked = picked.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(HOT_SAMPLE)) == 0).select("text")
+
+    def run(batches):
+        for b in slices(batches, 64):
+            cols: list[list[np.ndarray]] = [[], [], []]
+            for text in b.column(0).to_pylist():
+                if text and len(text) >= LENGTH:
+                    h, _, first, last = runs(np.frombuffer(text, np.uint8))
+                    size = last - first + LENGTH
+                    spans = zip(first.tolist(), size.tolist(), strict=True)
+                    cls = np.array([xxhash.xxh3_64_intdigest(text[a : a + n]) for a, n in spans], _U)
+                    for c, v in zip(cols, (_signed(h), _signed(cls), size.astype(np.int64)), strict=True):
+                        c.append(v)
+            done = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in done], names=["anchor", "class", "size"])
+
+    classes = picked.mapInArrow(run, "anchor bigint, class bigint, size bigint").groupBy("anchor", "class").agg(F.max("size").alias("size"))
+    hot = classes.groupBy("anchor").agg(F.sum("size").alias("size")).where(F.col("size") >= HOT_BYTES / HOT_SAMPLE)
+    low = F.col("anchor").bitwiseAND((1 << HOT_BITS) - 1).cast("int").alias("low")
+    bits = np.zeros(1 << HOT_BITS, bool)
+    bits[hot.select(low).distinct().toArrow().column(0).to_numpy()] = True  # at most 2**HOT_BITS numbers
+    return bits
+
+
 _CUT = (
     "id bigint, n_bytes bigint, digest string, text binary, "
     "anchor array<bigint>, class array<bigint>, at array<int>, first array<int>, size array<int>"
@@ -195,13 +230,26 @@ _CUT = (
 
 
 def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """One row for each document: its digest if it shares no anchor, else its text and the runs of the shared ones; written."""
+    """One row for each document: its digest if it shares no anchor, else its text and the runs of the shared ones; written.
+
+    Windows of hot anchors are runs of their own, with at = -1.
+    """
+    small_batches(docs.sparkSession)
+    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_hot_anchors(docs)).tobytes())
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
     both = rows.join(shared, "id", "left").select("doc_id", "id", "text", "keys")
 
+    def single(text, first, last):
+        """hash, class, at, first window and size of each window of some runs."""
+        places = np.concatenate([np.arange(a, b + 1) for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+        both = [xxhash.xxh3_128_intdigest(text[a : a + LENGTH]) for a in places.tolist()]
+        h, cls = (np.array([x >> k & (1 << 64) - 1 for x in both], _U) for k in (64, 0))
+        return h, cls, np.full(len(places), -1), places, np.full(len(places), LENGTH)
+
     def run(batches):
+        hot = np.unpackbits(np.frombuffer(packed.value, np.uint8)).astype(bool)
         for b in slices(batches, 64):
             out: list[list] = [[] for _ in range(8)]
             for text, keys in zip(b.column(2).to_pylist(), b.column(3), strict=True):
@@ -212,12 +260,15 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
                     full = (h % _U(parts)).astype(np.int64) << 32 | (h >> _U(32)).astype(np.int64)
                     some = np.flatnonzero(np.isin(full, keys.values.to_numpy()))
                     if len(some):
-                        size = last[some] - first[some] + LENGTH
-                        spans = zip(first[some].tolist(), size.tolist(), strict=True)
+                        many = hot[(h[some] & _U((1 << HOT_BITS) - 1)).astype(np.int64)]
+                        cold, some = some[~many], some[many]
+                        size = last[cold] - first[cold] + LENGTH
+                        spans = zip(first[cold].tolist(), size.tolist(), strict=True)
                         cls = np.array([xxhash.xxh3_64_intdigest(text[a : a + n]) for a, n in spans], _U)
-                        at = place[some] - first[some]
-                        ints = [c.astype(np.int32) for c in (at, first[some], size)]
-                        row[1:] = [None, text, _signed(h[some]), _signed(cls), *ints]
+                        own = [h[cold], cls, place[cold] - first[cold], first[cold], size]
+                        if len(some):
+                            own = [np.concatenate(x) for x in zip(own, single(text, first[some], last[some]), strict=True)]
+                        row[1:] = [None, text, _signed(own[0]), _signed(own[1]), *[c.astype(np.int32) for c in own[2:]]]
                 for c, v in zip(out, row, strict=True):
                     c.append(v)
             kinds = [pa.int64(), pa.string(), pa.binary(), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 3]
@@ -247,7 +298,8 @@ def _classes(cut: DataFrame) -> DataFrame:
                 for h, c, at, a, size in zip(*lists, strict=True):
                     was = held.get((h, c))
                     if was is None:
-                        held[h, c] = [i, False, at, text[a : a + size]]
+                        # equal single windows need no comparison of bytes
+                        held[h, c] = [i, False, at, text[a : a + size] if at >= 0 else b""]
                         n += size + 400  # what the objects take
                     elif was[0] != i:
                         was[0], was[1] = min(was[0], i), True

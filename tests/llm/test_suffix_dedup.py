@@ -122,3 +122,30 @@ def test_induced_sorting(monkeypatch, limit, alphabet):
         for k in range(1, len(down)):
             same = next((j for j in range(depth) if heads[k][j : j + 1] != heads[k - 1][j : j + 1] or j >= len(heads[k])), depth)
             assert common[k] == same
+
+
+@pytest.mark.parametrize("sample", [1, 2])
+def test_hot_anchors(spark, monkeypatch, sample):
+    """A phrase in every document, amid other bytes: no group of classes grows with the documents that hold it."""
+    monkeypatch.setattr(S, "HOT_BYTES", 2000)
+    monkeypatch.setattr(S, "HOT_SAMPLE", sample)
+    rnd = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz ,.0123456789"
+    other = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+    phrase, common = other(44), other(60)
+    texts = [other(80) + phrase + other(80) for _ in range(300)]
+    texts += [other(70) + common + phrase + texts[k][124:150] + other(70) for k in range(40)]
+    docs = documents(spark, texts)
+    groups = S._classes(S._cut_documents(docs, S._shared_anchors(docs))).selectExpr("anchor", "length(bytes) as n")
+    assert groups.groupBy("anchor").sum("n").toArrow().column(1).to_numpy().max() < 2 * S.HOT_BYTES
+    got = found(S.repeat_digest(docs))
+    assert got == brute(list(enumerate(texts, 1))) and any(r[2] for r in got)
+
+
+def test_every_anchor_hot(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT_BYTES", 1)
+    monkeypatch.setattr(S, "HOT_SAMPLE", 1)
+    docs = odd_documents(spark)
+    assert found(S.repeat_digest(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
+    texts = ["ab" * 300, "xab" + "ab" * 100 + "y", prose(1, 300), prose(2, 9) + prose(1, 90)]
+    assert found(S.repeat_digest(documents(spark, texts))) == brute(list(enumerate(texts, 1)))
