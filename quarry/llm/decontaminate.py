@@ -10,9 +10,11 @@
    of about BLOCK_WORDS words (parts are dealt by hash), against every segment.  A window starts from the postings of
    its rarest term in the segment; the lists of its other terms, from rarer to more
    frequent, are shifted by their offsets and intersected with it.  What is left
-   are exact phrases.  For proximity, the three rarest terms of a part (by their
-   postings in the whole index, of those that have any) must lie within NEAR_WORDS
-   words of the first of them.
+   are exact phrases.  For proximity, items are probed every NEAR_WORDS words: of the
+   PROBE_TERMS rarest terms of that stretch (by their postings in the whole index, of
+   those that have any) all but one must lie within NEAR_WORDS words of the first of
+   them, so each item matches its own text and a copy with a word changed.  A stretch
+   of fewer than PROBE_TERMS distinct terms may lack one of three, and none of one or two.
 3. The hits of all blocks are united for each document.
 
 Words are runs of digits, ASCII letters (lower-cased) and non-ASCII characters.  A
@@ -44,6 +46,7 @@ BITMAP_BITS = 23
 PART_WORDS = 4096
 BLOCK_WORDS = 400_000  # windows of a block: 13 numbers of 4 bytes each
 NEAR_WORDS = 26
+PROBE_TERMS = 4
 CANDIDATES = 1_000_000  # phrase candidates that are intersected at a time
 CACHED = 300_000
 
@@ -210,6 +213,17 @@ def _windows(terms: np.ndarray, part: int) -> np.ndarray:
     return np.r_[np.arange(n), np.full(WINDOW - n, -1)][None, :] if part == 0 else np.empty((0, WINDOW), np.int64)
 
 
+def _probes(terms: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """(distinct terms in their order, how many of the rarest must meet) of each stretch of NEAR_WORDS words; the last ends with the part."""
+    last = max(0, len(terms) - NEAR_WORDS)
+    out = []
+    for at in [*range(0, last, NEAR_WORDS), last]:
+        stretch = terms[at : at + NEAR_WORDS]
+        own = stretch[np.sort(np.unique(stretch, return_index=True)[1])]
+        out.append((own, min(len(own), PROBE_TERMS) - (len(own) > 2)))
+    return out
+
+
 class Block:
     """The windows of a block of parts: distinct terms, windows as numbers of terms, their items."""
 
@@ -222,16 +236,16 @@ class Block:
             places = _windows(terms, number)
             windows.append(np.where(places < 0, -1, own[places]))
             items.append(np.full(len(places), item))
-            heads.append((item, np.unique(own)))
+            heads += [(item, *probe) for probe in _probes(own)]
         self.windows = np.concatenate(windows).astype(np.int32)
         self.items = np.concatenate(items).astype(np.int32)
-        self.heads = heads  # (item, distinct terms) of each part; see ``keep_rarest``
+        self.heads = heads  # (item, distinct terms, how many must meet) of each stretch; see ``keep_rarest``
 
     def keep_rarest(self, often: np.ndarray) -> None:
-        """Reduce the heads to their three rarest terms of those that occur."""
-        for k, (item, terms) in enumerate(self.heads):
+        """Reduce the heads to their PROBE_TERMS rarest terms of those that occur, the earlier of equally rare ones."""
+        for k, (item, terms, needed) in enumerate(self.heads):
             there = terms[often[terms] > 0]
-            self.heads[k] = item, there[np.argsort(often[there], kind="stable")[:3]]
+            self.heads[k] = item, there[np.argsort(often[there], kind="stable")[:PROBE_TERMS]], needed
 
 
 def _expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,20 +291,20 @@ def phrases(block: Block, place: np.ndarray, cuts: np.ndarray, slots: np.ndarray
 
 
 def near(block: Block, place: np.ndarray, cuts: np.ndarray, slots: np.ndarray, firsts: np.ndarray) -> set[tuple[int, int]]:
-    """(document, item) where the three rarest terms of a part of the item lie within NEAR_WORDS words."""
+    """(document, item) where enough of the rarest terms of a stretch of the item lie within NEAR_WORDS words."""
     out = set()
-    for item, terms in block.heads:
+    for item, terms, needed in block.heads:
         known = place[terms]
-        if len(known) < 3 or (known < 0).any():
+        lists = [slots[cuts[k] : cuts[k + 1]].astype(np.int64) for k in known[known >= 0]]
+        if not lists or len(lists) < needed:
             continue
-        a, b, c = (slots[cuts[k] : cuts[k + 1]].astype(np.int64) for k in known)
-        doc = np.searchsorted(firsts, a, "right") - 1
-        low = np.maximum(a - NEAR_WORDS, firsts[doc])
-        high = np.minimum(a + NEAR_WORDS, np.r_[firsts[1:], np.iinfo(np.int64).max][doc] - 1)
-        ok = np.ones(len(a), bool)
-        for other in (b, c):
-            ok &= np.searchsorted(other, high, "right") > np.searchsorted(other, low)
-        out.update((int(d), item) for d in np.unique(doc[ok]))
+        first = np.concatenate(lists)  # of those that meet
+        doc = np.searchsorted(firsts, first, "right") - 1
+        stop = np.minimum(first + NEAR_WORDS, np.r_[firsts[1:], np.iinfo(np.int64).max][doc] - 1)
+        met = np.zeros(len(first), np.int64)
+        for own in lists:
+            met += np.searchsorted(own, stop, "right") > np.searchsorted(own, first)
+        out.update((int(d), item) for d in np.unique(doc[met >= needed]))
     return out
 
 

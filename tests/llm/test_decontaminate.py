@@ -118,3 +118,28 @@ def test_proximity(spark):
     bench = bench_of(spark, [(1, item)])
     got = {r.doc_id: r.near for r in D.match_documents(documents(spark, [close, far, prose(3, 20)]), bench).collect()}
     assert got == {1: [1], 2: [], 3: []}
+
+
+def test_items_are_near_their_own_text_and_changed_copies(spark, sf_dir):
+    """Each item of the table, of three terms, of repeated words, and one of several parts."""
+    from quarry.llm.common import table
+
+    items = [r.text for r in table(spark, sf_dir, "benchmark").collect()]
+    items += ["quokka wombat platypus", "aye bee " * 30 + "sea", prose(40, 5000)]
+    texts, want = [], {}
+    for k, text in enumerate(items):
+        words = text.split()
+        copies = [text]
+        for at in {0, len(words) // 2, len(words) - 1}:
+            copies.append(" ".join([*words[:at], f"changed{k}x", *words[at + 1 :]]))
+        for c in copies:
+            texts.append(c)
+            want[len(texts)] = k
+    # two terms never lack one; all must meet
+    items.append("lonely pair")
+    texts += ["a pair that is lonely", "lonely"]
+    want[len(texts) - 1] = len(items) - 1
+    bench = bench_of(spark, list(enumerate(items)))
+    got = {r.doc_id: r.near for r in D.match_documents(documents(spark, texts), bench).collect()}
+    assert [i for i, k in want.items() if k not in got[i]] == []
+    assert len(items) - 1 not in got[len(texts)]
