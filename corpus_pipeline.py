@@ -34,8 +34,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that are not contaminated by the benchmark; each row is judged by itself."""
+    return decontaminate.drop_contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

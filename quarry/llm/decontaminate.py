@@ -465,3 +465,14 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     bad = contamination(docs.select("doc_id", "text"), bench).where("contaminated")
     bad = bad.select(F.col("doc_id").alias("__bad_id")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad_id"]), "left_anti")
+
+
+def drop_contaminated_rows(docs: DataFrame, bench: DataFrame) -> DataFrame:
+    """``docs`` without the contaminated rows, each judged by itself: ids don't matter.
+
+    The verdict depends on the text alone, so a digest of the text finds the rows again.
+    """
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    bad = contamination(docs.select(digest.alias("doc_id"), "text"), bench).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("__bad_text")).distinct()
+    return docs.join(bad, digest == F.col("__bad_text"), "left_anti")

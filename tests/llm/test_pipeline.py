@@ -9,7 +9,7 @@ import corpus_pipeline
 from quarry.llm import quality_mil
 from quarry.llm.common import kept_table, table
 from tests.llm import test_decontaminate, test_near_dedup, test_secrets
-from tests.llm.data import nothing, odd_documents
+from tests.llm.data import SCHEMA, nothing, odd_documents, prose
 
 P = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")
@@ -93,3 +93,15 @@ def test_odd_rows_pass_every_stage(spark, sf_dir):
         assert after.count() <= docs.count()
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing(spark), sf_dir).count() == 0
+
+
+def test_decontamination_judges_rows_not_ids(spark, sf_dir):
+    """Clean rows stay beside contaminated ones without an id or with theirs; null texts stay."""
+    leaked = max((r.text for r in table(spark, sf_dir, "benchmark").collect()), key=len)
+    clean = [prose(200 + k, 40) for k in range(3)]
+    own = [(None, leaked), (None, clean[0]), (None, clean[1]), (None, None), (7, leaked), (7, clean[0]), (7, clean[2]), (8, clean[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in own], SCHEMA)
+    after = corpus_pipeline.decontamination(spark, docs, sf_dir)
+    assert after.columns == docs.columns
+    got = sorted([(r.doc_id, r.text) for r in after.collect()], key=str)
+    assert got == sorted([x for x in own if x[1] != leaked], key=str)
