@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarry.operators import history as hist
+from quarry.plans import versions
 from quarry.plans.versions import at, base_history, new_history, sales
 from tests.plan_text import plan_text
 
@@ -122,3 +123,13 @@ def test_compaction_writes_fewer_files(spark, sf_dir):
     packed = files.compact(spark, small, scratch_path(spark, "t-packed"))
     assert len(files.read(spark, packed).inputFiles()) < len(files.read(spark, small).inputFiles())
     assert _rows(files.read(spark, packed)) == _rows(files.read(spark, small))
+
+
+@pytest.mark.parametrize("name", ["ver_add_column", "ver_rename_column", "ver_widen_type"])
+def test_orders_without_a_date_stay(spark, sf_dir, monkeypatch, name):
+    rows = sales(spark, sf_dir).limit(5)
+    undated = rows.limit(1).withColumns({"o_orderkey": F.lit(-1).cast("bigint"), "o_orderdate": F.lit(None).cast("date")})
+    both = spark.createDataFrame(rows.unionByName(undated).collect(), rows.schema)
+    monkeypatch.setattr(versions, "sales", lambda *_: both)
+    got = getattr(versions, name)(spark, sf_dir).collect()
+    assert len(got) == 6 and [r.o_orderdate for r in got if r.o_orderkey == -1] == [None]
