@@ -16,7 +16,8 @@ Results: a null or empty text is one passage without characters, scored like any
 other; repeated rows get equal scores; rows without a label or id are scored but not
 learned from; with no labels of one class, every score is the share of label 1
 (0.5 without any labels).  A text of more than BLOCK bytes is described block by
-block, and repeats count within a block.
+block, with the 8-byte strings of all blocks before; the features do not depend on
+BLOCK.
 """
 
 from __future__ import annotations
@@ -58,32 +59,49 @@ _CLASS = np.array([_class_of(b) for b in range(256)], np.uint8)
 FEATURES = _CLASSES * _CLASSES + 4
 
 
-def _describe(data: np.ndarray, total: int) -> np.ndarray:
-    """Features of the passages of one block of a text of ``total`` bytes."""
-    n = len(data)
+class _Seen:
+    """The distinct 8-byte strings of the blocks before, as sorted arrays of at least doubling length."""
+
+    def __init__(self):
+        self.levels: list[np.ndarray] = []
+
+    def holds(self, words: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(words), bool)
+        for own in self.levels:
+            out |= own[np.minimum(np.searchsorted(own, words), len(own) - 1)] == words
+        return out
+
+    def add(self, words: np.ndarray) -> None:
+        while self.levels and len(self.levels[-1]) < 2 * len(words):
+            words = np.union1d(self.levels.pop(), words)
+        self.levels.append(words)
+
+
+def _describe(data: np.ndarray, n: int, total: int, seen: _Seen) -> np.ndarray:
+    """Features of the passages of one block of a text of ``total`` bytes: the first ``n`` of ``data``, which has 7 more if there are."""
     bags = max(1, -(-n // SPAN))
     out = np.zeros((bags, FEATURES), np.float32)
     size = np.full(bags, SPAN, np.float32)
     size[-1] = max(1, n - SPAN * (bags - 1))
-    if n > 1:
-        cls = _CLASS[data].astype(np.int32)
-        passage = np.arange(n, dtype=np.int32) // SPAN
-        pair = passage[:-1] * (_CLASSES * _CLASSES) + cls[:-1] * _CLASSES + cls[1:]
+    if len(data) > 1:
+        cls = _CLASS[data[: n + 1]].astype(np.int32)
+        passage = np.arange(len(cls) - 1, dtype=np.int32) // SPAN
+        pair = passage * (_CLASSES * _CLASSES) + cls[:-1] * _CLASSES + cls[1:]
         pairs = np.bincount(pair, minlength=bags * _CLASSES * _CLASSES).reshape(bags, -1)
         out[:, :-4] = np.sqrt(pairs / size[:, None])
-    if n >= 8:
+    if len(data) >= 8:
         grams = np.lib.stride_tricks.sliding_window_view(data, 8)
         word = np.ascontiguousarray(grams).view(np.uint64)[:, 0]
-        # a quarter of the strings, by content: a string is in or out wherever it stands
-        at = np.flatnonzero((word * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(62) == 0)
-        if len(at):
-            _, first, which = np.unique(word[at], return_index=True, return_inverse=True)
-            start = at[first][which]
-            own = at // SPAN
-            there = np.maximum(1, np.bincount(own, minlength=bags))
-            again = start != at
-            out[:, -4] = np.bincount(own, weights=again, minlength=bags) / there
-            out[:, -3] = np.bincount(own, weights=again & (start // SPAN != own), minlength=bags) / there
+        words, first, which = np.unique(word, return_index=True, return_inverse=True)
+        known = seen.holds(words)[which]
+        start = first[which]
+        at = np.arange(len(word))
+        own = at // SPAN
+        there = np.maximum(1, np.bincount(own, minlength=bags))
+        out[:, -4] = np.bincount(own, weights=known | (start != at), minlength=bags) / there
+        out[:, -3] = np.bincount(own, weights=known | (start // SPAN != own), minlength=bags) / there
+        if n < total:
+            seen.add(words)
     out[:, -2] = np.log1p(total) / 10
     out[:, -1] = size / SPAN
     return out
@@ -92,7 +110,9 @@ def _describe(data: np.ndarray, total: int) -> np.ndarray:
 def passages(text: bytes) -> np.ndarray:
     """One row of features for each passage of a whole text."""
     data = np.frombuffer(text, np.uint8)
-    return np.concatenate([_describe(data[k : k + BLOCK], len(data)) for k in range(0, max(1, len(data)), BLOCK)])
+    seen, n = _Seen(), len(data)
+    blocks = range(0, max(1, n), BLOCK)
+    return np.concatenate([_describe(data[k : k + BLOCK + 7], min(BLOCK, n - k), n, seen) for k in blocks])
 
 
 def _sigmoid(x):

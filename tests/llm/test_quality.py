@@ -188,3 +188,25 @@ def test_query_and_odd_rows_of_the_model(spark, sf_dir):
     assert {r.score for r in mil.classify(odd, none).collect()} == {0.5}
     assert mil.classify(nothing(spark), labels).count() == 0
     assert mil.classify(documents(spark, [None, ""]), labels).count() == 2
+
+
+@pytest.mark.parametrize("unit", ["a", "ha ", "=-", "xyz\n"])
+def test_texts_that_are_all_repetition(unit):
+    data = (unit * 2000).encode()
+    got = mil.passages(data)
+    assert got[0, -4] > 0.95 and (got[1:, -4:-2] == 1).all()
+
+
+def test_features_do_not_depend_on_blocks(monkeypatch):
+    text = (prose(3, 900) + prose(4, 900) + "ha " * 700 + prose(3, 400)).encode()
+    whole = mil.passages(text)
+    for block in (512, 1024, 2560):
+        monkeypatch.setattr(mil, "BLOCK", block)
+        assert np.array_equal(mil.passages(text), whole)
+    grams = [text[k : k + 8] for k in range(len(text) - 7)]
+    first = {g: k for k, g in reversed(list(enumerate(grams)))}
+    for p, row in enumerate(whole):
+        own = range(512 * p, min(512 * p + 512, len(grams)))
+        n = max(1, len(own))
+        assert row[-4] == np.float32(sum(first[grams[k]] < k for k in own) / n)
+        assert row[-3] == np.float32(sum(first[grams[k]] < 512 * p for k in own) / n)
