@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, language_id, near_dedup, pii, quality_mcd, quality_mil, secrets, suffix_dedup, toxicity
+from quarry.llm import bpe, decontaminate, language_id, near_dedup, pii, prefix_trie, quality_mcd, quality_mil, secrets, suffix_dedup, toxicity
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -73,3 +73,52 @@ def op8_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), period=20)
+
+
+# crc32 by its table, one byte at a time; turns of one number (none in the given tables) stand in the order of role and text here.
+ORACLES["op11_conversation_trie"] = """
+WITH crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM range(256) r(i))),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT x.*, conv_id - conv_id % 20 AS base,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) % 4 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id) x, crc),
+sized AS (
+  SELECT c.*, least(c.h, coalesce(b.n, 0)) AS hb FROM convs c LEFT JOIN convs b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT s.conv_id, t.pos AS d, t.key, t.words FROM sized s JOIN turns t ON t.conv_id = s.base AND t.pos <= s.h
+  UNION ALL
+  SELECT s.conv_id, t.pos - s.h + s.hb, t.key, t.words FROM sized s JOIN turns t ON t.conv_id = s.conv_id AND t.pos > s.h
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM sized),
+paths AS (
+  SELECT conv_id, d, words, string_agg(key, '/') OVER w AS path, string_agg(key, '/') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above,
+    d = max(d) OVER (PARTITION BY conv_id) AS is_end
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY d)),
+nodes AS (
+  SELECT path, any_value(above) AS above, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM paths GROUP BY path),
+kids AS (SELECT above, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+sums AS (
+  SELECT p.path, sum((n.n_convs - 1) * n.words) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM nodes n LEFT JOIN kids k ON k.above = n.path JOIN paths p ON p.conv_id = n.conv_id AND p.d <= n.depth
+  GROUP BY p.path)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, a.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(k.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.path = n.path LEFT JOIN kids k ON k.above = n.path LEFT JOIN nodes a ON a.path = n.above
+"""
