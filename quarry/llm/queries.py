@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, language_id, near_dedup, pii, prefix_trie, quality_mcd, quality_mil, secrets, suffix_dedup, toxicity
+from quarry.llm import bpe, collocations, decontaminate, language_id, near_dedup, pii, prefix_trie, quality_mcd, quality_mil, secrets, suffix_dedup, toxicity
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -122,3 +122,40 @@ SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, a.conv_id::BIGINT
   coalesce(k.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
 FROM nodes n JOIN sums s ON s.path = n.path LEFT JOIN kids k ON k.above = n.path LEFT JOIN nodes a ON a.path = n.above
 """
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents WHERE text IS NOT NULL),
+pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM texts)),
+f AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) r(k))
+  GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+cuts AS (
+  SELECT lang, k, phrase, f AS a, c, string_split(phrase, ' ') AS w
+  FROM f, range(1, 5) r(c) WHERE c < k),
+scored AS (
+  SELECT u.lang, u.k, u.phrase, u.a, x.f AS l, y.f AS r, n.n, u.c,
+    (1000::HUGEINT * u.a * n.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts u JOIN n ON n.lang = u.lang
+  JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[1 : u.c], ' ')
+  JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[u.c + 1 : u.k], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM f o WHERE o.lang = s.lang AND o.k > s.k AND 100 * o.f >= 100 * s.a
+      AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
