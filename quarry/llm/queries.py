@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, collocations, decontaminate, language_id, near_dedup, pii, prefix_trie, quality_mcd, quality_mil, secrets, suffix_dedup, toxicity
+from quarry.llm import bpe, collocations, decontaminate, group_join, language_id, near_dedup, pii, prefix_trie, quality_mcd, quality_mil, secrets, suffix_dedup, toxicity
 from quarry.llm.common import table
 
 QUERIES: dict = {}
@@ -159,3 +159,32 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
 FROM ranked WHERE rank <= 2000
 """
+
+
+@query
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_jaccard_join"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, e.b FROM reached r JOIN edges e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) ON a = d.doc_id
+"""
