@@ -283,10 +283,6 @@ def join_inner(spark, sf_dir):
     return out.select("c_custkey", "c_name", "c_acctbal", "n_name", "r_name")
 
 
-# Events are the many side: one user may hold a large share of them.
-SALTS = 8
-
-
 def _user_events(t: Tables) -> DataFrame:
     return t.events.select(F.col("user_id").alias("custkey"), "event_id", "value")
 
@@ -305,7 +301,7 @@ LEFT JOIN (SELECT user_id AS custkey, event_id, value FROM events) e USING (cust
 def join_left(spark, sf_dir):
     """All customers with their events; most have none."""
     t = _t(spark, sf_dir)
-    return joins.outer_join(_customers(t), _user_events(t), "custkey", "left", SALTS, ["event_id"])
+    return joins.skew_join(_customers(t), _user_events(t), "custkey", "left", partitions=range_partitions(spark), right_by=["event_id"])
 
 
 @query(
@@ -318,7 +314,7 @@ RIGHT JOIN (SELECT c_custkey AS custkey, c_name FROM customer) c USING (custkey)
 def join_right(spark, sf_dir):
     """USING column: on a right join its value comes from the right side."""
     t = _t(spark, sf_dir)
-    return joins.outer_join(_user_events(t), _customers(t), "custkey", "right", SALTS, ["event_id"])
+    return joins.skew_join(_user_events(t), _customers(t), "custkey", "right", partitions=range_partitions(spark), left_by=["event_id"])
 
 
 @query(
@@ -330,7 +326,7 @@ FROM (SELECT doc_id, lang, source FROM documents) d FULL JOIN labels l USING (do
 def join_full(spark, sf_dir):
     """Documents and labels: documents without a label come with NULLs, and the reverse."""
     t = _t(spark, sf_dir)
-    return joins.outer_join(t.documents.select("doc_id", "lang", "source"), t.labels, "doc_id", "full")
+    return joins.skew_join(t.documents.select("doc_id", "lang", "source"), t.labels, "doc_id", "full", partitions=range_partitions(spark))
 
 
 @query(
@@ -355,7 +351,7 @@ def join_on_condition(spark, sf_dir):
     """ON with two names: the same join after the key is renamed."""
     t = _t(spark, sf_dir)
     o = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
-    out = joins.outer_join(t.customer, o, "c_custkey", "left", SALTS, ["o_orderkey"])
+    out = joins.skew_join(t.customer, o, "c_custkey", "left", partitions=range_partitions(spark), right_by=["o_orderkey"])
     return out.select(*t.customer.columns, "o_orderkey", "o_totalprice")
 
 

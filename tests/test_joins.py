@@ -25,39 +25,123 @@ def _rows(df, cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("how", ["left", "right", "full"])
-@pytest.mark.parametrize("salts", [1, 5])
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("partitions", [1, 8, 100])
 @pytest.mark.parametrize("swapped", [False, True])  # the hot key on either side
-def test_outer_join_using(sides, how, salts, swapped):
+def test_skew_join_using(sides, how, partitions, swapped):
     left, right = (s.withColumnRenamed(k, "k") for s, k in zip(sides, ("lk", "rk")))
     if swapped:
         left, right = right, left
-    got = joins.outer_join(left, right, "k", how, salts)
+    got = joins.skew_join(left, right, "k", how, partitions=partitions)
     want = left.join(right, "k", how)
     assert got.columns[0] == "k" and sorted(got.columns) == sorted(want.columns)
     assert _rows(got, ["k", "lid", "rid"]) == _rows(want, ["k", "lid", "rid"])
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_outer_join_of_sides_that_share_column_names(spark, salts):
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_skew_join_of_random_hot_keys(spark, seed, how):
+    """Keys hot on one side and absent, rare or hot on the other; NULLs; two key columns; repeated rows."""
+    import random
+
+    rnd = random.Random(seed)
+
+    def side(n):
+        hot = [(rnd.randrange(6), rnd.choice(["a", None, "b"])) for _ in range(3)]
+        keys = [rnd.choice(hot) if rnd.random() < 0.6 else (rnd.randrange(60), rnd.choice("ab")) for _ in range(n)]
+        return [(i, s, rnd.randrange(10)) for i, s in keys]
+
+    a, b = side(rnd.choice([5, 60, 200])), side(rnd.choice([40, 150]))
+    left = spark.createDataFrame(a, "i int, s string, x int")
+    right = spark.createDataFrame(b, "i int, s string, y int")
+    for keys in (["i"], ["i", "s"], ["s"]):
+        r = right.withColumnRenamed("s", "s2") if keys == ["i"] else right.withColumnRenamed("i", "i2") if keys == ["s"] else right
+        got = joins.skew_join(left, r, keys, how, partitions=rnd.choice([2, 9, 40]))
+        want = left.join(r, keys, how).select(got.columns)
+        assert _rows(got, got.columns) == _rows(want, got.columns)
+
+
+def _tasks(spark, df, partitions):
+    """Rows that each join task returns, empty ones too."""
+    sizes = {r[0]: r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()}
+    return sorted(sizes.get(k, 0) for k in range(partitions))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("hot", ["left", "right", "both"])
+def test_no_task_holds_a_hot_key_or_null(spark, how, hot):
+    """A third of the rows on one key and a third on NULL: every join task stays below twice the median."""
+    n = 32
+    many = 3000 if hot == "both" else 60_000
+    skewed = lambda name: spark.range(many).select(
+        F.col("id").alias(name),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when((F.col("id") % 3 == 1) & F.lit(hot != "both"), F.lit(None).cast("bigint")).otherwise(F.col("id") % 20_000).alias("k"),
+    )
+    flat = lambda name: spark.range(20_000).select(F.col("id").alias(name), F.col("id").alias("k"))
+    left = skewed("x") if hot != "right" else flat("x")
+    right = skewed("y") if hot != "left" else flat("y")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = joins.skew_join(left, right, "k", how, partitions=n, left_by=["x"], right_by=["y"])
+        sizes = _tasks(spark, got, n)
+        assert sizes[-1] <= 2 * sizes[n // 2]
+        assert sum(sizes) == left.join(right, "k", how).count()
+        if how in ("left", "full") and hot == "left":  # the plain join fails the same test
+            plain = _tasks(spark, left.join(right, "k", how), n)
+            assert plain[-1] > 2 * plain[n // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_skew_join_reads_each_side_once(spark, tmp_path):
+    spark.range(3000).selectExpr("id as x", "if(id % 3 = 0, 7, id) as k").write.parquet(f"{tmp_path}/l")
+    spark.range(100).selectExpr("id as y", "id as k").write.parquet(f"{tmp_path}/r")
+    left, right = (spark.read.parquet(f"{tmp_path}/{s}") for s in "lr")
+    got = joins.skew_join(left, right, "k", "full", partitions=8)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2 and got.count() == left.join(right, "k", "full").count()
+
+
+def test_skew_join_of_keys_of_two_types(spark):
+    left = spark.createDataFrame([(1, 0.0)] * 30 + [(2, -0.0)] * 30 + [(3, float("nan"))], "i int, d double")
+    right = spark.createDataFrame([(1, 0.0), (2, 0.0), (2, 0.0), (3, float("nan"))], "i bigint, d float")
+    want = left.join(right, ["i", "d"]).count()
+    assert joins.skew_join(left, right, ["i", "d"], "inner", partitions=4).count() == want == 91
+    assert joins.skew_join(left, right.drop("i"), "d", "full", partitions=4).count() == left.join(right.drop("i"), "d", "full").count()
+
+
+def test_skew_join_of_sides_that_share_column_names(spark):
     left = spark.createDataFrame([(1, 1, "a"), (1, 1, "a"), (2, None, "b"), (3, 3, None)], "k long, j long, v string")
     right = spark.createDataFrame([(1, 1, "x"), (2, None, "y"), (4, 4, "z"), (None, 1, "n")], "k long, j long, v string")
     want = {"left": 4, "right": 5, "full": 7}
     for how, n in want.items():
-        got = joins.outer_join(left, right, ["k", "j"], how, salts)
+        got = joins.skew_join(left, right, ["k", "j"], how, partitions=4)
         assert got.columns == ["k", "j", "v", "v_right"] and got.count() == n
-    assert sorted(r.v_right for r in joins.outer_join(left, right, ["k", "j"], "left", salts).where("k = 1").collect()) == ["x", "x"]
+    assert sorted(r.v_right for r in joins.skew_join(left, right, ["k", "j"], "left", partitions=4).where("k = 1").collect()) == ["x", "x"]
     with pytest.raises(ValueError, match="suffix"):
-        joins.outer_join(left.withColumn("v_right", left.v), right, ["k", "j"], how, salts)
-    with pytest.raises(ValueError, match="outer"):
-        joins.outer_join(left, right, "k", "inner")
+        joins.skew_join(left.withColumn("v_right", left.v), right, ["k", "j"], how, partitions=4)
+    with pytest.raises(ValueError, match="join"):
+        joins.skew_join(left, right, "k", "cross", partitions=4)
 
 
-def test_outer_join_of_empty_sides(spark):
+def test_skew_join_of_empty_sides(spark):
     some, none = spark.range(3), spark.range(0)
-    assert joins.outer_join(some, none, "id", "left", 4, ["id"]).count() == 3
-    assert joins.outer_join(none, some, "id", "left", 4, ["id"]).count() == 0
-    assert joins.outer_join(none, some, "id", "full", 4, ["id"]).count() == 3
+    assert joins.skew_join(some, none, "id", "left", partitions=4).count() == 3
+    assert joins.skew_join(none, some, "id", "left", partitions=4).count() == 0
+    assert joins.skew_join(none, some, "id", "full", partitions=4).count() == 3
+
+
+def test_frequent_keys_of_several_columns(spark):
+    from quarry.operators.hotkeys import frequent_keys
+
+    df = spark.range(10_000).selectExpr("if(id % 3 = 0, 7, id) as a", "if(id % 2 = 0, 'x', null) as b", "id as c")
+    got = frequent_keys(df, {c: F.col(c) for c in df.columns}, 10)
+    assert got["a"].frequent.keys() == {7} and abs(got["a"].frequent[7] - 3334) <= got["a"].error
+    assert got["b"].frequent == {"x": 5000} and got["b"].nulls == 5000 and got["c"].frequent == {} and got["c"].rows == 10_000
 
 
 @pytest.mark.parametrize("negate", [False, True])
