@@ -107,7 +107,7 @@ def snapshot_summary(h: History, partitions: int) -> DataFrame:
     removed = h.rows.where(F.col(TO).isNotNull()).groupBy(F.col(TO).alias("snapshot_id")).agg(F.count(F.lit(1)).alias("removed"))
     out = h.snapshots.join(added, "snapshot_id", "left").join(removed, "snapshot_id", "left").fillna(0, ["added", "removed"])
     change = F.col("added") - F.col("removed")
-    out = ordered.with_positions(out, [F.col("snapshot_id").asc()], [], name="__n", running={"total": change}, partitions=partitions)
+    out = ordered.with_positions(out, ["snapshot_id"], [], name="__n", running={"total": change}, partitions=partitions)
     return out.select("snapshot_id", "committed_at", "operation", "added", "removed", "total")
 
 

@@ -24,7 +24,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], partitions:
     vals = df.select(F.col(col).alias("__x")).where(F.col("__x").isNotNull())
     # a unique tie-break lets the range partitioning split a heavily repeated value
     vals = vals.withColumn("__tb", F.monotonically_increasing_id())
-    pos, n = ordered.with_positions_and_count(vals, [F.col("__x").asc()], ["__tb"], name="__pos", partitions=partitions)
+    pos, n = ordered.with_positions_and_count(vals, ["__x"], ["__tb"], name="__pos", partitions=partitions)
     if n == 0:
         return {p: None for p in probs}
     targets = {p: max(1, math.ceil(p * n)) for p in probs}

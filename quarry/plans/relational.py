@@ -667,10 +667,6 @@ def range_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _bal_desc():
-    return [F.col("c_acctbal").desc_nulls_last()]
-
-
 @query(
     "win_rank",
     oracle="""
@@ -681,7 +677,7 @@ FROM customer""",
 def win_rank(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     return ordered.with_rank(
-        c, [("c_acctbal", True)], ["c_mktsegment"], dense_name=None, partitions=range_partitions(spark)
+        c, [("c_acctbal", True)], ["c_mktsegment"], dense_name=None, tiebreak=["c_custkey"], partitions=range_partitions(spark)
     )
 
 
@@ -695,7 +691,7 @@ FROM customer""",
 def win_dense_rank(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     return ordered.with_rank(
-        c, [("c_acctbal", True)], ["c_mktsegment"], rank_name=None, partitions=range_partitions(spark)
+        c, [("c_acctbal", True)], ["c_mktsegment"], rank_name=None, tiebreak=["c_custkey"], partitions=range_partitions(spark)
     )
 
 
@@ -708,7 +704,7 @@ FROM customer""",
 )
 def win_row_number(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_mktsegment", "c_acctbal")
-    return ordered.with_positions(c, _bal_desc(), ["c_custkey"], ["c_mktsegment"], name="row_number", partitions=range_partitions(spark))
+    return ordered.with_positions(c, [("c_acctbal", True)], ["c_custkey"], ["c_mktsegment"], name="row_number", partitions=range_partitions(spark))
 
 
 @query(
@@ -720,10 +716,10 @@ SELECT c_custkey, c_acctbal,
 FROM customer""",
 )
 def win_lead_lag(spark, sf_dir):
-    # A global order: numbered across range partitions, neighbours by equi-join.
+    # A global order: neighbours across the borders of range partitions are looked up by position.
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_acctbal")
     return ordered.with_lead_lag(
-        c, "c_acctbal", [F.col("c_acctbal").asc()], ["c_custkey"], lead_name="next_balance", lag_name="previous_balance",
+        c, "c_acctbal", ["c_acctbal"], ["c_custkey"], lead_name="next_balance", lag_name="previous_balance",
         partitions=range_partitions(spark),
     )
 
@@ -740,13 +736,12 @@ FROM orders""",
 )
 def win_running_sum(spark, sf_dir):
     o = _t(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    by_date = [F.col("o_orderdate").asc()]
-    n = range_partitions(spark)
-    amount = money("o_totalprice")
-    glob = ordered.with_positions(o, by_date, ["o_orderkey"], name="__g", running={"running_total": amount}, partitions=n)
-    per = ordered.with_positions(
-        glob, by_date, ["o_orderkey"], ["o_custkey"], name="__c", running={"running_customer": amount}, partitions=n
-    )
+    o = o.withColumn("__amount", money("o_totalprice"))
+    specs = [
+        ordered.Numbering((), ["o_orderdate"], ["o_orderkey"], running={"running_total": "__amount"}),
+        ordered.Numbering(["o_custkey"], ["o_orderdate"], ["o_orderkey"], running={"running_customer": "__amount"}),
+    ]
+    per = ordered.numbered(o, specs, partitions=range_partitions(spark))
     return per.select(
         "o_orderkey",
         "o_custkey",
@@ -808,7 +803,7 @@ FROM customer""",
 )
 def win_ntile(spark, sf_dir):
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_acctbal")
-    return ordered.with_ntile(c, 4, [F.col("c_acctbal").asc()], ["c_custkey"], name="quartile", partitions=range_partitions(spark))
+    return ordered.with_ntile(c, 4, ["c_acctbal"], ["c_custkey"], name="quartile", partitions=range_partitions(spark))
 
 
 @query(
@@ -837,11 +832,10 @@ SELECT c_custkey, c_mktsegment, c_acctbal,
 FROM customer""",
 )
 def sort_asc_desc(spark, sf_dir):
-    """Sort on two keys of mixed direction: one range shuffle, sorted within its
-    partitions; ``pos`` is each row's place in the whole order."""
+    """Sort on two keys of mixed direction; the rows come in that order, ``pos`` is each row's place in it."""
     c = _t(spark, sf_dir).customer.select("c_custkey", "c_mktsegment", "c_acctbal")
-    order = [F.col("c_mktsegment").asc_nulls_first(), F.col("c_acctbal").desc_nulls_last()]
-    return ordered.with_positions(c, order, ["c_custkey"], name="pos", partitions=range_partitions(spark))
+    order = ["c_mktsegment", ("c_acctbal", True)]
+    return ordered.with_positions(c, order, ["c_custkey"], name="pos", partitions=range_partitions(spark)).orderBy("pos")
 
 
 @query("limit_rows", oracle="SELECT * FROM customer ORDER BY c_custkey LIMIT 100")

@@ -73,7 +73,7 @@ def test_g4_correlated_max(staff):
 
 def test_g5_running_total(sales):
     out = ordered.with_positions(
-        sales, [F.col("data_venda").asc()], ["venda_id"], name="pos", running={"running": F.col("valor")}, partitions=3
+        sales, ["data_venda"], ["venda_id"], name="pos", running={"running": F.col("valor")}, partitions=3
     ).orderBy("pos")
     assert [r.running for r in out.collect()] == [10000.0, 18000.0, 33000.0, 42500.0, 54500.0]
 
@@ -88,7 +88,7 @@ def test_g6_g7_g8_set_operations(staff):
 
 
 def test_g9_ntile(staff):
-    out = ordered.with_ntile(staff, 4, [F.col("salario").asc()], ["id"], name="q", partitions=3)
+    out = ordered.with_ntile(staff, 4, ["salario"], ["id"], name="q", partitions=3)
     got = {r.nome: r.q for r in out.collect()}
     assert got == {"Pedro": 1, "João": 1, "Ana": 2, "Julia": 2, "Maria": 3, "Carlos": 4}
 

@@ -24,15 +24,20 @@ def _same(a, b, cols):
     assert ra == rb
 
 
+def _layout(df, spec, n):
+    """Each row's range partition, from the literals alone."""
+    bounds, _ = ordered._bounds(df, [spec], n)
+    return df.withColumn("pid", ordered._partition(bounds[0], spec.keys, df.schema)), len(bounds[0]) + 1
+
+
 def test_hot_group_spans_partitions(skewed):
-    tagged = ordered._numbered(skewed, ["grp"], [F.col("v").desc()], ["id"], 8)
-    spread = tagged.where(F.col("grp") == "hot").select(ordered._PID).distinct().count()
-    assert spread > 1
+    rows, n = _layout(skewed, ordered.Numbering(["grp"], [("v", True)], ["id"]), 8)
+    assert n == 8 and rows.where("grp = 'hot'").select("pid").distinct().count() > 1
 
 
 @pytest.mark.parametrize("group", [[], ["grp"]])
 def test_row_number_and_running_sum(skewed, group):
-    got = ordered.with_positions(skewed, [F.col("v").desc()], ["id"], group, name="rn", running={"run": F.col("v")}, partitions=8)
+    got = ordered.with_positions(skewed, [("v", True)], ["id"], group, name="rn", running={"run": F.col("v")}, partitions=8)
     w = Window.partitionBy(*group).orderBy(F.col("v").desc(), "id")
     want = skewed.withColumn("rn", F.row_number().over(w)).withColumn(
         "run", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -50,16 +55,16 @@ def test_rank_dense_rank(skewed, group):
 @pytest.mark.parametrize("group", [[], ["grp"]])
 def test_ntile_lead_lag(skewed, group):
     w = Window.partitionBy(*group).orderBy("v", "id")
-    nt = ordered.with_ntile(skewed, 7, [F.col("v").asc()], ["id"], group, name="t", partitions=8)
+    nt = ordered.with_ntile(skewed, 7, ["v"], ["id"], group, name="t", partitions=8)
     _same(nt, skewed.withColumn("t", F.ntile(7).over(w)), ["id", "t"])
-    ll = ordered.with_lead_lag(skewed, "v", [F.col("v").asc()], ["id"], group, offset=2, partitions=8)
+    ll = ordered.with_lead_lag(skewed, "v", ["v"], ["id"], group, offset=2, partitions=8)
     want = skewed.withColumn("lead", F.lead("v", 2).over(w)).withColumn("lag", F.lag("v", 2).over(w))
     _same(ll, want, ["id", "lead", "lag"])
 
 
 def test_null_group_and_values(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, None, None), (3, "a", 2.0), (4, "a", None)], "id long, grp string, v double")
-    got = ordered.with_positions(df, [F.col("v").asc_nulls_first()], ["id"], ["grp"], name="rn", partitions=3)
+    got = ordered.with_positions(df, ["v"], ["id"], ["grp"], name="rn", partitions=3)
     w = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_first(), "id")
     _same(got, df.withColumn("rn", F.row_number().over(w)), ["id", "rn"])
 
@@ -86,7 +91,7 @@ def test_running_sum_with_nulls_across_partitions(spark, group):
         F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("grp"),
         F.when(F.col("id") < 900, F.lit(None)).otherwise((F.col("id") % 13).cast("decimal(18,2)")).alias("v"),
     )
-    got = ordered.with_positions(df, [F.col("id").asc()], [], group, name="rn", running={"run": F.col("v")}, partitions=16)
+    got = ordered.with_positions(df, ["id"], [], group, name="rn", running={"run": F.col("v")}, partitions=16)
     w = Window.partitionBy(*group).orderBy("id")
     want = df.withColumn("rn", F.row_number().over(w)).withColumn("run", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     _same(got, want, ["id", "rn", "run"])
@@ -104,7 +109,7 @@ def test_tiny_partitions_nulls(spark, group):
         F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 11).cast("double")).alias("v"),
     )
     w = Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first(), "id")
-    order = [F.col("v").asc_nulls_first()]
+    order = ["v"]
     ll = ordered.with_lead_lag(df, "v", order, ["id"], group, offset=3, partitions=64)
     _same(ll, df.withColumn("lead", F.lead("v", 3).over(w)).withColumn("lag", F.lag("v", 3).over(w)), ["id", "lead", "lag"])
     nt = ordered.with_ntile(df, 4, order, ["id"], group, name="t", partitions=64)
@@ -137,27 +142,64 @@ def test_summary_exact_several_columns(spark):
             assert g[name] == vals[max(1, math.ceil(p * len(vals))) - 1]
 
 
-def test_more_partitions_than_the_bucket_limit_is_an_error(spark):
-    df = spark.range(500).select("id", (F.col("id") % 3).alias("grp"))
-    old = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
-    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "5")
-    try:
-        with pytest.raises(ValueError, match="maxBuckets"):
-            ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], partitions=32)
-    finally:
-        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", old)
+def test_partitions_must_be_positive(spark):
+    with pytest.raises(ValueError, match="partitions"):
+        ordered.with_positions(spark.range(5), ["id"], [], partitions=0)
 
 
 @pytest.mark.parametrize("n", [1, 7, 64])
-def test_no_task_holds_more_than_one_range_partition(spark, n):
-    df = spark.range(2000).select("id", (F.col("id") % 3).alias("grp"))
-    tagged = ordered._numbered(df, ["grp"], [F.col("id").asc()], [], n)
-    assert len(set(ordered.bucket_keys(spark, n))) == n
-    # a task reads a bucket: all files of one bucket number
-    bucket = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})\.", 1)
-    per_bucket = tagged.select(ordered._PID, bucket.alias("b")).distinct().groupBy("b").count()
-    counts = [r["count"] for r in per_bucket.collect()]
-    assert set(counts) == {1} and len(counts) == n
+def test_range_partitions_are_even_ordered_and_one_a_task(spark, n):
+    df = spark.range(20_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("grp"))
+    rows, found = _layout(df, ordered.Numbering(["grp"], [("id", True)]), n)
+    assert found == n
+    sizes = sorted(r["count"] for r in rows.groupBy("pid").count().collect())
+    assert sizes[-1] <= 2 * sizes[n // 2]
+    ends = {r.pid: r for r in rows.groupBy("pid").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).collect()}
+    assert all(ends[k].b <= ends[k + 1].a for k in range(n - 1))
+    got = ordered.with_positions(df, [("id", True)], [], ["grp"], partitions=n)
+    tasks = got.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    sizes = sorted(r["count"] for r in tasks)
+    assert len(sizes) == n and sizes[-1] <= 2 * sizes[n // 2]
+
+
+def test_nothing_is_written_and_one_shuffle_for_each_specification(spark, monkeypatch):
+    from quarry.operators import catalog
+
+    monkeypatch.setattr(catalog, "save_bucketed", None)
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("grp"), (F.col("id") % 13).alias("v"))
+    specs = [ordered.Numbering((), ["v"], ["id"], position="a", running={"s": "v"}), ordered.Numbering(["grp"], [("v", True)], ["id"], rank="r", dense_rank="d")]
+    got = ordered.numbered(df, specs, partitions=5)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("RepartitionById") + plan.count("Exchange") == 2 and "Join" not in plan
+    w, g = Window.orderBy("v", "id"), Window.partitionBy("grp").orderBy(F.col("v").desc())
+    want = df.withColumns({
+        "a": F.row_number().over(w), "s": F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)), "r": F.rank().over(g), "d": F.dense_rank().over(g)
+    })
+    _same(got, want, ["id", "a", "s", "r", "d"])
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(20,3)", "double", "string", "boolean", "binary"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_bounds_of_every_type_are_exact(spark, kind, zone):
+    """Positions over keys of a type, descending and ascending, with NULLs; times around a clock change."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        second = F.lit(1604206800) + F.col("id") * 61
+        made = {
+            "timestamp": F.timestamp_seconds(second), "timestamp_ntz": F.timestamp_seconds(second).cast("timestamp_ntz"),
+            "date": F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 90).cast("int")), "decimal(20,3)": (F.col("id") / 7).cast("decimal(20,3)"),
+            "double": F.when(F.col("id") % 9 == 0, F.lit(float("nan"))).otherwise(F.col("id") / 3 - 20), "string": F.concat(F.lit("é"), F.hex(F.col("id") * 77 % 101)),
+            "boolean": F.col("id") % 2 == 0, "binary": F.unhex(F.lpad(F.hex(F.col("id") * 77 % 101), 2, "0")),
+        }[kind]
+        df = spark.range(300).select("id", F.when(F.col("id") % 17 != 0, made).alias("k"))
+        assert df.schema["k"].dataType.simpleString() == kind
+        for down in (False, True):
+            got = ordered.with_positions(df, [("k", down)], ["id"], name="rn", partitions=9)
+            key = F.col("k").desc_nulls_last() if down else F.col("k").asc_nulls_first()
+            _same(got, df.withColumn("rn", F.row_number().over(Window.orderBy(key, "id"))), ["id", "rn"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 @pytest.mark.parametrize("group", [[], ["grp"]])
@@ -197,32 +239,16 @@ def test_latest_per_key_with_nulls_and_ties(spark):
     assert got == sorted([(1, 3, 2), (None, 1, 1), (2, None, None)], key=repr)
 
 
-def test_numbered_rows_are_released_with_the_work_database(spark):
-    import os
-    from urllib.parse import urlparse
-
-    from quarry.operators import catalog
-
-    df = spark.range(100).select("id", (F.col("id") % 3).alias("grp"))
-    tagged = ordered._numbered(df, ["grp"], [F.col("id").asc()], [], 4)
-    folder = urlparse(tagged.inputFiles()[0]).path.rsplit("/", 1)[0]
-    assert os.path.isdir(folder)
-    catalog.drop_work_database(spark)
-    assert not os.path.exists(folder)
-    # a fresh work database is created on the next use
-    assert ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], name="rn", partitions=4).count() == 100
-
-
 def test_ntile_with_groups_smaller_than_bucket_count(spark):
     df = spark.range(40).select("id", F.when(F.col("id") < 3, F.lit("tiny")).otherwise(F.lit("big")).alias("grp"))
-    got = ordered.with_ntile(df, 7, [F.col("id").asc()], [], ["grp"], name="t", partitions=6)
+    got = ordered.with_ntile(df, 7, ["id"], [], ["grp"], name="t", partitions=6)
     w = Window.partitionBy("grp").orderBy("id")
     _same(got, df.withColumn("t", F.ntile(7).over(w)), ["id", "t"])
 
 
 def test_void_column_passes_through(spark):
     df = spark.range(50).select("id", (F.col("id") % 4).alias("grp"), F.lit(None).alias("nothing"))
-    got = ordered.with_positions(df, [F.col("id").asc()], [], ["grp"], name="rn", partitions=4)
+    got = ordered.with_positions(df, ["id"], [], ["grp"], name="rn", partitions=4)
     assert got.schema["nothing"].dataType == df.schema["nothing"].dataType
     w = Window.partitionBy("grp").orderBy("id")
     _same(got, df.withColumn("rn", F.row_number().over(w)), ["id", "rn", "nothing"])

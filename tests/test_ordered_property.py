@@ -23,7 +23,7 @@ def _rows(df, cols):
 @given(rows=rows_st, partitions=st.integers(1, 12), offset=st.integers(1, 3), buckets=st.integers(1, 5))
 def test_ordered_operators_match_window(spark, rows, partitions, offset, buckets):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id long, grp string, v long")
-    order = [F.col("v").asc_nulls_first()]
+    order = ["v"]
     w = Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_first(), "id")
     want = (
         df.withColumn("rn", F.row_number().over(w))

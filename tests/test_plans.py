@@ -71,15 +71,18 @@ def test_aggregate_has_partial_step(spark, sf_dir, q):
     assert "partial_sum" in p and "partial_count" in p
 
 
-def test_ordered_window_reads_bucketed_rows_without_exchange(spark, sf_dir, q):
-    # After the range shuffle (a job of its own), the numbered rows are a table
-    # bucketed by partition id: the (partition, group) window and the
-    # per-partition aggregates read it with no exchange on the partition id.
+def test_ordered_window_shuffles_once_and_joins_nothing(spark, sf_dir, q):
+    # Two specifications: a shuffle by literal bounds each, no copy, no join, no single partition.
     p = plan_text(q["win_running_sum"](spark, sf_dir))
-    assert "Bucketed: true" in p
-    assert "hashpartitioning(__key" not in p
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
-    assert any("__v_running_customer" in x and "o_orderdate" not in x for x in schemas)  # the aggregate side reads few columns
+    assert p.count("REPARTITION_BY") == 2 and "Join" not in p and "SinglePartition" not in p
+    assert "hashpartitioning" not in p and "rangepartitioning" not in p
+
+
+def test_sorted_result_comes_in_order(spark, sf_dir, q):
+    rows = q["sort_asc_desc"](spark, sf_dir).collect()
+    assert [r.pos for r in rows] == list(range(1, len(rows) + 1))
+    key = [(r.c_mktsegment, -r.c_acctbal, r.c_custkey) for r in rows]
+    assert key == sorted(key) and len(key) > 100
 
 
 def test_correlated_subquery_is_aggregate_and_join(spark, sf_dir, q):
