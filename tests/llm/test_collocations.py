@@ -100,8 +100,9 @@ def test_fingerprints_do_not_depend_on_the_place():
     b.block("en", b"kick the bucket".split())
     import numpy as np
 
-    assert [x.tolist() for x in a.fingerprints(3, np.array([2]))] == [x.tolist() for x in b.fingerprints(3, np.array([0]))]
-    assert a.fingerprints(2, np.array([2]))[0] != a.fingerprints(2, np.array([3]))[0]
+    for f in ("first", "second"):
+        assert getattr(a, f)(3, np.array([2])) == getattr(b, f)(3, np.array([0]))
+        assert getattr(a, f)(2, np.array([2])) != getattr(a, f)(2, np.array([3]))
 
 
 def test_odd_rows(spark):
@@ -111,6 +112,14 @@ def test_odd_rows(spark):
     assert found(K.collocations(nothing(spark))) == []
 
 
+@pytest.mark.parametrize("least", [1, 300])
+def test_thresholds_around_the_counters(spark, monkeypatch, least):
+    """Cells that many n-grams share, and counts beyond what a counter holds."""
+    monkeypatch.setattr(K, "CELLS", K.REGION)
+    rows = [("en", "a b c, " * 310), ("de", "a b " * 299 + "c d"), ("en", "x y"), (None, "a b c " * 400)]
+    assert found(K.collocations(frame(spark, rows), least)) == brute(rows, least)
+
+
 def test_scores_past_64_bits(spark):
     big = 4 * 10**15
     phrases = spark.createDataFrame([("en", 1, "a", big), ("en", 1, "b", big - 7), ("en", 2, "a b", big - 9)], "lang string, n int, phrase string, count long")
