@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import history as hist
+from quarry.operators.transforms import Layout, Predicate, Transform, scan, write_layout
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import files
@@ -187,40 +188,84 @@ def ver_expire(spark, sf_dir):
     return hist.as_of(hist.expire(base_history(spark, sf_dir), 5), 6)
 
 
-MONTH = "o_month_start"
-
-
-def month_layout(spark, sf_dir) -> str:
-    """Orders stored by the month of their date, a derived column that readers needn't know."""
-    rows = sales(spark, sf_dir).withColumn(MONTH, F.trunc("o_orderdate", "month"))
-    return files.write_clustered(rows, scratch_path(spark, "by-month"), [MONTH])
-
-
-def read_by_date(spark, path: str, low: str, high: str) -> DataFrame:
-    """Rows with low <= o_orderdate < high: the condition on the date gives the one on its month."""
-    low_date, high_date = F.lit(low).cast("date"), F.lit(high).cast("date")
-    rows = files.read_partitioned(spark, path)
-    months = (F.col(MONTH) >= F.trunc(low_date, "month")) & (F.col(MONTH) < high_date)
-    return rows.where(months & (F.col("o_orderdate") >= low_date) & (F.col("o_orderdate") < high_date)).drop(MONTH)
-
-
 @query(
     "ver_hidden_partition",
     oracle=f"SELECT * FROM {SQL_SALES} WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1996-06-01'",
 )
 def ver_hidden_partition(spark, sf_dir):
-    """Readers filter on the date; only three month folders are read."""
-    return read_by_date(spark, month_layout(spark, sf_dir), "1996-03-01", "1996-06-01")
+    """Orders by the month of their date; readers filter on the date, and three folders are read."""
+    layout = write_layout(sales(spark, sf_dir), scratch_path(spark, "by-month"), [Transform("month", "o_orderdate")])
+    return scan(spark, [layout], [Predicate("o_orderdate", ">=", dt.date(1996, 3, 1)), Predicate("o_orderdate", "<", dt.date(1996, 6, 1))])
+
+
+#: A layout of orders or events by each transform, and a predicate on its source column.
+TRANSFORMS = {
+    "identity": (Transform("identity", "o_orderstatus"), Predicate("o_orderstatus", "in", ["F", "P"]), "o_orderstatus IN ('F', 'P')"),
+    "year": (Transform("year", "o_orderdate"), Predicate("o_orderdate", "<", dt.date(1994, 1, 1)), "o_orderdate < DATE '1994-01-01'"),
+    "month": (
+        Transform("month", "o_orderdate"), Predicate("o_orderdate", "between", (dt.date(1995, 1, 31), dt.date(1995, 3, 1))),
+        "o_orderdate BETWEEN DATE '1995-01-31' AND DATE '1995-03-01'",
+    ),
+    "bucket": (Transform("bucket", "o_custkey", 16), Predicate("o_custkey", "in", [7, 10, 40, 61]), "o_custkey IN (7, 10, 40, 61)"),
+    "truncate_number": (Transform("truncate", "o_custkey", 100), Predicate("o_custkey", ">", 120), "o_custkey > 120"),
+    "truncate_text": (Transform("truncate", "o_orderpriority", 1), Predicate("o_orderpriority", "<=", "2-HIGH"), "o_orderpriority <= '2-HIGH'"),
+    "day": (
+        Transform("day", "ts"), Predicate("ts", ">=", dt.datetime(2024, 1, 30, 12)), "ts >= TIMESTAMP '2024-01-30 12:00:00'",
+    ),
+    "hour": (
+        Transform("hour", "ts"), Predicate("ts", "<", dt.datetime(2024, 1, 2, 3)), "ts < TIMESTAMP '2024-01-02 03:00:00'",
+    ),
+}
+
+
+def _transforms_oracle() -> str:
+    parts = []
+    for name, (t, _, where) in TRANSFORMS.items():
+        key, source = ("event_id", "events") if t.column == "ts" else ("o_orderkey", SQL_SALES)
+        parts.append(f"SELECT '{name}' AS transform, CAST({key} AS BIGINT) AS id FROM {source} WHERE {where}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("ver_partition_transforms", oracle=_transforms_oracle())
+def ver_partition_transforms(spark, sf_dir):
+    """Each transform once: all rows stored by it, read with a predicate on the source column."""
+    orders, events = sales(spark, sf_dir), Tables(spark, sf_dir).events.select("event_id", "ts")
+    out = None
+    for name, (transform, predicate, _) in TRANSFORMS.items():
+        rows, key = (events, "event_id") if transform.column == "ts" else (orders, "o_orderkey")
+        layout = write_layout(rows, scratch_path(spark, f"by-{name}"), [transform])
+        found = scan(spark, [layout], [predicate]).select(F.lit(name).alias("transform"), F.col(key).cast("bigint").alias("id"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def evolved(spark, sf_dir) -> list[Layout]:
+    """Early orders by month, later ones by status and buckets of customers."""
+    rows, early = sales(spark, sf_dir), F.coalesce(F.year("o_orderdate") <= 1998, F.lit(False))
+    by_status = [Transform("identity", "o_orderstatus"), Transform("bucket", "o_custkey", 4)]
+    return [
+        write_layout(rows.where(early), scratch_path(spark, "spec-month"), [Transform("month", "o_orderdate")]),
+        write_layout(rows.where(~early), scratch_path(spark, "spec-status"), by_status),
+    ]
 
 
 @query("ver_partition_evolution", oracle=f"SELECT * FROM {SQL_SALES}")
 def ver_partition_evolution(spark, sf_dir):
-    """Early orders by month, later ones by status; one scan reads both layouts."""
-    rows, early = sales(spark, sf_dir), F.coalesce(F.year("o_orderdate") <= 1998, F.lit(False))
-    old = rows.where(early).withColumn(MONTH, F.trunc("o_orderdate", "month"))
-    a = files.write_clustered(old, scratch_path(spark, "spec-month"), [MONTH])
-    b = files.write_clustered(rows.where(~early), scratch_path(spark, "spec-status"), ["o_orderstatus"])
-    return files.read_partitioned(spark, a).drop(MONTH).unionByName(files.read_partitioned(spark, b))
+    """One scan reads both layouts."""
+    return scan(spark, evolved(spark, sf_dir))
+
+
+@query(
+    "ver_partition_evolution_filter",
+    oracle=f"SELECT * FROM {SQL_SALES} WHERE o_orderdate >= DATE '1998-11-15' AND o_orderstatus = 'O' AND o_custkey IN (1, 4, 7, 10, 13, 40)",
+)
+def ver_partition_evolution_filter(spark, sf_dir):
+    """One set of predicates, projected onto each layout: by month in one, by status and bucket in the other."""
+    predicates = [
+        Predicate("o_orderdate", ">=", dt.date(1998, 11, 15)), Predicate("o_orderstatus", "=", "O"),
+        Predicate("o_custkey", "in", [1, 4, 7, 10, 13, 40]),
+    ]
+    return scan(spark, evolved(spark, sf_dir), predicates)
 
 
 @query("ver_compact", oracle=f"SELECT * FROM {SQL_SALES}")
