@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,10 +111,24 @@ def snapshot_summary(h: History, partitions: int) -> DataFrame:
     return out.select("snapshot_id", "committed_at", "operation", "added", "removed", "total")
 
 
-def expire(h: History, first_kept: int) -> History:
-    """Drop the rows that no snapshot from ``first_kept`` on can see, and the earlier snapshots."""
-    rows = h.rows.where(F.col(TO).isNull() | (F.col(TO) > first_kept))
-    return replace(h, rows=rows, snapshots=h.snapshots.where(F.col("snapshot_id") >= first_kept))
+def expire(h: History, kept: Iterable[int]) -> History:
+    """Only the retained snapshots stay, any set of them, and the rows that one of them can see.
+
+    A row's life [valid_from, valid_to) must be stabbed by a retained snapshot: the first one at
+    or after valid_from, found for each valid_from in a table with a row for each snapshot, comes before valid_to.
+    """
+    wanted = sorted(set(kept))
+    if not wanted or wanted[0] < 0 or wanted[-1] > h.version:
+        raise ValueError(f"snapshots to keep must be some of 0 to {h.version}")
+    following, first = {}, None
+    for v in reversed(range(h.version + 1)):
+        first = v if v in set(wanted) else first
+        following[v] = first
+    table = h.rows.sparkSession.createDataFrame([(v, f) for v, f in following.items() if f is not None], "__start bigint, __seen bigint")
+    # one row for each snapshot of the history
+    rows = h.rows.join(F.broadcast(table), F.col(FROM) == F.col("__start"))
+    rows = rows.where(F.col(TO).isNull() | (F.col("__seen") < F.col(TO))).drop("__start", "__seen")
+    return replace(h, rows=rows, snapshots=h.snapshots.where(F.col("snapshot_id").isin(wanted)))
 
 
 def add_column(h: History, name: str, kind: str | DataType, at: dt.datetime) -> History:

@@ -1,49 +1,33 @@
 """Column profiles: count, mean, stddev, min, max and exact quantiles.
 
 ``DataFrame.summary()`` gives approximate percentiles.  Here quantiles are
-exact and still distributed: the values are range-partitioned and numbered
-(``ordered.with_positions``), and the q-quantile is the value at position
-ceil(q * n) -- the discrete quantile.  Only the few picked values reach the
-driver.
+exact and still distributed (``selection.exact_quantiles``): the q-quantile is the value at position
+ceil(q * n) -- the discrete quantile.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from quarry.operators import ordered
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], partitions: int) -> dict[float, object]:
-    """Discrete quantiles of ``col`` (NULLs skipped): value at position ceil(p * n)."""
-    vals = df.select(F.col(col).alias("__x")).where(F.col("__x").isNotNull())
-    # a unique tie-break lets the range partitioning split a heavily repeated value
-    vals = vals.withColumn("__tb", F.monotonically_increasing_id())
-    pos, n = ordered.with_positions_and_count(vals, ["__x"], ["__tb"], name="__pos", partitions=partitions)
-    if n == 0:
-        return {p: None for p in probs}
-    targets = {p: max(1, math.ceil(p * n)) for p in probs}
-    picked = {r["__pos"]: r["__x"] for r in pos.where(F.col("__pos").isin(sorted(set(targets.values())))).collect()}
-    return {p: picked[k] for p, k in targets.items()}
+from quarry.operators.selection import exact_quantiles
 
 
 def _label(p: float) -> str:
     return f"p{round(p * 100):d}"
 
 
-def summary_exact(df: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75), *, partitions: int) -> DataFrame:
+def summary_exact(df: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row per column: count, mean, stddev (rounded to 6 places), min, the
     exact quantiles and max of numeric columns; count, min_text and max_text
     of text columns.  Columns of other types are left out.
 
     The moments of every column come from one aggregate pass, reshaped to a
-    row per column with ``stack``; each numeric column's quantiles are one
-    numbering pipeline.
+    row per column with ``stack``; the quantiles of all numeric columns share
+    their passes.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     cols = [f.name for f in df.schema.fields if f.name in numeric or isinstance(f.dataType, StringType)]
@@ -61,9 +45,10 @@ def summary_exact(df: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75), *,
             (none if n else F.max(c)).cast("string").alias(f"ht{i}"),
         ]
     stats = df.agg(*aggs)
+    quantiles = exact_quantiles(df, {c: probs for c in numeric})
     fields = []
     for i, c in enumerate(cols):
-        qs = exact_quantiles(df, c, probs, partitions) if c in numeric else dict.fromkeys(probs)
+        qs = quantiles.get(c, dict.fromkeys(probs))
         fields += [F.lit(c), F.col(f"n{i}"), F.col(f"m{i}"), F.col(f"s{i}"), F.col(f"lo{i}")]
         fields += [F.lit(qs[p]).cast("double") for p in probs]
         fields += [F.col(f"hi{i}"), F.col(f"lt{i}"), F.col(f"ht{i}")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.operators import etl
+from quarry.operators import etl, nested
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import files
@@ -119,6 +119,49 @@ def etl_schema_discovery(spark, sf_dir):
     return etl.schema_drift(found, etl.previous_schema(spark, PREVIOUS_EVENT_SCHEMA))
 
 
+PREVIOUS_NESTED_SCHEMA = [("k", "string"), ("who", "struct"), ("who.id", "bigint"), ("marks", "array"), ("marks[]", "bigint"), ("gone", "string")]
+
+
+@query(
+    "etl_schema_discovery_nested",
+    oracle="""
+WITH n AS (SELECT COUNT(*) AS n, COUNT(json_extract(props, '$.k')) AS k, COUNT(user_id) AS users, COUNT(event_type) AS types,
+                  COUNT(value) AS vals, COUNT(*) FILTER (event_id % 2 = 0) AS even FROM events),
+found AS (
+  SELECT 'k' AS field, 'bigint' AS inferred_type, 'string' AS previous_type, k AS values FROM n
+  UNION ALL SELECT 'who', 'struct', 'struct', n FROM n
+  UNION ALL SELECT 'who.id', 'bigint', 'bigint', users FROM n
+  UNION ALL SELECT 'who.kind', 'string', NULL, types FROM n
+  UNION ALL SELECT 'marks', 'array', 'array', n FROM n
+  UNION ALL SELECT 'marks[]', 'struct', 'bigint', 2 * n FROM n
+  UNION ALL SELECT 'marks[].at', 'bigint', NULL, 2 * n FROM n
+  UNION ALL SELECT 'marks[].big', 'boolean', NULL, vals FROM n
+  UNION ALL SELECT 'even', 'bigint', NULL, even FROM n
+  UNION ALL SELECT 'mixed', 'string', NULL, n FROM n
+  UNION ALL SELECT 'gone', NULL, 'string', NULL FROM n)
+SELECT field, inferred_type, previous_type, values,
+       CASE WHEN inferred_type IS NULL THEN 'removed' WHEN previous_type IS NULL THEN 'added'
+            WHEN inferred_type <> previous_type THEN 'changed' ELSE 'unchanged' END AS change
+FROM found""",
+)
+def etl_schema_discovery_nested(spark, sf_dir):
+    """Discovery by path over objects in objects and arrays, built from all events: a field that
+    half of them have, and one that is a number here and an object there."""
+    ev = _t(spark, sf_dir).events
+    even = F.col("event_id") % 2 == 0
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    at = F.col("event_id").cast("bigint")
+    marks = F.array(F.struct(at.alias("at"), (F.col("value") > 50).alias("big")), F.struct((at + 1).alias("at"), F.lit(None).cast("boolean").alias("big")))
+    known = F.to_json(F.struct(
+        k.alias("k"), F.struct(F.col("user_id").cast("bigint").alias("id"), F.col("event_type").alias("kind")).alias("who"),
+        marks.alias("marks"), F.when(even, at).alias("even"),
+    ))
+    mixed = F.when(even, F.concat(F.lit(',"mixed":'), at.cast("string"))).otherwise(F.lit(',"mixed":{"a":1}'))
+    text = F.concat(F.regexp_replace(known, "}$", ""), mixed, F.lit("}"))
+    found = nested.discover_json(ev.select(text.alias("j")), "j")
+    return etl.schema_drift(found, etl.previous_schema(spark, PREVIOUS_NESTED_SCHEMA))
+
+
 PREVIOUS_CUSTOMER_SCHEMA = [("c_custkey", "int"), ("c_name", "string"), ("c_phone", "string")]
 
 
@@ -127,7 +170,7 @@ PREVIOUS_CUSTOMER_SCHEMA = [("c_custkey", "int"), ("c_name", "string"), ("c_phon
     oracle="""
 SELECT 'c_custkey' AS field, 'bigint' AS inferred_type, 'int' AS previous_type, 'changed' AS change, COUNT(c_custkey) AS values FROM customer
 UNION ALL SELECT 'c_name', 'string', 'string', 'unchanged', COUNT(c_name) FROM customer
-UNION ALL SELECT 'c_acctbal', 'double', NULL, 'added', COUNT(c_acctbal) FROM customer WHERE c_acctbal <= 0
+UNION ALL SELECT 'c_acctbal', 'double', NULL, 'added', COUNT(c_acctbal) FROM customer WHERE NOT coalesce(c_acctbal > 0, false)
 UNION ALL SELECT 'c_phone', NULL, 'string', 'removed', NULL""",
 )
 def etl_schema_discovery_files(spark, sf_dir):
@@ -136,7 +179,7 @@ def etl_schema_discovery_files(spark, sf_dir):
     c = _t(spark, sf_dir).customer
     path = scratch_path(spark, "landing")
     files.write(c.where("c_acctbal > 0").select("c_custkey", "c_name"), path)
-    files.write(c.where("NOT c_acctbal > 0").select("c_custkey", "c_name", "c_acctbal"), path, mode="append")
+    files.write(c.where("NOT coalesce(c_acctbal > 0, false)").select("c_custkey", "c_name", "c_acctbal"), path, mode="append")
     files.write(c.select("c_name"), path, "text", mode="append")  # *.txt, not data
     return etl.discover_files(spark, path, PREVIOUS_CUSTOMER_SCHEMA)
 
@@ -148,8 +191,8 @@ def etl_incremental(spark, sf_dir):
     ev = _t(spark, sf_dir).events
     root = scratch_path(spark, "incremental")
     landing, sink, ckpt = f"{root}/landing", f"{root}/sink", f"{root}/checkpoint"
-    first = ev.where(F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
-    second = ev.where(F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"), F.lit(False))
+    first, second = ev.where(early), ev.where(~early)  # events without a time come with the second load
     files.write(first, landing, mode="append")
     run_incremental(spark, landing, sink, ckpt, ev.schema)
     files.write(second, landing, mode="append")

@@ -250,7 +250,7 @@ SELECT o_orderkey, o_custkey, o_totalprice, NULL::VARCHAR AS o_orderpriority, CA
 FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
 SELECT o_orderkey, o_custkey, NULL::DOUBLE AS o_totalprice, o_orderpriority, CAST(2 AS INTEGER) AS batch
-FROM orders WHERE o_orderstatus <> 'F'""",
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""",
 )
 def scan_merge_schema(spark, sf_dir):
     """Two batches with different column sets; mergeSchema unions the columns."""
@@ -258,7 +258,7 @@ def scan_merge_schema(spark, sf_dir):
     root = scratch_path(spark, "merge-schema")
     files.write(o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice"), f"{root}/batch=1")
     files.write(
-        o.where(F.col("o_orderstatus") != "F").select("o_orderkey", "o_custkey", "o_orderpriority"), f"{root}/batch=2"
+        o.where("not o_orderstatus <=> 'F'").select("o_orderkey", "o_custkey", "o_orderpriority"), f"{root}/batch=2"
     )
     return files.read_partitioned(spark, root, merge_schema=True)
 
@@ -405,8 +405,7 @@ SELECT 'repartition_coalesce', TRUE, COUNT(*) FROM orders""",
 def sink_file_count(spark, sf_dir):
     """A requested number of output files: repartition(n) spreads rows evenly over
     n tasks; coalesce(m) then merges them without another shuffle.  The counts
-    are the session's shuffle partitions and half of them (an empty partition
-    writes no file, so there may be fewer)."""
+    are the session's shuffle partitions and half of them."""
     o = _t(spark, sf_dir).orders
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     layouts = {"repartition": (o.repartition(n), n), "repartition_coalesce": (o.repartition(n).coalesce(max(1, n // 2)), max(1, n // 2))}
@@ -414,7 +413,7 @@ def sink_file_count(spark, sf_dir):
     for name, (df, requested) in layouts.items():
         back = files.with_file_info(_round_trip(spark, df, f"files-{name}"))
         counted = back.agg(F.count_distinct("file_path").alias("files"), F.count(F.lit(1)).alias("rows"))
-        parts.append(counted.select(F.lit(name).alias("layout"), (F.col("files") <= requested).alias("as_requested"), "rows"))
+        parts.append(counted.select(F.lit(name).alias("layout"), (F.col("files") == requested).alias("as_requested"), "rows"))
     return parts[0].unionByName(parts[1])
 
 

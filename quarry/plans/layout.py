@@ -53,11 +53,10 @@ def layout_coalesce(spark, sf_dir):
 
 @query("layout_partition_sizes", oracle="SELECT COUNT(*) AS rows, TRUE AS as_requested FROM lineitem")
 def layout_partition_sizes(spark, sf_dir):
-    """Rows over all Spark partitions, and whether there are no more of these than
-    requested (no Python worker involved)."""
+    """Rows over all Spark partitions, and whether as many as requested hold rows (no Python worker involved)."""
     n = shuffle_partitions(spark)
     sizes = rows_per_partition(_t(spark, sf_dir).lineitem.repartition(n))
-    return sizes.agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) <= n).alias("as_requested"))
+    return sizes.agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) == n).alias("as_requested"))
 
 
 @query(
@@ -87,13 +86,16 @@ def _advice_oracle() -> str:
     for k in ADVICE_KEYS:
         parts.append(
             f"""SELECT '{k}' AS partition_key, COUNT(DISTINCT {k}) AS distinct_values, COUNT(*) AS rows,
-       CAST({bytes_} AS DOUBLE) / COUNT(DISTINCT {k}) AS bytes_per_value FROM orders"""
+       CAST({bytes_} AS DOUBLE) / COUNT(DISTINCT {k}) AS bytes_per_value,
+       (SELECT CASE WHEN MAX(n) * 8 > SUM(n) THEN CAST(MAX(n) AS DOUBLE) / SUM(n) END
+        FROM (SELECT COUNT(*) AS n FROM orders GROUP BY {k}) g) AS largest_share FROM orders"""
         )
     body = "\nUNION ALL\n".join(parts)
     return f"""
 SELECT *, CASE WHEN distinct_values > 10000 THEN 'too many values'
                WHEN bytes_per_value < 134217728 THEN 'partitions too small'
                WHEN bytes_per_value > 1073741824 THEN 'partitions too large'
+               WHEN largest_share * rows * bytes_per_value * distinct_values / rows > 1073741824 THEN 'skewed'
                ELSE 'good' END AS verdict
 FROM ({body})"""
 

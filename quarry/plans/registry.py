@@ -42,6 +42,11 @@ def query(key: str, oracle: str | None = None):
     return deco
 
 
+def range_partitions(spark: SparkSession) -> int:
+    """The queries deal and number their rows in as many partitions as the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def load_all() -> None:
     for name in _PLAN_MODULES:
         importlib.import_module(name)

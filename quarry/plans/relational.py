@@ -14,7 +14,7 @@ from quarry.functions.dates import AS_OF
 from quarry.functions.numeric import MONEY, money, money_avg, money_sum
 from quarry.operators import joins, ordered
 from quarry.operators.profile import summary_exact
-from quarry.plans.registry import query
+from quarry.plans.registry import query, range_partitions
 from quarry.tables import Tables
 
 
@@ -643,8 +643,8 @@ def _summary_oracle() -> str:
 @query("profile_summary", oracle=_summary_oracle())
 def profile_summary(spark, sf_dir):
     """summary() of all columns: describe() plus the 25/50/75 % quantiles -- exact
-    here, computed on range-partitioned, numbered values (no one-task sort)."""
-    return summary_exact(_t(spark, sf_dir).customer, partitions=range_partitions(spark))
+    here, narrowed down by sketches and counts of all columns together (no sort)."""
+    return summary_exact(_t(spark, sf_dir).customer)
 
 
 @query("action_count", oracle="SELECT COUNT(*) AS n FROM lineitem")
@@ -662,11 +662,6 @@ def action_take(spark, sf_dir):
 # 2.6 window functions (hot-group safe forms from quarry.operators.ordered)
 # --------------------------------------------------------------------------
 
-def range_partitions(spark) -> int:
-    """The queries number their rows in as many range partitions as the session shuffles into."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 @query(
     "win_rank",
     oracle="""

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import history as hist
+from quarry.operators.compaction import compact, read_compacted
 from quarry.operators.transforms import Layout, Predicate, Transform, scan, write_layout
-from quarry.plans.registry import query
+from quarry.plans.registry import query, range_partitions
 from quarry.session import scratch_path
 from quarry.sources import files
 from quarry.tables import Tables
@@ -58,8 +59,8 @@ def base_history(spark: SparkSession, sf_dir: str) -> hist.History:
     return hist.append_batches(h, rows.where(~early), batch_of(1999, 2001), [at(k) for k in range(6, 9)])
 
 
-SQL_EARLY = "year(o_orderdate) <= 1998"
-SQL_CURRENT = f"SELECT * FROM {SQL_SALES} WHERE NOT ({SQL_EARLY} AND o_orderstatus = 'F')"
+SQL_EARLY = "coalesce(year(o_orderdate) <= 1998, false)"
+SQL_CURRENT = f"SELECT * FROM {SQL_SALES} WHERE NOT ({SQL_EARLY} AND o_orderstatus IS NOT DISTINCT FROM 'F')"
 
 
 @query("ver_append", oracle=f"SELECT * FROM {SQL_SALES} WHERE {SQL_EARLY}")
@@ -68,7 +69,7 @@ def ver_append(spark, sf_dir):
     return hist.as_of(base_history(spark, sf_dir), 4)
 
 
-@query("ver_delete_where", oracle=f"SELECT * FROM {SQL_SALES} WHERE {SQL_EARLY} AND o_orderstatus <> 'F'")
+@query("ver_delete_where", oracle=f"SELECT * FROM {SQL_SALES} WHERE {SQL_EARLY} AND o_orderstatus IS DISTINCT FROM 'F'")
 def ver_delete_where(spark, sf_dir):
     return hist.as_of(base_history(spark, sf_dir), 5)
 
@@ -108,7 +109,7 @@ def ver_as_of_timestamp(spark, sf_dir):
 def _snapshots_oracle() -> str:
     conditions = {1: "year(o_orderdate) <= 1995", 2: "year(o_orderdate) = 1996", 3: "year(o_orderdate) = 1997",
                   4: "year(o_orderdate) = 1998", 6: "year(o_orderdate) = 1999", 7: "year(o_orderdate) = 2000",
-                  8: "year(o_orderdate) >= 2001"}
+                  8: "coalesce(year(o_orderdate) >= 2001, true)"}
     adds = [
         f"SELECT {k} AS snapshot_id, 'append' AS operation, COUNT(*) AS added, CAST(0 AS BIGINT) AS removed FROM {SQL_SALES} WHERE {c}"
         for k, c in conditions.items()
@@ -124,15 +125,14 @@ FROM (SELECT u.*, TIMESTAMP '2024-01-01' + INTERVAL (snapshot_id) DAY AS committ
 
 @query("ver_snapshots", oracle=_snapshots_oracle())
 def ver_snapshots(spark, sf_dir):
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return hist.snapshot_summary(base_history(spark, sf_dir), n)
+    return hist.snapshot_summary(base_history(spark, sf_dir), range_partitions(spark))
 
 
-@query("ver_overwrite", oracle=f"SELECT * FROM {SQL_SALES} WHERE o_orderstatus <> 'F'")
+@query("ver_overwrite", oracle=f"SELECT * FROM {SQL_SALES} WHERE o_orderstatus IS DISTINCT FROM 'F'")
 def ver_overwrite(spark, sf_dir):
     rows = sales(spark, sf_dir)
-    h = hist.append(new_history(spark, sf_dir), rows.where("o_orderstatus = 'F'"), at(1))
-    return hist.as_of(hist.overwrite(h, rows.where("o_orderstatus <> 'F'"), at(2)))
+    h = hist.append(new_history(spark, sf_dir), rows.where("o_orderstatus <=> 'F'"), at(1))
+    return hist.as_of(hist.overwrite(h, rows.where("not o_orderstatus <=> 'F'"), at(2)))
 
 
 @query(
@@ -182,10 +182,17 @@ def ver_widen_type(spark, sf_dir):
     return hist.as_of(hist.append(h, rows.where(~early), at(3)))
 
 
-@query("ver_expire", oracle=f"SELECT * FROM ({SQL_CURRENT}) WHERE year(o_orderdate) <= 1999")
+def _expire_oracle() -> str:
+    states = {1: "year(o_orderdate) <= 1995", 4: SQL_EARLY, 6: f"coalesce(year(o_orderdate) <= 1999, false) AND NOT ({SQL_EARLY} AND o_orderstatus IS NOT DISTINCT FROM 'F')"}
+    return "\nUNION ALL\n".join(f"SELECT CAST({v} AS BIGINT) AS version, s.* FROM {SQL_SALES} WHERE {c}" for v, c in states.items())
+
+
+@query("ver_expire", oracle=_expire_oracle())
 def ver_expire(spark, sf_dir):
-    """Without the rows that snapshots before 5 alone could see, later snapshots read the same."""
-    return hist.as_of(hist.expire(base_history(spark, sf_dir), 5), 6)
+    """Snapshots 1, 4 and 6 are retained: each reads as before, and rows that none of them sees are gone."""
+    h = hist.expire(base_history(spark, sf_dir), {1, 4, 6})
+    states = [hist.as_of(h, v).select(F.lit(v).cast("bigint").alias("version"), "*") for v in (1, 4, 6)]
+    return states[0].unionByName(states[1]).unionByName(states[2])
 
 
 @query(
@@ -270,8 +277,10 @@ def ver_partition_evolution_filter(spark, sf_dir):
 
 @query("ver_compact", oracle=f"SELECT * FROM {SQL_SALES}")
 def ver_compact(spark, sf_dir):
-    """Small files (one append for each status and year) rewritten into fewer, of the advisory size."""
-    small = scratch_path(spark, "many-small")
-    files.write(sales(spark, sf_dir).withColumn("y", F.year("o_orderdate")), small, partition_by=["o_orderstatus", "y"])
-    packed = files.compact(spark, small, scratch_path(spark, "compacted"))
-    return files.read(spark, packed).drop("y")
+    """One file for each status and year and batch; the small ones are packed within their status and year."""
+    small, rows = scratch_path(spark, "many-small"), sales(spark, sf_dir).withColumn("y", F.year("o_orderdate"))
+    for part in range(2):
+        batch = rows.where(F.pmod(F.col("o_orderkey"), F.lit(2)) == part)
+        files.write_clustered(batch, small, ["o_orderstatus", "y"], mode="append")
+    table = compact(spark, small, scratch_path(spark, "compacted"), partition_by=["o_orderstatus", "y"], partitions=range_partitions(spark))
+    return read_compacted(spark, table).drop("y")

@@ -130,12 +130,6 @@ def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str], **kw)
     return write(clustered(df, partition_by), path, partition_by=partition_by, **kw)
 
 
-def compact(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> str:
-    """Rewrite many small files into few: adaptive execution packs the rows into
-    partitions of the advisory size (REBALANCE without keys deals them evenly)."""
-    return write(read(spark, source, fmt).hint("rebalance"), target, fmt)
-
-
 def with_file_info(df: DataFrame) -> DataFrame:
     """Columns ``file_path`` and ``file_size`` of the file each row came from."""
     return df.withColumn("file_path", F.col("_metadata.file_path")).withColumn(

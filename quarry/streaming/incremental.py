@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Micro-batches of a run whose reports are kept (a small record for each).
+_KEPT, _MOST_REPORTS = "spark.sql.streaming.numRecentProgressUpdates", 1_000_000
+
 
 def run_incremental(
     spark: SparkSession,
@@ -27,16 +30,17 @@ def run_incremental(
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Process every file in ``landing`` not seen by an earlier run; append
-    the rows to ``sink``.  Returns the number of rows that this run committed
-    to the sink, whatever the number of micro-batches: the sink's rows after it
-    less those before (counts come from the files' footers)."""
-    before = _committed(spark, sink)
+    the rows to ``sink``.  Returns the number of rows of the micro-batches that this run
+    completed, as observed while they were written: nothing is read again, so the cost of a
+    run depends on what arrived and not on the sink.  A batch that an earlier run began and did not complete is
+    redone, and counted, by the run that completes it."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(landing)
     if transform is not None:
         stream = transform(stream)
+    stream = stream.observe("run", F.count(F.lit(1)).alias("rows"))
     writer = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -45,18 +49,14 @@ def run_incremental(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    q = writer.start(sink)
-    q.awaitTermination()
+    before = spark.conf.get(_KEPT)
+    spark.conf.set(_KEPT, str(_MOST_REPORTS))  # the query takes the settings of its start
+    try:
+        q = writer.start(sink)
+        q.awaitTermination()
+    finally:
+        spark.conf.set(_KEPT, before)
     if q.exception() is not None:
         raise q.exception()
-    return _committed(spark, sink) - before
-
-
-def _committed(spark: SparkSession, sink: str) -> int:
-    """Rows that finished runs have committed to the sink; 0 before the first."""
-    try:
-        return spark.read.parquet(sink).count()
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return 0
-        raise
+    rows = {p["batchId"]: p["observedMetrics"]["run"]["rows"] for p in q.recentProgress if "run" in p["observedMetrics"]}
+    return sum(rows.values())

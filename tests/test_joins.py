@@ -172,3 +172,15 @@ def test_attach_aggregate_keeps_null_group(spark):
     per = rows.groupBy("g").agg(F.sum("v").alias("s"))
     got = {r.id: r.s for r in joins.attach_aggregate(rows, per, ["g"]).collect()}
     assert got == {1: 1.0, 2: 6.0, 3: 6.0}
+
+
+def test_layout_advice_sees_skew_and_counts_within_the_error(spark):
+    from quarry.operators.layout import layout_advice
+
+    df = spark.range(200_000).selectExpr("id", "if(id % 3 < 2, 'hot', string(id % 5)) as skewed", "id % 4 as even", "date_add(date'2020-01-01', cast(id % 1000 as int)) as d")
+    got = {r.partition_key: r for r in layout_advice(df, ["id", "skewed", "even", "d"], 10, 2_000_000, 10_000).collect()}
+    assert got["id"].verdict == "too many values" and abs(got["id"].distinct_values / 200_000 - 1) < 0.02
+    assert (got["skewed"].verdict, got["skewed"].distinct_values) == ("skewed", 6) and abs(got["skewed"].largest_share - 2 / 3) < 0.001
+    assert got["even"].verdict == "good" and got["even"].largest_share == 0.25 and got["d"].distinct_values == 1000 and got["d"].largest_share is None
+    plan = layout_advice(df, ["id", "skewed"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan

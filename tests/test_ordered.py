@@ -69,19 +69,6 @@ def test_null_group_and_values(spark):
     _same(got, df.withColumn("rn", F.row_number().over(w)), ["id", "rn"])
 
 
-def test_exact_quantiles_with_repeated_values(spark):
-    import math
-
-    from quarry.operators.profile import exact_quantiles
-
-    # one value holds a third of the rows
-    df = spark.range(3001).select(F.when(F.col("id") % 3 == 0, F.lit(50.0)).otherwise((F.col("id") * 7919 % 1000).cast("double")).alias("x"))
-    vals = sorted(r.x for r in df.collect())
-    probs = [0.01, 0.25, 0.5, 0.75, 0.999]
-    got = exact_quantiles(df, "x", probs, 8)
-    assert got == {p: vals[max(1, math.ceil(p * len(vals))) - 1] for p in probs}
-
-
 @pytest.mark.parametrize("group", [[], ["grp"]])
 def test_running_sum_with_nulls_across_partitions(spark, group):
     # The hot group starts with a long run of NULL values, so partitions whose
@@ -129,7 +116,7 @@ def test_summary_exact_several_columns(spark):
         (F.col("id") % 17).cast("int").alias("a"),
         F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") * 0.5).alias("b"),
     )
-    got = {r.column_name: r for r in summary_exact(df, partitions=4).collect()}
+    got = {r.column_name: r for r in summary_exact(df).collect()}
     rows = df.collect()
     for c in ("a", "b"):
         vals = sorted(float(r[c]) for r in rows if r[c] is not None)
