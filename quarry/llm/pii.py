@@ -2,14 +2,15 @@
 
 Patterns find the protected entities (``KINDS`` but the last); an entity is a kind
 and a normalised value.  The corpus then tells how strongly a term reveals an
-entity: from the numbers of documents with the entity, with the term, and with
-both, the disclosure is their pointwise mutual information over the entity's
-information content (1: the term gives the entity away).  The entity's share among
-the term's documents is smoothed by SUPPORT documents of the corpus's own rate, so
-little evidence lowers the estimate but every pair has one, also those of one
-document.  In documents that hold the entity, every occurrence of a term whose
-disclosure reaches GENERALISE is a ``term`` span: generalised to ``[TERM]``, or
-removed from REMOVE on.
+entity: from the numbers of documents with the term and with both, the lower
+confidence bound (Wilson, one-sided 95 %) of the share of the term's documents that hold
+the entity.  Its negative logarithm is the information about the entity that the term leaves open
+with that confidence: at most 1.25 bits from REMOVE on, at most 1.74 bits from
+GENERALISE on.  A term must also tell LIFT bits more than chance (the entity's share of all documents), so an
+entity of most documents is not revealed by everything.  Neither bound depends on
+the corpus's size: one common document is no evidence however rare both are, two of two are enough to
+remove a term, three of four to generalise it.  In documents that hold the entity, every occurrence of such a term is a ``term`` span:
+generalised to ``[TERM]``, or removed.
 
 Entities of the same documents have the same disclosures; they are one class (told
 by two 64-bit hashes of its documents), so a document full of entities does not pair
@@ -37,8 +38,11 @@ from pyspark.sql import functions as F
 from quarry.llm.common import kept_table, map_texts, slices, small_batches, temporary_tables
 
 KINDS = ("email", "ip", "card", "phone", "term")
-SUPPORT = 3
-GENERALISE, REMOVE = 0.6, 0.9
+#: Standard deviations of the confidence bound, and least bits above chance.
+Z = 1.645
+LIFT = 2.0
+#: Shares of a term's documents that hold the entity, as lower bounds.
+GENERALISE, REMOVE = 0.3, 0.42
 LEAST_LETTERS = 3
 BITMAP_BITS = 23
 CACHED = 300_000
@@ -196,11 +200,11 @@ def entity_classes(found: DataFrame) -> DataFrame:
 
 
 def disclosure_of(n: int, n_te, n_t, n_e):
-    """Smoothed PMI over the entity's information; an entity of all documents holds none that a term could reveal."""
-    rate = n_e / F.lit(float(max(n, 1)))
-    information = -F.log2(rate)
-    share = (n_te + SUPPORT * rate) / (n_t + SUPPORT)
-    return F.when(information > 0, F.least(F.lit(1.0), F.log2(share / rate) / information)).otherwise(0.0)
+    """Lower bound of the share of the ``n_t`` documents that hold the entity, ``n_te`` of them; 0 without LIFT bits above chance."""
+    share = n_te / n_t
+    spread = Z * F.sqrt(share * (1 - share) / n_t + F.lit(Z * Z / 4) / (n_t * n_t))
+    low = (share + F.lit(Z * Z / 2) / n_t - spread) / (1 + F.lit(Z * Z) / n_t)
+    return F.when((low > 0) & (F.log2(low * float(max(n, 1)) / n_e) >= LIFT), low).otherwise(0.0)
 
 
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:

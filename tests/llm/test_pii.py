@@ -75,37 +75,38 @@ def corpus():
     return out
 
 
-def plain_disclosures(texts):
-    """The definition, by loops over the documents."""
-    near, holders, docs = {}, {}, {}
-    for n, text in enumerate(texts):
-        spans = pii.base_spans(text)
-        for x in pii.near_terms(text, spans):
-            near.setdefault((x["entity"], x["term"]), set()).add(n)
-        for x in pii.near_terms(text, spans):
-            holders.setdefault(x["entity"], set()).add(n)
-        for w in {m.lower() for m in re.findall(r"[^\W\d_]+", text)}:
-            docs.setdefault(w, set()).add(n)
-    out = {}
-    for (e, t), both in near.items():
-        if len(both) >= pii.SUPPORT:
-            information = math.log2(len(texts) / len(holders[e]))
-            shared = math.log2(len(both) * len(texts) / (len(docs[t]) * len(holders[e])))
-            value = min(1.0, shared / information) if information > 0 else 0.0
-            if round(value, 6) >= pii.GENERALISE:
-                out[t] = max(out.get(t, 0), round(value, 6))
+def wilson(both, docs):
+    p, z = both / docs, pii.Z
+    return (p + z * z / (2 * docs) - z * math.sqrt(p * (1 - p) / docs + z * z / (4 * docs * docs))) / (1 + z * z / docs)
+
+
+def lower_bounds(texts):
+    """{(text number, term): disclosure} of all pairs that reach GENERALISE, by loops over the documents."""
+    own = [(pii.base_spans(t or ""), t or "") for t in texts]
+    own = [{(x["entity"], x["term"]) for x in pii.near_terms(t, s)} for s, t in own]
+    both, holders, docs = Counter(), Counter(), Counter()
+    for pairs, text in zip(own, texts, strict=True):
+        both.update(pairs)
+        holders.update({e for e, _ in pairs})
+        docs.update({m.lower() for m in re.findall(r"[^\W\d_]+", text or "")})
+    out, n = {}, len(texts)
+    for k, pairs in enumerate(own):
+        for e, t in pairs:
+            value = wilson(both[e, t], docs[t])
+            if round(value, 6) >= pii.GENERALISE and math.log2(value * n / holders[e]) >= pii.LIFT:
+                out[k, t] = max(out.get((k, t), 0), round(value, 6))
     return out
 
 
 def test_disclosing_terms(spark):
     texts = corpus()
-    want = plain_disclosures(texts)
-    assert "zanzibar" in want and "office" not in want and "rareword" not in want
+    want = lower_bounds(texts)
+    named = {t for _, t in want}
+    assert "zanzibar" in named and "office" not in named and "rareword" not in named
     got = {r.doc_id: r.spans for r in pii.find_private(documents(spark, texts, 0)).collect()}
     for n, text in enumerate(texts):
-        own = {x["term"] for x in pii.near_terms(text, pii.base_spans(text))}
         marked = {text[s.start : s.end].lower() for s in got[n] if pii.KINDS[s.kind] == "term"}
-        assert marked == own & want.keys()
+        assert marked == {t for k, t in want if k == n}
         assert [(s.start, s.kind, s.end) for s in got[n]] == sorted((s.start, s.kind, s.end) for s in got[n])
     both = [s for s in got[0] if pii.KINDS[s.kind] == "term" and texts[0][s.start : s.end].lower() == "zanzibar"]
     assert len(both) == 2  # all its places in a document that holds the address
@@ -117,8 +118,8 @@ def test_sanitised_texts(spark):
     assert len(got) == len(texts) and got[61] is None and got[62] == ""
     assert "zanzibar" not in got[0].lower() and "ann@" not in got[0] and "[EMAIL]" in got[0]
     assert got[2] == texts[2]
-    assert pii.sanitise_text("ab cd ef", [{"start": 3, "end": 5, "kind": 4, "disclosure": 0.7}]) == "ab [TERM] ef"
-    assert pii.sanitise_text("ab cd ef", [{"start": 3, "end": 5, "kind": 4, "disclosure": 0.95}]) == "ab  ef"
+    assert pii.sanitise_text("ab cd ef", [{"start": 3, "end": 5, "kind": 4, "disclosure": 0.35}]) == "ab [TERM] ef"
+    assert pii.sanitise_text("ab cd ef", [{"start": 3, "end": 5, "kind": 4, "disclosure": 0.42}]) == "ab  ef"
 
 
 def test_odd_rows(spark):
@@ -131,43 +132,30 @@ def test_odd_rows(spark):
     assert all(len(r.spans) == 1 for r in every)
 
 
-def smoothed(texts):
-    """{(text number, term): disclosure} of all pairs that reach GENERALISE, by loops over the documents."""
-    own = [(pii.base_spans(t or ""), t or "") for t in texts]
-    own = [{(x["entity"], x["term"]) for x in pii.near_terms(t, s)} for s, t in own]
-    both, holders, docs = Counter(), Counter(), Counter()
-    for pairs, text in zip(own, texts, strict=True):
-        both.update(pairs)
-        holders.update({e for e, _ in pairs})
-        docs.update({m.lower() for m in re.findall(r"[^\W\d_]+", text or "")})
-    out, n = {}, len(texts)
-    for k, pairs in enumerate(own):
-        for e, t in pairs:
-            rate = holders[e] / n
-            share = (both[e, t] + pii.SUPPORT * rate) / (docs[t] + pii.SUPPORT)
-            value = min(1.0, math.log2(share / rate) / -math.log2(rate)) if rate < 1 else 0.0
-            if round(value, 6) >= pii.GENERALISE:
-                out[k, t] = max(out.get((k, t), 0), round(value, 6))
-    return out
-
-
 def test_term_spans_on_the_table(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()]
     texts, at = dict(rows), {i: k for k, (i, _) in enumerate(rows)}
-    want = smoothed([t for _, t in rows])
+    want = lower_bounds([t for _, t in rows])
     marked = set()
     for r in queries.QUERIES["op8_pii_sanitisation"](spark, sf_dir).collect():
         spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term")]
         marked |= {(at[r.doc_id], texts[r.doc_id][int(a) : int(b)].lower()) for _, a, b in spans}
-    assert marked == want.keys() and len(marked) > 100
+    assert marked == want.keys() and marked
+    assert any(v >= pii.REMOVE for v in want.values())
+    words = sum(len(re.findall(r"[^\W\d_]+", t or "")) for _, t in rows)
+    assert len(marked) < 0.02 * words
 
 
-def test_terms_of_one_document_and_far_from_the_entity(spark):
+def test_evidence_and_not_rarity(spark):
+    """Planted: words that go with an address in several documents, and rare words that stand beside one once."""
     texts = [f"{prose(k, 30)} office" for k in range(60)]
     texts += [f"platypus {prose(90, 40)} joe@example.com sue@example.com {prose(91, 40)} wombat office"]
     texts += [f"quokka {prose(92 + k, 20)} ann@example.com" for k in range(2)]
-    got = {r.doc_id: r.spans for r in pii.find_private(documents(spark, texts, 0)).collect()}
-    terms = {(k, texts[k][s.start : s.end].lower(), s.disclosure) for k, x in got.items() for s in x if pii.KINDS[s.kind] == "term"}
-    assert terms == {(k, t, v) for (k, t), v in smoothed(texts).items()}
-    assert {(k, t) for k, t, _ in terms} >= {(60, "platypus"), (60, "wombat"), (61, "quokka"), (62, "quokka")}
-    assert not any(t == "office" for _, t, _ in terms)
+    texts += [f"numbat {prose(95 + k, 20)} bob@example.com" for k in range(3)] + ["numbat elsewhere"]
+    for times in (1, 4):  # the same pairs in a corpus of four times the size
+        corpus = texts + [prose(1000 + k, 30) for k in range((times - 1) * len(texts))]
+        got = {r.doc_id: r.spans for r in pii.find_private(documents(spark, corpus, 0)).collect()}
+        terms = {(k, corpus[k][s.start : s.end].lower(), s.disclosure) for k, x in got.items() for s in x if pii.KINDS[s.kind] == "term"}
+        assert terms == {(k, t, v) for (k, t), v in lower_bounds(corpus).items()}
+        verdicts = {t: v >= pii.REMOVE for _, t, v in terms if t in ("platypus", "wombat", "quokka", "numbat", "office")}
+        assert verdicts == {"quokka": True, "numbat": False}
