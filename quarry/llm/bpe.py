@@ -2,14 +2,13 @@
 
 A pre-token is a linked list of byte runs.  Every adjacent pair that the
 vocabulary can merge sits in the bucket of its merge rank; a bitmap over the
-ranks, with a bitmap over its words above it (and so on), gives the lowest
-non-empty rank by one find-first-set on each level.  A bucket is a heap of list
+ranks, with a bitmap over its words above it, gives the lowest
+non-empty rank by one find-first-set on each level.  A bucket is a position, or a heap of
 positions, so equal ranks merge from the left.  Entries whose pair has changed
 since are skipped when they come up.  A merge costs a constant number of bucket
 operations, so a pre-token of n bytes costs O(n log n) even where it is
-megabytes long.  A pre-token below SHORT bytes has so few pairs that finding the
-lowest rank by a scan of them is cheaper than the queue's bookkeeping; the tests
-hold both ways against each other.
+megabytes long.  Every pre-token that is no token itself goes through the queue, short ones too;
+a worker remembers the results of short ones.
 
 Results: null and empty texts have no tokens (hashes of the empty string);
 repeated rows give repeated results; very long texts are cut into chunks only
@@ -30,64 +29,53 @@ from pyspark.sql import DataFrame
 
 from quarry.llm.common import map_texts
 
-SHORT = 48  # bytes: below, the lowest rank is found by a scan
 CHUNK = 1 << 18  # characters that are split at a time
 CACHED = 300_000  # pre-tokens whose result a worker remembers, in each of two generations
 CACHED_CHARS = 48  # longer pre-tokens are always merged anew
 
 
 class RankQueue:
-    """Priority queue of (rank, position) for ranks below a fixed bound."""
+    """Priority queue of (rank, position): a bitmap over the ranks by words of 64, a bitmap over those words, buckets of positions."""
 
     def __init__(self, bound: int):
-        self.levels: list[list[int]] = []
-        n = bound
-        while True:
-            n = (n + 63) >> 6
-            self.levels.append([0] * n)
-            if n == 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
+        self.words = [0] * ((bound + 63) >> 6)
+        self.top = 0  # bit w: words[w] is not zero
+        self.buckets: dict[int, int | list[int]] = {}  # a position, or a heap of several
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket:
+        if bucket is None:
+            self.buckets[rank] = position
+            word = rank >> 6
+            if not self.words[word]:
+                self.top |= 1 << word
+            self.words[word] |= 1 << (rank & 63)
+        elif type(bucket) is int:
+            self.buckets[rank] = [bucket, position] if bucket < position else [position, bucket]
+        else:
             heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        at = rank
-        for level in self.levels:
-            word = at >> 6
-            was = level[word]
-            level[word] = was | 1 << (at & 63)
-            if was:
-                break
-            at = word
-
-    def first(self) -> int:
-        """The lowest rank that has entries, or -1."""
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return -1
-            at = at << 6 | (word & -word).bit_length() - 1
-        return at
-
-    def pop(self, rank: int) -> int:
-        """The leftmost position in the bucket of ``rank``."""
+
+    def take(self) -> tuple[int, int]:
+        """The lowest rank that has entries, and the leftmost position in its bucket; (-1, -1) if there is none."""
+        top = self.top
+        if not top:
+            return -1, -1
+        at = (top & -top).bit_length() - 1
+        word = self.words[at]
+        rank = at << 6 | (word & -word).bit_length() - 1
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                word = at >> 6
-                level[word] &= ~(1 << (at & 63))
-                if level[word]:
-                    break
-                at = word
-        return position
+        if type(bucket) is int:
+            position = bucket
+        else:
+            position = heapq.heappop(bucket)
+            if bucket:
+                return rank, position
+        del self.buckets[rank]
+        word &= word - 1
+        self.words[at] = word
+        if not word:
+            self.top = top & (top - 1)
+        return rank, position
 
 
 class BytePairCoder:
@@ -109,24 +97,8 @@ class BytePairCoder:
         whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        return self.merge_scan(piece) if len(piece) < SHORT else self.merge_queue(piece)
-
-    def merge_scan(self, piece: bytes) -> list[int]:
-        rank_of, none = self.ranks.get, len(self.ranks) + (1 << 30)
-        starts = list(range(len(piece) + 1))
-        pairs = [rank_of(piece[i : i + 2], none) for i in range(len(piece) - 1)]
-        while pairs and (low := min(pairs)) < none:
-            i = pairs.index(low)
-            del starts[i + 1], pairs[i]
-            if i < len(pairs):
-                pairs[i] = rank_of(piece[starts[i] : starts[i + 2]], none)
-            if i:
-                pairs[i - 1] = rank_of(piece[starts[i - 1] : starts[i + 1]], none)
-        ranks = self.ranks
-        return [ranks[piece[a:b]] for a, b in zip(starts, starts[1:])]
-
-    def merge_queue(self, piece: bytes) -> list[int]:
         rank_of, n, longest, queue = self.ranks.get, len(piece), self.longest, self.queue
+        push, take = queue.push, queue.take
         after = range(1, n + 1)
         before = range(-1, n - 1)
         # 4-byte arrays where lists of int objects would take much more memory
@@ -136,29 +108,30 @@ class BytePairCoder:
             r = rank_of(piece[i : i + 2])
             if r is not None:
                 pair[i] = r
-                queue.push(r, i)
-        while (r := queue.first()) >= 0:
-            i = queue.pop(r)
+                push(r, i)
+        while True:
+            r, i = take()
+            if r < 0:
+                break
             if pair[i] != r:
                 continue  # stale: the pair was merged or has grown
             gone = after[i]
             end = after[gone]
             after[i] = end
-            pair[gone] = -1
+            pair[gone] = pair[i] = -1
             if end < n:
                 before[end] = i
-            for left, right in ((i, end), (before[i], i)):
-                if left < 0 or right >= n:
-                    if left >= 0:
-                        pair[left] = -1
-                    continue
-                stop = after[right]
-                new = rank_of(piece[left:stop]) if stop - left <= longest else None
-                if new is None:
-                    pair[left] = -1
-                else:
+                stop = after[end]
+                if stop - i <= longest and (new := rank_of(piece[i:stop])) is not None:
+                    pair[i] = new
+                    push(new, i)
+            left = before[i]
+            if left >= 0:
+                if end - left <= longest and (new := rank_of(piece[left:end])) is not None:
                     pair[left] = new
-                    queue.push(new, left)
+                    push(new, left)
+                else:
+                    pair[left] = -1
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[piece[i : after[i]]])
