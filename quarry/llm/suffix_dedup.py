@@ -9,13 +9,14 @@ all windows of a text fall into runs of one anchor each (about 18 windows).
    anchor once for each batch of documents; what returns are the shared anchors
    of each document.
 2. Documents with shared anchors are cut into the runs of these; the bytes of a run
-   are its class.  Each task sends every class once, with its smallest document.
+   are its class.  Each task sends every class once, as hashes: of its bytes, and of the bytes on both sides of the
+   anchor, with its smallest and largest document.
    Anchors whose classes have more than about HOT_BYTES bytes (as one document of
    HOT_SAMPLE tells, which decides about the way alone, not about results) would be
    groups without a bound; their runs are cut into single windows, each of which
    is an anchor and a class of its own (two 64-bit hashes), so no shard holds them.
-3. Shards of classes by anchor: equal classes give their smallest document.  Where an
-   anchor has several classes, their bytes are concatenated and their suffixes sorted
+3. Equal classes give their smallest document.  Classes of an anchor that share a side may share a window:
+   their bytes alone are read again from the cut documents (a Bloom filter of fixed size names them), meet by anchor, are concatenated and their suffixes sorted
    (``induced``, queues that carry the common prefixes); a shard of SHARD_BYTES, or one
    anchor's HOT_BYTES, is sorted in memory, and only queues beyond
    ``induced.MEMORY_TUPLES`` go to files.  Suffixes with LENGTH common bytes are one
@@ -41,6 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.collocations import Bloom, bloom
 from quarry.llm.common import kept_table, release_shuffles, slices, small_batches, temporary_tables
 from quarry.llm.induced import sorted_suffixes
 
@@ -48,6 +50,7 @@ LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1  # places of an anchor within a window
 BATCH_ANCHORS = 500_000
+BATCH_RUNS = 500_000  # runs that a task puts together before it sends them
 SHARD_BYTES = 500_000  # shards are cut between anchors; one anchor's classes stay together
 HOT_BYTES = 2_000_000  # bytes of an anchor's classes from which on its windows are dealt one by one
 HOT_SAMPLE = 16
@@ -280,52 +283,155 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
     return kept_table(cut.withColumn("row", F.monotonically_increasing_id()), "cut-documents")
 
 
+_SIDE = (SPAN - 1) // 2
+_WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, _SIDE + 1)], _U)
+
+
+def _flat(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _sides(text: bytes, first: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the _SIDE bytes before and behind the anchor of some runs; 0 where a run has fewer.
+
+    A window has SPAN - 1 bytes besides its anchor, so half of these at least stand
+    together before or behind it: classes that share a window share them.
+    """
+    data, place = np.frombuffer(text, np.uint8), first + at
+    out = []
+    for start, there in ((place - _SIDE, at >= _SIDE), (place + GRAM, (at >= 0) & (at + GRAM + _SIDE <= size))):
+        h = np.zeros(len(first), _U)
+        if there.any():
+            h[there] = (data[start[there][:, None] + np.arange(_SIDE)].astype(_U) + _U(1)) @ _WEIGHTS | _U(1)
+        out.append(h.view(np.int64))
+    return out[0], out[1]
+
+
+def _least(cols: list[np.ndarray]) -> list[np.ndarray]:
+    """Columns anchor, class, id, most (the largest id), front, back: one row for each class."""
+    anchor, cls, least, most, front, back = cols
+    order = np.lexsort((cls, anchor))
+    anchor, cls, least, most, front, back = (c[order] for c in (anchor, cls, least, most, front, back))
+    cut = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (cls[1:] != cls[:-1])])
+    return [anchor[cut], cls[cut], np.minimum.reduceat(least, cut), np.maximum.reduceat(most, cut), front[cut], back[cut]]
+
+
 def _classes(cut: DataFrame) -> DataFrame:
-    """(anchor, class, id, many, at, bytes): every class once for each task, with its smallest document and whether it has more."""
+    """(anchor, class, least, most, front, back): every class once for each task, with its smallest and largest document and its sides."""
+    names = ["anchor", "class", "least", "most", "front", "back"]
 
     def run(batches):
-        held: dict[tuple[int, int], list] = {}
+        held: list[list[np.ndarray]] = []
         n = 0
 
+        def sent(cols):
+            for k in range(0, len(cols[0]), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 20_000]) for c in cols], names=names)
+
+        for b in slices(batches, 64):
+            counts = pc.list_value_length(b.column("anchor")).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(counts)
+            anchor, cls, at, first, size = (_flat(b.column(c)) for c in ("anchor", "class", "at", "first", "size"))
+            sides = [
+                _sides(text, first[e - c : e], at[e - c : e], size[e - c : e])
+                for text, c, e in zip(b.column("text").to_pylist(), counts.tolist(), ends.tolist(), strict=True)
+            ]
+            if not len(anchor):
+                continue
+            i = np.repeat(b.column("id").to_numpy(zero_copy_only=False), counts)
+            front, back = (np.concatenate([x[k] for x in sides]) for k in (0, 1))
+            held.append([anchor, cls, i, i, front, back])
+            n += len(anchor)
+            if n >= BATCH_RUNS:
+                held = [_least([np.concatenate(c) for c in zip(*held, strict=True)])]
+                n = 0
+                if len(held[0][0]) >= BATCH_RUNS:
+                    yield from sent(held[0])
+                    held = []
+        if held:
+            yield from sent(_least([np.concatenate(c) for c in zip(*held, strict=True)]))
+
+    rows = cut.where(F.size("anchor") > 0).select("id", "text", "anchor", "class", "at", "first", "size")
+    return rows.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
+
+
+def _comparable(cols: list[np.ndarray]) -> np.ndarray:
+    """Which rows (anchor, front, back) share a side with another row of their anchor."""
+    anchor, out = cols[0], np.zeros(len(cols[0]), bool)
+    for side in cols[1:]:
+        order = np.lexsort((side, anchor))
+        same = (anchor[order][1:] == anchor[order][:-1]) & (side[order][1:] == side[order][:-1]) & (side[order][1:] != 0)
+        out[order[1:][same]] = True
+        out[order[:-1][same]] = True
+    return out
+
+
+def _alike(classes: DataFrame) -> DataFrame:
+    """(anchor, class, least, many, alike) of the classes of several documents, and of those that may share a window with another."""
+    names = ["anchor", "class", "least", "many", "alike"]
+
+    def run(batches):
+        held: list[np.ndarray] = []
+
+        def done(cols):
+            anchor, cls, least, most, front, back = cols
+            alike, many = _comparable([anchor, front, back]), most > least
+            some = np.flatnonzero(alike | many)
+            for k in range(0, len(some), 20_000):
+                at = some[k : k + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(c[at]) for c in (anchor, cls, least, many, alike)], names=names)
+
+        for b in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            if held:
+                cols = [np.concatenate(c) for c in zip(held, cols, strict=True)]
+            if not len(cols[0]):
+                continue
+            # rows come sorted by anchor: the last one may go on
+            last = int(np.searchsorted(cols[0], cols[0][-1]))
+            yield from done([c[:last] for c in cols])
+            held = [c[last:] for c in cols]
+        if held:
+            yield from done(held)
+
+    once = classes.repartition("anchor").groupBy("anchor", "class").agg(
+        F.min("least").alias("least"), F.max("most").alias("most"), F.max("front").alias("front"), F.max("back").alias("back")
+    )
+    kind = "anchor bigint, class bigint, least bigint, many boolean, alike boolean"
+    return once.sortWithinPartitions("anchor").mapInArrow(run, kind)
+
+
+def _bytes(cut: DataFrame, alike: DataFrame) -> DataFrame:
+    """(anchor, class, bytes) of the classes in ``alike``, and of a few others, once for each task."""
+    wanted = bloom(alike.select(F.col("class").alias("fp")))
+    names = ["anchor", "class", "bytes"]
+
+    def run(batches):
+        filled, held, n = Bloom(wanted.value), {}, 0
+
         def sent():
-            cols = list(zip(*[(*k, *v) for k, v in held.items()], strict=True))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary())
-            names = ["anchor", "class", "id", "many", "at", "bytes"]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            cols = list(zip(*[(*k, v) for k, v in held.items()], strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=names)
 
         for b in slices(batches, 64):
-            for i, text, *lists in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                for h, c, at, a, size in zip(*lists, strict=True):
-                    was = held.get((h, c))
-                    if was is None:
-                        # equal single windows need no comparison of bytes
-                        held[h, c] = [i, False, at, text[a : a + size] if at >= 0 else b""]
-                        n += size + 400  # what the objects take
-                    elif was[0] != i:
-                        was[0], was[1] = min(was[0], i), True
+            counts = pc.list_value_length(b.column("anchor")).to_numpy(zero_copy_only=False)
+            anchor, cls, at, first, size = (_flat(b.column(c)) for c in ("anchor", "class", "at", "first", "size"))
+            row = np.repeat(np.arange(len(counts)), counts)
+            some = np.flatnonzero(at >= 0)
+            some = some[filled.holds(cls[some].view(_U))]
+            texts = b.column("text").to_pylist()
+            for r, h, c, a, z in zip(*(x[some].tolist() for x in (row, anchor, cls, first, size)), strict=True):
+                if (h, c) not in held:
+                    held[h, c] = texts[r][a : a + z]
+                    n += z + 300  # what the objects take
             if n >= 40_000_000:
                 yield sent()
                 held, n = {}, 0
         if held:
             yield sent()
 
-    rows = cut.where(F.size("anchor") > 0).select("id", "text", "anchor", "class", "at", "first", "size")
-    return rows.mapInArrow(run, "anchor bigint, class bigint, id bigint, many boolean, at int, bytes binary")
-
-
-def comparable(own: dict[int, list]) -> set[int]:
-    """The classes of an anchor that may share a window with another one.
-
-    A window has SPAN - 1 bytes besides its anchor, so half of these at least stand
-    together before or behind it: classes that share a window share them.
-    """
-    half = (SPAN - 1) // 2
-    sides: dict[tuple[bool, bytes], list[int]] = {}
-    for c, (_, _, at, data) in own.items():
-        for key in ((True, data[at - half : at] if at >= half else b""), (False, data[at + GRAM : at + GRAM + half])):
-            if len(key[1]) == half:
-                sides.setdefault(key, []).append(c)
-    return {c for some in sides.values() if len(some) > 1 for c in some}
+    rows = cut.where(F.size("anchor") > 0).select("text", "anchor", "class", "at", "first", "size")
+    return rows.mapInArrow(run, "anchor bigint, class bigint, bytes binary")
 
 
 def repeated_windows(classes: list[bytes], owner: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -377,29 +483,19 @@ def repeated_windows(classes: list[bytes], owner: np.ndarray, length: int = LENG
     return [found[cuts[k] : cuts[k + 1]] - starts[k] for k in range(len(classes))]
 
 
-def _match_classes(classes: DataFrame) -> DataFrame:
-    """(anchor, class, least, starts, stops): the class's smallest document, and the windows that repeat even there."""
+def _matched(cut: DataFrame, found: DataFrame) -> DataFrame:
+    """(anchor, class, least, starts, stops): the class's smallest document, and the windows that repeat even there.
+
+    ``found`` comes from ``_alike``; the classes that need comparing meet their bytes here, by anchor.
+    """
     names = ["anchor", "class", "least", "starts", "stops"]
 
     def run(batches):
-        def groups():
-            """(anchor, {class: [least, many, at, bytes]}) in turn: rows come sorted by anchor, each class once."""
-            at, own = None, {}
-            for b in batches:
-                for h, c, *rest in zip(*[x.to_pylist() for x in b.columns], strict=True):
-                    if h != at:
-                        if own:
-                            yield at, own
-                        at, own = h, {}
-                    own[c] = rest
-            if own:
-                yield at, own
-
         waiting, n, done = [], 0, []
 
         def flushed():
-            found = repeated_windows([v[3] for _, _, v in waiting], np.array([v[0] for _, _, v in waiting]))
-            for (h, c, (least, many, _, _)), windows in zip(waiting, found, strict=True):
+            windows_of = repeated_windows([v[3] for v in waiting], np.array([v[2][0] for v in waiting]))
+            for (h, c, (least, many), _), windows in zip(waiting, windows_of, strict=True):
                 if len(windows):
                     first = np.flatnonzero(np.r_[True, np.diff(windows) > 1])
                     stops = windows[np.r_[first[1:] - 1, len(windows) - 1]] + LENGTH
@@ -412,32 +508,50 @@ def _match_classes(classes: DataFrame) -> DataFrame:
             cols = list(zip(*done, strict=True)) or [()] * 5
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-        for h, own in groups():
-            alike = comparable(own) if len(own) > 1 else ()
-            for c, v in own.items():
-                if c in alike:
-                    waiting.append((h, c, v))
-                    n += len(v[3]) + 1
-                elif v[1]:
-                    done.append((h, c, v[0], [], []))
-            if n >= SHARD_BYTES:
-                flushed()
-                waiting, n = [], 0
-            if len(done) >= 20_000:
-                yield sent()
-                done.clear()
+        # a class's own row comes first, then its bytes, as often as tasks sent them
+        now, own, seen = None, None, False
+        for b in batches:
+            for h, c, least, many, data in zip(*[x.to_pylist() for x in b.columns], strict=True):
+                if now is not None and h != now[0] and n >= SHARD_BYTES:
+                    flushed()
+                    waiting, n = [], 0
+                if data is None:
+                    now, own, seen = (h, c), (least, many), False
+                elif (h, c) == now and not seen:
+                    waiting.append((h, c, own, data))
+                    n, seen = n + len(data) + 1, True
+                if len(done) >= 20_000:
+                    yield sent()
+                    done.clear()
         if waiting:
             flushed()
         yield sent()
 
-    # dealt by anchor, so the classes' rows are together as well: no further exchange
-    once = classes.repartition("anchor").groupBy("anchor", "class").agg(
-        F.min("id").alias("id"),
-        (F.bool_or("many") | (F.min("id") < F.max("id"))).alias("many"),
-        F.first("at").alias("at"),
-        F.first("bytes").alias("bytes"),
-    )
-    return once.sortWithinPartitions("anchor").mapInArrow(run, "anchor bigint, class bigint, least bigint, starts array<int>, stops array<int>")
+    alike = found.where("alike")
+    rows = alike.select("anchor", "class", "least", "many", F.lit(None).cast("binary").alias("bytes"))
+    rows = rows.unionByName(_bytes(cut, alike).select("anchor", "class", F.lit(None).cast("bigint").alias("least"), F.lit(None).cast("boolean").alias("many"), "bytes"))
+    rows = rows.repartition("anchor").sortWithinPartitions("anchor", "class", F.col("least").isNull())
+    compared = rows.mapInArrow(run, "anchor bigint, class bigint, least bigint, starts array<int>, stops array<int>")
+    none = F.array().cast("array<int>")
+    return compared.unionByName(found.where("not alike").select("anchor", "class", "least", none.alias("starts"), none.alias("stops")))
+
+
+def _placed(cut: DataFrame, matched: DataFrame) -> DataFrame:
+    """(row, id, anchor, class, first, size) of the runs whose class is in ``matched``, and of a few others."""
+    wanted = bloom(matched.select(F.col("class").alias("fp")))
+    names = ["row", "id", "anchor", "class", "first", "size"]
+
+    def run(batches):
+        filled = Bloom(wanted.value)
+        for b in slices(batches, 256):
+            counts = pc.list_value_length(b.column("anchor")).to_numpy(zero_copy_only=False)
+            anchor, cls, first, size = (_flat(b.column(c)) for c in ("anchor", "class", "first", "size"))
+            row, i = (np.repeat(b.column(c).to_numpy(zero_copy_only=False), counts) for c in ("row", "id"))
+            some = np.flatnonzero(filled.holds(cls.view(_U)))
+            yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (row, i, anchor, cls, first, size)], names=names)
+
+    rows = cut.where(F.size("anchor") > 0).select("row", "id", "anchor", "class", "first", "size")
+    return rows.mapInArrow(run, "row bigint, id bigint, anchor bigint, class bigint, first int, size int")
 
 
 def removed_runs(docs: DataFrame) -> DataFrame:
@@ -445,10 +559,11 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     cut = _cut_documents(docs, _shared_anchors(docs))
     small_batches(docs.sparkSession)
     release_shuffles(docs.sparkSession)
-    matched = kept_table(_match_classes(_classes(cut)), "matched-classes")
+    found = kept_table(_alike(_classes(cut)), "alike-classes")
+    release_shuffles(docs.sparkSession)
+    matched = kept_table(_matched(cut, found), "matched-classes")
     release_shuffles(docs.sparkSession)
-    placed = cut.where(F.size("anchor") > 0).select("row", "id", F.explode(F.arrays_zip("anchor", "class", "first", "size")).alias("r"))
-    placed = placed.select("row", "id", "r.anchor", "r.class", "r.first", "r.size")
+    placed = _placed(cut, matched)
     both = placed.join(matched, ["anchor", "class"]).where("least < id or (least = id and size(starts) > 0)")
     whole = F.col("least") < F.col("id")
     starts = F.when(whole, F.array("first")).otherwise(F.transform("starts", lambda s: s + F.col("first")))

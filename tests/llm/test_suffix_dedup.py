@@ -136,7 +136,8 @@ def test_hot_anchors(spark, monkeypatch, sample):
     texts = [other(80) + phrase + other(80) for _ in range(300)]
     texts += [other(70) + common + phrase + texts[k][124:150] + other(70) for k in range(40)]
     docs = documents(spark, texts)
-    groups = S._classes(S._cut_documents(docs, S._shared_anchors(docs))).selectExpr("anchor", "length(bytes) as n")
+    cut = S._cut_documents(docs, S._shared_anchors(docs))
+    groups = S._bytes(cut, S._alike(S._classes(cut)).where("alike")).selectExpr("anchor", "length(bytes) as n")
     assert groups.groupBy("anchor").sum("n").toArrow().column(1).to_numpy().max() < 2 * S.HOT_BYTES
     got = found(S.repeat_digest(docs))
     assert got == brute(list(enumerate(texts, 1))) and any(r[2] for r in got)
