@@ -22,7 +22,8 @@ window has 13 words; an item of fewer words is one window.
 
 Results: null and empty texts have no words and no hits; rows that share a doc_id
 are judged each by itself; items of equal text all count; an empty benchmark
-hits nothing.
+hits nothing and an empty table of documents gives an empty result; very long texts are split into segments that
+overlap, none is cut short; extra columns of any name are not read, and stay in rows that are kept.
 """
 
 from __future__ import annotations
@@ -457,16 +458,6 @@ def contamination(docs: DataFrame, bench: DataFrame) -> DataFrame:
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents.
-
-    Rows that share a doc_id (or have none) go together if one of them is contaminated.
-    """
-    bad = contamination(docs.select("doc_id", "text"), bench).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad_id"]), "left_anti")
-
-
 def drop_contaminated_rows(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, each judged by itself: ids don't matter.
 
@@ -475,4 +466,5 @@ def drop_contaminated_rows(docs: DataFrame, bench: DataFrame) -> DataFrame:
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     bad = contamination(docs.select(digest.alias("doc_id"), "text"), bench).where("contaminated")
     bad = bad.select(F.col("doc_id").alias("__bad_text")).distinct()
-    return docs.join(bad, digest == F.col("__bad_text"), "left_anti")
+    own = F.unhex(F.sha2(docs["text"].cast("binary"), 256))
+    return docs.join(bad, own == bad["__bad_text"], "left_anti")

@@ -21,7 +21,8 @@ documents' shares as prior, of the whole text.
 Results: null texts and texts without a letter are ``und`` with score 0; equal
 posteriors go to the first language in order; rows with null lang or id are scored
 but not (null lang) learned from; an empty learning table makes every text ``und``
-with score 0; repeated rows get equal results.
+with score 0; repeated rows get equal results; very long texts are read whole, in chunks cut between
+words; columns other than doc_id, text and lang, of any name, are not read.
 """
 
 from __future__ import annotations

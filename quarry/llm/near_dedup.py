@@ -28,7 +28,8 @@ of thousands of near copies.
 Results: null and empty texts have no shingles and are linked with nothing;
 fewer words than SHINGLE make one shingle; rows that share a doc_id are one
 node, linked if any of them is; rows without a doc_id are linked with nothing,
-their component is null and they are kept.
+their component is null and they are kept; copies and other ties keep the smallest doc_id; very long texts
+count whole; an empty table gives an empty result; extra columns of any name are not read, and stay in rows that are kept.
 """
 
 from __future__ import annotations
@@ -352,6 +353,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PE
         kept = near_duplicates(docs.select("doc_id", "text"), size, percent).where("kept and doc_id is not null")
         kept = kept.groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count(F.lit(1)).alias("__rows"))
         kept = kept_table(kept, "kept", for_caller=True)
-    once = docs.join(kept.where("__rows = 1"), F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    again = docs.join(kept.where("__rows > 1"), F.col("doc_id") == F.col("__kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    one, more = kept.where("__rows = 1"), kept.where("__rows > 1")
+    once = docs.join(one, docs["doc_id"] == one["__kept_id"], "left_semi")
+    again = docs.join(more, docs["doc_id"] == more["__kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(again).unionByName(docs.where("doc_id is null"))

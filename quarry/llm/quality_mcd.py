@@ -19,7 +19,8 @@ Results: null and empty texts have no words and fail the base limits.  A group
 with fewer than MIN_GROUP vectors is judged by its language, a language with fewer
 by the base limits alone (distance null).  Null languages and sources are groups of
 their own.  Rows are judged each by itself, also if ids repeat; equal distances
-are in or out of the HALF together.
+are in or out of the HALF together.  Very long texts count whole; an empty table gives an empty
+result; columns other than doc_id, text, lang and source, of any name, are not read.
 """
 
 from __future__ import annotations

@@ -271,8 +271,15 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that the classifier rejects."""
-    model = fit_quality(docs, labels, fold_of())
-    every = [F.col(f"`{c}`").alias(f"__in_{k}") for k, c in enumerate(docs.columns)]
-    scored = score_quality(docs, model, every).where("predicted = 1")
-    return scored.select([F.col(f"__in_{k}").alias(c) for k, c in enumerate(docs.columns)])
+    """``docs`` without those that the classifier rejects; each row travels once, its text with it."""
+    held = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, fold_of()))
+    small_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        own = held.value
+        for piece in slices(batches):
+            texts = [t.encode() if isinstance(t, str) else t or b"" for t in piece.column(at).to_pylist()]
+            yield piece.filter(pa.array([own.score(passages(t)) >= THRESHOLD for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -13,8 +13,9 @@ Kinds, in the order that breaks ties of the start:
 * ``xprv``: extended private keys in base 58, whose last four bytes are a double SHA-256.
 
 Per kind, matches are leftmost and do not overlap (what ``finditer`` gives).
-Null and empty texts have no spans; repeated rows give repeated results; ties
-(spans of several kinds at one start) all stay.
+Null and empty texts have no spans; very long texts are scanned whole; repeated rows give repeated results; ties
+(spans of several kinds at one start) all stay; an empty table gives an empty one; extra columns of
+any name are not read by the scan and pass through the redaction.
 """
 
 from __future__ import annotations

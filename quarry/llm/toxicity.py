@@ -16,7 +16,8 @@ Results: a text without vocabulary terms (null and empty ones too) has no
 neighbours and gets the score of an empty vote; equal cosines are broken by the
 order of the examples; repeated rows get equal results; rows without a label or id
 are scored but not learned from; with no labels of one class every score is the share
-of label 1 (0.5 without any labels).
+of label 1 (0.5 without any labels); very long texts count whole; an empty table of documents gives an
+empty result; columns other than doc_id and text, of any name, are not read.
 """
 
 from __future__ import annotations

@@ -46,7 +46,7 @@ def rows():
 
 
 #: Names that the operators use inside.
-CLASHES = "score predicted segment term slots doc row kept bands rep component node a b low high block x g model spans __text spare".split()
+CLASHES = "score predicted segment term slots doc row kept bands rep component node a b low high block x g model spans __text spare __kept_id __rows __bad_text __row __term".split()
 
 
 def odd_documents(spark, extra: bool = True):

@@ -105,10 +105,10 @@ def test_odd_rows(spark):
     none = judged(D.contamination(docs, bench_of(spark, [])))
     assert none == brute(own, [])
     assert D.contamination(nothing(spark), bench_of(spark, BENCH)).count() == 0
-    kept = D.drop_contaminated(docs, bench_of(spark, BENCH))
+    kept = D.drop_contaminated_rows(docs, bench_of(spark, BENCH))
     assert kept.columns == docs.columns
-    bad = {r[0] for r in brute(own, BENCH) if r[-1]}
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in own if i not in bad)
+    bad = {r[0] for r in brute([(k, t) for k, (_, t) in enumerate(own)], BENCH) if r[-1]}
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for k, (i, _) in enumerate(own) if k not in bad)
 
 
 def test_proximity(spark):
