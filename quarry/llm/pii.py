@@ -21,7 +21,8 @@ the tasks as a bitmap of fixed size (BITMAP_BITS), whatever their number.  Terms
 
 Results: null and empty texts have no spans; rows are judged each by itself, also
 if ids repeat or are missing; spans of several kinds at one start all stay, in the
-order of KINDS; an empty table gives an empty one.
+order of KINDS; an empty table gives an empty one; very long texts are searched whole; columns other than doc_id
+and text, of any name, are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.collocations import Bloom, bloom
 from quarry.llm.common import kept_table, map_texts, slices, small_batches, temporary_tables
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -222,6 +224,21 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.join(strong, ["class", "term"]).groupBy("__row", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
+def _among(own: DataFrame, strong: DataFrame) -> DataFrame:
+    """The rows of ``own`` (with __row and term) that ``strong`` holds, and a few others: what is shuffled follows what is found."""
+    key = F.xxhash64("__row", "term").alias("fp")
+    wanted = bloom(strong.select(key))
+
+    def run(batches):
+        filled = Bloom(wanted.value)
+        for b in batches:
+            keep = filled.holds(b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64))
+            yield b.filter(pa.array(keep)).drop_columns(["fp"])
+
+    small_batches(own.sparkSession)
+    return own.withColumn("fp", key).mapInArrow(run, own.schema)
+
+
 def find_private(docs: DataFrame, columns: list | None = None) -> DataFrame:
     """``columns`` (doc_id) and spans: array of (start, kind, end, disclosure), by start, then kind; one row a document."""
     columns = columns or ["doc_id"]
@@ -229,7 +246,7 @@ def find_private(docs: DataFrame, columns: list | None = None) -> DataFrame:
     names = found.columns[: len(columns)]
     strong = kept_table(disclosures(docs, found), "pii-terms")
     own = found.select("__row", F.explode("terms").alias("x")).select("__row", "x.term", "x.places")
-    places = own.join(strong, ["__row", "term"]).select("__row", F.explode("places").alias("p"), "disclosure")
+    places = _among(own, strong).join(strong, ["__row", "term"]).select("__row", F.explode("places").alias("p"), "disclosure")
     span = F.struct(
         F.col("p")[0].alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("p")[1].alias("end"), "disclosure"
     )
