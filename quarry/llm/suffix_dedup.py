@@ -27,7 +27,8 @@ all windows of a text fall into runs of one anchor each (about 18 windows).
 
 Results: null and empty texts have no bytes and lose none; rows that share a doc_id do
 not lose bytes to each other; rows without a doc_id are never compared; equal texts
-keep only the one of the smallest doc_id; matches never cross documents.  doc_id must be
+keep only the one of the smallest doc_id; very long texts are compared whole; an empty table gives an empty
+result; columns other than doc_id and text, of any name, are not read; matches never cross documents.  doc_id must be
 an integer (of 64 bits at most).
 """
 
@@ -283,42 +284,48 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
     return kept_table(cut.withColumn("row", F.monotonically_increasing_id()), "cut-documents")
 
 
-_SIDE = (SPAN - 1) // 2
-_WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, _SIDE + 1)], _U)
+#: A window has SPAN - 1 = 34 bytes besides its anchor, so it has as many before and behind it as one of these pairs:
+#: 23 or more before; or 12 to 22 before and 12 or more behind; or 11 or fewer before and 23 or more behind.
+SIDES = ((23, 0), (12, 12), (0, 23))
+_WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, SPAN)], _U)
 
 
 def _flat(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False)
 
 
-def _sides(text: bytes, first: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the _SIDE bytes before and behind the anchor of some runs; 0 where a run has fewer.
+def _sides(text: bytes, first: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """For each of SIDES a hash of so many bytes before and behind the anchor of some runs; 0 where a run has fewer.
 
-    A window has SPAN - 1 bytes besides its anchor, so half of these at least stand
-    together before or behind it: classes that share a window share them.
+    Classes that share a window share the bytes of one of SIDES.
     """
     data, place = np.frombuffer(text, np.uint8), first + at
     out = []
-    for start, there in ((place - _SIDE, at >= _SIDE), (place + GRAM, (at >= 0) & (at + GRAM + _SIDE <= size))):
+    for before, behind in SIDES:
         h = np.zeros(len(first), _U)
-        if there.any():
-            h[there] = (data[start[there][:, None] + np.arange(_SIDE)].astype(_U) + _U(1)) @ _WEIGHTS | _U(1)
+        there = np.flatnonzero((at >= before) & (at >= 0) & (at + GRAM + behind <= size))
+        if len(there):
+            near = np.r_[np.arange(-before, 0), np.arange(GRAM, GRAM + behind)]
+            h[there] = (data[place[there][:, None] + near].astype(_U) + _U(1)) @ _WEIGHTS[: len(near)] | _U(1)
         out.append(h.view(np.int64))
-    return out[0], out[1]
+    return out
 
 
 def _least(cols: list[np.ndarray]) -> list[np.ndarray]:
-    """Columns anchor, class, id, most (the largest id), front, back: one row for each class."""
-    anchor, cls, least, most, front, back = cols
+    """Columns anchor, class, id, most (the largest id) and the sides: one row for each class."""
+    anchor, cls, least, most, *sides = cols
     order = np.lexsort((cls, anchor))
-    anchor, cls, least, most, front, back = (c[order] for c in (anchor, cls, least, most, front, back))
+    anchor, cls, least, most, *sides = (c[order] for c in (anchor, cls, least, most, *sides))
     cut = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (cls[1:] != cls[:-1])])
-    return [anchor[cut], cls[cut], np.minimum.reduceat(least, cut), np.maximum.reduceat(most, cut), front[cut], back[cut]]
+    return [anchor[cut], cls[cut], np.minimum.reduceat(least, cut), np.maximum.reduceat(most, cut), *(x[cut] for x in sides)]
+
+
+_SIDE_NAMES = [f"side{k}" for k in range(len(SIDES))]
 
 
 def _classes(cut: DataFrame) -> DataFrame:
-    """(anchor, class, least, most, front, back): every class once for each task, with its smallest and largest document and its sides."""
-    names = ["anchor", "class", "least", "most", "front", "back"]
+    """(anchor, class, least, most, side0, ...): every class once for each task, with its smallest and largest document and its sides."""
+    names = ["anchor", "class", "least", "most", *_SIDE_NAMES]
 
     def run(batches):
         held: list[list[np.ndarray]] = []
@@ -339,8 +346,7 @@ def _classes(cut: DataFrame) -> DataFrame:
             if not len(anchor):
                 continue
             i = np.repeat(b.column("id").to_numpy(zero_copy_only=False), counts)
-            front, back = (np.concatenate([x[k] for x in sides]) for k in (0, 1))
-            held.append([anchor, cls, i, i, front, back])
+            held.append([anchor, cls, i, i, *(np.concatenate(x) for x in zip(*sides, strict=True))])
             n += len(anchor)
             if n >= BATCH_RUNS:
                 held = [_least([np.concatenate(c) for c in zip(*held, strict=True)])]
@@ -356,7 +362,7 @@ def _classes(cut: DataFrame) -> DataFrame:
 
 
 def _comparable(cols: list[np.ndarray]) -> np.ndarray:
-    """Which rows (anchor, front, back) share a side with another row of their anchor."""
+    """Which rows (anchor, sides) share a side with another row of their anchor."""
     anchor, out = cols[0], np.zeros(len(cols[0]), bool)
     for side in cols[1:]:
         order = np.lexsort((side, anchor))
@@ -374,8 +380,8 @@ def _alike(classes: DataFrame) -> DataFrame:
         held: list[np.ndarray] = []
 
         def done(cols):
-            anchor, cls, least, most, front, back = cols
-            alike, many = _comparable([anchor, front, back]), most > least
+            anchor, cls, least, most, *sides = cols
+            alike, many = _comparable([anchor, *sides]), most > least
             some = np.flatnonzero(alike | many)
             for k in range(0, len(some), 20_000):
                 at = some[k : k + 20_000]
@@ -395,7 +401,7 @@ def _alike(classes: DataFrame) -> DataFrame:
             yield from done(held)
 
     once = classes.repartition("anchor").groupBy("anchor", "class").agg(
-        F.min("least").alias("least"), F.max("most").alias("most"), F.max("front").alias("front"), F.max("back").alias("back")
+        F.min("least").alias("least"), F.max("most").alias("most"), *[F.max(c).alias(c) for c in _SIDE_NAMES]
     )
     kind = "anchor bigint, class bigint, least bigint, many boolean, alike boolean"
     return once.sortWithinPartitions("anchor").mapInArrow(run, kind)
@@ -559,17 +565,19 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     cut = _cut_documents(docs, _shared_anchors(docs))
     small_batches(docs.sparkSession)
     release_shuffles(docs.sparkSession)
-    found = kept_table(_alike(_classes(cut)), "alike-classes")
-    release_shuffles(docs.sparkSession)
-    matched = kept_table(_matched(cut, found), "matched-classes")
+    with temporary_tables(docs.sparkSession):
+        known = kept_table(_alike(_classes(cut)), "alike-classes")
+        release_shuffles(docs.sparkSession)
+        matched = kept_table(_matched(cut, known), "matched-classes")
+        release_shuffles(docs.sparkSession)
+        both = _placed(cut, matched).join(matched, ["anchor", "class"]).where("least < id or (least = id and size(starts) > 0)")
+        whole = F.col("least") < F.col("id")
+        starts = F.when(whole, F.array("first")).otherwise(F.transform("starts", lambda s: s + F.col("first")))
+        stops = F.when(whole, F.array(F.col("first") + F.col("size"))).otherwise(F.transform("stops", lambda s: s + F.col("first")))
+        found = both.select("row", starts.alias("starts"), stops.alias("stops"))
+        found = found.groupBy("row").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "stops")])
+        found = kept_table(found, "found-runs", for_caller=True)
     release_shuffles(docs.sparkSession)
-    placed = _placed(cut, matched)
-    both = placed.join(matched, ["anchor", "class"]).where("least < id or (least = id and size(starts) > 0)")
-    whole = F.col("least") < F.col("id")
-    starts = F.when(whole, F.array("first")).otherwise(F.transform("starts", lambda s: s + F.col("first")))
-    stops = F.when(whole, F.array(F.col("first") + F.col("size"))).otherwise(F.transform("stops", lambda s: s + F.col("first")))
-    found = both.select("row", starts.alias("starts"), stops.alias("stops"))
-    found = found.groupBy("row").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "stops")])
     # collect_list gathers both lists row by row, so they stay in step
     touched = cut.where("text is not null").select("row", "doc_id", "n_bytes", "text").join(found, "row", "left")
     none = F.array().cast("array<int>")
