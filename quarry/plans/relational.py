@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.dates import AS_OF
+from quarry.functions.dates import AS_OF, year_range
 from quarry.functions.numeric import MONEY, money, money_avg, money_sum
 from quarry.operators import joins, ordered
 from quarry.operators.profile import summary_exact
@@ -25,9 +25,7 @@ def _t(spark: SparkSession, sf_dir: str) -> Tables:
 
 def orders_in_year(orders: DataFrame, year: int) -> DataFrame:
     """Orders of one calendar year; the range predicate reaches the parquet scan."""
-    lo = F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
-    hi = F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz")
-    return orders.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
+    return orders.where(year_range("o_orderdate", year))
 
 
 SQL_ORDERS_1996 = (

@@ -44,10 +44,10 @@ def main() -> None:
     print(f"Generated by `scripts/plans.py` at `{sf_dir}` with automatic broadcast off, AQE on.\n")
     print(
         "Each plan is the final query only. Steps that write an intermediate table run as jobs of their own\n"
-        "and appear here as a scan. Examples are the numbered rows of the ordered windows (one range\n"
-        "shuffle, then a table bucketed by partition id) and the written inputs of the sink and versioned\n"
-        "queries. Broadcasts left in the plans are size-checked dimensions or tables bounded by the\n"
-        "partition count.\n"
+        "and appear here as a scan, like the written inputs of the sink and versioned queries. The samples and\n"
+        "border totals of the ordered windows, and the key sketches of the skew joins, are small jobs before;\n"
+        "their results are literals here. Broadcasts left in the plans are size-checked dimensions or tables\n"
+        "bounded by the partition count.\n"
     )
     for name in HEADLINE:
         df = qs[name](spark, sf_dir)
