@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -108,14 +109,20 @@ def kept_table(df: DataFrame, tag: str, for_caller: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
+def release_shuffles(spark: SparkSession, rounds: int = 1) -> None:
     """Let Spark's cleaner remove the files of shuffles that nothing refers to any more.
 
     It does so when the driver collects its garbage, which may be long after a
-    large step's result has been written.
+    large step's result has been written.  A query that has just ended is still held by
+    its events for a moment, so a second round, a second later, frees that one too.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for k in range(rounds):
+        if k:
+            time.sleep(1)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    if rounds > 1:
+        time.sleep(1)
 
 
 #: ASCII white space as the contracts list it: space and 0x09 to 0x0D (what bytes.split() splits on).

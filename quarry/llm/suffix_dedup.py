@@ -564,12 +564,12 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, digest or text, and starts and stops of byte runs (not united yet)."""
     cut = _cut_documents(docs, _shared_anchors(docs))
     small_batches(docs.sparkSession)
-    release_shuffles(docs.sparkSession)
+    release_shuffles(docs.sparkSession, 2)
     with temporary_tables(docs.sparkSession):
         known = kept_table(_alike(_classes(cut)), "alike-classes")
-        release_shuffles(docs.sparkSession)
+        release_shuffles(docs.sparkSession, 2)
         matched = kept_table(_matched(cut, known), "matched-classes")
-        release_shuffles(docs.sparkSession)
+        release_shuffles(docs.sparkSession, 2)
         both = _placed(cut, matched).join(matched, ["anchor", "class"]).where("least < id or (least = id and size(starts) > 0)")
         whole = F.col("least") < F.col("id")
         starts = F.when(whole, F.array("first")).otherwise(F.transform("starts", lambda s: s + F.col("first")))
@@ -577,7 +577,7 @@ def removed_runs(docs: DataFrame) -> DataFrame:
         found = both.select("row", starts.alias("starts"), stops.alias("stops"))
         found = found.groupBy("row").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "stops")])
         found = kept_table(found, "found-runs", for_caller=True)
-    release_shuffles(docs.sparkSession)
+    release_shuffles(docs.sparkSession, 2)
     # collect_list gathers both lists row by row, so they stay in step
     touched = cut.where("text is not null").select("row", "doc_id", "n_bytes", "text").join(found, "row", "left")
     none = F.array().cast("array<int>")
