@@ -4,9 +4,8 @@ Queues hold tuples (position, common prefix with the tuple before) by first
 character; tuples enter a queue in sorted order, so the queues of all characters
 together are a priority queue of suffixes.  What exceeds MEMORY_TUPLES goes to
 files.  Small suffixes are induced from large ones and the reverse, starting
-from the leftmost-small positions, which are ordered by naming: one induction
-orders their substrings, and names of pairs, of pairs of pairs, and so on replace
-them until they cover the depth that is asked for.
+from the leftmost-small positions, which are sorted by words of their characters
+until these cover the depth that is asked for.
 
 A common prefix is carried as 1 + the least value met in the source stream since
 the last tuple that went to the same queue, at most ``depth``.
@@ -72,28 +71,6 @@ class Queues:
             yield position[k : k + BLOCK], common[k : k + BLOCK]
 
 
-class _Least:
-    """Least value of any range of an array."""
-
-    def __init__(self, values: np.ndarray):
-        self.levels = [values]
-        while 2 << (len(self.levels) - 1) <= len(values):
-            last, step = self.levels[-1], 1 << (len(self.levels) - 1)
-            self.levels.append(np.minimum(last[:-step], last[step:]))
-
-    def of(self, low: np.ndarray, high: np.ndarray, none: int) -> np.ndarray:
-        """Least of values[low:high]; ``none`` where that is empty."""
-        out = np.full(len(low), none, self.levels[0].dtype)
-        size = high - low
-        log = np.zeros(len(low), np.int64)
-        some = size > 0
-        log[some] = np.log2(size[some]).astype(np.int64)
-        for k in np.unique(log[some]):
-            own = some & (log == k)
-            out[own] = np.minimum(self.levels[k][low[own]], self.levels[k][high[own] - (1 << int(k))])
-        return out
-
-
 class _Stream:
     """Sends the predecessors of a sorted stream of suffixes to their queues."""
 
@@ -104,26 +81,33 @@ class _Stream:
     def feed(self, position: np.ndarray, common: np.ndarray) -> None:
         if not len(position):
             return
-        at = np.flatnonzero(position > 0)
-        at = at[self.wanted[position[at] - 1]]
-        before = position[at] - 1
+        before = position - 1
+        at = np.flatnonzero(self.wanted[before] & (before >= 0))
+        before = before[at]
         char = self.text[before]
         order = np.argsort(char, kind="stable")
         at, before, char = at[order], before[order], char[order]
-        least = _Least(common)
         n = len(at)
-        first = np.r_[True, char[1:] != char[:-1]] if n else np.empty(0, bool)
-        low = np.where(first, 0, np.r_[0, at[:-1] + 1]) if n else at
-        new = least.of(low, at + 1, 255)
-        new[first] = np.minimum(new[first], self.since[char[first]])
-        new = np.minimum(new.astype(np.int64) + 1, self.depth).astype(np.uint8)
-        self.since = np.minimum(self.since, common.min())
-        if n:
-            cuts = np.flatnonzero(np.r_[first, True])
-            ends = at[cuts[1:] - 1] + 1
-            self.since[char[cuts[:-1]]] = least.of(ends, np.full(len(ends), len(position)), 255)
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                self.queues.push(int(char[a]), before[a:b], new[a:b])
+        if not n:
+            np.minimum(self.since, common.min(), out=self.since)
+            return
+        cuts = np.flatnonzero(char[1:] != char[:-1]) + 1
+        firsts = np.concatenate(([0], cuts))
+        # the least of common[low : at + 1], where low follows the tuple before of the same character
+        bounds = np.empty(2 * n, np.int64)
+        bounds[1::2] = at + 1
+        bounds[2::2] = at[:-1] + 1
+        bounds[2 * firsts] = 0
+        new = np.minimum.reduceat(np.append(common, np.uint8(255)), bounds)[::2]
+        own = char[firsts]
+        new[firsts] = np.minimum(new[firsts], self.since[own])
+        new = np.minimum(new, self.depth - 1).astype(np.uint8) + np.uint8(1)
+        rest = np.append(np.minimum.accumulate(common[::-1])[::-1], np.uint8(255))  # the least from each place on
+        np.minimum(self.since, rest[0], out=self.since)
+        lasts = np.append(cuts, n)
+        self.since[own] = rest[at[lasts - 1] + 1]
+        for c, a, b in zip(own.tolist(), firsts.tolist(), lasts.tolist(), strict=True):
+            self.queues.push(c, before[a:b], new[a:b])
 
 
 def _kinds(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,8 +115,7 @@ def _kinds(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(text)
     change = np.flatnonzero(text[1:] != text[:-1])  # last places of runs
     last = np.r_[change, n - 1]
-    run_of = np.searchsorted(last, np.arange(n))
-    end = last[run_of]
+    end = np.repeat(last, np.diff(last, prepend=-1))
     small = np.zeros(n, bool)
     inner = end < n - 1
     small[inner] = text[end[inner]] < text[end[inner] + 1]
@@ -193,50 +176,35 @@ def _induce(text, small, runs, seeds, seed_common, depth, folder, limit, emit):
             follow = common[0]
 
 
-def _common(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Common prefix of each of the ordered positions with the one before, at most ``depth``."""
-    out = np.zeros(len(order), np.uint8)
-    open_ = np.arange(1, len(order))
-    for k in range(depth):
-        if not len(open_):
-            break
-        a, b = order[open_ - 1] + k, order[open_] + k
-        same = (a < len(text)) & (b < len(text))
-        same[same] = text[a[same]] == text[b[same]]
-        open_ = open_[same]
-        out[open_] = k + 1
-    return out
-
+def _ordered(text: np.ndarray, seeds: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The seeds sorted by the first ``depth`` characters of their suffixes (or a few more), and the prefix, at most ``depth``, each has in common with the one before.
 
-def _named(text: np.ndarray, seeds: np.ndarray, ordered: np.ndarray, depth: int) -> np.ndarray:
-    """The seeds (in text order) sorted by at least ``depth`` characters of their suffixes.
-
-    ``ordered``: the seeds by their substrings (up to the next seed).
+    Words of as many characters as 63 bits hold are compared one after the other, each
+    only for the seeds that are still equal to another.
     """
-    ends = np.r_[seeds[1:] + 1, len(text)]
-    end_of = np.zeros(len(text), np.int64)
-    end_of[seeds] = ends
-    size = end_of[ordered] - ordered
-    differs = np.r_[True, size[1:] != size[:-1]]
-    open_ = np.flatnonzero(~differs)
-    k = 0
-    while len(open_):
-        a, b = ordered[open_ - 1] + k, ordered[open_] + k
-        inside = b < end_of[ordered[open_]]
-        open_, a, b = open_[inside], a[inside], b[inside]
-        bad = text[a] != text[b]
-        differs[open_[bad]] = True
-        open_ = open_[~bad]
-        k += 1
-    name_of = np.zeros(len(text), np.int64)
-    name_of[ordered] = np.cumsum(differs)
-    names = name_of[seeds]
-    step, reach = 1, 1  # a substring has two characters at least and shares its last one with the next
-    while reach < depth and names.max(initial=0) < len(names):
-        pair = names * (int(names.max()) + 1) + np.r_[names[step:], np.zeros(min(step, len(names)), np.int64)][: len(names)]
-        names = np.unique(pair, return_inverse=True)[1] + 1
-        step, reach = 2 * step, 2 * reach
-    return seeds[np.argsort(names, kind="stable")]
+    n, bits = len(text), int(text.max()).bit_length()
+    each = min(63 // bits, depth)
+    padded = np.concatenate((text, np.zeros(each, text.dtype))).astype(np.int64)
+    word = np.zeros(n + 1, np.int64)  # the characters from each place on
+    for k in range(each):
+        word[:n] <<= bits
+        word[:n] |= padded[k : k + n]
+    least = np.array([1 << bits * k for k in range(each)], np.int64)  # that a difference of the last, the last but one, ... character makes
+    order, common, same = seeds, np.zeros(len(seeds), np.int64), np.ones(len(seeds), bool)  # same: equal to the one before
+    same[:1] = False
+    for k in range(0, depth, each):
+        some = np.flatnonzero(same | np.append(same[1:], False))
+        if not len(some):
+            break
+        value, group = word[np.minimum(order[some] + k, n)], np.cumsum(~same)[some]
+        by = np.lexsort((value, group)) if k else np.argsort(value, kind="stable")
+        order = order.copy() if k == 0 else order
+        order[some], value = order[some[by]], value[by]
+        inner = np.flatnonzero(same[some])
+        differ = value[inner] ^ value[inner - 1]
+        common[some[inner]] += each - np.searchsorted(least, differ, "right")
+        same[some[inner]] = differ == 0
+    return order, np.minimum(common, depth).astype(np.uint8)
 
 
 def sorted_suffixes(text: np.ndarray, depth: int, emit, limit: int = MEMORY_TUPLES) -> None:
@@ -250,13 +218,6 @@ def sorted_suffixes(text: np.ndarray, depth: int, emit, limit: int = MEMORY_TUPL
     small, runs = _kinds(text)
     seeds = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     with tempfile.TemporaryDirectory(prefix="induced-") as folder:
-        by_char = seeds[np.argsort(text[seeds], kind="stable")]
-        is_seed = np.zeros(len(text), bool)
-        is_seed[seeds] = True
-        found: list[np.ndarray] = []
-        nothing = np.zeros(len(seeds), np.uint8)
-        _induce(text, small, runs, by_char, nothing, depth, folder, limit, lambda p, _: found.append(p[is_seed[p]]))
-        ordered = np.concatenate(found)[::-1] if found else seeds
-        order = _named(text, seeds, ordered, depth)
-        _induce(text, small, runs, order, _common(text, order, depth), depth, folder, limit, emit)
+        order, common = _ordered(text, seeds, depth)
+        _induce(text, small, runs, order, common, depth, folder, limit, emit)
     emit(np.array([len(text) - 1]), np.zeros(1, np.uint8))  # the end, which nothing induces

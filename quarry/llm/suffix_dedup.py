@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.collocations import Bloom, bloom
@@ -51,6 +51,7 @@ LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1  # places of an anchor within a window
 BATCH_ANCHORS = 500_000
+JOINED_BYTES = 1 << 18  # texts that are hashed together
 BATCH_RUNS = 500_000  # runs that a task puts together before it sends them
 SHARD_BYTES = 500_000  # shards are cut between anchors; one anchor's classes stay together
 HOT_BYTES = 2_000_000  # bytes of an anchor's classes from which on its windows are dealt one by one
@@ -58,6 +59,7 @@ HOT_SAMPLE = 16
 HOT_BITS = 23
 
 _U = np.uint64
+_SHIFTS = ((13, 7), (17, 32), (5, 16), (3, 8))
 
 
 def _gram_hashes(x: np.ndarray) -> np.ndarray:
@@ -122,8 +124,24 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _dealt(ids: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each id: its bits shifted into each other, whatever steps the ids come in; ``_part`` does the same."""
+    x = ids.astype(np.int64).view(_U)
+    for left, right in _SHIFTS:
+        x = x ^ x << _U(left)
+        x = x ^ x >> _U(right)
+    return (x.view(np.int64) % parts).astype(np.int32)
+
+
+def _part(column: Column, parts: int) -> Column:
+    for left, right in _SHIFTS:
+        column = column.bitwiseXOR(F.shiftleft(column, left))
+        column = column.bitwiseXOR(F.shiftrightunsigned(column, right))
+    return F.pmod(column, F.lit(parts)).cast("int")
+
+
 def _shared_anchors(docs: DataFrame) -> DataFrame:
-    """(id, keys): for each document the anchors (short hashes) that other documents may have as well."""
+    """(part, ids, keys): the anchors (short hashes) of documents that others may have as well, by the documents' parts."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
@@ -143,7 +161,7 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
             bucket = (h % _U(parts)).astype(np.int32)
             key = (h >> _U(32)).astype(np.uint32).view(np.int32)
             # one of each anchor goes to its bucket, by document, which packs well
-            out = [(bucket, np.flatnonzero(first), False), ((d % parts).astype(np.int32), np.flatnonzero(many), True)]
+            out = [(bucket, np.flatnonzero(first), False), (_dealt(d, parts), np.flatnonzero(many), True)]
             for part, some, known in out:
                 some = some[np.lexsort((d[some], part[some]))]
                 cuts = np.flatnonzero(np.r_[True, np.diff(part[some]) != 0]) if len(some) else np.empty(0, np.int64)
@@ -187,17 +205,18 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
             some = (d[last] != d[first])[group]
             d, key = d[some], key[some]
             bucket = np.full(len(d), part, np.int64)
-        full = bucket << 32 | key.view(np.uint32).astype(np.int64)
-        order = np.argsort(d, kind="stable")
-        d, full = d[order], full[order]
-        cuts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]]) if len(d) else np.empty(0, np.int64)
-        lists = pa.ListArray.from_arrays(np.r_[cuts, len(d)].astype(np.int32), full)
-        return pa.table({"id": pa.array(d[cuts], pa.int64()), "keys": lists})
+        # a few rows, one for each part of the documents
+        to = _dealt(d, parts)
+        order = np.lexsort((d, to))
+        d, to, full = d[order], to[order], (bucket << 32 | key.view(np.uint32).astype(np.int64))[order]
+        cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(d) else np.empty(0, np.int64)
+        ends = np.r_[cuts, len(d)].astype(np.int32)
+        lists = [pa.ListArray.from_arrays(ends, c) for c in (d, full)]
+        return pa.table({"part": pa.array(to[cuts], pa.int32()), "ids": lists[0], "keys": lists[1]})
 
     small_batches(spark)
     packed = rows.mapInArrow(run, schema)
-    met = packed.groupBy("part").applyInArrow(meet, "id bigint, keys array<bigint>")
-    return met.groupBy("id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    return packed.groupBy("part").applyInArrow(meet, "part int, ids array<bigint>, keys array<bigint>")
 
 
 def _hot_anchors(docs: DataFrame) -> np.ndarray:
@@ -243,7 +262,10 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
-    both = rows.join(shared, "id", "left").select("doc_id", "id", "text", "keys")
+    part = F.coalesce(_part(F.col("id"), parts), _part(F.xxhash64("text"), parts)).alias("part")
+    # a part's anchors come before its documents
+    both = rows.select(part, "doc_id", "id", "text").unionByName(shared, allowMissingColumns=True)
+    both = both.repartitionById(parts, "part").sortWithinPartitions("part", F.col("ids").isNull())
 
     def single(text, first, last):
         """hash, class, at, first window and size of each window of some runs."""
@@ -254,15 +276,31 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
 
     def run(batches):
         hot = np.unpackbits(np.frombuffer(packed.value, np.uint8)).astype(bool)
+        now, waiting, known = None, [], []
         for b in slices(batches, 64):
+            of, listed = b.column("part").to_numpy(), b.column("ids").is_valid().to_numpy(zero_copy_only=False)
+            for k in np.flatnonzero(listed).tolist():
+                if of[k] != now:
+                    now, waiting, known = of[k], [], []
+                waiting.append([b.column(c)[k].values.to_numpy() for c in ("ids", "keys")])
+            b = b.filter(pa.array(~listed))
+            if not b.num_rows:
+                continue
             out: list[list] = [[] for _ in range(8)]
-            for text, keys in zip(b.column(2).to_pylist(), b.column(3), strict=True):
+            for text, i, to in zip(*[b.column(c).to_pylist() for c in ("text", "id", "part")], strict=True):
                 text = text or b""
                 row = [len(text), hashlib.sha256(text).hexdigest(), None, [], [], [], [], []]
-                if keys.is_valid and len(text) >= LENGTH:
+                keys = ()
+                if i is not None and to == now:
+                    if waiting:
+                        known, waiting = [np.concatenate(c) for c in zip(*waiting, strict=True)], []
+                        order = np.argsort(known[0], kind="stable")
+                        known = [c[order] for c in known]
+                    keys = known[1][slice(*np.searchsorted(known[0], [i, i + 1]).tolist())]
+                if len(keys) and len(text) >= LENGTH:
                     h, place, first, last = runs(np.frombuffer(text, np.uint8))
                     full = (h % _U(parts)).astype(np.int64) << 32 | (h >> _U(32)).astype(np.int64)
-                    some = np.flatnonzero(np.isin(full, keys.values.to_numpy()))
+                    some = np.flatnonzero(np.isin(full, keys))
                     if len(some):
                         many = hot[(h[some] & _U((1 << HOT_BITS) - 1)).astype(np.int64)]
                         cold, some = some[~many], some[many]
@@ -278,37 +316,59 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.string(), pa.binary(), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 3]
             cols = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
             names = ["doc_id", "id", "n_bytes", "digest", "text", "anchor", "class", "at", "first", "size"]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("id"), *cols], names=names)
 
     cut = both.mapInArrow(run, f"doc_id {id_type}, {_CUT}")
     return kept_table(cut.withColumn("row", F.monotonically_increasing_id()), "cut-documents")
 
 
-#: A window has SPAN - 1 = 34 bytes besides its anchor, so it has as many before and behind it as one of these pairs:
-#: 23 or more before; or 12 to 22 before and 12 or more behind; or 11 or fewer before and 23 or more behind.
-SIDES = ((23, 0), (12, 12), (0, 23))
-_WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, SPAN)], _U)
+#: A window has SPAN - 1 = 34 bytes besides its anchor.  With b of them before it, b from each of these to the next,
+#: it has at least as many before and behind it as one of SIDES.
+_STEPS = (0, 6, 12, 18, 24, 30, SPAN)
+SIDES = tuple((a, SPAN - b) for a, b in zip(_STEPS, _STEPS[1:], strict=False))
+
+
+class _Powers:
+    """Powers of an odd number modulo 2**64, and of its inverse, as many as the longest text so far has bytes."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.up = self.down = np.empty(0, _U)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            n = max(n, 1 << 16)
+            self.up, self.down = (self._powers(x, n) for x in (self.BASE, pow(self.BASE, -1, 1 << 64)))
+        return self.up, self.down
+
+    @staticmethod
+    def _powers(x: int, n: int) -> np.ndarray:
+        out = np.full(n, x, _U)
+        out[0] = 1
+        return np.multiply.accumulate(out)
 
 
 def _flat(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False)
 
 
-def _sides(text: bytes, first: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-    """For each of SIDES a hash of so many bytes before and behind the anchor of some runs; 0 where a run has fewer.
+def _sides(text: bytes, first: np.ndarray, at: np.ndarray, size: np.ndarray, powers: _Powers) -> list[np.ndarray]:
+    """For each of SIDES a hash of so many bytes before and behind the anchor of some runs, and of the anchor; 0 where a run has fewer.
 
-    Classes that share a window share the bytes of one of SIDES.
+    Two hashes of 32 bits make a number.  ``text`` may be several joined: a run's bytes alone tell its hashes.  Classes that share a window share the bytes of one of SIDES.
     """
-    data, place = np.frombuffer(text, np.uint8), first + at
-    out = []
-    for before, behind in SIDES:
-        h = np.zeros(len(first), _U)
+    up, down = powers.of(len(text))
+    sums = np.zeros(len(text) + 1, _U)
+    np.cumsum((np.frombuffer(text, np.uint8).astype(_U) + _U(1)) * up[: len(text)], out=sums[1:])
+    place = first + at
+    out = np.zeros((len(SIDES), len(first)), np.uint32)
+    for h, (before, behind) in zip(out, SIDES, strict=True):
         there = np.flatnonzero((at >= before) & (at >= 0) & (at + GRAM + behind <= size))
-        if len(there):
-            near = np.r_[np.arange(-before, 0), np.arange(GRAM, GRAM + behind)]
-            h[there] = (data[place[there][:, None] + near].astype(_U) + _U(1)) @ _WEIGHTS[: len(near)] | _U(1)
-        out.append(h.view(np.int64))
-    return out
+        start = place[there] - before
+        own = (sums[start + before + GRAM + behind] - sums[start]) * down[start]
+        h[there] = (own ^ own >> _U(29)) * _U(0xBF58476D1CE4E5B9) >> _U(32) | _U(1)
+    return [np.ascontiguousarray(out[k : k + 2].T).view(np.int64)[:, 0] for k in range(0, len(SIDES), 2)]
 
 
 def _least(cols: list[np.ndarray]) -> list[np.ndarray]:
@@ -320,7 +380,7 @@ def _least(cols: list[np.ndarray]) -> list[np.ndarray]:
     return [anchor[cut], cls[cut], np.minimum.reduceat(least, cut), np.maximum.reduceat(most, cut), *(x[cut] for x in sides)]
 
 
-_SIDE_NAMES = [f"side{k}" for k in range(len(SIDES))]
+_SIDE_NAMES = [f"side{k}" for k in range(len(SIDES) // 2)]
 
 
 def _classes(cut: DataFrame) -> DataFrame:
@@ -329,7 +389,7 @@ def _classes(cut: DataFrame) -> DataFrame:
 
     def run(batches):
         held: list[list[np.ndarray]] = []
-        n = 0
+        n, powers = 0, _Powers()
 
         def sent(cols):
             for k in range(0, len(cols[0]), 20_000):
@@ -339,13 +399,20 @@ def _classes(cut: DataFrame) -> DataFrame:
             counts = pc.list_value_length(b.column("anchor")).to_numpy(zero_copy_only=False)
             ends = np.cumsum(counts)
             anchor, cls, at, first, size = (_flat(b.column(c)) for c in ("anchor", "class", "at", "first", "size"))
-            sides = [
-                _sides(text, first[e - c : e], at[e - c : e], size[e - c : e])
-                for text, c, e in zip(b.column("text").to_pylist(), counts.tolist(), ends.tolist(), strict=True)
-            ]
             if not len(anchor):
                 continue
             i = np.repeat(b.column("id").to_numpy(zero_copy_only=False), counts)
+            texts = b.column("text").to_pylist()
+            sides, start = [], 0
+            while start < len(texts):  # texts together, up to JOINED_BYTES
+                offsets = [0]
+                while start + len(offsets) - 1 < len(texts) and (len(offsets) == 1 or offsets[-1] < JOINED_BYTES):
+                    offsets.append(offsets[-1] + len(texts[start + len(offsets) - 1]))
+                stop = start + len(offsets) - 1
+                some = slice(ends[start] - counts[start], ends[stop - 1])
+                shift = np.repeat(offsets[:-1], counts[start:stop])
+                sides.append(_sides(b"".join(texts[start:stop]), first[some] + shift, at[some], size[some], powers))
+                start = stop
             held.append([anchor, cls, i, i, *(np.concatenate(x) for x in zip(*sides, strict=True))])
             n += len(anchor)
             if n >= BATCH_RUNS:
@@ -364,11 +431,15 @@ def _classes(cut: DataFrame) -> DataFrame:
 def _comparable(cols: list[np.ndarray]) -> np.ndarray:
     """Which rows (anchor, sides) share a side with another row of their anchor."""
     anchor, out = cols[0], np.zeros(len(cols[0]), bool)
-    for side in cols[1:]:
-        order = np.lexsort((side, anchor))
-        same = (anchor[order][1:] == anchor[order][:-1]) & (side[order][1:] == side[order][:-1]) & (side[order][1:] != 0)
-        out[order[1:][same]] = True
-        out[order[:-1][same]] = True
+    # rows come sorted by anchor
+    group = np.cumsum(np.append(False, anchor[1:] != anchor[:-1])[: len(anchor)]) << 32
+    for side in (half for c in cols[1:] for half in np.ascontiguousarray(c).view(np.uint32).reshape(-1, 2).T):
+        some = np.flatnonzero(side)
+        both = group[some] | side[some]
+        order = np.argsort(both)
+        same = both[order][1:] == both[order][:-1]
+        out[some[order[1:][same]]] = True
+        out[some[order[:-1][same]]] = True
     return out
 
 
@@ -479,7 +550,18 @@ def repeated_windows(classes: list[bytes], owner: np.ndarray, length: int = LENG
         if there.any():
             settle(position[there], group[there])
 
-    sorted_suffixes(text, length, emit)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def gather(position, common):
+        """Small blocks go to ``emit`` together."""
+        waiting.append((position, common))
+        if len(position) >= 1 << 16 or len(waiting) >= 64:
+            emit(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
+            waiting.clear()
+
+    sorted_suffixes(text, length, gather)
+    if waiting:
+        emit(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
     if held:
         whole = np.concatenate([p for p, _ in held])
         keep(whole, np.zeros(len(whole), np.int64))

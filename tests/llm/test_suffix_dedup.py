@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import induced, queries
 from quarry.llm import suffix_dedup as S
@@ -150,3 +151,38 @@ def test_every_anchor_hot(spark, monkeypatch):
     assert found(S.repeat_digest(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
     texts = ["ab" * 300, "xab" + "ab" * 100 + "y", prose(1, 300), prose(2, 9) + prose(1, 90)]
     assert found(S.repeat_digest(documents(spark, texts))) == brute(list(enumerate(texts, 1)))
+
+
+def test_sides_of_joined_texts():
+    """Equal windows share a side, wherever they stand and whatever texts are joined; runs without the bytes have none."""
+    p = prose(3, 300).encode()
+    a, b = b"x" * 40 + p[:900], p[100:1500] + b"end"
+    shares = 0
+    for one, two in ((a, b), (b, a)):
+        of = [S.runs(np.frombuffer(t, np.uint8)) for t in (one, two)]
+        got = []
+        for shift, (h, place, first, last) in zip((0, len(one)), of, strict=True):
+            args = (place - first, last - first + L, S._Powers())
+            alone = S._sides(two if shift else one, first, *args)
+            joined = S._sides(one + two, first + shift, *args)
+            assert all((x == y).all() for x, y in zip(alone, joined, strict=True))
+            got.append(np.stack([np.ascontiguousarray(c).view(np.uint32).reshape(-1, 2) for c in alone], 1).reshape(len(first), -1))
+        texts = [[t[x : y + L] for x, y in zip(f, e, strict=True)] for t, (_, _, f, e) in zip((one, two), of, strict=True)]
+        for i, x in enumerate(texts[0]):
+            for j, y in enumerate(texts[1]):
+                if of[0][0][i] == of[1][0][j] and any(x[k : k + L] in y for k in range(len(x) - L + 1)):
+                    shares += 1
+                    assert ((got[0][i] == got[1][j]) & (got[0][i] != 0)).any()
+    assert shares > 20
+
+
+def test_shared_anchors_come_packed(spark):
+    """A row for each pair of parts at most, not one for each document in each of them."""
+    texts = [prose(1, 400)] * 60
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = S._shared_anchors(documents(spark, texts)).collect()
+    assert sum(len(set(r.ids)) for r in rows) > len(rows) and len(rows) <= parts * (parts + 1)
+    assert {i for r in rows for i in r.ids} == set(range(1, 61))
+    assert all((S._dealt(np.array(r.ids), parts) == r.part).all() for r in rows)
+    got = spark.createDataFrame([(i,) for i in (-(2**63), -7, 0, 5, 2**40, 2**63 - 1)], "id long").withColumn("part", S._part(F.col("id"), parts))
+    assert all(S._dealt(np.array([r.id]), parts)[0] == r.part for r in got.collect())
