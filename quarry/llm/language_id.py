@@ -49,6 +49,8 @@ CACHED = 200_000
 CHUNK = 1 << 18  # characters that are split into words at a time
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _BETWEEN = regex.compile(r"[^\p{L}\p{M}]")
+#: The first 256 characters, with a space for each that is no letter (there are no marks among them).
+_LATIN = bytes(k if _LETTERS.fullmatch(chr(k)) else 32 for k in range(256))
 
 
 def pieces_of(path: str) -> list[str]:
@@ -61,6 +63,14 @@ def pieces_of(path: str) -> list[str]:
     return [p for p in dict.fromkeys(names) if p == p.lower() and MARK not in p[1:] and (p == MARK or _LETTERS.fullmatch(p.lstrip(MARK)))]
 
 
+def _found(text: str) -> list[str]:
+    """The matches of _LETTERS in a text."""
+    try:
+        return text.encode("latin-1").translate(_LATIN).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _LETTERS.findall(text)
+
+
 def words_of(text: str) -> Iterator[list[str]]:
     """Runs of letters of a whole text, lower case, chunk by chunk (cut only between words)."""
     text = text.lower()
@@ -68,13 +78,15 @@ def words_of(text: str) -> Iterator[list[str]]:
     while n - start > CHUNK:
         cut = _BETWEEN.search(text, start + CHUNK)
         end = cut.end() if cut else n
-        yield _LETTERS.findall(text[start:end])
+        yield _found(text[start:end])
         start = end
-    yield _LETTERS.findall(text[start:])
+    yield _found(text[start:])
 
 
 def parts_of(word: str) -> list[str]:
     """A word with the mark in front; a long one in parts."""
+    if len(word) <= LONGEST_WORD:
+        return [MARK + word]
     return [MARK + word[k : k + LONGEST_WORD] for k in range(0, len(word), LONGEST_WORD)]
 
 
@@ -290,35 +302,46 @@ class Scorer:
                 self.logs = np.zeros((len(new), self.logs.shape[1]))
         for k in range(0, len(new), 2000):
             some = new[k : k + 2000]
-            parts = [parts_of(w) for w in some]
-            lattices = Lattices(self.trie, [p for own in parts for p in own])
+            sizes = np.array([-(-len(w) // LONGEST_WORD) for w in some])
+            parts = [p for w in some for p in parts_of(w)] if sizes.max() > 1 else [MARK + w for w in some]
+            lattices = Lattices(self.trie, parts)
             totals = np.log(lattices.totals(self.models.probability[lattices.piece]))
-            sizes = np.array([len(own) for own in parts])
             at = len(self.known)
             self.logs[at : at + len(some)] = np.add.reduceat(totals, np.cumsum(sizes) - sizes)
             self.known.update(zip(some, range(at, at + len(some)), strict=True))
 
-    def score(self, texts: list[str]) -> list[tuple[str, float]]:
-        split = [[w for w in words_of(t)] for t in texts]
-        out = []
-        if sum(len(w) for words in split for w in words) <= len(self.logs):
-            self._learn([x for words in split for w in words for x in w])
-        for words in split:
-            total, count = self.models.prior.copy(), 0
-            for some in words:
-                if some:
-                    if not all(map(self.known.__contains__, some)):
-                        self._learn(some)
-                    total += self.logs[[self.known[w] for w in some]].sum(axis=0)
-                    count += len(some)
-            if not count:
-                out.append(("und", 0.0))
-                continue
-            odds = np.exp(total - total.max())
-            best = int(np.argmax(np.round(total, 9)))
-            out.append((self.models.languages[best], float(odds[best] / odds.sum())))
+    def _sums(self, lists: list[list[str]]) -> np.ndarray:
+        """Summed log probabilities of each list's words."""
+        words = [w for own in lists for w in own]
+        self._learn(words)
+        sizes = np.array([len(own) for own in lists], np.int64)
+        out = np.zeros((len(lists), self.logs.shape[1]))
+        some = np.flatnonzero(sizes)
+        if len(some):
+            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            out[some] = np.add.reduceat(self.logs[at], (np.cumsum(sizes) - sizes)[some])
         return out
 
+    def score(self, texts: list[str]) -> list[tuple[str, float]]:
+        split = [list(words_of(t)) for t in texts]
+        lists, owner = [w for words in split for w in words], np.repeat(np.arange(len(texts)), [len(words) for words in split])
+        totals = np.tile(self.models.prior, (len(texts), 1))
+        # lists go together up to as many words as the cache has places
+        ends = np.cumsum([len(w) for w in lists])
+        start = 0
+        while start < len(lists):
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + CACHED, "right")))
+            np.add.at(totals, owner[start:stop], self._sums(lists[start:stop]))
+            start = stop
+        rounded = np.argmax(np.round(totals, 9), axis=1)
+        odds = np.exp(totals - totals.max(axis=1, keepdims=True))
+        scores = odds[np.arange(len(texts)), rounded] / odds.sum(axis=1)
+        return [
+            (self.models.languages[best], score) if any(words) else ("und", 0.0)
+            for words, best, score in zip(split, rounded.tolist(), scores.tolist(), strict=True)
+        ]
+
 
 def score_languages(docs: DataFrame, models: Models | None, columns: list) -> DataFrame:
     """``columns`` of every row with lang_pred and score (posterior of that language)."""

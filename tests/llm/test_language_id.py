@@ -122,3 +122,40 @@ def test_too_many_languages_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(L, "MAX_LANGUAGES", 1)
     with pytest.raises(ValueError, match="languages"):
         L.fit_languages(odd_documents(spark), PATH, F.lit(False))
+
+
+def test_latin_words_skip_the_pattern(monkeypatch):
+    """Texts of the first 256 characters are split by a table, as the pattern would."""
+    text = "".join(map(chr, range(256))) + " Straße café\xa0x\x85y µm 1ª n\xba aÃ\xadz_q9w"
+    want = L._LETTERS.findall(text.lower())
+    assert L._found("日本 " + text.lower())[1:] == want
+
+    class Never:
+        def findall(self, text):
+            raise AssertionError(text)
+
+    monkeypatch.setattr(L, "_LETTERS", Never())
+    assert [w for some in L.words_of(text) for w in some] == want
+
+
+def test_texts_are_scored_together(pieces, monkeypatch):
+    """Words of a slice are looked up at once; groups cut by the cache or by chunks give the same sums."""
+    models = L.Models(["a", "b", "c"], pieces, np.array([2.0, 1.0, 1.0]))
+    models.probability *= np.random.default_rng(3).random(models.probability.shape)
+    texts = ["the quick brown fox", "", "123", "word " * 300 + "x" * 100, "über alles 日本 x", "the"]
+    whole = L.Scorer(models)
+    calls = []
+    real = L.Scorer._learn
+    monkeypatch.setattr(L.Scorer, "_learn", lambda self, words: (calls.append(len(words)), real(self, words)))
+    got = whole.score(texts)
+    assert len(calls) == 1
+    monkeypatch.setattr(L, "CACHED", 3)
+    monkeypatch.setattr(L, "CHUNK", 7)
+    for (lang, score), text in zip(got, texts, strict=True):
+        words = [w for some in L.words_of(text) for w in some]
+        total = models.prior + sum(np.log([plain_total(p, pieces, models.probability[:, k]) for k in range(3)]) for w in words for p in L.parts_of(w))
+        odds = np.exp(total - total.max())
+        want = (models.languages[int(np.argmax(total))], float(odds.max() / odds.sum())) if words else ("und", 0.0)
+        assert lang == want[0] and abs(score - want[1]) < 1e-9
+        again = L.Scorer(models).score([text])[0]
+        assert again[0] == lang and abs(again[1] - score) < 1e-9
