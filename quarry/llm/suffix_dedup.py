@@ -35,6 +35,7 @@ an integer (of 64 bits at most).
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,7 @@ GRAM = 16
 SPAN = LENGTH - GRAM + 1  # places of an anchor within a window
 BATCH_ANCHORS = 500_000
 JOINED_BYTES = 1 << 18  # texts that are hashed together
+CUT_BYTES = 1 << 15  # texts that are cut into runs together
 BATCH_RUNS = 500_000  # runs that a task puts together before it sends them
 SHARD_BYTES = 500_000  # shards are cut between anchors; one anchor's classes stay together
 HOT_BYTES = 2_000_000  # bytes of an anchor's classes from which on its windows are dealt one by one
@@ -87,39 +89,82 @@ def _sliding(a: np.ndarray, width: int, least) -> np.ndarray:
     return out
 
 
-def anchors(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, hashes, least hash of each window) of a text of LENGTH bytes or more; ties all count."""
+_ALONE = np.zeros(1, np.int64)
+
+
+def _anchors(x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, hashes, least of each window, windows within a text) of joined texts of LENGTH bytes or more each; ties all count.
+
+    The upper halves of the hashes are compared.
+    """
     h = _gram_hashes(x)
-    least = _sliding(h, SPAN, np.minimum)
-    edge = np.zeros(SPAN - 1, _U)
-    most = _sliding(np.r_[edge, least, edge], SPAN, np.maximum)
-    places = np.flatnonzero(most == h)
-    return places, h[places], least
+    upper = (h >> _U(32)).astype(np.uint32)
+    around = np.zeros(len(x) - LENGTH + 2 * SPAN - 1, np.uint32)
+    least = around[SPAN - 1 : 1 - SPAN]
+    least[:] = _sliding(upper, SPAN, np.minimum)
+    inner, there = np.ones(len(least), bool), np.ones(len(h), bool)
+    inner[(starts[1:, None] - np.arange(1, LENGTH)).ravel()] = False
+    there[(starts[1:, None] - np.arange(1, GRAM)).ravel()] = False
+    least[~inner] = 0
+    places = np.flatnonzero((_sliding(around, SPAN, np.maximum) == upper) & there)
+    return places, h[places], least, inner
+
 
+def anchors(x: np.ndarray, starts: np.ndarray = _ALONE) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the anchors of a text of LENGTH bytes or more, or of several that are joined (``starts``)."""
+    return _anchors(x, starts)[:2]
 
-def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, place of the anchor, first window, last window) of each run of windows with the same leftmost anchor."""
-    places, hashes, least = anchors(x)
+
+def runs(x: np.ndarray, starts: np.ndarray = _ALONE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place of the anchor, first window, last window) of each run of windows with the same leftmost anchor.
+
+    ``x`` may be several joined texts of LENGTH bytes or more each, which begin at ``starts``; windows across two are left out.
+    """
+    places, hashes, least, inner = _anchors(x, starts)
+    upper = (hashes >> _U(32)).astype(np.uint32)
     # windows of one least hash; its places follow each other as the window passes them
-    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    last = np.r_[first[1:] - 1, len(least) - 1]
+    cuts = np.flatnonzero((least[1:] != least[:-1]) | (inner[1:] != inner[:-1]))
+    first, last = np.append(0, cuts + 1), np.append(cuts, len(least) - 1)
+    some = inner[first]
+    first, last = first[some], last[some]
     value = least[first]
     done = []
     own = np.searchsorted(places, first)
     while len(first):
-        wrong = np.flatnonzero(hashes[own] != value)
+        wrong = np.flatnonzero(upper[own] != value)
         while len(wrong):
             own[wrong] += 1
-            wrong = wrong[hashes[own[wrong]] != value[wrong]]
+            wrong = wrong[upper[own[wrong]] != value[wrong]]
         end = np.minimum(last, places[own])
-        done.append((value, places[own], first, end))
-        more = end < last
+        done.append((hashes[own], places[own], first, end))
+        more = np.flatnonzero(end < last)
         first, last, value, own = end[more] + 1, last[more], value[more], own[more] + 1
+    if len(done) == 1:
+        return done[0]
     cols = [np.concatenate(c) for c in zip(*done, strict=True)]
     order = np.argsort(cols[2], kind="stable")
     return tuple(c[order] for c in cols)
 
 
+def _together(texts: list[bytes], most: int) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """(first, stop, bytes, where each begins) of neighbours among ``texts``, joined up to about ``most`` bytes."""
+    first = 0
+    while first < len(texts):
+        starts, n, stop = [], 0, first
+        while stop < len(texts) and (stop == first or n < most):
+            starts.append(n)
+            n += len(texts[stop])
+            stop += 1
+        yield first, stop, b"".join(texts[first:stop]), np.array(starts, np.int64)
+        first = stop
+
+
+def _class_hashes(data: bytes, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each run."""
+    parts = map(data.__getitem__, map(slice, first.tolist(), (first + size).tolist()))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, parts), _U, len(first))
+
+
 def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
@@ -152,18 +197,21 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
 
         def packed():
             h, d = np.concatenate(hs), np.concatenate(ids)
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            first = np.r_[True, h[1:] != h[:-1]]
-            group = np.cumsum(first) - 1
-            last_id = d[np.r_[np.flatnonzero(first)[1:] - 1, len(d) - 1]]
-            many = (last_id != d[first])[group]
+            order = np.argsort(h)
+            sorted_h, sorted_d = h[order], d[order]
+            cuts = np.append(0, np.flatnonzero(sorted_h[1:] != sorted_h[:-1]) + 1)
+            many = np.minimum.reduceat(sorted_d, cuts) != np.maximum.reduceat(sorted_d, cuts)
+            many = np.sort(order[np.repeat(many, np.diff(np.append(cuts, len(h))))])
             bucket = (h % _U(parts)).astype(np.int32)
             key = (h >> _U(32)).astype(np.uint32).view(np.int32)
             # one of each anchor goes to its bucket, by document, which packs well
-            out = [(bucket, np.flatnonzero(first), False), (_dealt(d, parts), np.flatnonzero(many), True)]
+            out = [(bucket, np.sort(order[cuts]), False), (_dealt(d, parts), many, True)]
             for part, some, known in out:
-                some = some[np.lexsort((d[some], part[some]))]
+                if known:  # once for each document
+                    by = np.lexsort((h[some], d[some]))
+                    some = some[by]
+                    some = some[np.append(True, (h[some][1:] != h[some][:-1]) | (d[some][1:] != d[some][:-1]))[: len(some)]]
+                some = some[np.argsort(part[some].astype(np.min_scalar_type(parts)), kind="stable")]
                 cuts = np.flatnonzero(np.r_[True, np.diff(part[some]) != 0]) if len(some) else np.empty(0, np.int64)
                 ends = np.r_[cuts, len(some)].astype(np.int32)
                 none = np.zeros(len(cuts) + 1, np.int32)
@@ -179,12 +227,13 @@ def _shared_anchors(docs: DataFrame) -> DataFrame:
                 )
 
         for b in slices(batches):
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if text and len(text) >= LENGTH:
-                    h = np.unique(anchors(np.frombuffer(text, np.uint8))[1])
-                    hs.append(h)
-                    ids.append(np.full(len(h), i, np.int64))
-                    n += len(h)
+            b = b.filter(pc.greater_equal(pc.binary_length(b.column(1)), LENGTH))
+            i = b.column(0).to_numpy()
+            for first, stop, text, starts in _together(b.column(1).to_pylist(), CUT_BYTES):
+                places, h = anchors(np.frombuffer(text, np.uint8), starts)
+                hs.append(h)
+                ids.append(i[first:stop][np.searchsorted(starts, places, "right") - 1])
+                n += len(h)
             if n >= BATCH_ANCHORS:
                 yield from packed()
                 hs, ids, n = [], [], 0
@@ -227,14 +276,12 @@ def _hot_anchors(docs: DataFrame) -> np.ndarray:
     def run(batches):
         for b in slices(batches, 64):
             cols: list[list[np.ndarray]] = [[], [], []]
-            for text in b.column(0).to_pylist():
-                if text and len(text) >= LENGTH:
-                    h, _, first, last = runs(np.frombuffer(text, np.uint8))
-                    size = last - first + LENGTH
-                    spans = zip(first.tolist(), size.tolist(), strict=True)
-                    cls = np.array([xxhash.xxh3_64_intdigest(text[a : a + n]) for a, n in spans], _U)
-                    for c, v in zip(cols, (_signed(h), _signed(cls), size.astype(np.int64)), strict=True):
-                        c.append(v)
+            b = b.filter(pc.greater_equal(pc.binary_length(b.column(0)), LENGTH))
+            for _, _, text, starts in _together(b.column(0).to_pylist(), CUT_BYTES):
+                h, _, first, last = runs(np.frombuffer(text, np.uint8), starts)
+                size = last - first + LENGTH
+                for c, v in zip(cols, (_signed(h), _signed(_class_hashes(text, first, size)), size), strict=True):
+                    c.append(v)
             done = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in done], names=["anchor", "class", "size"])
 
@@ -260,6 +307,7 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_hot_anchors(docs)).tobytes())
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shift = 32 + parts.bit_length()  # the number of a text among some goes above an anchor's bucket and key
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
     part = F.coalesce(_part(F.col("id"), parts), _part(F.xxhash64("text"), parts)).alias("part")
@@ -286,37 +334,53 @@ def _cut_documents(docs: DataFrame, shared: DataFrame) -> DataFrame:
             b = b.filter(pa.array(~listed))
             if not b.num_rows:
                 continue
-            out: list[list] = [[] for _ in range(8)]
-            for text, i, to in zip(*[b.column(c).to_pylist() for c in ("text", "id", "part")], strict=True):
-                text = text or b""
-                row = [len(text), hashlib.sha256(text).hexdigest(), None, [], [], [], [], []]
-                keys = ()
-                if i is not None and to == now:
-                    if waiting:
-                        known, waiting = [np.concatenate(c) for c in zip(*waiting, strict=True)], []
-                        order = np.argsort(known[0], kind="stable")
-                        known = [c[order] for c in known]
-                    keys = known[1][slice(*np.searchsorted(known[0], [i, i + 1]).tolist())]
-                if len(keys) and len(text) >= LENGTH:
-                    h, place, first, last = runs(np.frombuffer(text, np.uint8))
-                    full = (h % _U(parts)).astype(np.int64) << 32 | (h >> _U(32)).astype(np.int64)
-                    some = np.flatnonzero(np.isin(full, keys))
-                    if len(some):
-                        many = hot[(h[some] & _U((1 << HOT_BITS) - 1)).astype(np.int64)]
-                        cold, some = some[~many], some[many]
-                        size = last[cold] - first[cold] + LENGTH
-                        spans = zip(first[cold].tolist(), size.tolist(), strict=True)
-                        cls = np.array([xxhash.xxh3_64_intdigest(text[a : a + n]) for a, n in spans], _U)
-                        own = [h[cold], cls, place[cold] - first[cold], first[cold], size]
-                        if len(some):
-                            own = [np.concatenate(x) for x in zip(own, single(text, first[some], last[some]), strict=True)]
-                        row[1:] = [None, text, _signed(own[0]), _signed(own[1]), *[c.astype(np.int32) for c in own[2:]]]
-                for c, v in zip(out, row, strict=True):
+            if waiting and (b.column("part").to_numpy() == now).any():
+                known, waiting = [np.concatenate(c) for c in zip(*waiting, strict=True)], []
+                order = np.lexsort(known[::-1])
+                known = [c[order] for c in known]
+            texts = [t or b"" for t in b.column("text").to_pylist()]
+            # the shared anchors of the texts; rows that have some are cut
+            spans = [(0, 0)] * len(texts)
+            if len(known):
+                i = b.column("id").fill_null(0).to_numpy()
+                own = (b.column("part").to_numpy() == now) & b.column("id").is_valid().to_numpy(zero_copy_only=False)
+                ends = [np.searchsorted(known[0], i, side) * own for side in ("left", "right")]
+                spans = list(zip(*[c.tolist() for c in ends], strict=True))
+            some = [k for k, (a, z) in enumerate(spans) if a < z and len(texts[k]) >= LENGTH]
+            counts = np.zeros(len(texts), np.int64)
+            cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+            for start, stop, text, starts in _together([texts[k] for k in some], CUT_BYTES):
+                rows = np.array(some[start:stop])
+                keys = [known[1][slice(*spans[k])] for k in rows.tolist()]
+                keys = np.concatenate(keys) | np.repeat(np.arange(len(rows)), [len(c) for c in keys]) << shift
+                h, place, first, last = runs(np.frombuffer(text, np.uint8), starts)
+                of = np.searchsorted(starts, first, "right") - 1
+                full = (h % _U(parts)).astype(np.int64) << 32 | (h >> _U(32)).astype(np.int64) | of << shift
+                # each text's keys are sorted
+                found = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, full), len(keys) - 1)] == full)
+                many = hot[(h[found] & _U((1 << HOT_BITS) - 1)).astype(np.int64)]
+                cold, warm = found[~many], found[many]
+                size = last[cold] - first[cold] + LENGTH
+                own = [h[cold], _class_hashes(text, first[cold], size), place[cold] - first[cold], first[cold], size]
+                of = of[cold]
+                if len(warm):
+                    own = [np.concatenate(x) for x in zip(own, single(text, first[warm], last[warm]), strict=True)]
+                    of = np.searchsorted(starts, own[3], "right") - 1
+                    order = np.argsort(of, kind="stable")
+                    own, of = [c[order] for c in own], of[order]
+                own[3] = own[3] - starts[of]
+                counts[rows] = np.bincount(of, minlength=len(rows))
+                for c, v in zip(cols, own, strict=True):
                     c.append(v)
-            kinds = [pa.int64(), pa.string(), pa.binary(), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 3]
-            cols = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+            flat = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
+            ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(_signed(c), pa.int64())) for c in flat[:2]]
+            lists += [pa.ListArray.from_arrays(ends, pa.array(c.astype(np.int32))) for c in flat[2:]]
+            digests = [None if n else hashlib.sha256(t).hexdigest() for n, t in zip(counts.tolist(), texts, strict=True)]
+            text = pc.if_else(pa.array(counts > 0), b.column("text"), pa.scalar(None, b.column("text").type))
+            sizes = pa.array([len(t) for t in texts], pa.int64())
             names = ["doc_id", "id", "n_bytes", "digest", "text", "anchor", "class", "at", "first", "size"]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("id"), *cols], names=names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("id"), sizes, pa.array(digests, pa.string()), text, *lists], names=names)
 
     cut = both.mapInArrow(run, f"doc_id {id_type}, {_CUT}")
     return kept_table(cut.withColumn("row", F.monotonically_increasing_id()), "cut-documents")
@@ -511,8 +575,8 @@ def _bytes(cut: DataFrame, alike: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "anchor bigint, class bigint, bytes binary")
 
 
-def repeated_windows(classes: list[bytes], owner: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each class the windows (starts) that also occur in a class of a smaller owner."""
+def repeated_windows(classes: list[bytes], owner: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(class, start) of the windows that also occur in a class of a smaller owner, sorted; classes by their numbers."""
     sizes = np.array([len(c) for c in classes], np.int64)
     ends = np.cumsum(sizes + 1)  # each class is followed by a separator
     raw = np.frombuffer(b"\0".join(classes) + b"\0", np.uint8).astype(np.uint16) + 2
@@ -566,9 +630,7 @@ def repeated_windows(classes: list[bytes], owner: np.ndarray, length: int = LENG
         whole = np.concatenate([p for p, _ in held])
         keep(whole, np.zeros(len(whole), np.int64))
     found = np.sort(np.concatenate(hits)) if hits else np.empty(0, np.int64)
-    cuts = np.searchsorted(of[found], np.arange(len(classes) + 1))
-    starts = ends - sizes - 1
-    return [found[cuts[k] : cuts[k + 1]] - starts[k] for k in range(len(classes))]
+    return of[found], found - (ends - sizes - 1)[of[found]]
 
 
 def _matched(cut: DataFrame, found: DataFrame) -> DataFrame:
@@ -579,41 +641,42 @@ def _matched(cut: DataFrame, found: DataFrame) -> DataFrame:
     names = ["anchor", "class", "least", "starts", "stops"]
 
     def run(batches):
-        waiting, n, done = [], 0, []
+        waiting, n = [], 0
 
         def flushed():
-            windows_of = repeated_windows([v[3] for v in waiting], np.array([v[2][0] for v in waiting]))
-            for (h, c, (least, many), _), windows in zip(waiting, windows_of, strict=True):
-                if len(windows):
-                    first = np.flatnonzero(np.r_[True, np.diff(windows) > 1])
-                    stops = windows[np.r_[first[1:] - 1, len(windows) - 1]] + LENGTH
-                    done.append((h, c, least, windows[first].astype(np.int32), stops.astype(np.int32)))
-                elif many:
-                    done.append((h, c, least, [], []))
-
-        def sent():
-            kinds = [pa.int64()] * 3 + [pa.list_(pa.int32())] * 2
-            cols = list(zip(*done, strict=True)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            anchor, cls, least, many, data = zip(*waiting, strict=True)
+            of, windows = repeated_windows(list(data), np.array(least))
+            cuts = np.flatnonzero((of[1:] != of[:-1]) | (np.diff(windows) > 1))
+            first, last = np.append(0, cuts + 1)[: len(of)], np.append(cuts, len(of) - 1)[: len(of)]
+            counts = np.bincount(of[first], minlength=len(waiting))
+            some = np.flatnonzero((counts > 0) | np.array(many))
+            ends = np.append(0, np.cumsum(counts[some])).astype(np.int32)
+            cols = [pa.array(np.array(c, np.int64)[some]) for c in (anchor, cls, least)]
+            for c in (windows[first], windows[last] + LENGTH):
+                cols.append(pa.ListArray.from_arrays(ends, c.astype(np.int32)))
+            return pa.RecordBatch.from_arrays(cols, names=names)
 
         # a class's own row comes first, then its bytes, as often as tasks sent them
-        now, own, seen = None, None, False
-        for b in batches:
-            for h, c, least, many, data in zip(*[x.to_pylist() for x in b.columns], strict=True):
-                if now is not None and h != now[0] and n >= SHARD_BYTES:
-                    flushed()
+        before = None
+        for b in slices(batches, 1 << 20):
+            h, c = (x.to_numpy() for x in b.columns[:2])
+            own = b.column("bytes").is_null().to_numpy(zero_copy_only=False)
+            after = np.append(before is not None and before[:2] == (h[0], c[0]), own[:-1] & (h[1:] == h[:-1]) & (c[1:] == c[:-1]))
+            some = np.flatnonzero(after & ~own)
+            facts = [b.column(k).fill_null(v).to_numpy(zero_copy_only=False)[some - 1].tolist() for k, v in (("least", 0), ("many", False))]
+            if len(some) and some[0] == 0:
+                for k, v in zip(facts, before[2:], strict=True):
+                    k[0] = v
+            taken = [h[some].tolist(), c[some].tolist(), *facts, b.column("bytes").take(pa.array(some)).to_pylist()]
+            for row in zip(*taken, strict=True):
+                if n >= SHARD_BYTES and row[0] != waiting[-1][0]:
+                    yield flushed()
                     waiting, n = [], 0
-                if data is None:
-                    now, own, seen = (h, c), (least, many), False
-                elif (h, c) == now and not seen:
-                    waiting.append((h, c, own, data))
-                    n, seen = n + len(data) + 1, True
-                if len(done) >= 20_000:
-                    yield sent()
-                    done.clear()
+                waiting.append(row)
+                n += len(row[-1]) + 1
+            before = (h[-1], c[-1], b.column("least")[-1].as_py(), b.column("many")[-1].as_py()) if own[-1] else None
         if waiting:
-            flushed()
-        yield sent()
+            yield flushed()
 
     alike = found.where("alike")
     rows = alike.select("anchor", "class", "least", "many", F.lit(None).cast("binary").alias("bytes"))
@@ -667,14 +730,15 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     return touched.select("doc_id", "n_bytes", F.lit(None).cast("string").alias("digest"), "text", "starts", "stops").unionByName(rest)
 
 
-def united(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal runs of the union."""
-    if not len(starts):
-        return []
-    order = np.argsort(starts, kind="stable")
-    a, b = starts[order], np.maximum.accumulate(stops[order])
-    first = np.flatnonzero(np.r_[True, a[1:] > b[:-1]])
-    return list(zip(a[first].tolist(), b[np.r_[first[1:] - 1, len(b) - 1]].tolist(), strict=True))
+def united(row: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, stop) of the maximal runs of each row's union, sorted."""
+    a, b = row << 32 | starts, row << 32 | stops
+    order = np.argsort(a)
+    a, b = a[order], np.maximum.accumulate(b[order])
+    cuts = np.flatnonzero(a[1:] > b[:-1])
+    a, b = a[np.append(0, cuts + 1)[: len(a)]], b[np.append(cuts, len(b) - 1)[: len(b)]]
+    low = (1 << 32) - 1
+    return a >> 32, a & low, b & low
 
 
 def _apply(docs: DataFrame, finish, columns: str) -> DataFrame:
@@ -687,9 +751,13 @@ def _apply(docs: DataFrame, finish, columns: str) -> DataFrame:
 
     def run(batches):
         for b in slices(batches, 64):
+            counts = pc.list_value_length(b.column("starts")).fill_null(0).to_numpy()
+            row, a, z = united(np.repeat(np.arange(len(counts)), counts), *(_flat(b.column(c)).astype(np.int64) for c in ("starts", "stops")))
+            ends = np.searchsorted(row, np.arange(len(counts) + 1)).tolist()
+            gone = list(zip(a.tolist(), z.tolist(), strict=True))
             out = []
-            for n, digest, text, starts, stops in zip(*[c.to_pylist() for c in b.columns[1:]], strict=True):
-                out.append(finish(text, digest, n, united(np.array(starts or [], np.int64), np.array(stops or [], np.int64))))
+            for k, (n, digest, text) in enumerate(zip(*[b.column(c).to_pylist() for c in ("n_bytes", "digest", "text")], strict=True)):
+                out.append(finish(text, digest, n, gone[ends[k] : ends[k + 1]]))
             cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), extra.types, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", *extra.names])
 

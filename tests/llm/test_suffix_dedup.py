@@ -186,3 +186,55 @@ def test_shared_anchors_come_packed(spark):
     assert all((S._dealt(np.array(r.ids), parts) == r.part).all() for r in rows)
     got = spark.createDataFrame([(i,) for i in (-(2**63), -7, 0, 5, 2**40, 2**63 - 1)], "id long").withColumn("part", S._part(F.col("id"), parts))
     assert all(S._dealt(np.array([r.id]), parts)[0] == r.part for r in got.collect())
+
+
+def test_texts_are_cut_together():
+    """Many short texts make few pieces, and a piece gives the runs and anchors that its texts give alone."""
+    rnd = np.random.default_rng(4)
+    for alphabet in (1, 2, 60):
+        texts = [rnd.integers(0, alphabet, n).astype(np.uint8).tobytes() for n in [50, 51, *rnd.integers(50, 400, 60).tolist(), 3000, 50]]
+        pieces = list(S._together(texts, 2000))
+        assert [k for first, stop, *_ in pieces for k in range(first, stop)] == list(range(len(texts))) and len(pieces) < len(texts) / 3
+        for first, stop, data, starts in pieces:
+            assert data == b"".join(texts[first:stop])
+            x = np.frombuffer(data, np.uint8)
+            alone = [S.runs(np.frombuffer(t, np.uint8)) for t in texts[first:stop]]
+            hashes, *places = (np.concatenate(c) for c in zip(*alone, strict=True))
+            shift = np.repeat(starts, [len(c[0]) for c in alone])
+            got = S.runs(x, starts)
+            assert (got[0] == hashes).all() and all((a == b + shift).all() for a, b in zip(got[1:], places, strict=True))
+            alone = [S.anchors(np.frombuffer(t, np.uint8)) for t in texts[first:stop]]
+            assert S.anchors(x, starts)[0].tolist() == [p + s for (own, _), s in zip(alone, starts.tolist(), strict=True) for p in own.tolist()]
+            assert (S.anchors(x, starts)[1] == np.concatenate([h for _, h in alone])).all()
+
+
+def test_batches_of_two_rows(spark, monkeypatch):
+    """A class and its bytes come in two batches; rows of one id, of none and of no text stand among texts that are cut together."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(S, "CUT_BYTES", 300)
+    monkeypatch.setattr(S, "SHARD_BYTES", 300)
+    rnd = random.Random(9)
+    pool = ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(30, 90))) for _ in range(8)]
+    texts = ["".join(rnd.choice(pool) for _ in range(rnd.randint(1, 4))) for _ in range(30)]
+    rows = [(k // 2 if k % 7 else None, t if k % 11 else None) for k, t in enumerate(texts)]
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        got = found(S.repeat_digest(spark.createDataFrame(rows, "doc_id long, text string")))
+    finally:
+        spark.conf.set(key, before)
+    assert got == brute(rows) and any(r[2] for r in got)
+
+
+def test_united_runs_of_many_rows():
+    rnd = np.random.default_rng(6)
+    row, starts = np.sort(rnd.integers(0, 5, 60)), rnd.integers(0, 400, 60)
+    stops = starts + rnd.integers(1, 30, 60)
+    whole = np.zeros((5, 500), bool)
+    for r, a, z in zip(row, starts, stops, strict=True):
+        whole[r, a:z] = True
+    edges = np.diff(np.pad(whole, ((0, 0), (1, 1))).astype(int), axis=1)
+    expected = [[*np.nonzero(edges == 1)], np.nonzero(edges == -1)[1]]
+    got = S.united(row, starts, stops)
+    assert (got[0] == expected[0][0]).all() and (got[1] == expected[0][1]).all() and (got[2] == expected[1]).all()
+    assert all(len(c) == 0 for c in S.united(*[np.empty(0, np.int64)] * 3))
