@@ -709,7 +709,7 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, digest or text, and starts and stops of byte runs (not united yet)."""
     cut = _cut_documents(docs, _shared_anchors(docs))
     small_batches(docs.sparkSession)
-    release_shuffles(docs.sparkSession, 2)
+    release_shuffles(docs.sparkSession, 4)  # the largest shuffles; their query's events may take a few seconds
     with temporary_tables(docs.sparkSession):
         known = kept_table(_alike(_classes(cut)), "alike-classes")
         release_shuffles(docs.sparkSession, 2)
